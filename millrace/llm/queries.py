@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import chat_format, decontaminate, exact_dedup, packing, sharding, token_count, toxicity
+from . import chat_format, decontaminate, exact_dedup, jaccard_join, packing, sharding, token_count, toxicity
 
 
 def tokenizer_path(name: str) -> str:
@@ -54,6 +54,10 @@ def op5_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
 
 
+def op8_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.jaccard_components(_table(spark, sf_dir, "documents"))
+
+
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     found = decontaminate.decontaminate(docs, _table(spark, sf_dir, "benchmark"))
@@ -84,12 +88,36 @@ QUERIES = {
     "op3_shard": op3_shard,
     "op4_toxicity": op4_toxicity,
     "op5_pack": op5_pack,
+    "op8_ngram_jaccard": op8_ngram_jaccard,
     "op9_decontaminate": op9_decontaminate,
     "op10_exact_dedup": op10_exact_dedup,
 }
 
 ORACLE_SQL = {
-    "op1_chat_format": None,
+    "op8_ngram_jaccard": r"""
+        WITH RECURSIVE w AS (
+            SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x09-\x0D\x20]+'), lambda x: x <> '') AS ws
+            FROM documents
+        ), s AS (
+            SELECT doc_id, unnest(list_distinct(CASE WHEN len(ws) = 0 THEN []
+                WHEN len(ws) < 4 THEN [array_to_string(ws, ' ')]
+                ELSE list_transform(range(1, len(ws) - 2), lambda i: array_to_string(ws[i:i+3], ' ')) END)) AS g
+            FROM w
+        ), n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+        p AS (
+            SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS both FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id
+            GROUP BY a.doc_id, b.doc_id
+        ), l AS (
+            SELECT p.a, p.b FROM p JOIN n x ON x.doc_id = p.a JOIN n y ON y.doc_id = p.b
+            WHERE 100 * p.both >= 85 * (x.n + y.n - p.both)
+        ), e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+        r AS (
+            SELECT doc_id AS v, doc_id AS c FROM documents
+            UNION SELECT r.v, e.b FROM r JOIN e ON e.a = r.c
+        )
+        SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, (SELECT min(c) FROM r WHERE r.v = d.doc_id) AS component_id
+        FROM documents d LEFT JOIN n USING (doc_id)
+    """,
     "op10_exact_dedup": """
         WITH n AS (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents)
         SELECT doc_id, max(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PARTITION BY t) AS group_size,
