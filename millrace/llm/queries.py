@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import chat_format, decontaminate, exact_dedup, jaccard_join, packing, sharding, token_count, toxicity
+from . import chat_format, decontaminate, exact_dedup, jaccard_join, packing, sharding, suffix_dedup, token_count, toxicity
 
 
 def tokenizer_path(name: str) -> str:
@@ -54,6 +54,10 @@ def op5_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
 
 
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(_table(spark, sf_dir, "documents"))
+
+
 def op8_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.jaccard_components(_table(spark, sf_dir, "documents"))
 
@@ -88,6 +92,7 @@ QUERIES = {
     "op3_shard": op3_shard,
     "op4_toxicity": op4_toxicity,
     "op5_pack": op5_pack,
+    "op7_suffix_dedup": op7_suffix_dedup,
     "op8_ngram_jaccard": op8_ngram_jaccard,
     "op9_decontaminate": op9_decontaminate,
     "op10_exact_dedup": op10_exact_dedup,
