@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import chat_format, decontaminate, exact_dedup, jaccard_join, packing, sharding, suffix_dedup, token_count, toxicity
+from . import chat_format, decontaminate, exact_dedup, jaccard_join, ngram_lm, packing, sharding, suffix_dedup, token_count, toxicity
 
 
 def tokenizer_path(name: str) -> str:
@@ -54,6 +54,11 @@ def op5_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
 
 
+def op6_ngram_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = F.pmod(toxicity.crc32_of_id(F.col("doc_id")), F.lit(7)) == 2
+    return ngram_lm.score_texts(_table(spark, sf_dir, "documents"), held_out)
+
+
 def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.remove_repeats(_table(spark, sf_dir, "documents"))
 
@@ -92,6 +97,7 @@ QUERIES = {
     "op3_shard": op3_shard,
     "op4_toxicity": op4_toxicity,
     "op5_pack": op5_pack,
+    "op6_ngram_lm": op6_ngram_lm,
     "op7_suffix_dedup": op7_suffix_dedup,
     "op8_ngram_jaccard": op8_ngram_jaccard,
     "op9_decontaminate": op9_decontaminate,
