@@ -49,7 +49,7 @@ def _pack(a: np.ndarray, delta: bool = False) -> bytes:
     top = int(a.max()) if len(a) else 0
     kind = next(k for k in (np.uint8, np.uint16, np.uint32, np.uint64) if top <= np.iinfo(k).max)
     # Byte planes: the high ones are nearly constant.
-    planes = a.astype(kind).view(np.uint8).reshape(len(a), -1).T.tobytes()
+    planes = a.astype(kind).view(np.uint8).reshape(len(a), np.dtype(kind).itemsize).T.tobytes()
     return bytes([np.dtype(kind).itemsize]) + zstandard.ZstdCompressor(level=1).compress(planes)
 
 
@@ -57,7 +57,8 @@ def _unpack(b: bytes, delta: bool = False) -> np.ndarray:
     import zstandard
 
     width = b[0]
-    raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(b[1:]), np.uint8).reshape(width, -1)
+    raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(b[1:]), np.uint8)
+    raw = raw.reshape(width, len(raw) // width)
     a = np.ascontiguousarray(raw.T).view(f"u{width}").reshape(-1).astype(np.uint64)
     return np.cumsum(a, dtype=np.uint64) if delta else a
 
