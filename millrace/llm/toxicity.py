@@ -163,7 +163,9 @@ class Model:
         self.embedding[touched] -= rate * g / (np.sqrt(sums[0][touched]) + 1e-6)
 
 
-def train(texts: list[str], y: np.ndarray, epochs: int = 8, rate: float = 0.08, seed: int = 11) -> Model:
+def train(texts: list[str], y: np.ndarray, epochs: int = 8, steps: int = 500, rate: float = 0.08, seed: int = 11) -> Model:
+    """At least so many epochs and, up to 60 epochs, so many steps: small samples are passed more often."""
+    epochs = min(60, max(epochs, -(-steps * 64 // len(texts))))
     model, vocabulary = Model.fresh(seed), Vocabulary()
     sums = [np.full_like(model.embedding, 1e-4)] + [
         np.full_like(p, 1e-4)
