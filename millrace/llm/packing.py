@@ -12,19 +12,28 @@ from __future__ import annotations
 import zlib
 from array import array
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from .common import LOWER_BYTES
+
 PIECES = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint"
 
 
+TAIL = b".,;:!?#$%&*|()"
+
+
 class ChunkEncoder:
     """Token ids of a text as little-endian 32-bit words, by chunks between ASCII white space.
 
-    The tokenizer drops white space and no rule of it reaches across, so that a
-    text's ids are those of its chunks in a row. Chunks seen are kept, up to a
-    bound; then the store starts anew.
+    The tokenizer drops white space, ignores the case of A-Z and none of its
+    rules reaches across white space, or from a run of letters into marks other
+    than the apostrophe. So a text's ids are those of its chunks in a row, and a
+    chunk of letters with marks behind is cut there. Runs of letters are encoded
+    many at a time and told apart by their word-end ids. Chunks seen are kept,
+    up to a bound; then the store starts anew.
     """
 
     def __init__(self, path: str, bound: int = 400_000):
@@ -33,18 +42,58 @@ class ChunkEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.seen: dict[bytes, bytes] = {}
         self.bound = bound
+        size = max(self.tokenizer.get_vocab(with_added_tokens=True).values()) + 1
+        self.ends = np.zeros(size, bool)
+        for token, i in self.tokenizer.get_vocab(with_added_tokens=False).items():
+            self.ends[i] = token.endswith("</w>")
+
+    def _ids(self, texts: list[str]):
+        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _letters(self, words: list[bytes]) -> None:
+        """Store the ids of runs of letters, 64 to a text."""
+        parts = [words[at : at + 64] for at in range(0, len(words), 64)]
+        for at in range(0, len(parts), 256):
+            some = parts[at : at + 256]
+            for part, found in zip(some, self._ids([b" ".join(p).decode() for p in some]), strict=True):
+                ids = np.array(found, np.uint32)
+                cuts = (4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()
+                if len(cuts) == len(part):
+                    data = ids.tobytes()
+                    self.seen.update(zip(part, [data[a:b] for a, b in zip([0, *cuts[:-1]], cuts, strict=True)], strict=True))
+                else:
+                    self._others(part)
+
+    def _others(self, chunks: list[bytes]) -> None:
+        for at in range(0, len(chunks), 10_000):
+            part = chunks[at : at + 10_000]
+            for c, ids in zip(part, self._ids([c.decode() for c in part]), strict=True):
+                self.seen[c] = array("I", ids).tobytes()
+
+    def _learn(self, chunks: set[bytes]) -> None:
+        seen, letters, others, joined = self.seen, set(), set(), []
+        for c in chunks:
+            core = c.rstrip(TAIL)
+            if core.decode().isalpha():
+                letters.add(core)
+                if len(core) < len(c):
+                    others.add(c[len(core) :])
+                    joined.append((c, core, c[len(core) :]))
+            else:
+                others.add(c)
+        self._letters([w for w in letters if w not in seen])
+        self._others([c for c in others if c not in seen])
+        for c, core, tail in joined:
+            seen[c] = seen[core] + seen[tail]
 
     def texts(self, texts: list[str]) -> list[bytes]:
-        chunks = [(t or "").encode("utf-8", "replace").split() for t in texts]
-        new = list({c for words in chunks for c in words}.difference(self.seen))
-        if len(self.seen) + len(new) > self.bound:
+        raw = [(t or "").encode("utf-8", "replace") for t in texts]
+        # Names of special tokens are told apart by case, so such texts stay as they are.
+        chunks = [(r if b"<|" in r else r.translate(LOWER_BYTES)).split() for r in raw]
+        wanted = {c for words in chunks for c in words}
+        if len(self.seen) + len(wanted) > self.bound:
             self.seen = {}
-            new = list({c for words in chunks for c in words})
-        for at in range(0, len(new), 20_000):
-            part = new[at : at + 20_000]
-            encoded = self.tokenizer.encode_batch([c.decode("utf-8") for c in part], add_special_tokens=False)
-            for c, e in zip(part, encoded, strict=True):
-                self.seen[c] = array("I", e.ids).tobytes()
+        self._learn(wanted.difference(self.seen))
         get = self.seen.__getitem__
         return [b"".join(map(get, words)) for words in chunks]
 
