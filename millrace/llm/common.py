@@ -46,6 +46,32 @@ def shared_dir(spark: SparkSession) -> str:
     return at.rstrip("/")
 
 
+def slices(batches, rows: int = 256):
+    """Cut Arrow batches: as Python objects a whole one can be ten times as large.
+
+    At the end what the allocators still hold goes back to the system, as the
+    worker process lives on for other tasks.
+    """
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+    trim()
+
+
+def trim() -> None:
+    import ctypes
+    import gc
+
+    import pyarrow as pa
+
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):
+        pass  # another C library
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it again.
 

@@ -32,7 +32,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from .common import SPACE_WORDS, materialize, partitions
+from .common import SPACE_WORDS, materialize, slices, trim
 from .jaccard_join import WordHash, _typed
 
 END = xxhash.xxh64_intdigest(b" end of text")  # words hold no blank
@@ -240,7 +240,7 @@ def _blocks(block_tokens: int):
             seq += 1
             return pa.RecordBatch.from_arrays([pa.array([x], k) for x, k in zip(row, kinds, strict=True)], names=names)
 
-        for batch in batches:
+        for batch in slices(batches):
             for doc, out, text in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
                 words = (text or "").encode("utf-8", "replace").translate(SPACE_WORDS).split()
                 s = np.empty(len(words) + 1, np.uint64)
@@ -361,7 +361,6 @@ class _Pairs:
         self.counts = np.bincount(self.inverse[self.train[self.known]], minlength=len(pairs))
         self.ctx, self.nxt = pairs // np.uint64(known.size), pairs % np.uint64(known.size)
         self.total = total[self.known][first]
-        self.next_count = self.count[self.known][first]
         # A context with many tokens is spread by its successors; any other goes to one shard.
         spread = (1 + self.total // known.hot).astype(np.uint64)
         mix = (self.ctx * np.uint64(0x9E3779B97F4A7C15)) ^ ((self.nxt % spread) * np.uint64(0xC2B2AE3D27D4EB4F))
@@ -434,6 +433,7 @@ def _answer_pairs(size: int, hot: int):
             if len(large):
                 out.append((key[0].as_py(), None, _pack(large, delta=True), _pack(n), [], trie.discount))
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), kinds, strict=True)], names=names)
+        trim()
 
     return run
 
@@ -479,6 +479,8 @@ def _score(known: _Known, hot_mass: dict[int, float]):
                     pa.array(sums(np.log10(prob))),
                 ]
                 yield pa.RecordBatch.from_arrays(cols, names=[f.split()[0] for f in RESULT.split(", ")])
+                del p, share, mass, prob, p1, base, inv
+                trim()
 
     return run
 
@@ -486,7 +488,7 @@ def _score(known: _Known, hot_mass: dict[int, float]):
 def score_texts(
     docs: DataFrame,
     held_out,
-    block_tokens: int = 3_000_000,
+    block_tokens: int = 1_000_000,
     shard_tokens: int = 3_000_000,
     id_col: str = "doc_id",
     text_col: str = "text",
