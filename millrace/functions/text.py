@@ -7,6 +7,7 @@ separators; Java's ``\\s`` is narrower, so it is spelled out.
 from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
+from pyspark.sql.types import StringType
 
 # The 29 code points that count as white space.
 _BLANKS = r"\t\x0B\f\r\x1C-\x20\x85\xA0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000"
@@ -90,7 +91,7 @@ NAMED_ENTITIES = {
 }
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def unescape_all(x):
     """Every HTML entity, for pages beyond the named ones (no built-in has the table)."""
     import html

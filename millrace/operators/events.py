@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql.types import StringType
 
 EVENT = (
     "event_id string, user_id string, event_type string, timestamp timestamp, payload_json string, source string, "
@@ -76,7 +77,7 @@ def payload_text(payload: Column) -> Column:
     return F.array_join(F.map_values(F.from_json(payload, "map<string,string>")), " ", "")
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def nested_payload_text(payload):
     """The same for nested objects and lists, which no built-in walks."""
     import json
@@ -93,7 +94,7 @@ def nested_payload_text(payload):
 
 def tokens(x: Column) -> Column:
     """Lower-case runs of letters and digits, accents dropped from Latin letters."""
-    plain = F.translate(F.lower(x), F.lit(_ACCENTED), F.lit(_PLAIN))
+    plain = F.translate(F.lower(x), _ACCENTED, _PLAIN)
     return F.filter(F.split(plain, r"[^\p{L}\p{N}]+"), lambda w: w != "")
 
 
@@ -119,10 +120,14 @@ def search(events: DataFrame, query: str, text: Column, user=None, ts: str = "ti
         if not terms:
             raise ValueError(f"unsupported term: {phrase or word!r}")
         if word.endswith("*") and len(terms) == 1:
-            df = df.filter(F.exists(words, lambda w, p=terms[0]: F.startswith(w, F.lit(p))))
+            df = df.filter(_any_prefix(words, terms[0]))
         elif len(terms) == 1:
             df = df.filter(F.array_contains(words, terms[0]))
         else:
             joined = F.concat(F.lit(" "), F.array_join(words, " "), F.lit(" "))
             df = df.filter(F.contains(joined, F.lit(f" {' '.join(terms)} ")))
     return listing(df.drop("__t"), user=user, ts=ts)
+
+
+def _any_prefix(words: Column, prefix: str) -> Column:
+    return F.exists(words, lambda w: F.startswith(w, F.lit(prefix)))
