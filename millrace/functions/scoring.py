@@ -71,7 +71,7 @@ def safety_penalty(folded: Column, lex: Lexicon) -> Column:
 
 def repetition_penalty(x: Column) -> Column:
     """A twentieth for each repeated sentence, at most 0.15; case counts."""
-    s = t.sentences(x)
+    s = t.sentences(F.coalesce(x, F.lit("")))
     return F.least(F.lit(0.15), F.lit(0.05) * (F.size(s) - F.size(F.array_distinct(s))))
 
 
