@@ -405,33 +405,34 @@ def _answer_pairs(size: int, hot: int):
         rows = [r for b in batches for r in zip(*(b.column(i).to_pylist() for i in range(1, 7)), strict=True)]
         keys, counts, heads, totals = [], [], [], []
         for _, ctx, kinds, nxt, count, total in rows:
-            c = _unpack(count)
-            at = np.flatnonzero(c)
-            ctx, total = _unpack(ctx, delta=True), _unpack(total)
-            keys.append((np.repeat(ctx, _unpack(kinds).astype(np.int64)) * np.uint64(size) + _unpack(nxt))[at])
-            counts.append(c[at])
+            ctx = _unpack(ctx, delta=True)
+            keys.append(np.repeat(ctx, _unpack(kinds).astype(np.int64)) * np.uint64(size) + _unpack(nxt))
+            counts.append(_unpack(count).astype(np.float64))
             heads.append(ctx)
-            totals.append(total)
+            totals.append(_unpack(total))
+        cuts = np.cumsum([0, *map(len, keys)])
         pairs, inv = np.unique(np.concatenate(keys), return_inverse=True)
-        count = np.bincount(inv, np.concatenate(counts).astype(np.float64), minlength=len(pairs))
-        heads, first = np.unique(np.concatenate(heads), return_index=True)
+        count = np.bincount(inv, np.concatenate(counts), minlength=len(pairs))
+        asked, first = np.unique(np.concatenate(heads), return_index=True)
         totals = np.concatenate(totals)[first].astype(np.float64)
-        ctx = pairs // np.uint64(size)
-        del keys, counts, inv
-        built = Trie.build(ctx, pairs % np.uint64(size), count, totals[np.searchsorted(heads, ctx)], size)
+        del keys, counts
+        seen = count > 0
+        ctx, nxt = pairs // np.uint64(size), pairs % np.uint64(size)
+        built = Trie.build(ctx[seen], nxt[seen], count[seen], totals[np.searchsorted(asked, ctx[seen])], size)
         kinds = [pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.list_(pa.float64()), pa.float64()]
         names = ["shard", "block", "codes", "kinds", "book", "discount"]
         with tempfile.TemporaryFile() as file:
             built.save(file)
             trie = Trie.open(file)
+            # All blocks' questions at once, each level walked once from end to end.
+            codes, n = trie.query(asked, np.searchsorted(ctx, asked), nxt)
             out = []
-            for block, c, k, x, _, _ in rows:
-                codes, n = trie.query(_unpack(c, delta=True), np.cumsum(_unpack(k)).astype(np.int64) - _unpack(k).astype(np.int64), _unpack(x))
-                out.append((key[0].as_py(), block, _pack(codes), _pack(n), trie.book.tolist(), trie.discount))
-            large = heads[totals >= hot]
-            _, n = trie.query(large, np.zeros(len(large), np.int64), np.zeros(0, np.uint64))
-            if len(large):
-                out.append((key[0].as_py(), None, _pack(large, delta=True), _pack(n), [], trie.discount))
+            for (block, *_), mine, a, b in zip(rows, heads, cuts[:-1], cuts[1:], strict=True):
+                own = n[np.searchsorted(asked, mine)]
+                out.append((key[0].as_py(), block, _pack(codes[inv[a:b]]), _pack(own), trie.book.tolist(), trie.discount))
+            hot_at = np.flatnonzero(totals >= hot)
+            if len(hot_at):
+                out.append((key[0].as_py(), None, _pack(asked[hot_at], delta=True), _pack(n[hot_at]), [], trie.discount))
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), kinds, strict=True)], names=names)
         trim()
 
