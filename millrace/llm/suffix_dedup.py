@@ -27,7 +27,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from .common import partitions
+from .common import partitions, slices
 
 ANCHOR = 32
 CHUNK = 1 << 22
@@ -204,7 +204,7 @@ def _octets(text) -> bytes:
 def _anchor_rows(length: int):
     def run(batches):
         names = ["h", "rid", "pos"]
-        for batch in batches:
+        for batch in slices(batches):
             hs, rids, ps, n = [], [], [], 0
             for rid, text, first in zip(*(batch.column(c).to_pylist() for c in ("rid", "text", "first")), strict=True):
                 data = np.frombuffer(_octets(text), np.uint8)
@@ -233,7 +233,7 @@ def _stretch_rows(length: int):
     def run(batches):
         names = ["h", "x", "did", "start", "rid"]
         kinds = [pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64()]
-        for batch in batches:
+        for batch in slices(batches):
             rows = []
             cols = (batch.column(c).to_pylist() for c in ("rid", "did", "text", "first", "live"))
             for rid, did, text, first, live in zip(*cols, strict=True):
@@ -308,7 +308,7 @@ RESULT = "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_
 
 def _removed(length: int):
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches):
             rows = []
             cols = (batch.column(c).to_pylist() for c in ("doc_id", "text", "first", "spans"))
             for doc, text, first, spans in zip(*cols, strict=True):

@@ -18,6 +18,8 @@ from __future__ import annotations
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from .common import slices
+
 MARK = "▁"
 PENALTY = 10.0
 
@@ -117,7 +119,7 @@ def count_tokens(
         if model not in _counters:
             _counters[model] = Counter(piece_vocabulary(model))
         counter = _counters[model]
-        for batch in batches:
+        for batch in slices(batches):
             got = [counter.text(t) for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array([c for _, c in got], pa.int64()), pa.array([s for s, _ in got], pa.float64())],
