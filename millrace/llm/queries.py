@@ -129,6 +129,23 @@ ORACLE_SQL = {
         SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, (SELECT min(c) FROM r WHERE r.v = d.doc_id) AS component_id
         FROM documents d LEFT JOIN n USING (doc_id)
     """,
+    "op9_decontaminate": r"""
+        WITH d AS (
+            SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x{00}-\x{2F}\x{3A}-\x{60}\x{7B}-\x{7F}]+'), lambda w: w <> '') AS ws FROM documents
+        ), b AS (
+            SELECT item_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x{00}-\x{2F}\x{3A}-\x{60}\x{7B}-\x{7F}]+'), lambda w: w <> '') AS ws FROM benchmark
+        ), v AS (
+            SELECT DISTINCT item_id, least(10, len(ws)) AS k, unnest(list_transform(range(1, greatest(len(ws) - 9, 1) + 1), lambda i: array_to_string(ws[i:i+9], ' '))) AS w FROM b WHERE len(ws) > 0
+        ), p AS (
+            SELECT doc_id, k, unnest(range(1, len(ws) - k + 2)) AS i, ws FROM d, (SELECT DISTINCT k FROM v) WHERE len(ws) >= k
+        ), o AS (
+            SELECT p.doc_id, p.i, p.k, v.item_id FROM p JOIN v ON v.k = p.k AND v.w = array_to_string(p.ws[p.i:p.i+p.k-1], ' ')
+        ), h AS (SELECT doc_id, count(DISTINCT j) AS n FROM (SELECT doc_id, unnest(range(i, i + k)) AS j FROM o) GROUP BY doc_id),
+        t AS (SELECT doc_id, count(*) AS n, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM o) GROUP BY doc_id)
+        SELECT d.doc_id, len(d.ws) AS n_words, coalesce(h.n, 0) AS n_hit, coalesce(t.n, 0) AS n_items, sha256(coalesce(t.items, '')) AS items_sha256,
+               coalesce(h.n, 0) > 0 AS contaminated
+        FROM d LEFT JOIN h USING (doc_id) LEFT JOIN t USING (doc_id)
+    """,
     "op10_exact_dedup": """
         WITH n AS (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents)
         SELECT doc_id, max(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PARTITION BY t) AS group_size,
@@ -136,4 +153,3 @@ ORACLE_SQL = {
         FROM n
     """,
 }
-ORACLE_SQL = {k: v for k, v in ORACLE_SQL.items() if v}

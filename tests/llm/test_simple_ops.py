@@ -270,6 +270,11 @@ def test_op9_equals_brute_force(spark, sf):
     assert got_hits(decontaminate.decontaminate(docs, bench, block_windows=300)) == want
 
 
+def test_op9_equals_sql(spark, sf):
+    tables = {t: pd.read_parquet(f"{sf}/{t}.parquet") for t in ("documents", "benchmark")}
+    same_rows(queries.op9_decontaminate(spark, sf), queries.ORACLE_SQL["op9_decontaminate"], tables)
+
+
 def test_op9_odd_rows(spark, odd_docs, no_docs):
     items = [(1, "same TEXT"), (2, "same, text!"), (3, None), (4, ""), (None, "w1 w2 w3"), (5, " ".join(f"w{i}" for i in range(100, 112)))]
     bench = spark.createDataFrame(items, "item_id long, text string")
