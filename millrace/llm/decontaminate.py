@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql import types as T
 
-from .common import ALNUM_WORDS
+from .common import ALNUM_WORDS, slices
 
 HITS, ITEMS = "__dc_hits", "__dc_items"
 
@@ -61,7 +61,7 @@ def _frequencies(docs: DataFrame, text_col: str, shingles: set[tuple], k: int) -
 
     def count(batches):
         found = np.zeros(len(index), np.int64)
-        for batch in batches:
+        for batch in slices(batches):
             for text in batch.column(0).to_pylist():
                 words = words_of(text)
                 for i in [i for i, w in enumerate(words) if w in heads]:
@@ -122,12 +122,15 @@ def decontaminate(
     """
     out = docs.select("*", F.lit(None).cast("binary").alias(HITS), F.lit(None).cast("string").alias(ITEMS))
     schema = out.schema
+    last = None
     for block in _blocks(benchmark, size, block_windows, item_col, item_text_col):
         if not block:
             continue
+        if last is not None:
+            out = out.mapInArrow(last, schema)
         shingles = {s for w in block for s in _shingles(w, shingle)}
         matcher = Matcher(block, _frequencies(docs, text_col, shingles, shingle), shingle)
-        out = out.mapInArrow(_passing(matcher, text_col), schema)
+        last = _passing(matcher, text_col)
     final = T.StructType(
         docs.schema.fields
         + [
@@ -137,12 +140,12 @@ def decontaminate(
             T.StructField("__dc_items_sha256", T.StringType()),
         ]
     )
-    return out.mapInArrow(_finish(text_col), final)
+    return out.mapInArrow(_finish(text_col, last), final)
 
 
 def _passing(matcher: Matcher, text_col: str):
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches):
             texts = batch.column(text_col).to_pylist()
             hits, items = batch.column(HITS).to_pylist(), batch.column(ITEMS).to_pylist()
             for i, text in enumerate(texts):
@@ -157,9 +160,11 @@ def _passing(matcher: Matcher, text_col: str):
     return run
 
 
-def _finish(text_col: str):
+def _finish(text_col: str, last=None):
+    """The result's columns, in the worker that did the last block."""
+
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches) if last is None else last(batches):
             texts = batch.column(text_col).to_pylist()
             n_words, n_hit, n_items, shas = [], [], [], []
             for text, hits, items in zip(

@@ -17,7 +17,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import LOWER_BYTES
+from .common import LOWER_BYTES, slices
 
 PIECES = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint"
 
@@ -116,22 +116,20 @@ def cut(docs: DataFrame, tokenizer: str, capacity: int, end_id: int, id_col: str
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         enc = encoder(tokenizer)
-        for batch in batches:
-            for at in range(0, batch.num_rows, 512):
-                part = batch.slice(at, 512)
-                ids, texts = part.column(0).to_pylist(), part.column(1).to_pylist()
-                rows = []
-                for doc, data in zip(ids, enc.texts(texts), strict=True):
-                    data += end
-                    n = len(data) // 4
-                    for s in range(0, n, capacity):
-                        piece = data[4 * s : 4 * (s + capacity)]
-                        rows.append((doc, s, len(piece) // 4, zlib.crc32(piece), n))
-                cols = list(zip(*rows, strict=True))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, pa.int64()) for c in cols],
-                    names=["doc_id", "start", "length", "ids_crc32", "doc_tokens"],
-                )
+        for part in slices(batches, 512):
+            ids, texts = part.column(0).to_pylist(), part.column(1).to_pylist()
+            rows = []
+            for doc, data in zip(ids, enc.texts(texts), strict=True):
+                data += end
+                n = len(data) // 4
+                for s in range(0, n, capacity):
+                    piece = data[4 * s : 4 * (s + capacity)]
+                    rows.append((doc, s, len(piece) // 4, zlib.crc32(piece), n))
+            cols = list(zip(*rows, strict=True))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, pa.int64()) for c in cols],
+                names=["doc_id", "start", "length", "ids_crc32", "doc_tokens"],
+            )
 
     source = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
     return source.mapInArrow(pieces, PIECES)

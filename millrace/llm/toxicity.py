@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql import types as T
 
-from .common import ALNUM_WORDS
+from .common import ALNUM_WORDS, slices
 
 BUCKETS, DIM, FILTERS, WIDTHS = 1 << 16, 16, 16, (1, 2, 3)
 
@@ -48,7 +48,7 @@ def _buckets(word: bytes) -> tuple[int, int, int]:
 class Vocabulary:
     """Words to buckets, kept up to a bound."""
 
-    def __init__(self, bound: int = 300_000):
+    def __init__(self, bound: int = 100_000):
         self.seen: dict[bytes, tuple[int, int, int]] = {}
         self.bound = bound
 
@@ -242,13 +242,13 @@ def fit(
         docs.filter(fold != held_out)
         .select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text"))
         .join(F.broadcast(wanted), "id")
-        .toPandas()
-        .sort_values(["id", "text"], kind="stable")
-        .reset_index(drop=True)
+        .toArrow()
+        .sort_by([("id", "ascending"), ("text", "ascending")])
     )
-    tune = (sample["fold"] == tuning).to_numpy()
+    tune = sample["fold"].to_numpy() == tuning
     y = sample["y"].to_numpy()
-    texts = sample["text"].tolist()
+    texts = sample["text"].to_pylist()
+    del sample
     if len(set(y[~tune])) < 2:
         return None
     model = train([t for t, c in zip(texts, tune, strict=True) if not c], y[~tune])
@@ -266,7 +266,7 @@ def score(docs: DataFrame, model: Model | None, text_col: str = "text", out: str
 
     def run(batches):
         vocabulary = Vocabulary()
-        for batch in batches:
+        for batch in slices(batches):
             texts = batch.column(text_col).to_pylist()
             got, at = [], 0
             while at < len(texts):
