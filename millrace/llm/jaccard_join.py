@@ -7,12 +7,15 @@
    reach it share a shingle of their prefixes.
 3. Classes of one size and one prefix are one group; only groups are joined, by
    the shingles of their prefixes, under the length filter.
-4. A posting list first tries its members against a few centres. Members that
-   link to a centre are in one component and need no more pairs among
-   themselves; what is left, pairs over different components, is verified in
-   full. So a large group of near copies costs pairs in proportion to its size,
-   and no link between components is lost.
-5. Candidates are expanded to classes and verified on their whole sets.
+4. A long posting list first tries each member against the nearest of those
+   before it. Members that link so are in one component and need no more pairs
+   among themselves; what is left, pairs over different components, is verified
+   in full. So a large group of near copies costs pairs in proportion to its
+   size, and no link between components is lost.
+5. Candidates are expanded to classes. Each class has a bitmap of the parities of
+   its hashed shingles, a 32nd of the set's size; the bits in which two of them
+   differ are a lower bound of the sets' difference, which rules out most
+   candidates for certain. The others are verified on their whole sets.
 """
 
 from __future__ import annotations
@@ -25,16 +28,19 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql import types as T
 
-from .common import SPACE_WORDS, materialize, partitions
+from .common import SPACE_WORDS, materialize, partitions, slices
 
 MIX = np.uint64(0x9E3779B97F4A7C15)
-TABLE_BITS, SLICES = 20, 64
+#: Buckets of the frequency table. More corpus wants more of them (a byte each on every worker).
+TABLE_BITS, SLICES = 24, 64
+#: Up to so many identifiers are broadcast to fetch their texts; beyond that both sides are shuffled.
+FEW_IDS = 1_000_000
 
 
 class WordHash(dict):
     """64-bit hashes of words, kept up to a bound."""
 
-    bound = 400_000
+    bound = 150_000
 
     def __missing__(self, word: bytes) -> int:
         h = xxhash.xxh64_intdigest(word)
@@ -60,46 +66,73 @@ def shingle_set(text: str | None, k: int, hashes: WordHash) -> np.ndarray:
     return np.unique(x)
 
 
+def bitmap(s: np.ndarray) -> bytes:
+    """Parities of the set's elements by hash bucket, in at least two buckets an element."""
+    bits = max(6, int(2 * len(s) - 1).bit_length())
+    at = ((s * MIX) >> np.uint64(64 - bits)).astype(np.int64)
+    return np.packbits(np.bincount(at, minlength=1 << bits) & 1 == 1).tobytes()
+
+
+def least_difference(x: bytes, y: bytes) -> int:
+    """A lower bound of the symmetric difference of two sets, from their bitmaps."""
+    a, b = np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8)
+    if len(a) != len(b):
+        # Buckets are high bits of one hash: a smaller table's parity is that of neighbours together.
+        a, b = np.unpackbits(a), np.unpackbits(b)
+        while len(a) > len(b):
+            a = a[::2] ^ a[1::2]
+        while len(b) > len(a):
+            b = b[::2] ^ b[1::2]
+        return int((a ^ b).sum())
+    return int(np.bitwise_count(a ^ b).sum())
+
+
 def _frequency_table(docs: DataFrame, text_col: str, k: int) -> np.ndarray:
-    """Documents by hash bucket of their shingles: ``2**TABLE_BITS`` counts, whatever the input."""
+    """Documents by hash bucket of their shingles, in steps of an eighth of a doubling.
+
+    Its size depends on ``TABLE_BITS`` alone.
+    """
     import zstandard
 
     size = 1 << TABLE_BITS
     shift = np.uint64(64 - TABLE_BITS)
 
     def count(batches):
-        hashes, total, held, n = WordHash(), np.zeros(size, np.int64), [], 0
-        for batch in batches:
+        hashes, total, held, n = WordHash(), np.zeros(size, np.uint16), [], 0
+
+        def add_up():
+            at, c = np.unique((np.concatenate(held) >> shift).astype(np.int64), return_counts=True)
+            total[at] = np.minimum(total[at] + c, 2**16 - 1)
+
+        for batch in slices(batches):
             for text in batch.column(0).to_pylist():
                 s = shingle_set(text, k, hashes)
                 held.append(s)
                 n += len(s)
-                if n > 2_000_000:
-                    total += np.bincount((np.concatenate(held) >> shift).astype(np.int64), minlength=size)
+                if n > 1_000_000:
+                    add_up()
                     held, n = [], 0
         if held:
-            total += np.bincount((np.concatenate(held) >> shift).astype(np.int64), minlength=size)
-        parts = np.minimum(total, 2**32 - 1).astype(np.uint32).reshape(SLICES, -1)
+            add_up()
         z = zstandard.ZstdCompressor(level=1)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(range(SLICES), pa.int32()), pa.array([z.compress(p.tobytes()) for p in parts], pa.binary())],
-            names=["slice", "counts"],
-        )
+        for i, part in enumerate(total.reshape(SLICES, -1)):
+            packed = z.compress(part.tobytes())
+            yield pa.RecordBatch.from_arrays([pa.array([i], pa.int32()), pa.array([packed], pa.binary())], names=["slice", "counts"])
 
     def add(key: tuple, batches):
         z = zstandard.ZstdDecompressor()
         total = np.zeros(size // SLICES, np.int64)
         for batch in batches:
             for b in batch.column(1).to_pylist():
-                total += np.frombuffer(z.decompress(b), np.uint32)
-        out = np.minimum(total, 2**32 - 1).astype(np.uint32).tobytes()
-        yield pa.RecordBatch.from_arrays([pa.array([key[0].as_py()], pa.int32()), pa.array([out], pa.binary())], names=["slice", "counts"])
+                total += np.frombuffer(z.decompress(b), np.uint16)
+        steps = np.minimum(np.round(8 * np.log2(1 + total)), 255).astype(np.uint8).tobytes()
+        yield pa.RecordBatch.from_arrays([pa.array([key[0].as_py()], pa.int32()), pa.array([steps], pa.binary())], names=["slice", "counts"])
 
     schema = "slice int, counts binary"
     rows = docs.select(text_col).mapInArrow(count, schema).groupBy("slice").applyInArrow(_typed(add), schema).collect()
-    table = np.zeros((SLICES, size // SLICES), np.uint32)
+    table = np.zeros((SLICES, size // SLICES), np.uint8)
     for r in rows:
-        table[r["slice"]] = np.frombuffer(r["counts"], np.uint32)
+        table[r["slice"]] = np.frombuffer(r["counts"], np.uint8)
     return table.reshape(-1)
 
 
@@ -122,122 +155,196 @@ def _signatures(docs: DataFrame, table: np.ndarray, k: int, percent: int) -> Dat
 
     def sign(batches):
         hashes = WordHash()
-        for batch in batches:
-            for at in range(0, batch.num_rows, 1024):
-                part = batch.slice(at, 1024)
-                ns, keys, groups, prefixes = [], [], [], []
-                for text in part.column(1).to_pylist():
-                    s = shingle_set(text, k, hashes)
-                    n = len(s)
-                    p = n - (percent * n + 99) // 100 + 1 if n else 0
-                    first = s[np.lexsort((s, table[s >> shift]))[:p]] if n else s
-                    ns.append(n)
-                    keys.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest())
-                    groups.append(hashlib.blake2b(first.tobytes(), digest_size=16).digest())
-                    prefixes.append(first.view(np.int64))
-                offsets = np.cumsum([0, *map(len, prefixes)])
-                flat = np.concatenate(prefixes) if prefixes else np.zeros(0, np.int64)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        part.column(0),
-                        pa.array(ns, pa.int64()),
-                        pa.array(keys, pa.binary()),
-                        pa.array(groups, pa.binary()),
-                        pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat)),
-                    ],
-                    names=["doc_id", "n", "set_key", "prefix_key", "prefix"],
-                )
-
-    return docs.mapInArrow(sign, "doc_id bigint, n bigint, set_key binary, prefix_key binary, prefix array<bigint>")
-
-
-def _live_lists(batches):
-    """Posting lists of two groups or more, with up to three centres; rows sorted by token, size, group."""
-    names = ["token", "gid", "n", "copies", "c1", "c2", "c3"]
+        for part in slices(batches):
+            ns, keys, groups, prefixes, maps = [], [], [], [], []
+            for text in part.column(1).to_pylist():
+                s = shingle_set(text, k, hashes)
+                n = len(s)
+                p = n - (percent * n + 99) // 100 + 1 if n else 0
+                first = s[np.lexsort((s, table[s >> shift]))[:p]] if n else s
+                ns.append(n)
+                keys.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest())
+                groups.append(hashlib.blake2b(first.tobytes(), digest_size=16).digest())
+                prefixes.append(first.view(np.int64))
+                maps.append(bitmap(s) if n else b"")
+            offsets = np.cumsum([0, *map(len, prefixes)])
+            flat = np.concatenate(prefixes) if prefixes else np.zeros(0, np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    part.column(0),
+                    pa.array(ns, pa.int64()),
+                    pa.array(keys, pa.binary()),
+                    pa.array(groups, pa.binary()),
+                    pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat)),
+                    pa.array(maps, pa.binary()),
+                ],
+                names=["doc_id", "n", "set_key", "prefix_key", "prefix", "bits"],
+            )
+
+    return docs.mapInArrow(sign, "doc_id bigint, n bigint, set_key binary, prefix_key binary, prefix array<bigint>, bits binary")
+
+
+def _live_lists(percent: int):
+    """Posting lists' groups with another of a size within reach; rows sorted by token, size and group."""
+    names = ["token", "gid", "n"]
 
     def flush(rows):
-        seen, out = set(), []
-        for r in rows:
-            if r[1] not in seen:
-                seen.add(r[1])
-                out.append(r)
-        if len(out) < 2:
-            return []
-        mixed = lambda salt: min(out, key=lambda r: (r[1] * salt) & 0xFFFFFFFFFFFF)[1]
-        c = (max(out, key=lambda r: (r[3], -r[1]))[1], mixed(0x9E3779B97F4A7C15), mixed(0xC2B2AE3D27D4EB4F))
-        return [(*r, *c) for r in out]
+        out = list({r[1]: r for r in rows}.values())
+        near = [a[2] * 100 >= percent * b[2] for a, b in zip(out[:-1], out[1:], strict=True)]
+        return [r for r, before, after in zip(out, [False, *near], [*near, False], strict=True) if before or after]
 
     def batch_of(rows):
         return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*rows, strict=True)], names=names)
 
-    group, ready, token = [], [], None
-    for batch in batches:
-        tokens = batch.column(0).to_numpy()
-        same = np.empty(len(tokens), bool)
-        if len(tokens):
-            same[0] = token is not None and tokens[0] == token
-            same[1:] = tokens[1:] == tokens[:-1]
-            token = tokens[-1]
-        nxt = np.append(same[1:], True)  # the last row may go on in the next batch
-        keep = np.flatnonzero(same | nxt)
-        rows = zip(*(batch.column(i).take(pa.array(keep)).to_pylist() for i in range(4)), strict=True)
-        for r in rows:
-            if group and group[0][0] != r[0]:
-                ready += flush(group)
-                group = []
-            group.append(r)
-        if len(ready) > 20_000:
+    def run(batches):
+        group, ready, token = [], [], None
+        for batch in batches:
+            tokens = batch.column(0).to_numpy()
+            same = np.empty(len(tokens), bool)
+            if len(tokens):
+                same[0] = token is not None and tokens[0] == token
+                same[1:] = tokens[1:] == tokens[:-1]
+                token = tokens[-1]
+            nxt = np.append(same[1:], True)  # the last row may go on in the next batch
+            keep = pa.array(np.flatnonzero(same | nxt))
+            for r in zip(*(batch.column(i).take(keep).to_pylist() for i in range(3)), strict=True):
+                if group and group[0][0] != r[0]:
+                    ready += flush(group)
+                    group = []
+                group.append(r)
+            if len(ready) > 20_000:
+                yield batch_of(ready)
+                ready = []
+        ready += flush(group)
+        if ready:
             yield batch_of(ready)
-            ready = []
-    ready += flush(group)
-    if ready:
-        yield batch_of(ready)
 
+    return run
 
-def _cross_pairs(percent: int):
-    """All size-compatible pairs of a posting list whose components differ; rows sorted by token, size, class."""
 
-    def run(batches):
-        group, token = [], None
-        a_out, b_out, held = [], [], 0
+def _fold(bits: np.ndarray) -> np.ndarray:
+    """A bitmap of half as many buckets."""
+    x = np.unpackbits(bits)
+    return np.packbits(x[::2] ^ x[1::2])
+
+
+class _List:
+    """A posting list's classes by size, with their bitmaps."""
+
+    def __init__(self, rows: list[tuple], percent: int):
+        self.percent = percent
+        self.sid, self.n = (np.array([r[i] for r in rows]) for i in (1, 2))
+        self.maps = [np.frombuffer(r[3], np.uint8)[8:] for r in rows]
+        wide = np.array([len(m) for m in self.maps])
+        starts = np.flatnonzero(np.append(True, wide[1:] != wide[:-1]))
+        self.runs = [(a, b, np.stack(self.maps[a:b])) for a, b in zip(starts, np.append(starts[1:], len(rows)), strict=True)]
+
+    def slack(self, i: int, others: np.ndarray) -> np.ndarray:
+        """How far bitmaps and sizes are from ruling out links of ``i``: negative where they do, else 0 to 1."""
+        apart = np.zeros(len(others), np.int64)
+        for start, stop, rows in self.runs:
+            here = (others >= start) & (others < stop)
+            if here.any():
+                own, rows = self.maps[i], rows[others[here] - start]
+                while len(own) > rows.shape[1]:
+                    own = _fold(own)
+                while len(own) < rows.shape[1]:
+                    rows = np.stack([_fold(r) for r in rows])
+                apart[here] = np.bitwise_count(rows ^ own).sum(axis=1, dtype=np.int64)
+        p, n = self.percent, self.n
+        most = (100 - p) * (n[others] + n[i])
+        out = (most - (100 + p) * apart) / most
+        small, large = np.minimum(n[others], n[i]), np.maximum(n[others], n[i])
+        return np.where(100 * small >= p * large, out, -1.0)
+
+    def pairs(self, i: int, others: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        return np.minimum(self.sid[others], self.sid[i]), np.maximum(self.sid[others], self.sid[i])
 
-        def flush():
-            nonlocal held
-            if len({g[3] for g in group}) < 2:
-                return
-            n = np.array([g[2] for g in group])
-            sid = np.array([g[1] for g in group])
-            comp = np.array([g[3] for g in group])
-            for i in range(1, len(group)):
-                low = np.searchsorted(n[:i], (percent * n[i] + 99) // 100)
-                other = low + np.flatnonzero(comp[low:i] != comp[i])
-                if len(other):
-                    a_out.append(np.minimum(sid[other], sid[i]))
-                    b_out.append(np.maximum(sid[other], sid[i]))
-                    held += len(other)
+
+#: Lists of so many members or fewer try all pairs at once.
+SHORT = 8
+
+
+def _lists(percent: int, emit):
+    """Run ``emit(list, rows)``, which yields index arrays (i, others), on every posting list; rows come sorted."""
+
+    def run(batches):
+        group, token, out, held = [], None, [], 0
 
         def batch_of():
-            return pa.RecordBatch.from_arrays([pa.array(np.concatenate(a_out)), pa.array(np.concatenate(b_out))], names=["a", "b"])
+            a, b = (np.concatenate(x) for x in zip(*out, strict=True))
+            return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
 
-        for batch in batches:
-            for r in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
+        def flush():
+            n = 0
+            if len(group) > 1:
+                members = _List(group, percent)
+                for i, others in emit(members, group):
+                    out.append(members.pairs(i, others))
+                    n += len(others)
+            return n
+
+        for batch in slices(batches, 2048):
+            for r in zip(*(batch.column(i).to_pylist() for i in range(batch.num_columns)), strict=True):
                 if r[0] != token:
-                    flush()
+                    held += flush()
                     group, token = [], r[0]
-                    if held > 50_000:
+                    if held > 20_000:
                         yield batch_of()
-                        a_out, b_out, held = [], [], 0
+                        out, held = [], 0
                 group.append(r)
-        flush()
+        held += flush()
         if held:
             yield batch_of()
 
     return run
 
 
-def _verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _nearest_pairs(members: _List, rows):
+    """All pairs of a short list; in a longer one each member with the nearest of those before it.
+
+    By size the members before are the next smaller ones, a thousand of them at
+    most. Where near copies link to their nearest, one such pair each joins them
+    all to one component.
+    """
+    k = len(members.n)
+    for i in range(1, k):
+        others = np.arange(max(0, i - 1024), i)
+        slack = members.slack(i, others)
+        others = others[slack >= 0] if k <= SHORT else others[[int(slack.argmax())]] if slack.max() >= 0 else others[:0]
+        if len(others):
+            yield i, others
+
+
+def _cross_pairs(members: _List, rows):
+    """Pairs of a long list over different components."""
+    comp = np.array([r[4] for r in rows])
+    if len(np.unique(comp)) < 2:
+        return
+    for i in range(1, len(comp)):
+        low = int(np.searchsorted(members.n[:i], (members.percent * members.n[i] + 99) // 100))
+        others = low + np.flatnonzero(comp[low:i] != comp[i])
+        others = others[members.slack(i, others) >= 0]
+        if len(others):
+            yield i, others
+
+
+def _sides(pairs: DataFrame, values: DataFrame, column: str) -> DataFrame:
+    """Pairs (a, b) with the value of either side as xa and xb."""
+    for side in ("b", "a"):
+        pairs = pairs.join(values.select(F.col("sid").alias(side), F.col(column).alias(f"x{side}")), side)
+    return pairs.select("a", "b", "xa", "xb")
+
+
+def _verify(pairs: DataFrame, rows: DataFrame, k: int, percent: int) -> DataFrame:
     """Pairs of classes whose whole sets reach the threshold."""
 
+    def whole(batches):
+        hashes = WordHash()
+        for batch in slices(batches):
+            sets = [shingle_set(t, k, hashes).tobytes() for t in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], names=["sid", "x"])
+
     def check(batches):
         for batch in batches:
             keep = []
@@ -245,13 +352,13 @@ def _verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
                 both = len(np.intersect1d(x, y, assume_unique=True))
                 keep.append(100 * both >= percent * (len(x) + len(y) - both))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("a").filter(pa.array(keep)), batch.column("b").filter(pa.array(keep))], names=["a", "b"]
-            )
+            keep = pa.array(keep, pa.bool_())
+            yield pa.RecordBatch.from_arrays([batch.column("a").filter(keep), batch.column("b").filter(keep)], names=["a", "b"])
 
-    sized = pairs.join(sets.select(F.col("sid").alias("b"), F.col("x").alias("xb")), "b")
-    sized = sized.join(sets.select(F.col("sid").alias("a"), F.col("x").alias("xa")), "a")
-    return sized.select("a", "b", "xa", "xb").mapInArrow(check, "a bigint, b bigint")
+    ids = materialize(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "ids")
+    wanted = rows.join(F.broadcast(ids) if ids.count() <= FEW_IDS else ids, "doc_id", "left_semi")
+    sets = materialize(wanted.select("doc_id", "text").mapInArrow(whole, "sid bigint, x binary"), "sets")
+    return _sides(pairs, sets, "x").mapInArrow(check, "a bigint, b bigint")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -284,50 +391,43 @@ def jaccard_components(
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
     sigs = materialize(_signatures(rows, _frequency_table(rows, "text", k), k, percent), "signatures")
     linked = sigs.filter("n > 0 and doc_id is not null")
-    classes = linked.groupBy("set_key", "n", "prefix_key").agg(F.min("doc_id").alias("sid"), F.count(F.lit(1)).alias("copies"))
+    classes = linked.groupBy("set_key", "n", "prefix_key").agg(F.min("doc_id").alias("sid"))
     classes = materialize(classes, "classes")
-    groups = classes.groupBy("n", "prefix_key").agg(F.min("sid").alias("gid"), F.sum("copies").alias("copies"))
+    groups = classes.groupBy("n", "prefix_key").agg(F.min("sid").alias("gid"))
     members = classes.join(groups.select("n", "prefix_key", "gid"), ["n", "prefix_key"])
     heads = linked.select("doc_id", "n", "prefix_key", "prefix").join(
         groups.withColumnRenamed("gid", "doc_id"), ["doc_id", "n", "prefix_key"]
     )
-    posts = heads.select(F.explode("prefix").alias("token"), F.col("doc_id").alias("gid"), "n", "copies")
+    posts = heads.select(F.explode("prefix").alias("token"), F.col("doc_id").alias("gid"), "n")
     posts = posts.repartition(parts, "token").sortWithinPartitions("token", "n", "gid")
-    live = materialize(
-        posts.mapInArrow(_live_lists, "token bigint, gid bigint, n bigint, copies bigint, c1 bigint, c2 bigint, c3 bigint"),
-        "postings",
-    )
-    # Groups that share a prefix shingle with another, or hold several classes: their classes' whole sets.
+    live = materialize(posts.mapInArrow(_live_lists(percent), "token bigint, gid bigint, n bigint"), "postings")
+    # Classes of groups that share a prefix shingle with another or hold several classes.
     several = classes.groupBy("n", "prefix_key").agg(F.min("sid").alias("gid"), F.count(F.lit(1)).alias("m")).filter("m > 1")
     alive = live.select("gid").union(several.select("gid")).distinct()
-    nodes = materialize(members.join(alive, "gid", "left_semi").select("gid", "sid", "n"), "nodes")
-
-    def whole(batches):
-        hashes = WordHash()
-        for batch in batches:
-            sets = [shingle_set(t, k, hashes).tobytes() for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], names=["sid", "x"])
-
-    wanted = rows.join(nodes.select(F.col("sid").alias("doc_id")).distinct(), "doc_id", "left_semi")
-    sets = materialize(wanted.select("doc_id", "text").mapInArrow(whole, "sid bigint, x binary"), "sets")
-
-    centre = F.explode(F.array_distinct(F.array("c1", "c2", "c3"))).alias("c")
-    star = live.select("gid", centre).filter("gid <> c").select(F.least("gid", "c").alias("a"), F.greatest("gid", "c").alias("b"))
-    inner = nodes.filter("sid <> gid").select(F.least("gid", "sid").alias("a"), F.greatest("gid", "sid").alias("b"))
-    tried = materialize(star.union(inner).distinct(), "pairs")
-    links = materialize(_verify(tried, sets, percent), "links")
+    size = F.unhex(F.lpad(F.hex("n"), 16, "0"))
+    bits = sigs.select(F.col("doc_id").alias("sid"), "set_key", F.concat(size, "bits").alias("bits"))
+    nodes = members.join(alive, "gid", "left_semi").join(bits, ["sid", "set_key"]).select("gid", "sid", "n", "bits")
+    nodes = materialize(nodes.dropDuplicates(["sid", "gid"]), "nodes")
+
+    spread = live.select("token", "gid").join(nodes, "gid").select("token", "sid", "n", "bits")
+    inside = several.join(nodes.drop("n"), "gid").select(F.col("gid").alias("token"), "sid", "n", "bits")
+    spread = spread.union(inside)
+    pair = "a bigint, b bigint"
+    dealt = spread.repartition(parts, "token").sortWithinPartitions("token", "n", "sid")
+    tried = materialize(dealt.mapInArrow(_lists(percent, _nearest_pairs), pair).distinct(), "pairs")
+    links = materialize(_verify(tried, rows, k, percent), "links")
     labels = components(links)
 
-    spread = live.select("token", "gid").join(nodes, "gid").select("token", "sid", "n")
-    inside = several.join(nodes.select("gid", "sid"), "gid").select(F.col("gid").alias("token"), "sid", "n")
-    spread = spread.union(inside).join(labels.toDF("sid", "c"), "sid", "left")
-    spread = spread.select("token", "sid", "n", F.coalesce("c", "sid").alias("c"))
-    spread = spread.repartition(parts, "token").sortWithinPartitions("token", "n", "sid")
-    cross = spread.mapInArrow(_cross_pairs(percent), "a bigint, b bigint").distinct()
+    long = spread.groupBy("token").agg(F.count(F.lit(1)).alias("m")).filter(F.col("m") > SHORT).select("token")
+    dealt = spread.join(long, "token", "left_semi").join(labels.toDF("sid", "c"), "sid", "left")
+    dealt = dealt.select("token", "sid", "n", "bits", F.coalesce("c", "sid").alias("c"))
+    dealt = dealt.repartition(parts, "token").sortWithinPartitions("token", "n", "sid")
+    cross = dealt.mapInArrow(_lists(percent, _cross_pairs), pair).distinct()
     rest = materialize(cross.join(tried, ["a", "b"], "left_anti"), "pairs")
-    more = materialize(_verify(rest, sets, percent), "links")
-    if not more.isEmpty():
-        labels = components(links.union(more))
+    if not rest.isEmpty():
+        more = materialize(_verify(rest, rows, k, percent), "links")
+        if not more.isEmpty():
+            labels = components(links.union(more))
 
     named = classes.join(labels.toDF("sid", "c"), "sid", "left").select("set_key", F.coalesce("c", "sid").alias("c"))
     out = sigs.select("doc_id", "n", "set_key").join(named, "set_key", "left")

@@ -87,3 +87,12 @@ def test_odd_rows(spark, odd_docs, no_docs):
 def test_whole_sequence_is_no_shingle_of_another_width():
     h = jaccard_join.WordHash()
     assert not np.intersect1d(jaccard_join.shingle_set("a b c", 4, h), jaccard_join.shingle_set("a b c d", 4, h)).size
+
+
+def test_bitmaps_never_rule_out_a_link():
+    rng = np.random.default_rng(1)
+    for _ in range(200):
+        x = np.unique(rng.integers(0, 2**63, rng.integers(1, 400)).astype(np.uint64))
+        y = np.unique(np.append(x[rng.random(len(x)) < rng.random()], rng.integers(0, 2**63, rng.integers(1, 400)).astype(np.uint64)))
+        real = len(np.setxor1d(x, y))
+        assert jaccard_join.least_difference(jaccard_join.bitmap(x), jaccard_join.bitmap(y)) <= real
