@@ -161,17 +161,23 @@ def leaderboard_metrics(payload: Column) -> dict[str, Column]:
     }
 
 
-def relevance(theme_hits: Column, recent: Column) -> Column:
-    """A rule text in four cases."""
-    return (
-        F.when((theme_hits >= 2) & recent, "directly relevant and recent")
-        .when(theme_hits >= 2, "directly relevant")
-        .when(theme_hits == 1, "partly relevant")
-        .otherwise("background")
-    )
+# Words of a query, or at last of a summary, and what they stand for.
+RELEVANCE = [
+    (["emotion", "motivation"], "emotionally aware responses in moments of dropout risk"),
+    (["memory", "personalization"], "continuity for the single user"),
+    (["retrieval", "hallucination"], "trust through safer, better grounded advice"),
+]
+
+
+def relevance(query: Column, summary: Column) -> Column:
+    """Why a paper matters for retention: the first rule that fits its query, then its summary."""
+    q, out = F.lower(query), None
+    for words, text in RELEVANCE:
+        out = F.when(_any(q, words), text) if out is None else out.when(_any(q, words), text)
+    return out.when(F.contains(F.lower(summary), F.lit("coaching")), "how to coach rather than only answer").otherwise("model behavior or grounding")
 
 
 def next_number(decisions: Column) -> Column:
     """Largest decision number of a log plus one."""
-    numbers = F.transform(F.regexp_extract_all(decisions, F.lit(r"(?m)^#+ *(?:Decision )?([0-9]+)"), F.lit(1)), lambda x: x.cast("int"))
+    numbers = F.transform(F.regexp_extract_all(decisions, F.lit(r"## Decision ([0-9]+):"), F.lit(1)), lambda x: x.cast("int"))
     return F.coalesce(F.array_max(numbers), F.lit(0)) + 1

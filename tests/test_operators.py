@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from millrace.functions import scoring as s, text as t
 from millrace.functions.lexicon import STOCK
 from millrace.operators import audit, clean, compose, dedup, evaluate, events as ev, order, research as r, score as sc, split, training
-from millrace.plans import planner, rubric
+from millrace.plans import planner, profile, rubric
 from millrace.sources import dimensions as dim, readers, sinks
 from millrace.streaming import ingest
 
@@ -336,7 +336,7 @@ def test_research(spark):
     payload = '{"results":{"leaderboard":{"inst_level_strict_acc,none":0.5},"leaderboard_bbh":{"acc_norm,none":0.25}}}'
     got = df.limit(1).select(*[v.alias(k) for k, v in r.leaderboard_metrics(F.lit(payload)).items()]).first()
     assert (got["ifeval_strict"], got["bbh"], got["gpqa"]) == (0.5, 0.25, None)
-    assert df.limit(1).select(r.next_number(F.lit("## 1 a\n## 12 b\n"))).first()[0] == 13
+    assert df.limit(1).select(r.next_number(F.lit("## Decision 1: a\n## Decision 12: b\n"))).first()[0] == 13
 
 
 # --- planning, training, streaming -----------------------------------------------------------
@@ -390,3 +390,45 @@ def test_streams_go_on_where_they_ended(spark, tmp_path):
     assert table.count() == 12
     ingest.run_available(ingest.dedup_stream(ingest.stream_files(spark, str(source), "id long, h string"), "h"), f"{area}/d", f"{area}/dc")
     assert spark.read.parquet(f"{area}/d").count() == 3
+
+
+# --- rules of generated conversations --------------------------------------------------------
+
+
+def test_profile_rules(spark):
+    both = dim.personas(spark).crossJoin(dim.scenarios(spark))
+    rows = {(r["persona_id"], r["scenario_id"]): r for r in profile.profiles(both).collect()}
+    student = rows["student_beginner_exam_stress", "exam_stress_adjustment"]
+    assert (student["goal_domain"], student["sleep_hours"], student["constraints"]) == ("adherence", 5.8, [profile.EXAMS, "stress", "sleep"])
+    assert rows["retiree_general_fitness", "travel_continuity"]["equipment"] == profile.HOTEL
+    assert rows[profile.RECOMPOSITION, "plateau_review"]["goal_domain"] == "body_recomposition"
+    assert rows["competition_prep_advanced", "injury_recovery_adjustment"]["injuries"] == [profile.SCENARIO_INJURY]
+    df = spark.createDataFrame([("sleep_pattern_changed",), ("goal_set",)], "e string")
+    none = F.array().cast("array<string>")
+    fact = profile.memory_fact(F.col("e"), F.lit("run"), none, none, F.lit(5.5))
+    assert [r[0] for r in df.select(fact).collect()] == ["averaging 5.5 hours of sleep", "run"]
+    with pytest.raises(Exception, match="no memory rule"):
+        df.select(profile.memory_fact(F.lit("diet_changed"), F.lit(""), none, none, F.lit(1.0))).collect()
+    assert df.limit(1).select(profile.rotated(F.array(F.lit("a"), F.lit("b"), F.lit("c")), F.lit(5), F.lit(2))).first()[0] == ["c", "a"]
+
+
+@pytest.mark.parametrize("roles,memory,follow,want", [
+    ("user", 1, 1, None), ("", 1, 1, "history_is_empty"), ("assistant user", 1, 1, "history_must_start_with_user"), ("user assistant", 1, 1, "history_must_end_with_user"),
+    ("user user", 1, 1, "history_must_alternate"), ("user system user", 1, 1, "history_holds_system"), ("user", 0, 1, "memory_is_missing"), ("user", 1, 0, "too_few_follow_ups"),
+])
+def test_conversation_rules(spark, roles, memory, follow, want):
+    df = spark.createDataFrame([([(x, "hi") for x in roles.split()], ["m"] * memory, ["q"] * follow)], f"h {MESSAGES}, m array<string>, f array<string>")
+    error = profile.conversation_error(F.col("h"), F.lit("s"), F.lit("s"), F.lit(True), F.col("m"), F.col("f"), F.lit(1))
+    assert df.select(error).first()[0] == want
+
+
+def test_settings_and_estimates(spark):
+    for bad in ({"train_ratio": 0.8}, {"holdout_ratio": 1.0}, {"fp16": True, "bf16": True}, {"eval_steps": 5}, {"patience": 0}):
+        with pytest.raises(ValueError):
+            profile.Settings(**bad)
+    low, high = profile.runtime_hours(F.lit(24_463), F.lit(450.22))
+    df = spark.range(1)
+    assert tuple(df.select(low, high).first()) == (3.4, 5.1)
+    made = planner.generate(planner.candidate_plan(spark, 12, 1))
+    assert profile.pilot_statistics(made).first()["avg_messages"] == 5.0
+    assert df.select(r.relevance(F.lit("event memory"), F.lit(""))).first()[0].startswith("continuity")
