@@ -42,14 +42,15 @@ def opening(text: Column) -> Column:
 
 
 def opening_cap(df: DataFrame, text: str, order: list[str], cap: int) -> DataFrame:
-    """Add ``opening_rank`` and ``over_cap``: rows beyond ``cap`` with one opening.
+    """Add ``over_cap``: rows beyond the first ``cap`` of one opening; ``order`` identifies a row.
 
-    Only ranks up to the cap matter, so a rank is cut off there: each partition
-    keeps its first ``cap`` rows of an opening and the others are over it.
+    Only the first rows are ranked: Spark keeps ``cap`` rows of an opening in
+    each partition before the shuffle, so a common opening stays small there.
     """
-    df = df.withColumn("__opening", opening(F.col(text)))
     w = Window.partitionBy("__opening").orderBy(*order)
-    return df.withColumn("opening_rank", F.row_number().over(w)).withColumn("over_cap", F.col("opening_rank") > cap).drop("__opening")
+    first = df.select(*order, opening(F.col(text)).alias("__opening")).withColumn("__rank", F.row_number().over(w))
+    first = first.filter(F.col("__rank") <= cap).select(*order, F.lit(True).alias("__within"))
+    return df.join(first, order, "left").withColumn("over_cap", F.col("__within").isNull()).drop("__within")
 
 
 def cap_for(target: int, share: float = OPENING_SHARE) -> int:

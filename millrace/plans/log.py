@@ -122,11 +122,10 @@ def dedup_repetitive(spark, sf):
 
 @query(
     f"""WITH d AS (SELECT doc_id, coalesce({sentences_sql(fold_sql('text'))}[1], '') AS o FROM documents)
-    SELECT doc_id, row_number() OVER (PARTITION BY o ORDER BY doc_id) AS opening_rank, row_number() OVER (PARTITION BY o ORDER BY doc_id) > 8 AS over_cap FROM d"""
+    SELECT doc_id, row_number() OVER (PARTITION BY o ORDER BY doc_id) > 8 AS over_cap FROM d"""
 )
 def dedup_opening_cap(spark, sf):
-    df = dedup.opening_cap(table(spark, sf, "documents"), "text", ["doc_id"], dedup.cap_for(100))
-    return df.select("doc_id", F.col("opening_rank").cast("bigint").alias("opening_rank"), "over_cap")
+    return dedup.opening_cap(table(spark, sf, "documents"), "text", ["doc_id"], dedup.cap_for(100)).select("doc_id", "over_cap")
 
 
 @query(
@@ -155,7 +154,8 @@ def _area(spark, name: str) -> str:
     """A folder for a stream's table and checkpoint, shared where the session names a shared one."""
     import uuid
 
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="millrace-stream-")
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    base = base or tempfile.mkdtemp(prefix="millrace-stream-")
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 

@@ -101,7 +101,7 @@ def accept(candidates: DataFrame, target: int, passes, key: str = "slot") -> Dat
         .when(F.col("over_cap"), "repeated_opening")
         .when(~passes, "validator_failure")
     )
-    return df.withColumn("rejection", reason).drop("__sha", "is_exact_duplicate", "is_repetitive", "over_cap", "opening_rank")
+    return df.withColumn("rejection", reason).drop("__sha", "is_exact_duplicate", "is_repetitive", "over_cap")
 
 
 def pilot(candidates: DataFrame, target: int, passes, key: str = "slot") -> DataFrame:
