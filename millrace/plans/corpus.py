@@ -252,12 +252,12 @@ def load_distribution_lineitem(spark, sf):
     return audit.distribution(table(spark, sf, "lineitem"), "l_returnflag")
 
 
-@query("SELECT o_custkey, max(o_orderdate) AS latest, arg_max(o_orderkey, (o_orderdate, o_orderkey)) AS o_orderkey FROM orders GROUP BY o_custkey")
+@query("SELECT o_custkey, strftime(max(o_orderdate), '%Y-%m-%d %H:%M:%S') AS latest, arg_max(o_orderkey, (o_orderdate, o_orderkey)) AS o_orderkey FROM orders GROUP BY o_custkey")
 def load_latest_order_per_customer(spark, sf):
     from ..operators.events import latest
 
     df = table(spark, sf, "orders").select("o_custkey", F.col("o_orderkey").alias("event_id"), F.col("o_orderdate").alias("timestamp"))
-    return latest(df, ["o_custkey"]).select("o_custkey", F.col("timestamp").alias("latest"), F.col("event_id").alias("o_orderkey"))
+    return latest(df, ["o_custkey"]).select("o_custkey", F.date_format("timestamp", "yyyy-MM-dd HH:mm:ss").alias("latest"), F.col("event_id").alias("o_orderkey"))
 
 
 @query(
