@@ -177,24 +177,60 @@ def spans_of(starts: np.ndarray, length: int) -> list[tuple[int, int]]:
     return list(zip(starts[np.append(0, gap + 1)].tolist(), (starts[np.append(gap, len(starts) - 1)] + length).tolist(), strict=True))
 
 
+PLACE = "key bigint, rid bigint, pos bigint"
+#: Kinds of places, in the bits over a position: alone in its batch, known to be live, a mark that an anchor is live.
+ALONE, LIVE, MARK, KIND = 0, 1, 2, 60
+
+
+def _places(h: np.ndarray, rid: np.ndarray, pos: np.ndarray) -> pa.RecordBatch:
+    """Places by anchor; of an anchor that a batch has several times one mark goes by its hash.
+
+    Its places are live already and are dealt by a hash of their own, so a very
+    common anchor does not send all of them to one task.
+    """
+    own, inverse, count = np.unique(h, return_inverse=True, return_counts=True)
+    many = count[inverse] > 1
+    spread = (rid.view(np.uint64) ^ pos.astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
+    spread ^= spread >> np.uint64(29)
+    marks = own[count > 1]
+    zeros = np.zeros(len(marks), np.int64)
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.array(np.append(np.where(many, spread, h), marks).view(np.int64)),
+            pa.array(np.append(rid, zeros)),
+            pa.array(np.append(pos + (many.astype(np.int64) << KIND), zeros + (MARK << KIND))),
+        ],
+        names=["key", "rid", "pos"],
+    )
+
+
 def _live(batches):
-    """Places whose anchor hash occurs more than once; rows sorted by hash."""
+    """Places whose anchor occurs more than once; rows sorted by key."""
     names, held, before = ["rid", "pos"], None, None
+
+    def out(rid, pos, which):
+        return pa.RecordBatch.from_arrays([pa.array(rid[which]), pa.array(pos[which])], names=names)
+
     for batch in batches:
-        if not batch.num_rows:
-            continue
-        h, rid, pos = (batch.column(i).to_numpy() for i in range(3))
+        key, rid, pos = (batch.column(i).to_numpy() for i in range(3))
+        kind, pos = pos >> KIND, pos & ((1 << KIND) - 1)
+        ready = kind == LIVE
+        if ready.any():
+            yield out(rid, pos, ready)
+        key, kind, rid, pos = (x[~ready] for x in (key, kind, rid, pos))
         if held is not None:
-            h, rid, pos = np.append(held[0], h), np.append(held[1], rid), np.append(held[2], pos)
-        same = h[1:] == h[:-1]
-        hot = np.append(before is not None and h[0] == before, same) | np.append(same, False)
-        before = h[-2] if len(h) > 1 else before
-        held = h[-1:].copy(), rid[-1:].copy(), pos[-1:].copy()
-        at = np.flatnonzero(hot[:-1])
-        if len(at):
-            yield pa.RecordBatch.from_arrays([pa.array(rid[at]), pa.array(pos[at])], names=names)
-    if held is not None and before is not None and held[0][0] == before:
-        yield pa.RecordBatch.from_arrays([pa.array(held[1]), pa.array(held[2])], names=names)
+            key, kind, rid, pos = (np.append(a, b) for a, b in zip(held, (key, kind, rid, pos), strict=True))
+        if not len(key):
+            continue
+        same = key[1:] == key[:-1]
+        hot = np.append(before is not None and key[0] == before, same) | np.append(same, False)
+        before = key[-2] if len(key) > 1 else before
+        held = tuple(x[-1:].copy() for x in (key, kind, rid, pos))
+        hot = (hot & (kind == ALONE))[:-1]
+        if hot.any():
+            yield out(rid[:-1], pos[:-1], hot)
+    if held is not None and before is not None and held[0][0] == before and held[1][0] == ALONE:
+        yield out(held[2], held[3], np.ones(1, bool))
 
 
 def _octets(text) -> bytes:
@@ -203,24 +239,23 @@ def _octets(text) -> bytes:
 
 def _anchor_rows(length: int):
     def run(batches):
-        names = ["h", "rid", "pos"]
+        hs, rids, ps, n = [], [], [], 0
         for batch in slices(batches):
-            hs, rids, ps, n = [], [], [], 0
             for rid, text, first in zip(*(batch.column(c).to_pylist() for c in ("rid", "text", "first")), strict=True):
                 data = np.frombuffer(_octets(text), np.uint8)
                 if not first or len(data) < length:
                     continue
                 at = stretches(data, length)[:, 0]
                 raw = data.tobytes()
-                hs.append(np.array([xxhash.xxh64_intdigest(raw[p : p + ANCHOR]) for p in at.tolist()], np.uint64).view(np.int64))
+                hs.append(np.array([xxhash.xxh64_intdigest(raw[p : p + ANCHOR]) for p in at.tolist()], np.uint64))
                 rids.append(np.full(len(at), rid, np.int64))
                 ps.append(at)
                 n += len(at)
-                if n > 100_000:
-                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (hs, rids, ps)], names=names)
+                if n > 200_000:
+                    yield _places(*map(np.concatenate, (hs, rids, ps)))
                     hs, rids, ps, n = [], [], [], 0
-            if hs:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (hs, rids, ps)], names=names)
+        if hs:
+            yield _places(*map(np.concatenate, (hs, rids, ps)))
 
     return run
 
@@ -229,12 +264,36 @@ STRETCH = "h bigint, x binary, did bigint, start bigint, rid bigint"
 SPAN = "rid bigint, s bigint, e bigint"
 
 
+def _stretch_batch(rows: list[tuple]) -> pa.RecordBatch:
+    """Stretches by anchor; of equal ones in a batch the earliest goes by its anchor.
+
+    The others repeat whole, whatever comes: they go by a hash of their own, with
+    their length in four bytes (a stretch is longer) in place of their bytes.
+    """
+    keys = np.array([r[0] for r in rows])
+    _, inverse, count = np.unique(keys, return_inverse=True, return_counts=True)
+    least: dict[tuple, tuple] = {}
+    several = np.flatnonzero(count[inverse] > 1).tolist()
+    for i in several:
+        key, x, did, start, _ = rows[i]
+        at = (did, start)
+        if least.setdefault((key, x), at) > at:
+            least[key, x] = at
+    for i in several:
+        key, x, did, start, rid = rows[i]
+        if (did, start) > least[key, x]:
+            mixed = ((rid ^ start) * 0x9E3779B97F4A7C15) & (2**63 - 1)
+            rows[i] = (mixed, len(x).to_bytes(4, "little"), did, start, rid)
+    kinds = [pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64()]
+    return pa.RecordBatch.from_arrays(
+        [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=["h", "x", "did", "start", "rid"]
+    )
+
+
 def _stretch_rows(length: int):
     def run(batches):
-        names = ["h", "x", "did", "start", "rid"]
-        kinds = [pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64()]
+        rows = []
         for batch in slices(batches):
-            rows = []
             cols = (batch.column(c).to_pylist() for c in ("rid", "did", "text", "first", "live"))
             for rid, did, text, first, live in zip(*cols, strict=True):
                 raw = _octets(text)
@@ -244,11 +303,11 @@ def _stretch_rows(length: int):
                 for p, a, b in found[np.isin(found[:, 0], live)].tolist():
                     key = xxhash.xxh64_intdigest(raw[p : p + ANCHOR])
                     rows.append((key - (1 << 64) if key >> 63 else key, raw[a:b], did, a, rid))
-                if len(rows) > 20_000:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=names)
+                if len(rows) > 50_000:
+                    yield _stretch_batch(rows)
                     rows = []
-            if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=names)
+        if rows:
+            yield _stretch_batch(rows)
 
     return run
 
@@ -282,6 +341,9 @@ def _repeat_rows(length: int, pool_bytes: int):
 
         for batch in batches:
             for h, x, did, start, rid in zip(*(batch.column(i).to_pylist() for i in range(5)), strict=True):
+                if len(x) == 4:
+                    out.append((rid, start, start + int.from_bytes(x, "little")))
+                    continue
                 if h != key:
                     flush_group()
                     if pooled > pool_bytes:
@@ -365,8 +427,8 @@ def remove_repeats(
     base = base.join(later, "rid", "left")
     base = base.select("rid", "doc_id", "did", "text", F.col("later").isNull().alias("first"))
 
-    places = base.mapInArrow(_anchor_rows(length), "h bigint, rid bigint, pos bigint")
-    places = places.repartition(parts, "h").sortWithinPartitions("h")
+    places = base.mapInArrow(_anchor_rows(length), PLACE)
+    places = places.repartition(parts, "key").sortWithinPartitions("key")
     live = places.mapInArrow(_live, "rid bigint, pos bigint").groupBy("rid").agg(F.collect_set("pos").alias("live"))
     found = base.join(live, "rid").mapInArrow(_stretch_rows(length), STRETCH)
     found = found.repartition(parts, "h").sortWithinPartitions("h", "x", "did", "start")
