@@ -24,7 +24,6 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from .common import partitions, slices
@@ -34,7 +33,7 @@ CHUNK = 1 << 22
 
 
 def anchors(data: np.ndarray, length: int):
-    """Position of each window's anchor: a list of (first start, anchor positions by start)."""
+    """Each window's anchor: a list of (first start, anchor positions by start, their hashes)."""
     n = len(data)
     out = []
     for at in range(0, max(0, n - length + 1), CHUNK):
@@ -54,18 +53,22 @@ def anchors(data: np.ndarray, length: int):
         back = np.minimum.accumulate(full[:, ::-1], axis=1)[:, ::-1].reshape(-1)
         starts = m - width + 1
         least = np.minimum(back[:starts], ahead[width - 1 : width - 1 + starts])
-        out.append((at, at + (least & np.uint64(0xFFFFFF)).astype(np.int64)))
+        pos = (least & np.uint64(0xFFFFFF)).astype(np.int64)
+        out.append((at, at + pos, h[pos]))
     return out
 
 
-def stretches(data: np.ndarray, length: int) -> np.ndarray:
-    """Rows (anchor position, first byte, end) of the runs of windows that picked one anchor."""
-    rows = []
-    for at, pos in anchors(data, length):
+def stretches(data: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """Rows (anchor position, first byte, end) of the runs of windows that picked one anchor, and the anchors' hashes."""
+    rows, hashes = [], []
+    for at, pos, h in anchors(data, length):
         first = np.flatnonzero(np.append(True, pos[1:] != pos[:-1]))
         last = np.append(first[1:], len(pos)) - 1
         rows.append(np.stack([pos[first], at + first, at + last + length], axis=1))
-    return np.concatenate(rows) if rows else np.zeros((0, 3), np.int64)
+        hashes.append(h[first])
+    if not rows:
+        return np.zeros((0, 3), np.int64), np.zeros(0, np.uint64)
+    return np.concatenate(rows), np.concatenate(hashes)
 
 
 def suffix_array(text: np.ndarray, depth: int) -> np.ndarray:
@@ -245,9 +248,9 @@ def _anchor_rows(length: int):
                 data = np.frombuffer(_octets(text), np.uint8)
                 if not first or len(data) < length:
                     continue
-                at = stretches(data, length)[:, 0]
-                raw = data.tobytes()
-                hs.append(np.array([xxhash.xxh64_intdigest(raw[p : p + ANCHOR]) for p in at.tolist()], np.uint64))
+                found, h = stretches(data, length)
+                at = found[:, 0]
+                hs.append(h)
                 rids.append(np.full(len(at), rid, np.int64))
                 ps.append(at)
                 n += len(at)
@@ -299,10 +302,10 @@ def _stretch_rows(length: int):
                 raw = _octets(text)
                 if not first or not live or len(raw) < length:
                     continue
-                found = stretches(np.frombuffer(raw, np.uint8), length)
-                for p, a, b in found[np.isin(found[:, 0], live)].tolist():
-                    key = xxhash.xxh64_intdigest(raw[p : p + ANCHOR])
-                    rows.append((key - (1 << 64) if key >> 63 else key, raw[a:b], did, a, rid))
+                found, h = stretches(np.frombuffer(raw, np.uint8), length)
+                wanted = np.isin(found[:, 0], live)
+                keys = h[wanted].view(np.int64).tolist()
+                rows += [(key, raw[a:b], did, a, rid) for key, (_, a, b) in zip(keys, found[wanted].tolist(), strict=True)]
                 if len(rows) > 50_000:
                     yield _stretch_batch(rows)
                     rows = []

@@ -63,7 +63,7 @@ def test_chunks_of_a_long_text(spark, monkeypatch):
     data = np.frombuffer(text.encode(), np.uint8)
     whole = suffix_dedup.anchors(data, 100)[0][1]
     monkeypatch.setattr(suffix_dedup, "CHUNK", 128)
-    assert np.array_equal(np.concatenate([p for _, p in suffix_dedup.anchors(data, 100)]), whole)
+    assert np.array_equal(np.concatenate([p for _, p, _ in suffix_dedup.anchors(data, 100)]), whole)
 
 
 def test_table(spark, sf):
