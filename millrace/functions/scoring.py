@@ -126,7 +126,8 @@ def scientific_accuracy(folded: Column, accepted: Column, rejected: Column) -> C
 
 
 def perplexity(loss: Column) -> Column:
-    return F.round(F.exp(F.least(loss, F.lit(20.0))), 6)
+    """Of the loss clamped to 20; null without a loss (``least`` alone would skip the null)."""
+    return F.when(loss.isNotNull(), F.round(F.exp(F.least(loss, F.lit(20.0))), 6))
 
 
 def mean_of(*columns: Column) -> Column:
