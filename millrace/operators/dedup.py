@@ -15,9 +15,22 @@ from ..functions import scoring as s, text as t
 NEAR, OPENING_SHARE, REPETITIVE = 0.92, 0.08, 0.10
 
 
+def conversation(m: Column) -> Column:
+    """Folded ``role: content`` lines."""
+    return t.fold(F.array_join(F.transform(m, lambda x: F.concat(x["role"], F.lit(": "), x["content"])), "\n"))
+
+
 def signature(m: Column) -> Column:
-    """SHA-256 of folded ``role: content`` lines (not the signature of cleaning)."""
-    return F.sha2(t.fold(F.array_join(F.transform(m, lambda x: F.concat(x["role"], F.lit(": "), x["content"])), "\n")), 256)
+    """SHA-256 of the conversation (not the signature of cleaning)."""
+    return F.sha2(conversation(m), 256)
+
+
+def is_near(x: str, y: str, threshold: float = NEAR) -> bool:
+    """Whether the ratio of ``difflib.SequenceMatcher`` (candidate first) reaches the threshold."""
+    from difflib import SequenceMatcher
+
+    m = SequenceMatcher(None, x, y)
+    return m.real_quick_ratio() >= threshold and m.quick_ratio() >= threshold and m.ratio() >= threshold
 
 
 def exact(df: DataFrame, digest: str, order: list[str]) -> DataFrame:

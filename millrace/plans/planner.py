@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
-from collections import Counter
+from collections import Counter, defaultdict
 
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, Row, SparkSession, Window, functions as F
 
+from ..functions import scoring as s, text as t
+from ..functions.lexicon import STOCK, Lexicon
 from ..operators import dedup, order
 from ..sources import dimensions as dim
+from . import rubric as rb
+
+# Slots of a plan, and attempts for each slot of the target.
+MOST_SLOTS, ATTEMPTS = 10_000, 20
 
 
 def cross_product(spark: SparkSession, seed: int) -> DataFrame:
@@ -42,7 +48,7 @@ def candidate_plan(spark: SparkSession, total: int, seed: int) -> DataFrame:
     That choice is a fold over slots, so it runs on the driver; a plan has as
     many rows as conversations are asked for, ten thousand at most.
     """
-    if total > 10_000:
+    if total > MOST_SLOTS:
         raise ValueError("a plan holds 10,000 slots at most")
     category = {e: c for e, c, _ in dim.MEMORY}
     allowed = {r["scenario_id"]: r["events"] for r in allowed_events(spark).collect()}
@@ -61,21 +67,40 @@ def distributions(rows: DataFrame, dims: list[str]) -> DataFrame:
     return rows.select(F.explode(pairs).alias("p")).groupBy("p.dimension", "p.label").agg(F.count(F.lit(1)).alias("n"))
 
 
+PRINCIPLES = ["progressive overload", "steady recovery"]
+
+
 def generate(plan: DataFrame) -> DataFrame:
-    """Messages and response text of each slot from the dimension tables and phrase tables."""
+    """Messages and response text of each slot from the dimension tables and phrase tables.
+
+    Phrases turn with ``candidate`` where the plan has it, so that another
+    attempt at a slot has another text; else with the slot.
+    """
     spark = plan.sparkSession
     df = dim.lookup(dim.lookup(plan, dim.personas(spark), "persona_id"), dim.scenarios(spark), "scenario_id")
+    by = F.col("candidate") if "candidate" in plan.columns else F.col("slot")
     pick = lambda phrases, by: F.element_at(F.array(*map(F.lit, phrases)), (by % len(phrases) + 1).cast("int"))
-    slot = F.col("slot")
-    openers = ["It makes sense that this feels hard right now.", "I hear you, and this is a fair thing to ask.", "That is a lot to carry in one week."]
-    steps = ["Let's start with two sessions this week.", "We can keep one short session on busy days.", "Let's track three simple markers first.", "We can adjust the plan after seven days."]
-    closers = ["What would make the first session easier?", "Which day is the safest for you?"]
-    words = F.array_join(F.slice("keywords", 1, 3), ", ")
-    constraint = F.coalesce(F.concat(F.lit("We will work around "), F.col("injury"), F.lit(".")), F.lit("Your recovery looks steady."))
+    spaced = lambda c: F.replace(c, F.lit("_"), F.lit(" "))
+    said = lambda *parts: F.concat(*[F.lit(x) if isinstance(x, str) else x for x in parts])
+    acks = ["That makes sense", "I hear you", "It sounds like a lot", "I understand", "That is a fair thing to feel"]
+    loads = ["on top of the week you describe", "with all else you carry", "at this point of the year", "after the days you have had"]
+    steps = ["Let's start with two sessions of 3 sets this week", "Let's keep one session of 20 minutes on busy days", "Let's track three simple markers for 7 days", "Let's adjust the plan after 7 days",
+             "Let's plan 2 easy days and 1 harder one", "Let's keep the first session to 5 reps a set", "Let's track how 8 hours in bed feel"]
+    asks = ["What would make the first session easier?", "Which day is the safest for you?", "How does your body respond the day after?"]
+    topic, lifestyle, diet = spaced("scenario_id"), spaced("lifestyle"), spaced("diet")
+    injury = said("We modify the range around your ", F.col("injury"), " and pause when pain rises.")
     response = F.concat_ws(
-        " ", pick(openers, slot), constraint, pick(steps, slot), F.concat(F.lit("Keep an eye on "), words, F.lit(" for slot "), slot.cast("string"), F.lit(".")), pick(closers, slot)
+        " ",
+        said(pick(acks, by), ", ", topic, " as a ", lifestyle, " ", pick(loads, by), "."),
+        said("You are ", F.col("experience"), ", eat ", diet, " and train for ", spaced("motivation"), "."),
+        F.coalesce(injury, F.lit("Your body feels sound, so we can build on it.")),
+        said("Since ", spaced("memory_event"), " came up, we adapted to ", F.col("stress"), " stress."),
+        said(pick(steps, by), "."),
+        said("Keep an eye on ", F.array_join(F.slice("keywords", 1, 4), ", "), "; this rests on ", " and ".join(PRINCIPLES), "."),
+        pick(asks, by),
+        pick(asks, by + 1),
     )
-    user = F.concat(F.lit("I am working on "), F.replace("scenario_id", F.lit("_"), F.lit(" ")), F.lit(" and my stress is "), F.col("stress"), F.lit("."))
+    user = F.concat(F.lit("I am working on "), topic, F.lit(" and my stress is "), F.col("stress"), F.lit("."))
     n = F.col("history_length")
     turn = lambda i: F.struct(
         F.when(i % 2 == 0, "user").otherwise("assistant").alias("role"),
@@ -83,25 +108,99 @@ def generate(plan: DataFrame) -> DataFrame:
     )
     history = F.transform(F.sequence(F.lit(0), n - 1), turn)
     answer = F.array(F.struct(F.lit("assistant").alias("role"), response.alias("content")))
-    return df.withColumns({"response": response, "messages": F.concat(history, answer)})
+    return df.withColumns({"response": response, "messages": F.concat(history, answer), "final_user": user})
+
+
+def scored(made: DataFrame, lex: Lexicon = STOCK) -> DataFrame:
+    """Generated rows with ``passed``, the rubric's verdict on what their plan demands of them."""
+    r, none = F.col("response"), F.array().cast("array<string>")
+    folded = t.fold(r)
+    both = t.fold(F.concat(F.col("final_user"), F.lit("\n"), r))
+    spaced = lambda c: F.replace(c, F.lit("_"), F.lit(" "))
+    memory = F.array(spaced("memory_event"))
+    asked = F.length(r) - F.length(F.replace(r, F.lit("?"), F.lit("")))
+    df = made.withColumns(
+        {
+            "topic_tags": s.topic_tags(both, lex),
+            "domain_score": s.domain_relevance(s.topic_tags(both, lex), folded, lex),
+            "facts": rb.profile_facts(F.array_compact(F.array(spaced("lifestyle"), "experience", spaced("diet"), spaced("motivation"), "injury"))),
+            "constraints": F.when(F.col("injury").isNotNull(), F.array("injury")).otherwise(none),
+            "references": F.array(F.struct(memory.alias("facts"), F.lit("use").alias("mode"))),
+            "principles": t.count_contained(folded, F.array(*map(F.lit, PRINCIPLES))),
+            "follow_ups": asked,
+            "required_follow_ups": F.lit(1),
+            "scenario_follow_ups": F.col("follow_ups"),
+            "no_emotional_objectives": F.lit(False),
+            "has_adaptation_summary": F.contains(folded, F.lit("we adapted to")),
+            "sleep_hours": F.lit(7.0),
+            "must_use_memory": F.lit(True),
+            "injury_domain": F.array_contains("domains", "injury_recovery"),
+            "has_injury": F.col("injury").isNotNull(),
+        }
+    )
+    passed = rb.rubric(rb.validators(df, lex))
+    return passed.select(*made.columns, "passed", "blockers")
+
+
+class Acceptance:
+    """Conversations accepted so far; judges candidates one after the other, as each verdict rests on those before."""
+
+    def __init__(self, target: int):
+        self.cap = dedup.cap_for(target)
+        self.digests: set[str] = set()
+        self.near: dict[str, list[tuple[str, str]]] = defaultdict(list)
+        self.openings: Counter = Counter()
+
+    @staticmethod
+    def features(df: DataFrame, passes: Column, *keys: str) -> DataFrame:
+        """What a verdict needs of each row."""
+        talk = dedup.conversation(F.col("messages"))
+        return dedup.repetitive(df, "response").select(
+            *keys,
+            F.concat_ws("::", "persona_id", "scenario_id").alias("bucket"),
+            F.coalesce(talk, F.lit("")).alias("conversation"),
+            F.coalesce(t.fold(F.col("response")), F.lit("")).alias("response"),
+            dedup.opening(F.col("response")).alias("opening"),
+            "is_repetitive",
+            F.coalesce(passes, F.lit(False)).alias("passes"),
+        )
+
+    def add(self, x: Row) -> None:
+        self.digests.add(x["conversation"])
+        self.near[x["bucket"]].append((x["conversation"], x["response"]))
+        self.openings[x["opening"]] += 1
+
+    def judge(self, x: Row) -> str | None:
+        """Why a candidate is rejected; one without a reason counts as accepted from here on."""
+        if not x["passes"]:
+            return "validator_failure"
+        if x["conversation"] in self.digests:
+            return "exact_duplicate"
+        if x["is_repetitive"]:
+            return "repetitive_response"
+        if any(dedup.is_near(x["conversation"], c) or dedup.is_near(x["response"], r) for c, r in self.near[x["bucket"]]):
+            return "near_duplicate"
+        if self.openings[x["opening"]] >= self.cap:
+            return "repeated_opening"
+        self.add(x)
+        return None
 
 
 def accept(candidates: DataFrame, target: int, passes, key: str = "slot") -> DataFrame:
-    """Add ``rejection``: exact duplicate, repetitive, over the opening cap, failed validation, or null; first reason wins.
+    """Add ``rejection``: failed validation, exact duplicate, repetitive, near duplicate within persona and scenario,
+    over the opening cap, or null; first reason wins.
 
-    All attempts are generated and judged together, so a candidate is compared
-    with earlier candidates, not only with accepted ones.
+    Candidates are judged in key order against the accepted ones before them.
+    That is a fold, so it runs on the driver, over as many candidates as the
+    largest plan has attempts.
     """
-    df = candidates.withColumn("__sha", dedup.signature(F.col("messages")))
-    df = dedup.repetitive(dedup.exact(df, "__sha", [key]), "response")
-    df = dedup.opening_cap(df, "response", [key], dedup.cap_for(target))
-    reason = (
-        F.when(F.col("is_exact_duplicate"), "exact_duplicate")
-        .when(F.col("is_repetitive"), "repetitive_response")
-        .when(F.col("over_cap"), "repeated_opening")
-        .when(~passes, "validator_failure")
-    )
-    return df.withColumn("rejection", reason).drop("__sha", "is_exact_duplicate", "is_repetitive", "over_cap")
+    most = MOST_SLOTS * ATTEMPTS
+    rows = Acceptance.features(candidates, passes, key).orderBy(key).limit(most + 1).collect()
+    if len(rows) > most:
+        raise ValueError(f"{most} candidates can be judged at most")
+    judge = Acceptance(target).judge
+    verdicts = candidates.sparkSession.createDataFrame([(x[key], judge(x)) for x in rows], f"{key} {candidates.schema[key].dataType.simpleString()}, rejection string")
+    return candidates.join(verdicts, key)
 
 
 def pilot(candidates: DataFrame, target: int, passes, key: str = "slot") -> DataFrame:
@@ -133,7 +232,14 @@ def export(judged: DataFrame, gate_rows: DataFrame, path: str) -> None:
 
 
 class Staging:
-    """Accepted rows on disk: a restart goes on after them if seed and target are the same."""
+    """Accepted rows on disk: a restart goes on after them if seed and target are the same.
+
+    A slot is tried until a candidate is accepted; the candidate index never
+    goes back. Rejected candidates are logged beside, in ``<path>-rejected``.
+    """
+
+    #: Rejections of a batch that one generation of candidates allows for.
+    SPARE = 8
 
     def __init__(self, spark: SparkSession, path: str, seed: int, target: int):
         self.spark, self.path, self.seed, self.target = spark, path, seed, target
@@ -152,12 +258,48 @@ class Staging:
         rows = self.rows()
         return 0 if rows is None else (rows.agg(F.max("slot")).first()[0] or 0) + 1
 
+    def _candidates(self, plan: DataFrame, start: int, stop: int, at: int) -> dict:
+        """Features of the candidates for slots from ``start``, with up to ``SPARE`` - 1 rejections before each, by (slot, candidate)."""
+        rows = plan.filter((F.col("slot") >= start) & (F.col("slot") < stop))
+        first = F.col("slot") - start + at
+        rows = rows.withColumn("candidate", F.explode(F.sequence(first, first + self.SPARE - 1)))
+        made = Acceptance.features(scored(generate(rows)), F.col("passed"), "slot", "candidate")
+        return {(x["slot"], x["candidate"]): x for x in made.collect()}
+
+    def _write(self, plan: DataFrame, taken: list[tuple], rejected: list[tuple]) -> None:
+        own = {"seed": F.lit(self.seed), "target": F.lit(self.target)}
+        if rejected:
+            log = self.spark.createDataFrame(rejected, "slot int, candidate int, rejection string")
+            log.withColumns(own).write.mode("append").parquet(f"{self.path}-rejected")
+        if taken:
+            rows = plan.join(self.spark.createDataFrame(taken, "slot int, candidate int"), "slot")
+            generate(rows).withColumns(own).write.mode("append").parquet(self.path)
+
     def run(self, batch_size: int, max_batches: int | None = None) -> int:
-        """Write batches of slots until the target or ``max_batches``; returns the next slot."""
+        """Write batches of accepted slots until the target or ``max_batches``; returns the next slot."""
         plan = candidate_plan(self.spark, self.target, self.seed)
-        at, done = self.next_slot(), 0
-        while at < self.target and (max_batches is None or done < max_batches):
-            part = generate(plan.filter((F.col("slot") >= at) & (F.col("slot") < at + batch_size)))
-            part.withColumns({"seed": F.lit(self.seed), "target": F.lit(self.target)}).write.mode("append").parquet(self.path)
-            at, done = at + batch_size, done + 1
-        return min(at, self.target)
+        slot, candidate, done = self.next_slot(), 0, 0
+        state = Acceptance(self.target)
+        if slot:
+            candidate = self.rows().agg(F.max("candidate")).first()[0] + 1
+            for x in Acceptance.features(self.rows(), F.lit(True), "slot").orderBy("slot").collect():
+                state.add(x)
+        while slot < self.target and (max_batches is None or done < max_batches):
+            stop = min(slot + batch_size, self.target)
+            taken, rejected, made = [], [], {}
+            while slot < stop:
+                if candidate >= self.target * ATTEMPTS:
+                    self._write(plan, taken, rejected)
+                    raise RuntimeError(f"{candidate} candidates gave {slot} of {self.target} conversations")
+                if (slot, candidate) not in made:
+                    made = self._candidates(plan, slot, stop, candidate)
+                why = state.judge(made[slot, candidate])
+                if why is None:
+                    taken.append((slot, candidate))
+                    slot += 1
+                else:
+                    rejected.append((slot, candidate, why))
+                candidate += 1
+            self._write(plan, taken, rejected)
+            done += 1
+        return slot

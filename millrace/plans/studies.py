@@ -49,8 +49,8 @@ def plan_candidates(spark, sf):
 @query()
 def plan_accepted(spark, sf):
     """Generated conversations with the reason of those rejected; their text has no SQL form here."""
-    made = planner.generate(planner.candidate_plan(spark, 60, SEED))
-    return planner.accept(made, 60, F.length("response") > 40).select("slot", "persona_id", "scenario_id", "rejection", F.sha2("response", 256).alias("response_sha"))
+    made = planner.scored(planner.generate(planner.candidate_plan(spark, 60, SEED)))
+    return planner.accept(made, 60, F.col("passed")).select("slot", "persona_id", "scenario_id", "rejection", F.sha2("response", 256).alias("response_sha"))
 
 
 @query(

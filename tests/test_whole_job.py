@@ -3,9 +3,11 @@
 import math
 
 import duckdb
+import pytest
 from pyspark.sql import functions as F
 
 from millrace.functions import scoring as s
+from millrace.plans import planner
 from millrace.plans.catalog import QUERIES
 
 
@@ -23,3 +25,66 @@ def test_perplexity_covers_every_event(spark, sf):
     got = {r["event_id"]: r["perplexity"] for r in QUERIES["train_perplexity_all"](spark, sf).collect()}
     assert got.keys() == want.keys() and all(abs(got[i] - want[i]) < 2e-6 for i in want)
     assert max(got.values()) == round(math.exp(20.0), 6)
+
+
+def candidate(slot, text, persona="p", scenario="s"):
+    return slot, persona, scenario, text, [("user", f"question {slot} {'abcdefghij'[slot % 10] * 9}"), ("assistant", text)]
+
+
+def judged(spark, rows, target, passes):
+    df = spark.createDataFrame(rows, "slot int, persona_id string, scenario_id string, response string, messages array<struct<role:string,content:string>>")
+    return {r["slot"]: r["rejection"] for r in planner.accept(df, target, passes).collect()}
+
+
+def test_acceptance_rejects_near_copies_of_accepted_ones(spark):
+    base = "One short walk after lunch is a fair start for this week"
+    rows = [
+        candidate(0, f"{base}."),
+        candidate(1, f"{base}!!"),
+        candidate(2, f"{base}!!", scenario="other"),
+        candidate(3, "Fully different words that nobody has said so far"),
+        candidate(4, "Fully different words that nobody has said so fat"),
+        candidate(5, "Same. Same. Same."),
+        (6, *candidate(0, f"{base}.")[1:]),
+    ]
+    want = {0: None, 1: "near_duplicate", 2: None, 3: "validator_failure", 4: None, 5: "repetitive_response", 6: "exact_duplicate"}
+    assert judged(spark, rows, 100, F.col("slot") != 3) == want
+
+
+def test_near_copies_come_before_the_opening_cap(spark):
+    rows = [
+        candidate(0, "Shared opening. Then we talk of sleep"),
+        candidate(1, "Shared opening. Then we talk of sleeq"),
+        candidate(2, "Shared opening. Quite another remark about food and 9 other things"),
+    ]
+    assert judged(spark, rows, 12, F.lit(True)) == {0: None, 1: "near_duplicate", 2: "repeated_opening"}
+
+
+def test_plan_accepted_asks_the_rubric(spark):
+    plan = planner.candidate_plan(spark, 6, 1)
+    bad = planner.generate(plan).withColumn("response", F.when(F.col("slot") < 2, "I guarantee this will cure everything for you, so come along.").otherwise(F.col("response")))
+    got = {r["slot"]: r["passed"] for r in planner.scored(bad).collect()}
+    assert got == {i: i >= 2 for i in range(6)}
+
+
+def test_staging_retries_and_holds_accepted_rows_only(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "staged")
+    verdict, tried = planner.Acceptance.judge, []
+
+    def judge(self, x):
+        tried.append(x["candidate"])
+        return "near_duplicate" if x["candidate"] in (2, 5, 6) else verdict(self, x)
+
+    monkeypatch.setattr(planner.Acceptance, "judge", judge)
+    assert planner.Staging(spark, path, 7, 6).run(batch_size=4, max_batches=1) == 4
+    assert planner.Staging(spark, path, 7, 6).run(batch_size=4) == 6
+    rows = {r["slot"]: r["candidate"] for r in spark.read.parquet(path).collect()}
+    log = {(r["slot"], r["candidate"]) for r in spark.read.parquet(f"{path}-rejected").collect()}
+    assert sorted(rows) == list(range(6)) and tried == list(range(max(tried) + 1))
+    assert set(tried) == set(rows.values()) | {c for _, c in log} and {2, 5, 6} <= {c for _, c in log}
+
+
+def test_staging_stops_at_its_attempts(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(planner.Acceptance, "judge", lambda self, x: "near_duplicate")
+    with pytest.raises(RuntimeError, match="20 candidates gave 0 of 1"):
+        planner.Staging(spark, str(tmp_path / "staged"), 7, 1).run(batch_size=1)
