@@ -6,6 +6,7 @@ are windows on hashed keys; near duplicates compare within a bucket.
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -98,34 +99,81 @@ def near_jaccard(df: DataFrame, bucket: str, text: str, key: str, threshold: flo
     return full.withColumn("similarity", sim).filter(F.col("similarity") >= threshold).select("a", "b", "similarity")
 
 
-def near_sequence(df: DataFrame, bucket: str, text: str, key: str, threshold: float = NEAR, limit: int = 20_000) -> DataFrame:
+GRAM, GRAM_BITS = 4, 14
+
+
+class _Earlier:
+    """Accepted texts of a bucket; which of them a text can be near to.
+
+    Of texts with m characters in matching blocks, all 4-grams are shared but
+    those that hold or span an unmatched character. Counts of hashed 4-grams
+    are compared with that bound, so a text is left out only for certain.
+    """
+
+    def __init__(self, most: int, threshold: float):
+        self.threshold, self.n = threshold, 0
+        self.lengths, self.over = np.zeros(most, np.int64), np.zeros(most, np.int64)
+        self.counts = np.zeros((most, 1 << GRAM_BITS), np.uint8)
+
+    def look(self, x: str) -> tuple[int, np.ndarray, int]:
+        """Length, counts up to 255 and what is over that."""
+        c = np.frombuffer(x.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+        k = max(0, len(c) - GRAM + 1)
+        h = np.zeros(k, np.uint64)
+        for i in range(GRAM):
+            h = (h ^ c[i : i + k]) * np.uint64(0x9E3779B97F4A7C15)
+            h ^= h >> np.uint64(29)
+        counts = np.bincount((h >> np.uint64(64 - GRAM_BITS)).astype(np.int64), minlength=1 << GRAM_BITS)
+        low = np.minimum(counts, 255)
+        return len(c), low.astype(np.uint8), int((counts - low).sum())
+
+    def add(self, seen: tuple[int, np.ndarray, int]) -> None:
+        self.lengths[self.n], self.counts[self.n], self.over[self.n] = seen
+        self.n += 1
+
+    def within_reach(self, seen: tuple[int, np.ndarray, int]) -> np.ndarray:
+        n, counts, over = seen
+        both = self.lengths[: self.n] + n
+        at = np.flatnonzero(2 * np.minimum(self.lengths[: self.n], n) >= self.threshold * both - 1e-9)
+        matched = np.ceil(self.threshold * both[at] / 2 - 1e-9)
+        need = n - GRAM + 1 - GRAM * (n - matched) - (GRAM - 1) * (self.lengths[at] - matched)
+        out = [
+            part[np.minimum(self.counts[part], counts).sum(axis=1, dtype=np.int64) + np.minimum(self.over[part], over) >= least]
+            for part, least in ((at[i : i + 512], need[i : i + 512]) for i in range(0, len(at), 512))
+        ]
+        return np.concatenate(out) if out else at
+
+
+def near_sequence(df: DataFrame, bucket: str, text: str | list[str], key: str, threshold: float = NEAR, limit: int = 20_000) -> DataFrame:
     """Rows of a bucket, in key order, with the earlier accepted row they are near to, if any.
 
     Similarity is the ratio of ``difflib.SequenceMatcher`` (candidate first), as
-    no built-in has it; candidates whose length or letter counts rule it out are
-    not compared. Exact and quadratic in a bucket: for buckets of bounded size,
-    which ``limit`` guards (a larger one is an error, not cut).
+    no built-in has it; of several texts the largest ratio. Rows whose length or
+    4-grams rule it out are not compared. Exact and quadratic in a bucket: for
+    buckets of bounded size, which ``limit`` guards (a larger one is an error,
+    not cut).
     """
+    texts = [text] if isinstance(text, str) else list(text)
+    names = [f"x{i}" for i in range(len(texts))]
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        from difflib import SequenceMatcher
-
         if len(pdf) > limit:
             raise ValueError(f"a bucket has {len(pdf)} rows; near_sequence takes {limit} at most")
         pdf = pdf.sort_values("k")
         accepted, near = [], []
-        for k, x in zip(pdf["k"], pdf["x"], strict=True):
-            found = None
-            for j, y in accepted:
-                m = SequenceMatcher(None, x, y)
-                if m.real_quick_ratio() >= threshold and m.quick_ratio() >= threshold and m.ratio() >= threshold:
-                    found = j
-                    break
+        earlier = [_Earlier(len(pdf), threshold) for _ in names]
+        for k, *xs in zip(pdf["k"], *(pdf[n] for n in names), strict=True):
+            seen = [e.look(x) for e, x in zip(earlier, xs, strict=True)]
+            reach = [(i, c) for c, (e, w) in enumerate(zip(earlier, seen, strict=True)) for i in e.within_reach(w).tolist()]
+            found = next((accepted[i][0] for i, c in sorted(reach) if is_near(xs[c], accepted[i][1][c], threshold)), None)
             near.append(found)
             if found is None:
-                accepted.append((k, x))
+                accepted.append((k, xs))
+                for e, w in zip(earlier, seen, strict=True):
+                    e.add(w)
         return pd.DataFrame({"k": pdf["k"], "near": pd.array(near, "Int64")})
 
-    rows = df.select(F.col(bucket).alias("g"), F.col(key).alias("k"), F.coalesce(F.col(text), F.lit("")).alias("x"))
+    side = [F.coalesce(F.col(x), F.lit("")).alias(n) for x, n in zip(texts, names, strict=True)]
+    rows = df.select(F.col(bucket).alias("g"), F.col(key).alias("k"), *side)
     found = rows.groupBy("g").applyInPandas(run, "k bigint, near bigint")
     return found.select(F.col("k").alias(key), F.col("near").alias("near_key"), F.col("near").isNotNull().alias("is_near_duplicate"))

@@ -142,9 +142,9 @@ def dedup_near_jaccard(spark, sf):
 
 @query()
 def dedup_near_sequence(spark, sf):
-    """Bucketed by language and length class of the benchmark's items: difflib has no SQL form."""
-    df = table(spark, sf, "benchmark").select("item_id", "text", (F.length("text") / 50).cast("int").alias("bucket"))
-    return dedup.near_sequence(df, "bucket", "text", "item_id")
+    """Documents within their language, of any length: difflib has no SQL form."""
+    df = table(spark, sf, "documents").select("doc_id", "lang", t.fold(F.col("text")).alias("text"))
+    return dedup.near_sequence(df, "lang", "text", "doc_id")
 
 
 # --- streaming -----------------------------------------------------------------------------
