@@ -383,9 +383,22 @@ def research_first_sentences(spark, sf):
     FROM part WHERE p_partkey * 10000000 >= 1000000000 AND p_partkey * 1000 < 1000000000"""
 )
 def research_names(spark, sf):
+    """Some of the parts; ``research_names_all`` has every part."""
+    return _names(table(spark, sf, "part").filter("p_partkey * 10000000 >= 1000000000 AND p_partkey * 1000 < 1000000000"))
+
+
+def _names(parts):
     n = F.when(F.col("p_partkey") % 3 == 1, F.col("p_partkey") * 10_000_000).when(F.col("p_partkey") % 3 == 2, F.col("p_partkey") * 1001)
-    df = table(spark, sf, "part").filter("p_partkey * 10000000 >= 1000000000 AND p_partkey * 1000 < 1000000000")
-    return df.select("p_partkey", t.storage_name(F.concat("p_name", F.lit("/"), "p_brand")).alias("storage_name"), t.human_count(n).alias("size_text"))
+    return parts.select("p_partkey", t.storage_name(F.concat("p_name", F.lit("/"), "p_brand")).alias("storage_name"), t.human_count(n).alias("size_text"))
+
+
+@query(
+    """WITH n AS (SELECT *, CASE p_partkey % 3 WHEN 1 THEN p_partkey * 10000000 WHEN 2 THEN p_partkey * 1001 END AS n FROM part)
+    SELECT p_partkey, trim(regexp_replace(replace(p_name || '/' || p_brand, '/', '__'), '[^A-Za-z0-9._-]', '_', 'g'), '._') AS storage_name,
+    CASE WHEN n IS NULL THEN 'n/a' WHEN n >= 1000000000 THEN printf('%.2fB', n / 1e9) ELSE printf('%.1fM', n / 1e6) END AS size_text FROM n"""
+)
+def research_names_all(spark, sf):
+    return _names(table(spark, sf, "part"))
 
 
 # --- training ------------------------------------------------------------------------------

@@ -12,6 +12,7 @@ from millrace.functions import scoring as s
 from millrace.operators import dedup
 from millrace.plans import planner
 from millrace.plans.catalog import QUERIES
+from millrace.plans.studies import _names
 
 
 def test_perplexity_is_clamped_and_null_safe(spark):
@@ -116,3 +117,12 @@ def test_near_sequence_equals_brute_force(spark):
 def test_near_sequence_looks_at_every_document(spark, sf):
     docs = {r["doc_id"] for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id").collect()}
     assert {r["doc_id"] for r in QUERIES["dedup_near_sequence"](spark, sf).collect()} == docs
+
+
+def test_names_cover_every_part(spark, sf):
+    """With sizes on both sides of a billion in either class of parts."""
+    got = {r["p_partkey"]: r["size_text"] for r in QUERIES["research_names_all"](spark, sf).collect()}
+    assert len(got) == spark.read.parquet(f"{sf}/part.parquet").count()
+    assert (got[1], got[2], got[3], got[97], got[100]) == ("10.0M", "0.0M", "n/a", "970.0M", "1.00B")
+    far = spark.createDataFrame([(999_002, "a", "b"), (1_000_001, "a", "b"), (1_000_002, "a", "b")], "p_partkey long, p_name string, p_brand string")
+    assert [r["size_text"] for r in _names(far).orderBy("p_partkey").collect()] == ["1.00B", "1.00B", "n/a"]
