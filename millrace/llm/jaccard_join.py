@@ -336,14 +336,23 @@ def _sides(pairs: DataFrame, values: DataFrame, column: str) -> DataFrame:
     return pairs.select("a", "b", "xa", "xb")
 
 
-def _verify(pairs: DataFrame, rows: DataFrame, k: int, percent: int) -> DataFrame:
-    """Pairs of classes whose whole sets reach the threshold."""
+def _verify(pairs: DataFrame, rows: DataFrame, k: int, percent: int, named: DataFrame | None = None) -> DataFrame:
+    """Pairs of classes whose whole sets reach the threshold.
+
+    A class goes by its least identifier, or as ``named`` (vid, doc_id, set_key) says.
+    """
+
+    keyed = named is not None
 
     def whole(batches):
         hashes = WordHash()
         for batch in slices(batches):
             sets = [shingle_set(t, k, hashes).tobytes() for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], names=["sid", "x"])
+            columns, names = [batch.column(0), pa.array(sets, pa.binary())], ["sid", "x"]
+            if keyed:
+                keys = [hashlib.blake2b(x, digest_size=16).digest() for x in sets]
+                columns, names = [*columns, pa.array(keys, pa.binary())], [*names, "set_key"]
+            yield pa.RecordBatch.from_arrays(columns, names=names)
 
     def check(batches):
         for batch in batches:
@@ -355,9 +364,19 @@ def _verify(pairs: DataFrame, rows: DataFrame, k: int, percent: int) -> DataFram
             keep = pa.array(keep, pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column("a").filter(keep), batch.column("b").filter(keep)], names=["a", "b"])
 
-    ids = materialize(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "ids")
+    ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
+    if keyed:
+        own = named.select("vid", F.col("doc_id").alias("own"))
+        ids = ids.withColumnRenamed("doc_id", "vid").join(own, "vid", "left")
+        ids = ids.select(F.coalesce("own", "vid").alias("doc_id")).distinct()
+    ids = materialize(ids, "ids")
     wanted = rows.join(F.broadcast(ids) if ids.count() <= FEW_IDS else ids, "doc_id", "left_semi")
-    sets = materialize(wanted.select("doc_id", "text").mapInArrow(whole, "sid bigint, x binary"), "sets")
+    schema = "sid bigint, x binary" + ", set_key binary" * keyed
+    sets = wanted.select("doc_id", "text").mapInArrow(whole, schema)
+    if keyed:
+        sets = sets.join(named.withColumnRenamed("doc_id", "sid"), ["sid", "set_key"], "left")
+        sets = sets.select(F.coalesce("vid", "sid").alias("sid"), "x")
+    sets = materialize(sets, "sets")
     return _sides(pairs, sets, "x").mapInArrow(check, "a bigint, b bigint")
 
 
@@ -376,6 +395,15 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
+def _versions(linked: DataFrame, classes: DataFrame) -> DataFrame:
+    """Links (a, b) between the classes of documents with several texts."""
+    again = linked.groupBy("doc_id").agg(F.count(F.lit(1)).alias("m")).filter("m > 1").select("doc_id")
+    own = linked.select("doc_id", "set_key").join(again, "doc_id", "left_semi").distinct()
+    own = own.join(classes.select("set_key", "vid"), "set_key").select("doc_id", "vid")
+    least = own.groupBy("doc_id").agg(F.min("vid").alias("a"))
+    return own.join(least, "doc_id").filter("a < vid").select("a", F.col("vid").alias("b")).distinct()
+
+
 def jaccard_components(
     docs: DataFrame, k: int = 4, percent: int = 85, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
@@ -384,7 +412,8 @@ def jaccard_components(
     Words are runs of anything but ASCII white space, A-Z lower-cased. Texts
     without words have no shingles and are linked with nothing, nor is a row
     without an identifier (its component is null). Rows that repeat an
-    identifier count as versions of one document. An empty table gives no rows.
+    identifier count as versions of one document: their links are its links.
+    An empty table gives no rows.
     """
     spark = docs.sparkSession
     parts = partitions(spark)
@@ -393,20 +422,33 @@ def jaccard_components(
     linked = sigs.filter("n > 0 and doc_id is not null")
     classes = linked.groupBy("set_key", "n", "prefix_key").agg(F.min("doc_id").alias("sid"))
     classes = materialize(classes, "classes")
-    groups = classes.groupBy("n", "prefix_key").agg(F.min("sid").alias("gid"))
+    # An identifier that is the least of several classes can't name them: those go by a hash of their sets.
+    shared = materialize(classes.groupBy("sid").agg(F.count(F.lit(1)).alias("m")).filter("m > 1").select("sid"), "shared")
+    named = None
+    if shared.isEmpty():
+        classes = classes.withColumn("vid", F.col("sid"))
+    else:
+        vid = F.when(F.col("many"), F.xxhash64("set_key")).otherwise(F.col("sid"))
+        classes = classes.join(shared.withColumn("many", F.lit(True)), "sid", "left").withColumn("vid", vid)
+        classes = materialize(classes, "classes")
+        named = classes.filter("many").select("vid", F.col("sid").alias("doc_id"), "set_key")
+        classes = classes.drop("many")
+    versions = materialize(_versions(linked, classes), "versions")
+    groups = classes.groupBy("n", "prefix_key").agg(F.min(F.struct("vid", "sid")).alias("head"))
+    groups = groups.select("n", "prefix_key", F.col("head.vid").alias("gid"), F.col("head.sid").alias("head"))
     members = classes.join(groups.select("n", "prefix_key", "gid"), ["n", "prefix_key"])
     heads = linked.select("doc_id", "n", "prefix_key", "prefix").join(
-        groups.withColumnRenamed("gid", "doc_id"), ["doc_id", "n", "prefix_key"]
+        groups.withColumnRenamed("head", "doc_id"), ["doc_id", "n", "prefix_key"]
     )
-    posts = heads.select(F.explode("prefix").alias("token"), F.col("doc_id").alias("gid"), "n")
+    posts = heads.select(F.explode("prefix").alias("token"), "gid", "n")
     posts = posts.repartition(parts, "token").sortWithinPartitions("token", "n", "gid")
     live = materialize(posts.mapInArrow(_live_lists(percent), "token bigint, gid bigint, n bigint"), "postings")
     # Classes of groups that share a prefix shingle with another or hold several classes.
-    several = classes.groupBy("n", "prefix_key").agg(F.min("sid").alias("gid"), F.count(F.lit(1)).alias("m")).filter("m > 1")
+    several = classes.groupBy("n", "prefix_key").agg(F.min("vid").alias("gid"), F.count(F.lit(1)).alias("m")).filter("m > 1")
     alive = live.select("gid").union(several.select("gid")).distinct()
     size = F.unhex(F.lpad(F.hex("n"), 16, "0"))
     bits = sigs.select(F.col("doc_id").alias("sid"), "set_key", F.concat(size, "bits").alias("bits"))
-    nodes = members.join(alive, "gid", "left_semi").join(bits, ["sid", "set_key"]).select("gid", "sid", "n", "bits")
+    nodes = members.join(alive, "gid", "left_semi").join(bits, ["sid", "set_key"]).select("gid", F.col("vid").alias("sid"), "n", "bits")
     nodes = materialize(nodes.dropDuplicates(["sid", "gid"]), "nodes")
 
     spread = live.select("token", "gid").join(nodes, "gid").select("token", "sid", "n", "bits")
@@ -415,7 +457,7 @@ def jaccard_components(
     pair = "a bigint, b bigint"
     dealt = spread.repartition(parts, "token").sortWithinPartitions("token", "n", "sid")
     tried = materialize(dealt.mapInArrow(_lists(percent, _nearest_pairs), pair).distinct(), "pairs")
-    links = materialize(_verify(tried, rows, k, percent), "links")
+    links = materialize(_verify(tried, rows, k, percent, named).union(versions), "links")
     labels = components(links)
 
     long = spread.groupBy("token").agg(F.count(F.lit(1)).alias("m")).filter(F.col("m") > SHORT).select("token")
@@ -425,11 +467,14 @@ def jaccard_components(
     cross = dealt.mapInArrow(_lists(percent, _cross_pairs), pair).distinct()
     rest = materialize(cross.join(tried, ["a", "b"], "left_anti"), "pairs")
     if not rest.isEmpty():
-        more = materialize(_verify(rest, rows, k, percent), "links")
+        more = materialize(_verify(rest, rows, k, percent, named), "links")
         if not more.isEmpty():
             labels = components(links.union(more))
 
-    named = classes.join(labels.toDF("sid", "c"), "sid", "left").select("set_key", F.coalesce("c", "sid").alias("c"))
-    out = sigs.select("doc_id", "n", "set_key").join(named, "set_key", "left")
+    if named is not None:  # labels are hashes in part: take the least identifier
+        own = labels.toDF("vid", "c").join(classes.select("vid", "sid"), "vid")
+        labels = own.join(own.groupBy("c").agg(F.min("sid").alias("least")), "c").select("vid", "least")
+    called = classes.join(labels.toDF("vid", "c"), "vid", "left").select("set_key", F.coalesce("c", "sid").alias("c"))
+    out = sigs.select("doc_id", "n", "set_key").join(called, "set_key", "left")
     own = F.when((F.col("n") > 0) & F.col("doc_id").isNotNull(), F.col("c")).otherwise(F.col("doc_id"))
     return out.select("doc_id", F.col("n").alias("n_shingles"), own.alias("component_id"))

@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from millrace.functions import scoring as s
+from millrace.llm import jaccard_join
 from millrace.operators import dedup
 from millrace.plans import planner
 from millrace.plans.catalog import QUERIES
@@ -126,3 +127,13 @@ def test_names_cover_every_part(spark, sf):
     assert (got[1], got[2], got[3], got[97], got[100]) == ("10.0M", "0.0M", "n/a", "970.0M", "1.00B")
     far = spark.createDataFrame([(999_002, "a", "b"), (1_000_001, "a", "b"), (1_000_002, "a", "b")], "p_partkey long, p_name string, p_brand string")
     assert [r["size_text"] for r in _names(far).orderBy("p_partkey").collect()] == ["1.00B", "1.00B", "n/a"]
+
+
+def test_versions_of_one_document_keep_their_links(spark):
+    """An identifier with two texts, each with near copies of its own, also where it is not the least of a class."""
+    text = lambda name, n, odd=None: " ".join([*(f"{name}{i}" for i in range(n)), *([odd] if odd else [])])
+    rows = [(1, text("a", 100)), (1, text("b", 60)), (2, text("a", 100, "x")), (3, text("b", 60, "y")), (9, text("c", 80))]
+    rows += [(4, text("d", 50)), (5, text("d", 50)), (5, text("e", 70)), (6, text("e", 70, "z")), (7, text("f", 90))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {(r["doc_id"], r["n_shingles"], r["component_id"]) for r in jaccard_join.jaccard_components(df).collect()}
+    assert {(i, c) for i, _, c in got} == {(1, 1), (2, 1), (3, 1), (9, 9), (4, 4), (5, 4), (6, 4), (7, 7)}
