@@ -16,6 +16,9 @@
    its hashed shingles, a 32nd of the set's size; the bits in which two of them
    differ are a lower bound of the sets' difference, which rules out most
    candidates for certain. The others are verified on their whole sets.
+
+The result is components only. Step 4 skips pairs inside a component, so neither
+the links nor their number can be had from here.
 """
 
 from __future__ import annotations
