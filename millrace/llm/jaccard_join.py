@@ -1,18 +1,20 @@
-"""N-gram Jaccard self-join by a grouped prefix join, and its components.
+"""N-gram Jaccard self-join by a prefix join with grouped posting lists, and its components.
 
 1. Documents with equal shingle sets are one class; their links need no join.
 2. Shingles are ordered by rarity. A table of hashed frequencies, of a size that
    does not depend on the data, gives the order, so that widely shared shingles
    come last. A set's prefix is as long as the threshold demands: two sets that
    reach it share a shingle of their prefixes.
-3. Classes of one size and one prefix are one group; only groups are joined, by
-   the shingles of their prefixes, under the length filter.
+3. Classes of one size and one prefix are one group; posting lists of prefix
+   shingles are made of groups, and a group without a neighbour of near size in
+   a list leaves it. What is left is expanded to classes in each list, before
+   pairing: no pairs of groups are formed.
 4. A long posting list first tries each member against the nearest of those
    before it. Members that link so are in one component and need no more pairs
    among themselves; what is left, pairs over different components, is verified
    in full. So a large group of near copies costs pairs in proportion to its
    size, and no link between components is lost.
-5. Candidates are expanded to classes. Each class has a bitmap of the parities of
+5. Candidates are pairs of classes. Each class has a bitmap of the parities of
    its hashed shingles, a 32nd of the set's size; the bits in which two of them
    differ are a lower bound of the sets' difference, which rules out most
    candidates for certain. The others are verified on their whole sets.
