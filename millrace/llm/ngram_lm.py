@@ -1,25 +1,36 @@
-"""A bigram language model in Elias-Fano tries, trained on and queried by the corpus.
+"""An n-gram language model in Elias-Fano tries of ``order`` levels, trained on and queried by the corpus.
 
 Texts are taken in blocks of some million tokens; a block keeps its documents as
-local word numbers and is written once. Three exchanges follow, each of distinct
-words or pairs of a block rather than of tokens:
-
-1. words: blocks send their distinct words and training counts to shards by
-   hash; shards number the vocabulary and answer totals and numbers,
-2. pairs: blocks send their distinct (context, successor) pairs to shards by
-   context. A context with a large part of all tokens is spread over several
-   shards by its successors. A shard builds its trie and answers from it,
-3. blocks add the answers up by document.
-
-A trie has contexts and, for each, its successors. Contexts, the pointers into
-the successor level and the successors (as context number times vocabulary size
-plus word number, which grows along the level) are Elias-Fano sequences in one
-file that is mapped into memory. A pair is found by its context's number, and
-by the next larger successor within that context's range.
-
-Smoothing is interpolated absolute discounting down to single words and on to
-the uniform distribution over the vocabulary and one unknown word. Quantised
-discounted frequencies are rounded down, so the sum over words stays at most 1.
+local word numbers and is written once. Then comes one exchange for each level
+of the trie, of a block's distinct words or n-grams rather than of its tokens:
+
+1. words: blocks send their distinct words, as bytes, with training counts to
+   shards by hash. A shard numbers its words by frequency and answers totals and
+   numbers,
+2. each further level: blocks send their distinct (context, word) pairs to
+   shards by context. The context is a node of the level above: a word number
+   first, then the place that the level above gave to a pair. A context with a
+   large part of all tokens is spread over several shards by its words. A shard
+   builds its part of the level, answers from it the quantised probability and,
+   for the next level, the pair's place and count,
+3. at last blocks add the answers up by document.
+
+A shard's level has its contexts, for each a pointer to where its words begin,
+and the words. All three are Elias-Fano sequences in one file that is mapped
+into memory; words grow along the level as each context's are counted on from
+the last one before it. A pair is found by its context's pointers: only the
+range from its pointer to the next is searched for the word, counted on from the
+value before the range.
+
+Smoothing is hierarchical with a prior count ``m`` for each level,
+``p(w|context) = (c(context w) + m p(w|shorter)) / (c(context) + m)``, down to
+single words, which have a prior count of one each, as one unknown word has. It needs no statistics of a shard, so scores do not depend on how many
+there are. The first summand is stored in a byte, in even steps of its logarithm,
+rounded down, so the sum over words stays at most 1; the second is exact.
+
+Blocks and shards grow with the square root of the corpus where that is more than
+their least size, so a block has at least some hundred pairs for a shard and the
+rows of an exchange grow no faster than the corpus.
 """
 
 from __future__ import annotations
@@ -32,11 +43,16 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from .common import SPACE_WORDS, materialize, slices, trim
-from .jaccard_join import WordHash, _typed
+from .common import SPACE_WORDS, materialize, scratch, slices, trim
+from .jaccard_join import _typed
 
-END = xxhash.xxh64_intdigest(b" end of text")  # words hold no blank
+#: The end of a text; words hold no line feed.
+END = b"\n"
 CHUNK = 4096
+#: Prior counts of the levels from the second on; the last one holds for all further ones.
+PRIORS = (1000.0, 10.0)
+#: Pairs that a block should at least have for a shard.
+CELL = 250
 
 
 def _pack(a: np.ndarray, delta: bool = False) -> bytes:
@@ -59,8 +75,8 @@ def _unpack(b: bytes, delta: bool = False) -> np.ndarray:
     width = b[0]
     raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(b[1:]), np.uint8)
     raw = raw.reshape(width, len(raw) // width)
-    a = np.ascontiguousarray(raw.T).view(f"u{width}").reshape(-1).astype(np.uint64)
-    return np.cumsum(a, dtype=np.uint64) if delta else a
+    a = np.ascontiguousarray(raw.T).view(f"u{width}").reshape(-1).astype(np.int64)
+    return np.cumsum(a) if delta else a
 
 
 class EliasFano:
@@ -71,32 +87,32 @@ class EliasFano:
 
     @staticmethod
     def encode(values: np.ndarray) -> "EliasFano":
-        v = np.asarray(values, np.uint64)
+        v = np.asarray(values, np.int64)
         n = len(v)
         low = max(0, int(math.log2(max(1, int(v[-1]) // n)))) if n else 0
-        bits = ((v[:, None] >> np.arange(low, dtype=np.uint64)) & np.uint64(1)).astype(np.uint8)
-        # Chunks start on a byte: CHUNK is a multiple of 8.
-        lows = np.packbits(bits.reshape(-1))
-        at = (v >> np.uint64(low)).astype(np.int64) + np.arange(n)
+        lows, shifts = [], np.arange(low)
+        for at in range(0, n if low else 0, CHUNK):  # chunks start on a byte: CHUNK is a multiple of 8
+            lows.append(np.packbits(((v[at : at + CHUNK, None] >> shifts) & 1).astype(np.uint8).reshape(-1)))
+        at = (v >> low) + np.arange(n)
         unary = np.zeros(int(at[-1]) + 1 if n else 0, np.uint8)
         unary[at] = 1
         # By chunk: its first value and the place of its first step.
-        samples = np.stack([v[::CHUNK].astype(np.int64), at[::CHUNK]]) if n else np.zeros((2, 0), np.int64)
-        return EliasFano(n, low, lows, np.packbits(unary), samples)
+        samples = np.stack([v[::CHUNK], at[::CHUNK]]) if n else np.zeros((2, 0), np.int64)
+        return EliasFano(n, low, np.concatenate(lows) if lows else np.zeros(0, np.uint8), np.packbits(unary), samples)
 
     def chunk(self, k: int) -> np.ndarray:
         """Values ``k * CHUNK`` and on."""
         a, b = k * CHUNK, min(self.n, (k + 1) * CHUNK)
         if self.low:
             raw = np.unpackbits(self.lows[a * self.low // 8 : -(-b * self.low // 8)])[: (b - a) * self.low]
-            low = raw.reshape(b - a, self.low).astype(np.uint64) @ (np.uint64(1) << np.arange(self.low, dtype=np.uint64))
+            low = raw.reshape(b - a, self.low).astype(np.int64) @ (1 << np.arange(self.low))
         else:
-            low = np.zeros(b - a, np.uint64)
+            low = np.zeros(b - a, np.int64)
         start = int(self.samples[1][k])
         stop = int(self.samples[1][k + 1]) if k + 1 < self.samples.shape[1] else len(self.highs) * 8
-        ones = np.flatnonzero(np.unpackbits(self.highs[start // 8 : -(-stop // 8)]))
-        ones = (ones + start // 8 * 8)[ones + start // 8 * 8 >= start][: b - a]
-        return ((ones - np.arange(a, b)).astype(np.uint64) << np.uint64(self.low)) + low
+        ones = np.flatnonzero(np.unpackbits(self.highs[start // 8 : -(-stop // 8)])) + start // 8 * 8
+        ones = ones[ones >= start][: b - a]
+        return ((ones - np.arange(a, b)) << self.low) + low
 
     def _by_chunk(self, of: np.ndarray):
         cuts = np.flatnonzero(np.diff(of)) + 1
@@ -106,23 +122,30 @@ class EliasFano:
 
     def get(self, at: np.ndarray) -> np.ndarray:
         """Values at ascending places."""
-        out = np.zeros(len(at), np.uint64)
+        out = np.zeros(len(at), np.int64)
         for k, part in self._by_chunk(np.asarray(at) // CHUNK):
             out[part] = self.chunk(k)[at[part] - k * CHUNK]
         return out
 
-    def find(self, keys: np.ndarray) -> np.ndarray:
-        """Places of ascending keys, -1 for those that are not there."""
+    def find(self, keys: np.ndarray, first: np.ndarray, stop: np.ndarray) -> np.ndarray:
+        """Places of keys, each searched in its own range of places only; -1 for those that are not there.
+
+        Ranges ascend, and so do keys of one range.
+        """
         out = np.full(len(keys), -1, np.int64)
-        if not self.n:
+        live = np.flatnonzero(stop > first)
+        if not len(live):
             return out
-        of = np.searchsorted(self.samples[0], keys.astype(np.int64), "right") - 1
+        keys, first, stop = keys[live], first[live], stop[live]
+        of = np.searchsorted(self.samples[0], keys, "right") - 1
+        of = np.clip(of, first // CHUNK, (stop - 1) // CHUNK)
         for k, part in self._by_chunk(of):
-            if k >= 0:
-                values = self.chunk(k)
-                at = np.searchsorted(values, keys[part])
-                hit = (at < len(values)) & (values[np.minimum(at, len(values) - 1)] == keys[part])
-                out[part] = np.where(hit, at + k * CHUNK, -1)
+            values = self.chunk(k)
+            at = np.searchsorted(values, keys[part])
+            hit = values[np.minimum(at, len(values) - 1)] == keys[part]
+            at += k * CHUNK
+            hit &= (at >= first[part]) & (at < stop[part])
+            out[live[part]] = np.where(hit, at, -1)
         return out
 
     def arrays(self) -> list[np.ndarray]:
@@ -134,122 +157,121 @@ class EliasFano:
         return EliasFano(int(head[0]), int(head[1]), lows, highs, samples.reshape(2, -1))
 
 
-def _code_book(share: np.ndarray) -> np.ndarray:
-    """At most 255 values, the least among them: all there are, or even steps and quantiles of the distinct ones."""
-    distinct = np.unique(share)
-    if len(distinct) <= 255:
-        return distinct if len(distinct) else np.zeros(1)
-    even = np.linspace(distinct[0], distinct[-1], 128)
-    return np.union1d(even, np.quantile(distinct, np.arange(127) / 127))
+class CodeBook:
+    """Shares of 1 in a byte: 255 even steps of the logarithm, the least below that of one in all tokens; 0 is none."""
+
+    def __init__(self, tokens: int):
+        self.reach = 1.0 + math.ceil(math.log10(max(10, tokens)))
+        self.values = np.append(0.0, 10.0 ** (self.reach * (np.arange(255) / 254 - 1)))
+
+    def codes(self, share: np.ndarray) -> np.ndarray:
+        """Rounded down."""
+        return (np.searchsorted(self.values, share, "right") - 1).astype(np.uint8)
 
 
-class Trie:
-    """Contexts and successors of one shard, in a file that is mapped into memory."""
+class Level:
+    """One level of a shard's trie: contexts, pointers, words and quantised probabilities, in a file mapped into memory."""
 
-    def __init__(self, contexts, pointers, successors, codes, book, discount, size):
-        self.contexts, self.pointers, self.successors = contexts, pointers, successors
-        self.codes, self.book, self.discount, self.size = codes, book, discount, size
-        self.file = None
+    def __init__(self, contexts: EliasFano, pointers: EliasFano, words: EliasFano, codes: np.ndarray):
+        self.contexts, self.pointers, self.words, self.codes = contexts, pointers, words, codes
 
     @staticmethod
-    def build(ctx: np.ndarray, nxt: np.ndarray, count: np.ndarray, total: np.ndarray, size: int) -> "Trie":
-        """Pairs sorted by context and successor, their counts and their contexts' counts; word numbers lie below ``size``."""
-        once, twice = int((count == 1).sum()), int((count == 2).sum())
-        discount = once / (once + 2 * twice) if once else 0.5
-        discount = min(max(discount, 0.1), 0.95)
-        new = np.append(True, ctx[1:] != ctx[:-1]) if len(ctx) else np.zeros(0, bool)
-        number = np.cumsum(new) - 1
-        share = np.log10((count - discount) / np.maximum(total, 1)) if len(count) else np.zeros(0)
-        book = _code_book(share)
-        codes = np.maximum(np.searchsorted(book, share, "right"), 1).astype(np.uint8)  # 0: not there
-        return Trie(
-            EliasFano.encode(ctx[new]),
-            EliasFano.encode(np.append(np.flatnonzero(new), len(ctx))),
-            EliasFano.encode(number.astype(np.uint64) * np.uint64(size) + nxt),
+    def build(ctx: np.ndarray, word: np.ndarray, codes: np.ndarray) -> "Level":
+        """Pairs sorted by context and word."""
+        n = len(ctx)
+        first = np.flatnonzero(np.append(True, ctx[1:] != ctx[:-1])) if n else np.zeros(0, np.int64)
+        last = np.append(first[1:], n)[: len(first)] - 1
+        # Each context's words are counted on from the last value of the context before.
+        base = np.cumsum(word[last] + 1) - (word[last] + 1)
+        return Level(
+            EliasFano.encode(ctx[first]),
+            EliasFano.encode(np.append(first, n)),
+            EliasFano.encode(np.repeat(base, last + 1 - first) + word + 1),
             codes,
-            book,
-            discount,
-            size,
         )
 
     def save(self, file) -> None:
-        parts = [a for s in (self.contexts, self.pointers, self.successors) for a in s.arrays()]
-        parts += [self.codes, self.book, np.array([self.discount]), np.array([self.size], np.int64)]
+        parts = [a for s in (self.contexts, self.pointers, self.words) for a in s.arrays()] + [self.codes]
         for a in parts:
-            head = np.array([len(a), a.dtype.itemsize, "if".find(a.dtype.kind) + 1], np.int64)
             raw = np.ascontiguousarray(a).tobytes()
-            file.write(head.tobytes() + raw + b"\0" * (-len(raw) % 8))
+            file.write(np.array([len(a), a.dtype.itemsize], np.int64).tobytes() + raw + b"\0" * (-len(raw) % 8))
         file.flush()
 
     @staticmethod
-    def open(file) -> "Trie":
+    def open(file) -> "Level":
         data, at, parts = np.memmap(file, np.uint8, "r"), 0, []
         while at < len(data):
-            n, width, kind = data[at : at + 24].view(np.int64).tolist()
-            at += 24
-            parts.append(data[at : at + n * width].view(f"{'uif'[kind]}{width}"))
+            n, width = data[at : at + 16].view(np.int64).tolist()
+            at += 16
+            parts.append(data[at : at + n * width].view(np.uint8 if width == 1 else np.int64))
             at += -(-n * width // 8) * 8
-        ef = [EliasFano.of(parts[i : i + 4]) for i in (0, 4, 8)]
-        out = Trie(*ef, parts[12], np.array(parts[13]), float(parts[14][0]), int(parts[15][0]))
-        out.file = file
-        return out
+        return Level(*(EliasFano.of(parts[i : i + 4]) for i in (0, 4, 8)), parts[12])
+
+    def query(self, ctx: np.ndarray, kinds: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Codes and places (-1: not there) of pairs: ascending contexts, how many words each, and these ascending in each."""
+        n = np.full(len(ctx), self.contexts.n)
+        at = self.contexts.find(ctx, np.zeros_like(n), n)
+        first, stop, base = (np.zeros(len(ctx), np.int64) for _ in range(3))
+        known = np.flatnonzero(at >= 0)
+        first[known], stop[known] = self.pointers.get(at[known]), self.pointers.get(at[known] + 1)
+        after = known[first[known] > 0]
+        base[after] = self.words.get(first[after] - 1)
+        wide = [np.repeat(x, kinds) for x in (base, first, stop)]
+        place = self.words.find(wide[0] + word + 1, *wide[1:])
+        return np.where(place >= 0, self.codes[np.maximum(place, 0)] if len(self.codes) else 0, 0).astype(np.uint8), place
 
-    def query(self, ctx: np.ndarray, begin: np.ndarray, nxt: np.ndarray):
-        """Codes of pairs and numbers of successors of contexts; ``begin``: where each context's pairs begin."""
-        place = self.contexts.find(ctx)
-        known = np.flatnonzero(place >= 0)
-        kinds = np.zeros(len(ctx), np.int64)
-        if len(known):
-            ends = self.pointers.get(place[known] + 1)
-            kinds[known] = (ends - self.pointers.get(place[known])).astype(np.int64)
-        number = np.repeat(place, np.diff(np.append(begin, len(nxt))))
-        codes = np.zeros(len(nxt), np.uint8)
-        at = np.flatnonzero(number >= 0)
-        if len(at):
-            found = self.successors.find(number[at].astype(np.uint64) * np.uint64(self.size) + nxt[at])
-            codes[at] = np.where(found >= 0, self.codes[np.maximum(found, 0)], 0)
-        return codes, kinds
+
+class _Local(dict):
+    """Numbers of a block's words, as they come."""
+
+    def __missing__(self, word: bytes) -> int:
+        n = self[word] = len(self)
+        return n
 
 
 def _blocks(block_tokens: int):
     from pyspark import TaskContext
 
     def run(batches):
+        import zstandard
+
         names = ["block", "doc_ids", "held", "lengths", "vocabulary", "words", "train_tokens"]
         part, seq = TaskContext.get().partitionId(), 0
-        hashes = WordHash()
-        docs, held, streams, n = [], [], [], 0
+        local, docs, held, streams, n = _Local(), [], [], [], 0
 
         def block():
-            nonlocal docs, held, streams, n, seq
+            nonlocal local, docs, held, streams, n, seq
             flat = np.concatenate(streams)
-            vocabulary, words = np.unique(flat, return_inverse=True)
+            # Common words get small numbers; words of one frequency lie in the order of their bytes.
+            known = sorted(local)
+            old = np.fromiter(map(local.__getitem__, known), np.int64, len(known))
+            order = np.argsort(-np.bincount(flat)[old], kind="stable")
+            number = np.empty(len(known), np.int64)
+            number[old[order]] = np.arange(len(known))
+            vocabulary = b" ".join([known[i] for i in order.tolist()])
             lengths = np.array([len(s) for s in streams])
-            train = int(lengths[~np.array(held)].sum())
             row = [
                 (part << 32) + seq,
                 docs,
                 held,
                 _pack(lengths),
-                _pack(vocabulary, delta=True),
-                _pack(words),
-                train,
+                zstandard.ZstdCompressor(level=3).compress(vocabulary),
+                _pack(number[flat]),
+                int(lengths[~np.array(held)].sum()),
             ]
             kinds = [pa.int64(), pa.list_(pa.int64()), pa.list_(pa.bool_()), pa.binary(), pa.binary(), pa.binary(), pa.int64()]
-            docs, held, streams, n = [], [], [], 0
+            local, docs, held, streams, n = _Local(), [], [], [], 0
             seq += 1
             return pa.RecordBatch.from_arrays([pa.array([x], k) for x, k in zip(row, kinds, strict=True)], names=names)
 
         for batch in slices(batches):
             for doc, out, text in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
                 words = (text or "").encode("utf-8", "replace").translate(SPACE_WORDS).split()
-                s = np.empty(len(words) + 1, np.uint64)
-                s[:-1] = np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words))
-                s[-1] = END
+                words.append(END)
+                streams.append(np.fromiter(map(local.__getitem__, words), np.int64, len(words)))
                 docs.append(doc)
                 held.append(bool(out))
-                streams.append(s)
-                n += len(s)
+                n += len(words)
                 if n >= block_tokens:
                     yield block()
         if docs:
@@ -262,235 +284,287 @@ BLOCK = "block bigint, doc_ids array<bigint>, held array<boolean>, lengths binar
 
 
 def _train_mask(batch, i: int):
-    lengths = _unpack(batch.column("lengths")[i].as_py()).astype(np.int64)
+    lengths = _unpack(batch.column("lengths")[i].as_py())
     held = np.array(batch.column("held")[i].as_py())
     return lengths, np.repeat(~held, lengths)
 
 
-def _send_words(shift: int):
+def _parts(of: np.ndarray):
+    """Numbers of rows by shard, in order: (shard, rows)."""
+    order = np.argsort(of, kind="stable")
+    ranked = of[order]
+    for part in np.split(order, np.flatnonzero(np.diff(ranked)) + 1):
+        if len(part):
+            yield int(of[part[0]]), part
+
+
+def _rows(rows: list[tuple], kinds: dict) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds.values(), strict=True)], names=list(kinds))
+
+
+WORDS = {"shard": pa.int64(), "block": pa.int64(), "shards": pa.binary(), "words": pa.binary(), "counts": pa.binary()}
+
+
+def _send_words(shards: int):
     def run(batches):
-        names = ["shard", "block", "hashes", "counts"]
+        import zstandard
+
+        z = zstandard.ZstdCompressor(level=3)
         for batch in batches:
             for i in range(batch.num_rows):
-                vocabulary = _unpack(batch.column("vocabulary")[i].as_py(), delta=True)
-                words = _unpack(batch.column("words")[i].as_py()).astype(np.int64)
+                block = batch.column("block")[i].as_py()
+                vocabulary = zstandard.ZstdDecompressor().decompress(batch.column("vocabulary")[i].as_py()).split(b" ")
+                words = _unpack(batch.column("words")[i].as_py())
                 _, train = _train_mask(batch, i)
                 counts = np.bincount(words[train], minlength=len(vocabulary))
-                shard = (vocabulary >> np.uint64(shift)).astype(np.int64) if shift < 64 else np.zeros(len(vocabulary), np.int64)
+                shard = np.fromiter((xxhash.xxh64_intdigest(w) % shards for w in vocabulary), np.int64, len(vocabulary))
                 rows = []
-                for part in np.split(np.arange(len(vocabulary)), np.flatnonzero(np.diff(shard)) + 1):
-                    rows.append((int(shard[part[0]]), batch.column("block")[i].as_py(), _pack(vocabulary[part], delta=True), _pack(counts[part])))
-                kinds = [pa.int64(), pa.int64(), pa.binary(), pa.binary()]
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=names)
+                # What a block's words went to, that it finds their answers again.
+                everywhere = _pack(shard)
+                for s, part in _parts(shard):
+                    raw = z.compress(b"".join([vocabulary[j] + b" " for j in part.tolist()]))
+                    rows.append((s, block, everywhere, raw, _pack(counts[part])))
+                    everywhere = None
+                yield _rows(rows, WORDS)
 
     return run
 
 
+WORD_ANSWER = {"shard": pa.int64(), "block": pa.int64(), "shards": pa.binary(), "totals": pa.binary(), "ranks": pa.binary(), "known": pa.int64()}
+
+
 def _answer_words(key, batches):
-    """Totals and numbers (from 1; 0: never in training) of each block's words."""
-    rows = [r for b in batches for r in zip(*(b.column(i).to_pylist() for i in range(1, 4)), strict=True)]
-    hashes = [_unpack(h, delta=True) for _, h, _ in rows]
-    counts = [_unpack(c) for _, _, c in rows]
-    known, inv = np.unique(np.concatenate(hashes), return_inverse=True)
-    total = np.zeros(len(known), np.uint64)
-    np.add.at(total, inv, np.concatenate(counts))
-    number = np.where(total > 0, np.cumsum(total > 0), 0)
-    once, twice = int((total == 1).sum()), int((total == 2).sum())
-    out, at = [], 0
-    for (block, _, _), h in zip(rows, hashes, strict=True):
-        mine = inv[at : at + len(h)]
-        at += len(h)
-        seen = total[mine] > 0
-        # Numbers of known words ascend with the hash.
-        out.append((key[0].as_py(), block, _pack(total[mine]), _pack(number[mine][seen], delta=True), int(number.max()), once, twice))
-    kinds = [pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.int64(), pa.int64(), pa.int64()]
-    names = ["shard", "block", "totals", "numbers", "size", "once", "twice"]
-    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], names=names)
-
-
-WORD_ANSWER = "shard bigint, block bigint, totals binary, numbers binary, size bigint, once bigint, twice bigint"
+    """Totals and ranks by frequency (from 1; 0: never in training) of each block's words."""
+    import zstandard
+
+    rows = [r for b in batches for r in zip(*(b.column(i).to_pylist() for i in range(1, 5)), strict=True)]
+    arrays, counts = [], []
+    for _, _, words, count in rows:
+        raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(words), np.uint8)
+        offsets = np.append(0, np.flatnonzero(raw == 32) + 1).astype(np.int64)
+        arrays.append(pa.Array.from_buffers(pa.large_binary(), len(offsets) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(raw)]))
+        counts.append(_unpack(count))
+    cuts = np.cumsum([0, *map(len, arrays)])
+    inverse = pa.concat_arrays(arrays).dictionary_encode().indices.to_numpy()
+    del arrays
+    total = np.bincount(inverse, np.concatenate(counts)).astype(np.int64)
+    order = np.argsort(-total, kind="stable")
+    rank = np.empty(len(total), np.int64)
+    rank[order] = np.arange(1, len(total) + 1)
+    rank[total == 0] = 0
+    known = int((total > 0).sum())
+    out = []
+    for (block, shards, *_), a, b in zip(rows, cuts[:-1], cuts[1:], strict=True):
+        mine = inverse[a:b]
+        out.append((key[0].as_py(), block, shards, _pack(total[mine]), _pack(rank[mine]), known))
+        known = 0  # so that a sum over rows counts each shard once
+    yield _rows(out, WORD_ANSWER)
 
 
 class _Known:
-    """What is known of the whole corpus: sizes by word shard, tokens, and the sharding of pairs."""
-
-    def __init__(self, sizes: dict[int, int], tokens: int, once: int, twice: int, shards: int, train_docs: int):
-        self.first, at = {}, 1  # 0 is the unknown word
-        for s in sorted(sizes):
-            self.first[s] = at
-            at += sizes[s]
-        self.v, self.start, self.size = at - 1, at, at + 1
-        self.n, self.shards, self.train_docs = tokens, shards, train_docs
-        self.discount = min(max(once / (once + 2 * twice), 0.1), 0.95) if once else 0.5
+    """What is known of the whole corpus: tokens, vocabulary, documents and the numbers of shards."""
+
+    def __init__(self, tokens: int, words: int, train_docs: int, word_shards: int, shards: int, priors):
+        self.n, self.v, self.train_docs = tokens, words, train_docs
+        self.word_shards, self.shards, self.priors = word_shards, shards, priors
         self.hot = max(1, tokens // (4 * shards))
+        self.book = CodeBook(tokens)
+
+    def prior(self, level: int) -> float:
+        return float(self.priors[min(level - 2, len(self.priors) - 1)])
 
     def p1(self, c: np.ndarray) -> np.ndarray:
-        """Probability of single words by their count, 0 for the unknown one."""
-        if not self.n:
-            return np.ones(len(c))
-        return np.maximum(c - self.discount, 0) / self.n + self.discount * self.v / self.n / (self.v + 1)
+        """Probability of single words by their count, 0 for the unknown one: a prior count of one for each."""
+        return (c + 1.0) / (self.n + self.v + 1.0)
 
 
 class _Pairs:
-    """A block's documents in word numbers, its distinct pairs, and their shards."""
-
-    def __init__(self, batch, i: int, known: _Known):
-        words = _unpack(batch.column("words")[i].as_py()).astype(np.int64)
-        self.lengths, self.train = _train_mask(batch, i)
-        totals, numbers = [], []
-        for a in sorted(batch.column("answers")[i].as_py(), key=lambda a: a["shard"]):
-            t = _unpack(a["totals"]).astype(np.int64)
-            x = np.zeros(len(t), np.int64)
-            x[t > 0] = _unpack(a["numbers"], delta=True).astype(np.int64) + known.first[a["shard"]] - 1
-            totals.append(t)
-            numbers.append(x)
-        totals, numbers = np.concatenate(totals), np.concatenate(numbers)
-        self.count = totals[words]
-        token = numbers[words]
-        ends = np.cumsum(self.lengths)
-        self.begins = ends - self.lengths
-        context = np.empty_like(token)
-        context[1:] = token[:-1]
-        context[self.begins] = known.start
-        total = np.empty_like(token)
-        total[1:] = self.count[:-1]
-        total[self.begins] = known.train_docs
-        self.known = (token > 0) & (context > 0) & (total > 0)
-        key = context[self.known].astype(np.uint64) * np.uint64(known.size) + token[self.known].astype(np.uint64)
-        pairs, first, self.inverse = np.unique(key, return_index=True, return_inverse=True)
-        self.counts = np.bincount(self.inverse[self.train[self.known]], minlength=len(pairs))
-        self.ctx, self.nxt = pairs // np.uint64(known.size), pairs % np.uint64(known.size)
-        self.total = total[self.known][first]
-        # A context with many tokens is spread by its successors; any other goes to one shard.
-        spread = (1 + self.total // known.hot).astype(np.uint64)
-        mix = (self.ctx * np.uint64(0x9E3779B97F4A7C15)) ^ ((self.nxt % spread) * np.uint64(0xC2B2AE3D27D4EB4F))
+    """A block's distinct pairs at one level, and their shards."""
+
+    def __init__(self, ctx: np.ndarray, total: np.ndarray, words: np.ndarray, order: np.ndarray, numbers: np.ndarray, train: np.ndarray, known: _Known):
+        """By token: its context's node and count, its local word; ``order``: rank of a local word by its number."""
+        self.at = np.flatnonzero((total > 0) & (numbers[words] > 0))
+        nodes, first, own = np.unique(ctx[self.at], return_index=True, return_inverse=True)
+        key = own * len(numbers) + order[words[self.at]]
+        pairs, self.inverse = np.unique(key, return_inverse=True)
+        self.counts = np.bincount(self.inverse[train[self.at]], minlength=len(pairs))
+        of, by_rank = pairs // len(numbers), np.empty(len(numbers), np.int64)
+        by_rank[order] = numbers
+        self.ctx, self.word, self.total = nodes[of], by_rank[pairs % len(numbers)], total[self.at][first][of]
+        # A context with many tokens is spread by its words; any other goes to one shard.
+        spread = 1 + self.total // known.hot
+        mix = self.ctx.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) ^ (self.word % spread).astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F)
         mix = (mix ^ (mix >> np.uint64(32))) * np.uint64(0x9E3779B97F4A7C15)
         self.shard = ((mix >> np.uint64(33)) % np.uint64(known.shards)).astype(np.int64)
-        self.order = np.argsort(self.shard, kind="stable")
 
-    def by_shard(self):
-        shard = self.shard[self.order]
-        for part in np.split(self.order, np.flatnonzero(np.diff(shard)) + 1):
-            if len(part):
-                yield int(self.shard[part[0]]), part
 
+class _Block:
+    """A block's tokens and what the levels answered so far."""
 
-def _send_pairs(known: _Known):
+    def __init__(self, batch, i: int, known: _Known, level: int):
+        """``level``: the one to ask for next, or one beyond the last."""
+        self.known = known
+        self.words = _unpack(batch.column("words")[i].as_py())
+        self.lengths, self.train = _train_mask(batch, i)
+        self.begins = np.cumsum(self.lengths) - self.lengths
+        answers = sorted(batch.column("answers1")[i].as_py(), key=lambda a: a["shard"])
+        shard = _unpack(next(a["shards"] for a in answers if a["shards"] is not None))
+        totals, self.numbers = np.zeros(len(shard), np.int64), np.zeros(len(shard), np.int64)
+        for (s, part), a in zip(_parts(shard), answers, strict=True):
+            totals[part] = _unpack(a["totals"])
+            rank = _unpack(a["ranks"])
+            self.numbers[part] = np.where(rank > 0, (rank - 1) * known.word_shards + s + 2, 0)  # 1 is the start of a text
+        self.order = np.empty(len(shard), np.int64)
+        self.order[np.argsort(self.numbers, kind="stable")] = np.arange(len(shard))
+        self.count = totals[self.words]
+        self.node, self.total = self._after(self.numbers[self.words], self.count, 1, known.train_docs)
+        p1 = known.p1(totals.astype(np.float64))
+        self.p = p1[self.words]
+        for k in range(2, level):
+            self._take(k, batch.column(f"answers{k}")[i].as_py() or [])
+
+    def _after(self, node, total, start: int, texts: int):
+        """The contexts of tokens: what stands before them, at the start of a text what is given."""
+        ctx, sums = np.empty_like(node), np.empty_like(total)
+        ctx[1:], sums[1:] = node[:-1], total[:-1]
+        ctx[self.begins], sums[self.begins] = start, texts
+        return ctx, sums
+
+    def pairs(self) -> _Pairs:
+        return _Pairs(self.node, self.total, self.words, self.order, self.numbers, self.train, self.known)
+
+    def _take(self, level: int, answers: list) -> None:
+        pairs, by_shard = self.pairs(), {a["shard"]: a for a in answers}
+        n = len(pairs.ctx)
+        codes, place, counts = np.zeros(n, np.int64), np.zeros(n, np.int64), np.zeros(n, np.int64)
+        for s, part in _parts(pairs.shard):
+            a = by_shard[s]
+            codes[part] = _unpack(a["codes"])
+            if a["places"] is not None:
+                found = part[codes[part] > 0]
+                place[found] = _unpack(a["places"], delta=True) * self.known.shards + s + 1
+                counts[found] = _unpack(a["counts"])
+        m = self.known.prior(level)
+        self.p *= m / (self.total + m)
+        self.p[pairs.at] += self.known.book.values[codes][pairs.inverse]
+        node, total = np.zeros(len(self.words), np.int64), np.zeros(len(self.words), np.int64)
+        node[pairs.at], total[pairs.at] = place[pairs.inverse], counts[pairs.inverse]
+        # A text's first words have no longer context.
+        self.node, self.total = self._after(node, total, 0, 0)
+
+
+PAIR = {"shard": pa.int64(), "block": pa.int64()} | {c: pa.binary() for c in ("ctx", "kinds", "words", "counts", "totals")}
+
+
+def _send_pairs(known: _Known, level: int):
     def run(batches):
-        names = ["shard", "block", "ctx", "kinds", "nxt", "counts", "totals"]
         for batch in batches:
             for i in range(batch.num_rows):
-                p, rows = _Pairs(batch, i, known), []
-                for shard, part in p.by_shard():
+                p, rows = _Block(batch, i, known, level).pairs(), []
+                for shard, part in _parts(p.shard):
                     ctx = p.ctx[part]
                     begin = np.flatnonzero(np.append(True, ctx[1:] != ctx[:-1]))
                     kinds = np.diff(np.append(begin, len(part)))
-                    row = (_pack(ctx[begin], delta=True), _pack(kinds), _pack(p.nxt[part]), _pack(p.counts[part]), _pack(p.total[part][begin]))
+                    row = (_pack(ctx[begin], delta=True), _pack(kinds), _pack(p.word[part]), _pack(p.counts[part]), _pack(p.total[part][begin]))
                     rows.append((shard, batch.column("block")[i].as_py(), *row))
+                del p
                 if rows:
-                    types = [pa.int64(), pa.int64()] + [pa.binary()] * 5
-                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), types, strict=True)], names=names)
+                    yield _rows(rows, PAIR)
+                trim()
 
     return run
 
 
-PAIR = "shard bigint, block bigint, ctx binary, kinds binary, nxt binary, counts binary, totals binary"
-PAIR_ANSWER = "shard bigint, block bigint, codes binary, kinds binary, book array<double>, discount double"
+PAIR_ANSWER = {"shard": pa.int64(), "block": pa.int64()} | {c: pa.binary() for c in ("codes", "places", "counts")}
 
 
-def _answer_pairs(size: int, hot: int):
-    """Build a shard's trie from what all blocks sent, then answer each from it. Rows without a block hold hot contexts."""
+def _answer_pairs(known: _Known, level: int, last: bool):
+    """Build a shard's level from what all blocks sent, then answer each from it."""
 
     def run(key, batches):
         rows = [r for b in batches for r in zip(*(b.column(i).to_pylist() for i in range(1, 7)), strict=True)]
-        keys, counts, heads, totals = [], [], [], []
-        for _, ctx, kinds, nxt, count, total in rows:
-            ctx = _unpack(ctx, delta=True)
-            keys.append(np.repeat(ctx, _unpack(kinds).astype(np.int64)) * np.uint64(size) + _unpack(nxt))
-            counts.append(_unpack(count).astype(np.float64))
-            heads.append(ctx)
-            totals.append(_unpack(total))
-        cuts = np.cumsum([0, *map(len, keys)])
-        pairs, inv = np.unique(np.concatenate(keys), return_inverse=True)
-        count = np.bincount(inv, np.concatenate(counts), minlength=len(pairs))
-        asked, first = np.unique(np.concatenate(heads), return_index=True)
-        totals = np.concatenate(totals)[first].astype(np.float64)
-        del keys, counts
+        blocks, heads, kinds, words, counts, totals = [], [], [], [], [], []
+        while rows:
+            block, a, b, c, d, e = rows.pop()
+            blocks.append(block)
+            heads.append(_unpack(a, delta=True))
+            kinds.append(_unpack(b))
+            words.append(_unpack(c))
+            counts.append(_unpack(d))
+            totals.append(_unpack(e))
+        cuts = np.cumsum([0, *map(len, words)])
+        asked, first, own = np.unique(np.concatenate(heads), return_index=True, return_inverse=True)
+        total = np.concatenate(totals)[first]
+        own = np.repeat(own, np.concatenate(kinds))
+        del heads, kinds, totals
+        words = np.concatenate(words)
+        size = int(words.max()) + 1
+        pairs, inverse = np.unique(own * size + words, return_inverse=True)
+        del own, words
+        count = np.bincount(inverse, np.concatenate(counts), minlength=len(pairs)).astype(np.int64)
+        del counts
+        of, word = pairs // size, pairs % size
+        del pairs
         seen = count > 0
-        ctx, nxt = pairs // np.uint64(size), pairs % np.uint64(size)
-        built = Trie.build(ctx[seen], nxt[seen], count[seen], totals[np.searchsorted(asked, ctx[seen])], size)
-        kinds = [pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.list_(pa.float64()), pa.float64()]
-        names = ["shard", "block", "codes", "kinds", "book", "discount"]
+        codes = known.book.codes(count[seen] / (total[of[seen]] + known.prior(level)))
         with tempfile.TemporaryFile() as file:
-            built.save(file)
-            trie = Trie.open(file)
+            Level.build(asked[of[seen]], word[seen], codes).save(file)
             # All blocks' questions at once, each level walked once from end to end.
-            codes, n = trie.query(asked, np.searchsorted(ctx, asked), nxt)
-            out = []
-            for (block, *_), mine, a, b in zip(rows, heads, cuts[:-1], cuts[1:], strict=True):
-                own = n[np.searchsorted(asked, mine)]
-                out.append((key[0].as_py(), block, _pack(codes[inv[a:b]]), _pack(own), trie.book.tolist(), trie.discount))
-            hot_at = np.flatnonzero(totals >= hot)
-            if len(hot_at):
-                out.append((key[0].as_py(), None, _pack(asked[hot_at], delta=True), _pack(n[hot_at]), [], trie.discount))
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), kinds, strict=True)], names=names)
+            code, place = Level.open(file).query(asked, np.bincount(of, minlength=len(asked)), word)
+        del of, word, seen, codes
+        for block, a, b in zip(blocks, cuts[:-1], cuts[1:], strict=True):
+            mine = inverse[a:b]
+            found = mine[code[mine] > 0]
+            more = (None, None) if last else (_pack(place[found], delta=True), _pack(count[found]))
+            yield _rows([(key[0].as_py(), block, _pack(code[mine]), *more)], PAIR_ANSWER)
         trim()
 
     return run
 
 
-RESULT = "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double"
-
+RESULT = {"doc_id": pa.int64(), "held_out": pa.bool_(), "n_tokens": pa.int64(), "n_known": pa.int64(), "train_tokens": pa.int64(), "base_score": pa.float64(), "score": pa.float64()}
 
-def _score(known: _Known, hot_mass: dict[int, float]):
-    hot_ids = np.array(sorted(hot_mass), np.uint64)
-    hot_values = np.array([hot_mass[i] for i in sorted(hot_mass)])
 
+def _score(known: _Known, order: int):
     def run(batches):
         for batch in batches:
             for i in range(batch.num_rows):
-                p = _Pairs(batch, i, known)
-                share, mass = np.zeros(len(p.ctx)), np.zeros(len(p.ctx))
-                answers = {a["shard"]: a for a in batch.column("pairs")[i].as_py() or ()}
-                for shard, part in p.by_shard():
-                    a = answers[shard]
-                    codes = _unpack(a["codes"]).astype(np.int64)
-                    book = np.append(-np.inf, np.array(a["book"]))
-                    share[part] = 10.0 ** book[codes]
-                    ctx = p.ctx[part]
-                    begin = np.flatnonzero(np.append(True, ctx[1:] != ctx[:-1]))
-                    mass[part] = np.repeat(_unpack(a["kinds"]) * a["discount"], np.diff(np.append(begin, len(part))))
-                if len(hot_ids):
-                    at = np.minimum(np.searchsorted(hot_ids, p.ctx), len(hot_ids) - 1)
-                    is_hot = hot_ids[at] == p.ctx
-                    mass[is_hot] = hot_values[at[is_hot]]
-                p1 = known.p1(p.count.astype(np.float64))
-                prob = p1.copy()
-                inv = p.inverse
-                prob[p.known] = share[inv] + mass[inv] / np.maximum(p.total, 1)[inv] * p1[p.known]
-                sums = lambda x: np.add.reduceat(x, p.begins)
-                base = np.log10((p.count + 1) / (known.n + known.v + 1))
+                b = _Block(batch, i, known, order + 1)
+                sums = lambda x: np.add.reduceat(x, b.begins)
+                base = np.log10((b.count + 1) / (known.n + known.v + 1))
                 cols = [
-                    pa.array(batch.column("doc_ids")[i].as_py(), pa.int64()),
-                    pa.array(batch.column("held")[i].as_py(), pa.bool_()),
-                    pa.array(p.lengths),
-                    pa.array(sums((p.count > 0).astype(np.int64))),
-                    pa.array(np.full(len(p.lengths), known.n, np.int64)),
-                    pa.array(sums(base)),
-                    pa.array(sums(np.log10(prob))),
+                    batch.column("doc_ids")[i].as_py(),
+                    batch.column("held")[i].as_py(),
+                    b.lengths,
+                    sums((b.count > 0).astype(np.int64)),
+                    np.full(len(b.lengths), known.n, np.int64),
+                    sums(base),
+                    sums(np.log10(b.p)),
                 ]
-                yield pa.RecordBatch.from_arrays(cols, names=[f.split()[0] for f in RESULT.split(", ")])
-                del p, share, mass, prob, p1, base, inv
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, RESULT.values(), strict=True)], names=list(RESULT))
+                del b, base
                 trim()
 
     return run
 
 
+def _ddl(kinds: dict) -> str:
+    names = {pa.int64(): "bigint", pa.binary(): "binary", pa.bool_(): "boolean", pa.float64(): "double"}
+    return ", ".join(f"{c} {names[k]}" for c, k in kinds.items())
+
+
+def block_size(tokens: int, least: int = 1_000_000) -> int:
+    """Tokens of a block, of which a shard takes twice as many: ``least``, or as many as leave ``CELL`` pairs for each shard."""
+    return max(least, math.isqrt(CELL * tokens // 2))
+
+
 def score_texts(
     docs: DataFrame,
     held_out,
-    block_tokens: int = 1_000_000,
-    shard_tokens: int = 3_000_000,
+    order: int = 3,
+    block_tokens: int | None = None,
+    shard_tokens: int | None = None,
+    priors: tuple[float, ...] = PRIORS,
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
@@ -498,42 +572,43 @@ def score_texts(
 
     ``held_out`` is a column expression; rows where it holds are scored, not
     learned from (null counts as false). Words are runs of anything but ASCII
-    white space, A-Z lower-cased; each text ends in one end token, null counts
-    as empty. Repeated rows count and are scored each. Other columns are not
-    looked at; an empty table gives no rows.
+    white space, A-Z lower-cased, and are compared byte by byte; each text ends in
+    one end token, null counts as empty. Repeated rows count and are scored each.
+    Other columns are not looked at; an empty table gives no rows. A very long
+    text is a block of its own and held in one task, some 60 bytes a token.
 
-    A word's first token of a text has a start mark as its context. Of a pair
-    with a word or a context never seen in training the word's own probability
-    counts.
+    A text's first word has the start of a text as its context. After a context
+    never seen in training the shorter one alone counts.
     """
+    spark = docs.sparkSession
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.coalesce(held_out, F.lit(False)).alias("held"), F.col(text_col).alias("text"))
-    blocks = materialize(rows.mapInArrow(_blocks(block_tokens), BLOCK), "blocks")
-    stats = blocks.agg(
-        F.sum("train_tokens").alias("n"),
-        F.sum(F.aggregate("held", F.lit(0), lambda a, x: a + (~x).cast("int"))).alias("d"),
-    ).first()
-    tokens = stats["n"] or 0
-    bits = max(0, math.ceil(math.log2(max(1, tokens / shard_tokens))))
-    sent = blocks.select("block", "held", "lengths", "vocabulary", "words").mapInArrow(
-        _send_words(64 - bits), "shard bigint, block bigint, hashes binary, counts binary"
-    )
-    words = materialize(sent.groupBy("shard").applyInArrow(_typed(_answer_words), WORD_ANSWER), "words")
-    # One row per word shard.
-    sizes = words.groupBy("shard").agg(F.max("size").alias("size"), F.max("once").alias("once"), F.max("twice").alias("twice")).collect()
-    known = _Known({r["shard"]: r["size"] for r in sizes}, tokens, sum(r["once"] for r in sizes), sum(r["twice"] for r in sizes), 1 << bits, stats["d"] or 0)
-
-    def answered(columns):
-        by_block = words.groupBy("block").agg(F.collect_list(F.struct("shard", "totals", "numbers")).alias("answers"))
-        return blocks.select(*columns).join(by_block, "block")
-
-    sent = answered(["block", "held", "lengths", "words"]).mapInArrow(_send_pairs(known), PAIR)
-    answer = _typed(_answer_pairs(known.size, known.hot))
-    pairs = materialize(sent.groupBy("shard").applyInArrow(answer, PAIR_ANSWER), "pairs")
-    # Contexts of over a quarter of a shard's tokens: at most four times as many as shards.
-    hot: dict[int, float] = {}
-    for r in pairs.filter("block is null").select("codes", "kinds", "discount").collect():
-        for c, n in zip(_unpack(r["codes"], delta=True).tolist(), _unpack(r["kinds"]).tolist(), strict=True):
-            hot[c] = hot.get(c, 0.0) + n * r["discount"]
-    by_block = pairs.filter("block is not null").groupBy("block").agg(F.collect_list(F.struct("shard", "codes", "kinds", "book", "discount")).alias("pairs"))
-    scored = answered(["block", "doc_ids", "held", "lengths", "words"]).join(by_block, "block", "left")
-    return scored.mapInArrow(_score(known, hot), RESULT)
+    if block_tokens is None:
+        octets = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+        block_tokens = block_size(octets // 6)
+    shard_tokens = shard_tokens or 2 * block_tokens
+    with scratch(spark) as keep:
+        blocks = materialize(rows.mapInArrow(_blocks(block_tokens), BLOCK), "blocks")
+        stats = blocks.agg(
+            F.sum("train_tokens").alias("n"),
+            F.sum(F.size("held") - F.aggregate("held", F.lit(0), lambda a, x: a + x.cast("int"))).alias("d"),
+        ).first()
+        tokens = stats["n"] or 0
+        shards = max(1, -(-tokens // shard_tokens))
+        word_shards = max(1, -(-tokens // (4 * shard_tokens)))
+        sent = blocks.select("block", "held", "lengths", "vocabulary", "words").mapInArrow(_send_words(word_shards), _ddl(WORDS))
+        words = materialize(sent.groupBy("shard").applyInArrow(_typed(_answer_words), _ddl(WORD_ANSWER)), "words")
+        known = _Known(tokens, words.agg(F.sum("known")).first()[0] or 0, stats["d"] or 0, word_shards, shards, priors)
+        answers = [words.select("block", F.struct("shard", "shards", "totals", "ranks").alias("a"))]
+
+        def answered(*columns):
+            out = blocks.select("block", "held", "lengths", "words", *columns)
+            for k, given in enumerate(answers, 1):
+                out = out.join(given.groupBy("block").agg(F.collect_list("a").alias(f"answers{k}")), "block", "left")
+            return out
+
+        for level in range(2, order + 1):
+            sent = answered().mapInArrow(_send_pairs(known, level), _ddl(PAIR))
+            found = sent.groupBy("shard").applyInArrow(_typed(_answer_pairs(known, level, level == order)), _ddl(PAIR_ANSWER))
+            found = materialize(found, f"level{level}")
+            answers.append(found.select("block", F.struct("shard", "codes", "places", "counts").alias("a")))
+        return keep(materialize(answered("doc_ids").mapInArrow(_score(known, order), _ddl(RESULT)), "scores"))

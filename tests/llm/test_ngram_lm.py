@@ -19,34 +19,33 @@ def tokens_of(text):
     return [*(text or "").encode().translate(SPACE_WORDS).split(), b" end"]
 
 
-def truth(docs):
+def truth(docs, order=3, priors=ngram_lm.PRIORS):
     """(doc_id, held, text) to exact results, the score with frequencies not quantised."""
-    uni, bi, ctx, after = Counter(), Counter(), Counter(), defaultdict(set)
+    counts, after = Counter(), Counter()
     for _, held, text in docs:
         if not held:
-            t = tokens_of(text)
-            uni.update(t)
-            for a, b in zip([b" start", *t], t, strict=False):
-                bi[a, b] += 1
-                ctx[a] += 1
-                after[a].add(b)
+            t = [b" start", *tokens_of(text)]
+            for n in range(1, order + 1):
+                for i in range(len(t) - n + 1):
+                    gram = tuple(t[i : i + n])
+                    if gram != (b" start",):
+                        counts[gram] += 1
+                        after[gram[:-1]] += 1
+    uni = {g[0]: c for g, c in counts.items() if len(g) == 1}
     n, v = sum(uni.values()), len(uni)
-
-    def discount(counts):
-        once, twice = sum(c == 1 for c in counts), sum(c == 2 for c in counts)
-        return min(max(once / (once + 2 * twice), 0.1), 0.95) if once else 0.5
-
-    d1, d2 = discount(uni.values()), discount(bi.values())
     out = {}
     for i, held, text in docs:
-        t, base, score = tokens_of(text), 0.0, 0.0
-        for a, b in zip([b" start", *t], t, strict=False):
-            base += math.log10((uni[b] + 1) / (n + v + 1))
-            p = max(uni[b] - d1, 0) / n + d1 * v / n / (v + 1) if n else 1.0
-            if uni[b] and ctx[a]:
-                p = max(bi[a, b] - d2, 0) / ctx[a] + d2 * len(after[a]) / ctx[a] * p
+        t, base, score = [b" start", *tokens_of(text)], 0.0, 0.0
+        for j in range(1, len(t)):
+            c = uni.get(t[j], 0)
+            base += math.log10((c + 1) / (n + v + 1))
+            p = (c + 1) / (n + v + 1)
+            for k in range(2, order + 1):
+                if j - k + 1 >= 0:
+                    m, ctx = priors[min(k - 2, len(priors) - 1)], tuple(t[j - k + 1 : j])
+                    p = (counts[(*ctx, t[j])] + m * p) / (after[ctx] + m)
             score += math.log10(p)
-        out[i] = (held, len(t), sum(uni[w] > 0 for w in t), n, base, score)
+        out[i] = (held, len(t) - 1, sum(w in uni for w in t[1:]), n, base, score)
     return out
 
 
@@ -63,7 +62,7 @@ def compare(rows, want, loss):
 @settings(max_examples=150, deadline=None)
 @given(st.lists(st.integers(0, 1 << 40), min_size=1, max_size=200), st.integers(1, 4))
 def test_elias_fano(values, scale):
-    values = np.sort(np.array(values, np.uint64) >> np.uint64(10 * (scale - 1)))
+    values = np.sort(np.array(values, np.int64) >> (10 * (scale - 1)))
     ngram_lm.CHUNK = 16
     try:
         ef = ngram_lm.EliasFano.encode(values)
@@ -71,23 +70,40 @@ def test_elias_fano(values, scale):
         assert np.array_equal(ef.get(np.arange(len(values))), values)
         distinct = np.unique(values)
         ef = ngram_lm.EliasFano.encode(distinct)
-        keys = np.unique(np.append(distinct, distinct + np.uint64(1)))
-        found = ef.find(keys)
-        assert np.array_equal(found >= 0, np.isin(keys, distinct))
-        assert np.array_equal(distinct[found[found >= 0]], keys[found >= 0])
+        keys = np.unique(np.append(distinct, distinct + 1))
+        n = len(distinct)
+        for first, stop in ((0, n), (n // 3, n - n // 4), (n // 2, n // 2)):
+            found = ef.find(keys, np.full(len(keys), first), np.full(len(keys), stop))
+            assert np.array_equal(found >= 0, np.isin(keys, distinct[first:stop]))
+            assert np.array_equal(distinct[found[found >= 0]], keys[found >= 0])
+    finally:
+        ngram_lm.CHUNK = 4096
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.sets(st.tuples(st.integers(0, 12), st.integers(0, 30)), min_size=1), st.sets(st.tuples(st.integers(0, 13), st.integers(0, 40)), min_size=1))
+def test_level_on_disk(held, asked):
+    """Words of other contexts, or over a context's last one, are not found in it."""
+    held, asked = sorted(held), sorted(asked)
+    ngram_lm.CHUNK = 8
+    try:
+        with tempfile.TemporaryFile() as f:
+            c, w = np.array(held).T
+            ngram_lm.Level.build(c, w, (np.arange(len(held)) % 255 + 1).astype(np.uint8)).save(f)
+            ctx, kinds = np.unique([a for a, _ in asked], return_counts=True)
+            codes, place = ngram_lm.Level.open(f).query(ctx, kinds, np.array([b for _, b in asked]))
     finally:
         ngram_lm.CHUNK = 4096
+    want = [held.index(x) if x in held else -1 for x in asked]
+    assert place.tolist() == want
+    assert codes.tolist() == [x % 255 + 1 if x >= 0 else 0 for x in want]
 
 
-def test_trie_on_disk():
-    ctx = np.array([3, 3, 3, 9, 12], np.uint64)
-    nxt = np.array([0, 5, 19, 5, 1], np.uint64)
-    trie = ngram_lm.Trie.build(ctx, nxt, np.array([4.0, 1, 1, 2, 7]), np.array([6.0, 6, 6, 2, 7]), 20)
-    with tempfile.TemporaryFile() as f:
-        trie.save(f)
-        got = ngram_lm.Trie.open(f)
-        codes, kinds = got.query(np.array([2, 3, 12], np.uint64), np.array([0, 1, 4]), np.array([5, 0, 6, 19, 1], np.uint64))
-    assert kinds.tolist() == [0, 3, 1] and (codes > 0).tolist() == [False, True, False, True, True]
+def test_codes_round_down():
+    book = ngram_lm.CodeBook(1_000_000)
+    share = np.append(10.0 ** -np.linspace(0.0001, 6, 999), [0.0, 0.5, 1.0])
+    value = book.values[book.codes(share)]
+    assert (value <= share).all() and (value[:999] > share[:999] / 10 ** (8.01 / 254)).all()
 
 
 def test_table(spark, sf):
@@ -99,17 +115,37 @@ def test_table(spark, sf):
     assert gain > 0
 
 
-def test_many_blocks_and_shards(spark):
+@pytest.mark.parametrize("order", [1, 2, 3, 4])
+def test_many_blocks_and_shards(spark, order):
     rng = random.Random(2)
     docs = [(i, i % 5 == 0, " ".join(rng.choice(["the", "The", "a", f"w{rng.randrange(300)}"]) for _ in range(rng.randrange(60)))) for i in range(300)]
+    docs += [(300 + i, i % 2 == 0, "over and over the very same words " * 3) for i in range(40)]
     df = spark.createDataFrame(docs, "doc_id long, held boolean, text string")
-    rows = ngram_lm.score_texts(df, F.col("held"), block_tokens=400, shard_tokens=1500).collect()
-    # Shards have discounts of their own, so scores differ a little.
-    want = truth(docs)
-    assert {r["doc_id"]: tuple(r)[1:5] for r in rows} == {i: w[:4] for i, w in want.items()}
-    for r in rows:
-        assert r["base_score"] == pytest.approx(want[r["doc_id"]][4])
-        assert abs(r["score"] - want[r["doc_id"]][5]) < 0.15 * r["n_tokens"]
+    few = ngram_lm.score_texts(df, F.col("held"), order=order, block_tokens=400, shard_tokens=1500).collect()
+    compare(few, truth(docs, order), 0.05)
+    # Numbers of blocks and shards change nothing.
+    one = {r["doc_id"]: r["score"] for r in ngram_lm.score_texts(df, F.col("held"), order=order).collect()}
+    for r in few:
+        assert r["score"] == pytest.approx(one[r["doc_id"]], rel=1e-9)
+
+
+def test_repeated_texts_stand_out(spark, sf):
+    """A held-out text with a copy in training scores far above those without one."""
+    t = pd.read_parquet(f"{sf}/documents.parquet")
+    held = [zlib.crc32(str(i).encode()) % 7 == 2 for i in t["doc_id"]]
+    seen = set(t["text"][[not h for h in held]])
+    rows = {r["doc_id"]: r["score"] / r["n_tokens"] for r in queries.op6_ngram_lm(spark, sf).collect()}
+    again = [rows[i] for i, x, h in zip(t["doc_id"], t["text"], held, strict=True) if h and x in seen]
+    alone = [rows[i] for i, x, h in zip(t["doc_id"], t["text"], held, strict=True) if h and x not in seen]
+    assert not again or np.median(again) > np.median(alone) + 0.5
+
+
+def test_sizes_grow_with_the_square_root():
+    """Rows of an exchange (blocks times shards) are at most the pairs by CELL, whatever the corpus."""
+    for tokens in (10**6, 10**9, 10**11, 10**13):
+        size = ngram_lm.block_size(tokens)
+        rows = max(1, tokens / size) * max(1, tokens / (2 * size))
+        assert rows <= 1.01 * max(tokens / ngram_lm.CELL, tokens / size)
 
 
 def test_odd_rows(spark, odd_docs, no_docs):
