@@ -49,15 +49,23 @@ def shared_dir(spark: SparkSession) -> str:
     return at.rstrip("/")
 
 
-def slices(batches, rows: int = 256):
+def slices(batches, rows: int = 256, octets: int = 4 << 20):
     """Cut Arrow batches: as Python objects a whole one can be ten times as large.
 
-    At the end what the allocators still hold goes back to the system, as the
-    worker process lives on for other tasks.
+    A slice has at most so many rows and, unless it is one row, bytes. At the
+    end what the allocators still hold goes back to the system, as the worker
+    process lives on for other tasks.
     """
     for batch in batches:
         for at in range(0, batch.num_rows, rows):
-            yield batch.slice(at, rows)
+            todo = [batch.slice(at, rows)]
+            while todo:
+                part = todo.pop()
+                half = part.num_rows // 2
+                if half and part.nbytes > octets:
+                    todo += [part.slice(half), part.slice(0, half)]
+                else:
+                    yield part
     trim()
 
 

@@ -1,8 +1,11 @@
 """Packing into fixed-length sequences: first-fit decreasing in random groups.
 
 Documents are tokenised in whole, cut into pieces of at most ``capacity`` ids
-and dealt to groups at random (by a hash of the document). Each group packs its
-pieces on its own, longest first, into the first bin with room, which a
+and dealt to groups at random, piece by piece: the hash takes in the piece's
+start, its ids and its place in its partition, so neither the pieces of a giant
+document nor rows that repeat one meet in one group. (The place is stable where
+the documents come from files or a written table.) Each group packs its pieces
+on its own, longest first, into the first bin with room, which a
 tournament tree over the bins' free space finds in logarithmic time. Only the
 pieces' addresses travel; ids stay where they were made.
 """
@@ -17,7 +20,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import LOWER_BYTES, slices
+from .common import slices
 
 PIECES = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint"
 
@@ -25,15 +28,31 @@ PIECES = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_toke
 TAIL = b".,;:!?#$%&*|()"
 
 
+def _ends_in_letter(core: bytes) -> bool:
+    """A last letter of ASCII or Latin up to U+024F but U+0130, whose lower case ends in a mark."""
+    if not core:
+        return False
+    if core[-1] < 128:
+        return core[-1:].isalpha()
+    last = core[-2:].decode("utf-8", "replace")[-1]
+    return "\u00c0" <= last <= "\u024f" and last != "\u0130" and last.isalpha()
+
+
+def _lowered(raw: bytes) -> list[bytes]:
+    return [c.lower() if c.isascii() else c for c in raw.split()]
+
+
 class ChunkEncoder:
     """Token ids of a text as little-endian 32-bit words, by chunks between ASCII white space.
 
-    The tokenizer drops white space, ignores the case of A-Z and none of its
-    rules reaches across white space, or from a run of letters into marks other
-    than the apostrophe. So a text's ids are those of its chunks in a row, and a
-    chunk of letters with marks behind is cut there. Runs of letters are encoded
-    many at a time and told apart by their word-end ids. Chunks seen are kept,
-    up to a bound; then the store starts anew.
+    The tokenizer drops white space and none of its rules reaches across it, so a
+    text's ids are those of its chunks in a row. Chunks of ASCII alone may be
+    lower-cased beforehand; in others a capital may compose with a mark where the
+    small letter does not, or the other way round. Marks behind a chunk are cut
+    off where the last letter before them stays a letter by itself under NFC and
+    lower-casing (``_ends_in_letter``). Runs of letters are encoded many at a time
+    and told apart by their word-end ids. Chunks seen are kept, up to a bound;
+    then the store starts anew.
     """
 
     def __init__(self, path: str, bound: int = 400_000):
@@ -74,13 +93,12 @@ class ChunkEncoder:
         seen, letters, others, joined = self.seen, set(), set(), []
         for c in chunks:
             core = c.rstrip(TAIL)
-            if core.decode().isalpha():
-                letters.add(core)
-                if len(core) < len(c):
-                    others.add(c[len(core) :])
-                    joined.append((c, core, c[len(core) :]))
+            if len(core) < len(c) and _ends_in_letter(core):
+                others.add(c[len(core) :])
+                joined.append((c, core, c[len(core) :]))
             else:
-                others.add(c)
+                core = c
+            (letters if core.decode().isalpha() else others).add(core)
         self._letters([w for w in letters if w not in seen])
         self._others([c for c in others if c not in seen])
         for c, core, tail in joined:
@@ -89,7 +107,7 @@ class ChunkEncoder:
     def texts(self, texts: list[str]) -> list[bytes]:
         raw = [(t or "").encode("utf-8", "replace") for t in texts]
         # Names of special tokens are told apart by case, so such texts stay as they are.
-        chunks = [(r if b"<|" in r else r.translate(LOWER_BYTES)).split() for r in raw]
+        chunks = [r.split() if b"<|" in r else r.lower().split() if r.isascii() else _lowered(r) for r in raw]
         wanted = {c for words in chunks for c in words}
         if len(self.seen) + len(wanted) > self.bound:
             self.seen = {}
@@ -114,25 +132,28 @@ def cut(docs: DataFrame, tokenizer: str, capacity: int, end_id: int, id_col: str
     def pieces(batches):
         import os
 
+        from pyspark import TaskContext
+
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        enc = encoder(tokenizer)
+        enc, at = encoder(tokenizer), TaskContext.get().partitionId() << 40
         for part in slices(batches, 512):
             ids, texts = part.column(0).to_pylist(), part.column(1).to_pylist()
             rows = []
             for doc, data in zip(ids, enc.texts(texts), strict=True):
                 data += end
                 n = len(data) // 4
+                at += 1
                 for s in range(0, n, capacity):
                     piece = data[4 * s : 4 * (s + capacity)]
-                    rows.append((doc, s, len(piece) // 4, zlib.crc32(piece), n))
+                    rows.append((doc, s, len(piece) // 4, zlib.crc32(piece), n, at))
             cols = list(zip(*rows, strict=True))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, pa.int64()) for c in cols],
-                names=["doc_id", "start", "length", "ids_crc32", "doc_tokens"],
+                names=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "place"],
             )
 
     source = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
-    return source.mapInArrow(pieces, PIECES)
+    return source.mapInArrow(pieces, PIECES + ", place bigint")
 
 
 class Tournament:
@@ -194,11 +215,15 @@ def pack(
 ) -> DataFrame:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset.
 
-    A null or empty text is its end id alone. Groups hold about ``group_rows``
-    documents; their number follows the row count. Rows that repeat a document
-    are packed each. Other columns are not looked at; no rows give no rows.
+    A null or empty text is its end id alone; a null identifier is one like any
+    other. Groups hold about ``group_rows`` pieces; their number follows the rows
+    and bytes of the table. Rows that repeat a document are packed each. A very
+    long text is tokenised by one task, which holds its ids, and packed by many.
+    Other columns are not looked at; no rows give no rows.
     """
-    groups = max(1, -(-docs.count() // group_rows))
+    size = docs.agg(F.count(F.lit(1)).alias("rows"), F.sum(F.octet_length(text_col)).alias("bytes")).first()
+    # Some five bytes an id; a document has its whole pieces and one more.
+    groups = max(1, -(-(size["rows"] + (size["bytes"] or 0) // (5 * capacity)) // group_rows))
 
     def packed(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
         part = part.sort_values(["doc_id", "start", "ids_crc32"], kind="stable")
@@ -208,6 +233,6 @@ def pack(
         return part[["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]]
 
     dealt = cut(docs, tokenizer, capacity, end_id, id_col, text_col).withColumn(
-        "deal", F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.lit(groups))
+        "deal", F.pmod(F.xxhash64("doc_id", "start", "ids_crc32", "place", F.lit(seed)), F.lit(groups))
     )
     return dealt.groupBy("deal").applyInPandas(packed, PIECES + ", sequence_id bigint, offset bigint")

@@ -213,6 +213,41 @@ def test_op5_chunks_equal_whole_texts():
         assert enc.texts([text])[0] == b"".join(x.to_bytes(4, "little") for x in want), text
 
 
+def test_op5_marks_after_every_letter_that_changes():
+    """Every character that NFC or lower-casing changes, and capitals before combining marks, beside each mark."""
+    import unicodedata
+
+    from tokenizers import Tokenizer
+
+    path = queries.tokenizer_path("word_bpe_49k.json")
+    t, enc = Tokenizer.from_file(path), packing.ChunkEncoder(path)
+    odd = [c for c in map(chr, range(128, 0x110000)) if unicodedata.category(c) not in ("Cs", "Cn", "Co") and (unicodedata.normalize("NFC", c) != c or c.lower() != c or unicodedata.combining(c))]
+    marks = [chr(b) for b in packing.TAIL] + ["!?", "'s", "'"]
+    texts = [f"al{c}{m} {m}{c} {c}{m}x Q{c}" for i, c in enumerate(odd) for m in (marks[i % len(marks)], marks[(i + 7) % len(marks)])]
+    texts += [f"AL{c}{m} {m}{c}" for c in "İıſẞΣςÅKfiﬁǅ" for m in marks]
+    texts += [f"{a}{c}{m}" for a in "ABCDEFGHIJKLMNOPQRSTUVWXYZ" for c in map(chr, range(0x300, 0x340)) for m in ".!"]
+    want = [b"".join(x.to_bytes(4, "little") for x in e.ids) for e in t.encode_batch(texts, add_special_tokens=False)]
+    wrong = [x for x, a, b in zip(texts, enc.texts(texts), want, strict=True) if a != b]
+    assert not wrong, wrong[:5]
+
+
+def test_op5_one_identifier_is_spread(spark):
+    """Rows of one identifier and the pieces of a giant text are dealt to many groups, and every id is packed once."""
+    path = queries.tokenizer_path("word_bpe_49k.json")
+    rows = [(None, "the same")] * 300 + [(7, f"text {i}") for i in range(300)] + [(8, "word " * 60_000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = packing.pack(df, path, group_rows=40).collect()
+    groups = defaultdict(set)
+    for r in got:
+        groups[r["doc_id"]].add(r["sequence_id"] >> 32)
+    assert all(len(g) > 5 for g in groups.values())
+    assert sum(r["length"] for r in got if r["doc_id"] == 8) == 60_001
+    used = Counter()
+    for r in got:
+        used[r["sequence_id"]] += r["length"]
+    assert max(used.values()) <= 2048
+
+
 @given(st.lists(st.integers(1, 50), max_size=60))
 def test_op5_first_fit(lengths):
     got = packing.first_fit_decreasing(lengths, 50)
