@@ -134,3 +134,12 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     if _open:
         _open[-1].append(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+#: Rows of a written table up to which it is broadcast; beyond, both sides of a join are shuffled.
+FEW = 200_000
+
+
+def few(table: DataFrame) -> DataFrame:
+    """``table``, to be broadcast if it has few rows. It should be a written one: it is counted."""
+    return F.broadcast(table) if table.count() <= FEW else table

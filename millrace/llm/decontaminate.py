@@ -1,15 +1,22 @@
 """Benchmark decontamination by a prefix-filtered set join.
 
-Items are cut into windows of ``size`` words (a shorter item is one window).
-A window is the set of its shingles; to contain it, a document must hold all of
-them, so one suffices as its prefix. Shingles are ordered by rarity, measured
-over the whole corpus, and each window joins on its rarest. A shared shingle
-fixes where the window would start: it must lie inside the document (length and
-position), and then all its words are compared.
-
-The benchmark side is what is held in memory. It is taken in blocks of at most
-``block_windows`` windows; documents pass through the blocks one after another
-in the same task, without a shuffle, and carry their hits along.
+1. Items are cut into windows of ``size`` words (a shorter item is one window),
+   a table with a row for each window of an item. To contain a window, a text
+   must hold all of its shingles of ``shingle`` words, so one of them suffices as
+   its prefix.
+2. Shingles are ordered by rarity: one pass over the corpus counts those that
+   windows have. Each window joins on its rarest one.
+3. A second pass emits the places where a text has a prefix shingle, with the
+   words around, and they are joined with the windows on the shingle's hash. The
+   shingle's place fixes where the window would start: it must lie inside the
+   text (length and position), and then all its words are compared.
+4. Hits are added up by text; a text's digest is the key, so copies of one text
+   are searched into one result.
+
+Both passes skip shingles that no window has by a bitmap of two probes, the only
+thing that travels to the workers. It has 64 bits for a shingle and 2^28 at most
+(32 MB); a larger benchmark lets more places through to the join, which is
+exact. Neither documents nor windows are held in memory or shuffled whole.
 """
 
 from __future__ import annotations
@@ -21,9 +28,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql import types as T
 
-from .common import ALNUM_WORDS, slices
+from .common import ALNUM_WORDS, few, materialize, scratch, slices
+from .jaccard_join import MIX, WordHash, _typed
 
-HITS, ITEMS = "__dc_hits", "__dc_items"
+MOST_BITS, SLICE_BITS = 28, 22
+RESULT = ["__dc_n_words", "__dc_n_hit", "__dc_n_items", "__dc_items_sha256", "__dc_items"]
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -36,70 +45,175 @@ def windows_of(words: list[bytes], size: int):
     return [tuple(words[i : i + size]) for i in range(max(1, len(words) - size + 1))]
 
 
-def _shingles(window: tuple, k: int) -> list[tuple]:
-    return [window[i : i + k] for i in range(max(1, len(window) - k + 1))]
+def _windows(size: int):
+    def run(batches):
+        for batch in slices(batches):
+            rows = []
+            for item, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                rows += [(item, b" ".join(w).decode(), len(w)) for w in set(windows_of(words_of(text), size))]
+            if rows:
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), (pa.string(), pa.string(), pa.int32()), strict=True)], names=["item", "w", "n"]
+                )
+
+    return run
+
+
+def _hashes(words: np.ndarray, width: int) -> np.ndarray:
+    """Hashes of all runs of ``width`` hashed words."""
+    n = len(words) - width + 1
+    x = np.full(max(0, n), width, np.uint64)
+    for i in range(width if n > 0 else 0):
+        x = (x ^ words[i : i + n]) * MIX
+        x ^= x >> np.uint64(29)
+    return x
+
+
+def _hashed(words: list[bytes], hashes: WordHash) -> np.ndarray:
+    return np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words))
+
+
+def _shingles(k: int):
+    def run(batches):
+        hashes = WordHash()
+        for batch in slices(batches, 4096):
+            ws = batch.column(0).to_pylist()
+            found = []
+            for w in ws:
+                words = _hashed(w.encode().split(b" "), hashes)
+                found.append(_hashes(words, min(k, len(words))))
+            counts = np.array([len(x) for x in found], np.int64)
+            at = np.concatenate([np.arange(c) for c in counts])
+            rows = np.repeat(np.arange(len(ws)), counts)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).take(pa.array(rows)), batch.column(1).take(pa.array(rows)), pa.array(at.astype(np.int32)), pa.array(np.concatenate(found).view(np.int64))],
+                names=["w", "n", "at", "h"],
+            )
+
+    return run
+
+
+class Bitmap:
+    """Which shingles may be there: two probes of a hash."""
+
+    def __init__(self, bits: int, data: np.ndarray):
+        self.bits, self.data = bits, data
+
+    @staticmethod
+    def probes(h: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+        return tuple((x >> np.uint64(64 - bits)).astype(np.int64) for x in (h * MIX, (h ^ (h >> np.uint64(32))) * np.uint64(0xC2B2AE3D27D4EB4F)))
+
+    def has(self, h: np.ndarray) -> np.ndarray:
+        """Places of hashes that may be there."""
+        a, b = self.probes(h, self.bits)
+        at = np.flatnonzero(self.data[a >> 3] >> (a & 7).astype(np.uint8) & 1)
+        b = b[at]
+        return at[(self.data[b >> 3] >> (b & 7).astype(np.uint8) & 1).astype(bool)]
+
+    @staticmethod
+    def of(hashes: DataFrame) -> "Bitmap":
+        """From a column of hashes, slice by slice; what comes to the driver is bounded by ``MOST_BITS``."""
+        import zstandard
+
+        bits = int(np.clip(np.ceil(np.log2(64 * max(1, hashes.count()))), 10, MOST_BITS))
+        wide = 1 << max(0, min(bits, SLICE_BITS) - 3)
+
+        def mark(batches):
+            data = np.zeros(1 << (bits - 3), np.uint8)
+            for batch in batches:
+                for at in Bitmap.probes(batch.column(0).to_numpy().view(np.uint64), bits):
+                    np.bitwise_or.at(data, at >> 3, (1 << (at & 7)).astype(np.uint8))
+            z = zstandard.ZstdCompressor(level=1)
+            for i, part in enumerate(data.reshape(-1, wide)):
+                if part.any():
+                    yield pa.RecordBatch.from_arrays([pa.array([i], pa.int32()), pa.array([z.compress(part.tobytes())])], names=["slice", "x"])
+
+        def join(key, batches):
+            z, out = zstandard.ZstdDecompressor(), np.zeros(wide, np.uint8)
+            for batch in batches:
+                for x in batch.column(1).to_pylist():
+                    out |= np.frombuffer(z.decompress(x), np.uint8)
+            yield pa.RecordBatch.from_arrays([pa.array([key[0].as_py()], pa.int32()), pa.array([out.tobytes()])], names=["slice", "x"])
+
+        schema = "slice int, x binary"
+        data = np.zeros((1 << (bits - 3)) // wide * wide, np.uint8).reshape(-1, wide)
+        for r in hashes.mapInArrow(mark, schema).groupBy("slice").applyInArrow(_typed(join), schema).collect():
+            data[r["slice"]] = np.frombuffer(r["x"], np.uint8)
+        return Bitmap(bits, data.reshape(-1))
+
+
+def _count(bitmap: Bitmap, widths: list[int]):
+    """How often each shingle that windows may have occurs."""
+
+    def run(batches):
+        hashes, held, n = WordHash(), [], 0
+
+        def out():
+            h, c = np.unique(np.concatenate(held), return_counts=True)
+            return pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(c)], names=["h", "c"])
+
+        for batch in slices(batches):
+            for text in batch.column(0).to_pylist():
+                words = _hashed(words_of(text), hashes)
+                for width in widths:
+                    h = _hashes(words, width)
+                    h = h[bitmap.has(h)]
+                    if len(h):
+                        held.append(h)
+                        n += len(h)
+            if n > 200_000:
+                yield out()
+                held, n = [], 0
+        if held:
+            yield out()
+
+    return run
+
 
+def _key(text: str | None) -> bytes:
+    return hashlib.blake2b((text or "").encode("utf-8", "replace"), digest_size=16).digest()
 
-def _blocks(benchmark: DataFrame, size: int, block_windows: int, item_col: str, text_col: str):
-    """Windows to their items, block by block; windows come to the driver a block at a time."""
-    rows = benchmark.select(F.col(item_col).cast("string").alias("i"), F.col(text_col).alias("t"))
-    block: dict[tuple, set[str]] = {}
-    for r in rows.toLocalIterator():
-        for w in windows_of(words_of(r["t"]), size):
-            block.setdefault(w, set()).add(r["i"] or "")
-            if len(block) >= block_windows:
-                yield block
-                block = {}
-    yield block
 
+PLACE = "key binary, pos bigint, h bigint, around string, lead int"
 
-def _frequencies(docs: DataFrame, text_col: str, shingles: set[tuple], k: int) -> dict[tuple, int]:
-    """How often each shingle of a block occurs in the documents."""
-    index = {s: i for i, s in enumerate(sorted(shingles, key=lambda s: (len(s), s)))}
-    heads = {s[0] for s in index}
-    lengths = sorted({len(s) for s in index})
 
-    def count(batches):
-        found = np.zeros(len(index), np.int64)
+def _places(bitmap: Bitmap, widths: list[int], size: int):
+    """Where a text has a prefix shingle, and the words around."""
+
+    def run(batches):
+        hashes = WordHash()
         for batch in slices(batches):
+            rows = []
             for text in batch.column(0).to_pylist():
                 words = words_of(text)
-                for i in [i for i, w in enumerate(words) if w in heads]:
-                    for n in lengths:
-                        at = index.get(tuple(words[i : i + n]))
-                        if at is not None:
-                            found[at] += 1
-        at = np.flatnonzero(found)
-        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(found[at])], names=["at", "n"])
-
-    counts = docs.select(text_col).mapInArrow(count, "at bigint, n bigint").groupBy("at").agg(F.sum("n").alias("n"))
-    by_at = {r["at"]: r["n"] for r in counts.collect()}
-    return {s: by_at.get(i, 0) for s, i in index.items()}
-
-
-class Matcher:
-    """Finds a block's windows in documents."""
-
-    def __init__(self, windows: dict[tuple, set[str]], frequency: dict[tuple, int], k: int):
-        self.index: dict[tuple, list[tuple[int, tuple, tuple]]] = {}
-        for w, items in windows.items():
-            shingles = _shingles(w, k)
-            at = min(range(len(shingles)), key=lambda i: (frequency[shingles[i]], i))
-            self.index.setdefault(shingles[at], []).append((at, w, tuple(sorted(items))))
-        self.heads = {s[0] for s in self.index}
-        self.lengths = sorted({len(s) for s in self.index})
-
-    def find(self, words: list[bytes]) -> tuple[list[tuple[int, int]], set[str]]:
-        spans, items, n = [], set(), len(words)
-        heads = self.heads
-        for i in [i for i, w in enumerate(words) if w in heads]:
-            for length in self.lengths:
-                for at, window, its in self.index.get(tuple(words[i : i + length]), ()):
-                    s = i - at
-                    if s >= 0 and s + len(window) <= n and tuple(words[s : s + len(window)]) == window:
-                        spans.append((s, s + len(window)))
-                        items.update(its)
-        return spans, items
+                hashed, key = _hashed(words, hashes), None
+                for width in widths:
+                    h = _hashes(hashed, width)
+                    at = bitmap.has(h)
+                    if len(at):
+                        key = key or _key(text)
+                        for i, x in zip(at.tolist(), h[at].view(np.int64).tolist(), strict=True):
+                            first = max(0, i - size + 1)
+                            rows.append((key, i, x, b" ".join(words[first : i + size]).decode(), i - first))
+            if rows:
+                kinds = (pa.binary(), pa.int64(), pa.int64(), pa.string(), pa.int32())
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=["key", "pos", "h", "around", "lead"]
+                )
+
+    return run
+
+
+def _counted(text_col: str, names: list[str]):
+    """Rows with their text's key and number of words."""
+
+    def run(batches):
+        for batch in slices(batches):
+            texts = batch.column(text_col).to_pylist()
+            cols = [pa.array([_key(t) for t in texts], pa.binary()), pa.array([len(words_of(t)) for t in texts], pa.int64())]
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), *cols], names=[*names, "__dc_key", RESULT[0]])
+
+    return run
 
 
 def decontaminate(
@@ -107,87 +221,55 @@ def decontaminate(
     benchmark: DataFrame,
     size: int = 10,
     shingle: int = 3,
-    block_windows: int = 200_000,
     text_col: str = "text",
     item_col: str = "item_id",
     item_text_col: str = "text",
 ) -> DataFrame:
-    """``docs`` with columns __dc_n_words, __dc_n_hit, __dc_n_items, __dc_items_sha256.
+    """``docs`` with columns __dc_n_words, __dc_n_hit, __dc_n_items, __dc_items_sha256, __dc_items.
 
     A word is hit inside any occurrence of a window. Null and empty texts have
     no words and no hits; items without words have no windows; equal windows of
-    several items count for each; an item without an id marks words, but is not
-    counted or listed; repeated rows are judged each by itself. With
-    an empty benchmark nothing is hit. Columns of ``docs`` stay as they are.
+    several items count for each; items go by their id as a string, whatever it
+    holds, an item without an id marks words, but is not counted or listed;
+    repeated rows are judged each by itself. With an empty benchmark nothing is
+    hit; no rows give no rows. Columns of ``docs`` stay as they are, but those
+    that have a name of the result are replaced. A text is held whole by one
+    task, its words some 60 bytes each.
     """
-    out = docs.select("*", F.lit(None).cast("binary").alias(HITS), F.lit(None).cast("string").alias(ITEMS))
-    schema = out.schema
-    last = None
-    for block in _blocks(benchmark, size, block_windows, item_col, item_text_col):
-        if not block:
-            continue
-        if last is not None:
-            out = out.mapInArrow(last, schema)
-        shingles = {s for w in block for s in _shingles(w, shingle)}
-        matcher = Matcher(block, _frequencies(docs, text_col, shingles, shingle), shingle)
-        last = _passing(matcher, text_col)
-    final = T.StructType(
-        docs.schema.fields
-        + [
-            T.StructField("__dc_n_words", T.LongType()),
-            T.StructField("__dc_n_hit", T.LongType()),
-            T.StructField("__dc_n_items", T.LongType()),
-            T.StructField("__dc_items_sha256", T.StringType()),
-        ]
+    spark = docs.sparkSession
+    names = [c for c in docs.columns if c not in RESULT]
+    texts = docs.select(F.col(f"`{text_col}`").alias("text"))
+    rows = benchmark.select(F.col(item_col).cast("string").alias("item"), F.col(item_text_col).alias("text"))
+    with scratch(spark) as keep:
+        windows = materialize(rows.mapInArrow(_windows(size), "item string, w string, n int").distinct(), "windows")
+        shingles = materialize(windows.select("w", "n").distinct().mapInArrow(_shingles(shingle), "w string, n int, at int, h bigint"), "shingles")
+        widths = sorted({min(shingle, r["n"]) for r in shingles.select("n").distinct().collect()})  # ``size`` rows at most
+        counts = texts.mapInArrow(_count(Bitmap.of(shingles.select("h").distinct()), widths), "h bigint, c bigint").groupBy("h").agg(F.sum("c").alias("c"))
+        ranked = shingles.join(counts, "h", "left").groupBy("w", "n")
+        rarest = ranked.agg(F.min(F.struct(F.coalesce("c", F.lit(0)).alias("c"), "at", "h")).alias("x"))
+        prefix = materialize(rarest.select("w", "n", "x.at", "x.h"), "prefixes")
+        places = texts.mapInArrow(_places(Bitmap.of(prefix.select("h").distinct()), widths, size), PLACE).dropDuplicates(["key", "pos", "h"])
+        inside = F.slice(F.split("around", " "), F.col("lead") - F.col("at") + 1, F.col("n"))
+        hits = places.join(few(prefix), "h").filter("lead >= at").filter(F.array_join(inside, " ") == F.col("w"))
+        hits = materialize(hits.select("key", (F.col("pos") - F.col("at")).alias("s"), (F.col("pos") - F.col("at") + F.col("n")).alias("e"), "w"), "hits")
+        union = F.aggregate(
+            F.array_sort("spans"),
+            F.struct(F.lit(0).cast("bigint").alias("e"), F.lit(0).cast("bigint").alias("n")),
+            lambda a, x: F.struct(F.greatest(a["e"], x["e"]).alias("e"), (a["n"] + F.greatest(F.lit(0), x["e"] - F.greatest(a["e"], x["s"]))).alias("n")),
+            lambda a: a["n"],
+        )
+        spans = hits.groupBy("key").agg(F.collect_set(F.struct("s", "e")).alias("spans")).select("key", union.alias("n_hit"))
+        named = windows.filter("item IS NOT NULL").select("w", "item")
+        items = hits.select("key", "w").distinct().join(few(named), "w").groupBy("key").agg(F.array_sort(F.collect_set("item")).alias("items"))
+        found = keep(materialize(spans.join(items, "key", "left").withColumnRenamed("key", "__dc_key"), "contaminated"))
+    schema = T.StructType([docs.schema[c] for c in names] + [T.StructField("__dc_key", T.BinaryType()), T.StructField(RESULT[0], T.LongType())])
+    out = docs.mapInArrow(_counted(text_col, names), schema).join(few(found), "__dc_key", "left")
+    items = F.coalesce("items", F.array().cast("array<string>"))
+    return out.select(
+        *[F.col(f"`{c}`") for c in names],
+        RESULT[0],
+        F.coalesce("n_hit", F.lit(0)).alias(RESULT[1]),
+        F.size(items).cast("bigint").alias(RESULT[2]),
+        F.sha2(F.encode(F.array_join(items, ","), "UTF-8"), 256).alias(RESULT[3]),
+        items.alias(RESULT[4]),
     )
-    return out.mapInArrow(_finish(text_col, last), final)
-
-
-def _passing(matcher: Matcher, text_col: str):
-    def run(batches):
-        for batch in slices(batches):
-            texts = batch.column(text_col).to_pylist()
-            hits, items = batch.column(HITS).to_pylist(), batch.column(ITEMS).to_pylist()
-            for i, text in enumerate(texts):
-                spans, its = matcher.find(words_of(text))
-                if spans:
-                    hits[i] = (hits[i] or b"") + np.array(spans, np.int64).tobytes()
-                    items[i] = "\n".join(sorted(its.union((items[i] or "").split("\n")) - {""}))
-            n = batch.num_columns
-            cols = [*batch.columns[: n - 2], pa.array(hits, batch.schema.field(n - 2).type), pa.array(items, batch.schema.field(n - 1).type)]
-            yield pa.RecordBatch.from_arrays(cols, schema=batch.schema)
-
-    return run
-
-
-def _finish(text_col: str, last=None):
-    """The result's columns, in the worker that did the last block."""
-
-    def run(batches):
-        for batch in slices(batches) if last is None else last(batches):
-            texts = batch.column(text_col).to_pylist()
-            n_words, n_hit, n_items, shas = [], [], [], []
-            for text, hits, items in zip(
-                texts, batch.column(HITS).to_pylist(), batch.column(ITEMS).to_pylist(), strict=True
-            ):
-                n = len(words_of(text))
-                n_words.append(n)
-                hit = 0
-                if hits:
-                    change = np.zeros(n + 1, np.int64)
-                    spans = np.frombuffer(hits, np.int64).reshape(-1, 2)
-                    np.add.at(change, spans[:, 0], 1)
-                    np.add.at(change, spans[:, 1], -1)
-                    hit = int((np.cumsum(change) > 0).sum())
-                n_hit.append(hit)
-                its = sorted(set((items or "").split("\n")) - {""})
-                n_items.append(len(its))
-                shas.append(hashlib.sha256(",".join(its).encode()).hexdigest())
-            cols = [*batch.columns[: batch.num_columns - 2]]
-            cols += [pa.array(x, pa.int64()) for x in (n_words, n_hit, n_items)] + [pa.array(shas, pa.string())]
-            names = batch.schema.names[: batch.num_columns - 2]
-            yield pa.RecordBatch.from_arrays(
-                cols, names=[*names, "__dc_n_words", "__dc_n_hit", "__dc_n_items", "__dc_items_sha256"]
-            )
-
-    return run
