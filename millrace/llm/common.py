@@ -69,13 +69,15 @@ def slices(batches, rows: int = 256, octets: int = 4 << 20):
     trim()
 
 
-def trim() -> None:
+def trim(collect: bool = True) -> None:
+    """Give memory that is free back to the system."""
     import ctypes
     import gc
 
     import pyarrow as pa
 
-    gc.collect()
+    if collect:
+        gc.collect()
     pa.default_memory_pool().release_unused()
     try:
         ctypes.CDLL(None).malloc_trim(0)

@@ -79,6 +79,19 @@ def _unpack(b: bytes, delta: bool = False) -> np.ndarray:
     return np.cumsum(a) if delta else a
 
 
+def _unique(key: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct values, where each is first and which one each element is; sorts keys and places as one number if they fit."""
+    bits = max(1, len(key).bit_length())
+    if not len(key) or int(key.max()) >> (62 - bits):
+        return np.unique(key, return_index=True, return_inverse=True)
+    both = np.sort((key << bits) | np.arange(len(key)))
+    at, key = both & ((1 << bits) - 1), both >> bits
+    new = np.append(True, key[1:] != key[:-1])
+    inverse = np.empty(len(key), np.int64)
+    inverse[at] = np.cumsum(new) - 1
+    return key[new], at[new], inverse
+
+
 class EliasFano:
     """A sequence that never falls: low bits side by side, high bits as unary steps."""
 
@@ -242,12 +255,11 @@ def _blocks(block_tokens: int):
         def block():
             nonlocal local, docs, held, streams, n, seq
             flat = np.concatenate(streams)
-            # Common words get small numbers; words of one frequency lie in the order of their bytes.
-            known = sorted(local)
-            old = np.fromiter(map(local.__getitem__, known), np.int64, len(known))
-            order = np.argsort(-np.bincount(flat)[old], kind="stable")
+            # Common words get small numbers.
+            known = list(local)
+            order = np.argsort(-np.bincount(flat), kind="stable")
             number = np.empty(len(known), np.int64)
-            number[old[order]] = np.arange(len(known))
+            number[order] = np.arange(len(known))
             vocabulary = b" ".join([known[i] for i in order.tolist()])
             lengths = np.array([len(s) for s in streams])
             row = [
@@ -291,7 +303,7 @@ def _train_mask(batch, i: int):
 
 def _parts(of: np.ndarray):
     """Numbers of rows by shard, in order: (shard, rows)."""
-    order = np.argsort(of, kind="stable")
+    order = np.argsort(of.astype(np.uint16) if len(of) and of.max() < 1 << 16 else of, kind="stable")
     ranked = of[order]
     for part in np.split(order, np.flatnonzero(np.diff(ranked)) + 1):
         if len(part):
@@ -384,9 +396,9 @@ class _Pairs:
     def __init__(self, ctx: np.ndarray, total: np.ndarray, words: np.ndarray, order: np.ndarray, numbers: np.ndarray, train: np.ndarray, known: _Known):
         """By token: its context's node and count, its local word; ``order``: rank of a local word by its number."""
         self.at = np.flatnonzero((total > 0) & (numbers[words] > 0))
-        nodes, first, own = np.unique(ctx[self.at], return_index=True, return_inverse=True)
+        nodes, first, own = _unique(ctx[self.at])
         key = own * len(numbers) + order[words[self.at]]
-        pairs, self.inverse = np.unique(key, return_inverse=True)
+        pairs, _, self.inverse = _unique(key)
         self.counts = np.bincount(self.inverse[train[self.at]], minlength=len(pairs))
         of, by_rank = pairs // len(numbers), np.empty(len(numbers), np.int64)
         by_rank[order] = numbers
@@ -470,7 +482,7 @@ def _send_pairs(known: _Known, level: int):
                 del p
                 if rows:
                     yield _rows(rows, PAIR)
-                trim()
+                trim(collect=False)
 
     return run
 
@@ -493,13 +505,13 @@ def _answer_pairs(known: _Known, level: int, last: bool):
             counts.append(_unpack(d))
             totals.append(_unpack(e))
         cuts = np.cumsum([0, *map(len, words)])
-        asked, first, own = np.unique(np.concatenate(heads), return_index=True, return_inverse=True)
+        asked, first, own = _unique(np.concatenate(heads))
         total = np.concatenate(totals)[first]
         own = np.repeat(own, np.concatenate(kinds))
         del heads, kinds, totals
         words = np.concatenate(words)
         size = int(words.max()) + 1
-        pairs, inverse = np.unique(own * size + words, return_inverse=True)
+        pairs, _, inverse = _unique(own * size + words)
         del own, words
         count = np.bincount(inverse, np.concatenate(counts), minlength=len(pairs)).astype(np.int64)
         del counts
@@ -517,7 +529,7 @@ def _answer_pairs(known: _Known, level: int, last: bool):
             found = mine[code[mine] > 0]
             more = (None, None) if last else (_pack(place[found], delta=True), _pack(count[found]))
             yield _rows([(key[0].as_py(), block, _pack(code[mine]), *more)], PAIR_ANSWER)
-        trim()
+        trim(collect=False)
 
     return run
 
@@ -543,7 +555,7 @@ def _score(known: _Known, order: int):
                 ]
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, RESULT.values(), strict=True)], names=list(RESULT))
                 del b, base
-                trim()
+                trim(collect=False)
 
     return run
 
