@@ -376,6 +376,34 @@ def test_op10_groups_over_partitions(spark, keep):
     assert set(empty["__xd_group_size"]) == {2} and got["__xd_kept"].sum() == 302
 
 
+@pytest.mark.parametrize("keep", ["smallest", "largest"])
+def test_op10_common_beginnings(spark, keep):
+    """Texts that share their beginning and large groups among them, cut over partitions in the middle of it."""
+    start = "the very same beginning of all of these "
+    rng = random.Random(4)
+    rows = [(i, start + (f"own {i}" if i % 4 else f"group {rng.choice('aaabc')}" + "x" * 50)) for i in range(2000)]
+    rows += [(i, start) for i in range(2000, 2300)] + [(None, start + "own 1"), (None, "alone"), (None, "alone")]
+    df = spark.createDataFrame([(*r, "s") for r in rows], "doc_id long, text string, __xd_kept string").repartition(9)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "37")
+    try:
+        got = exact_dedup.exact_dedup(df, keep=keep, carry=["doc_id", "text", "__xd_kept"]).toPandas()
+        short = exact_dedup.exact_dedup(df, keep=keep, sizes=False).filter("__xd_kept").count()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    by = defaultdict(list)
+    for i, t in rows:
+        by[t].append(i)
+    best = max if keep == "largest" else min
+    want = {t: (best([i for i in ids if i is not None], default=None), len(ids)) for t, ids in by.items()}
+    for r in got.to_dict("records"):
+        k, n = want[r["text"]]
+        assert (None if pd.isna(r["__xd_keep_id"]) else r["__xd_keep_id"], r["__xd_group_size"]) == (k, n)
+    kept = got[got["__xd_kept"]]
+    assert len(kept) == len(by) == short
+    assert all(pd.isna(i) if want[t][0] is None else i == want[t][0] for i, t in zip(kept["doc_id"], kept["text"], strict=True))
+
+
 def test_op10_odd_rows(spark, odd_docs, no_docs):
     got = exact_dedup.exact_dedup(odd_docs, carry=odd_docs.columns).toPandas()
     assert len(got) == odd_docs.count() and got.columns[:8].tolist() == odd_docs.columns
