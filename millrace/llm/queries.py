@@ -36,7 +36,7 @@ SHARDS = sharding.ShardTree.balanced(5, 2, 4)
 
 
 def op3_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sharding.assign_shards(_table(spark, sf_dir, "documents"), SHARDS, SHARDS.with_new_shard())
+    return sharding.assign_shards(_table(spark, sf_dir, "documents"), SHARDS)
 
 
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -105,6 +105,33 @@ QUERIES = {
 }
 
 ORACLE_SQL = {
+    # A CRC is taken byte by byte from a table that eight shifts make; equal weights leave the draws of a level as they are.
+    "op3_shard": r"""
+        WITH bits AS (
+            SELECT list(list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, x: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY i) AS crc
+            FROM (SELECT unnest(range(256)) AS i)
+        ), b AS (
+            SELECT doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents
+        ), d AS (
+            SELECT doc_id, coalesce(doc_id::VARCHAR, 'null') AS k, len(x) // 2 + 16 AS size,
+                xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(range(1, len(x), 2), lambda i: ('0x' || x[i:i+1])::BIGINT)),
+                    lambda c, y: xor(c >> 8, crc[1 + (xor(c, y) & 255)]))) AS text_crc32
+            FROM b, bits
+        ), g AS (
+            SELECT *, list_transform(range(6), lambda i: -ln((('0x' || md5(k || '|g' || i)[:13])::BIGINT + 0.5) / 4503599627370496) / CASE WHEN i = 5 THEN 1 ELSE 8 END) AS u FROM d
+        ), r AS (
+            SELECT *, list_position(u[:5], list_min(u[:5])) - 1 AS region, list_position(u, list_min(u)) = 6 AS moves FROM g
+        ), q AS (
+            SELECT *, list_transform(range(2), lambda i: -ln((('0x' || md5(k || '|r' || region || '.' || i)[:13])::BIGINT + 0.5) / 4503599627370496)) AS v FROM r
+        ), a AS (SELECT *, list_position(v, list_min(v)) - 1 AS rack FROM q),
+        z AS (
+            SELECT *, list_transform(range(4), lambda i: -ln((('0x' || md5(k || '|s' || region || '.' || rack || '.' || i)[:13])::BIGINT + 0.5) / 4503599627370496)) AS w FROM a
+        ), s AS (SELECT *, (region * 8 + rack * 4 + list_position(w, list_min(w)) - 1)::INTEGER AS shard FROM z)
+        SELECT doc_id, size::BIGINT AS size, text_crc32, 'key' AS law, shard,
+            row_number() OVER (PARTITION BY shard ORDER BY ('0x' || md5(k || '|' || text_crc32 || '|' || size)[:13])::BIGINT, doc_id, text_crc32, size) - 1 AS slot,
+            CASE WHEN moves THEN 40 ELSE shard END::INTEGER AS grown_shard
+        FROM s
+    """,
     "op8_ngram_jaccard": r"""
         WITH RECURSIVE w AS (
             SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x09-\x0D\x20]+'), lambda x: x <> '') AS ws

@@ -146,6 +146,8 @@ def test_op3_weights(spark):
     rows = df.collect()
     n = Counter(r["a"] for r in rows)
     assert [round(n[i] / 20_000, 1) for i in range(4)] == [0.1, 0.4, 0.2, 0.2] or abs(n[1] / 20_000 - 0.375) < 0.02
+    both = sharding.with_shard(spark.range(20_000), F.col("id"), base, "a", "c", 2.0).collect()
+    assert {(r["id"], r["a"], r["c"]) for r in both} == {(r["id"], r["a"], r["c"]) for r in rows}
     moved = [(r["a"], r["b"]) for r in rows if r["a"] != r["b"]]
     # The weights of region 0 and of its second rack rose: rows move into that region, or inside it into that rack.
     assert moved and all(b < 3 and (a == 3 or b == 2) for a, b in moved)
@@ -153,14 +155,32 @@ def test_op3_weights(spark):
 
 
 def test_op3_odd_rows(spark, odd_docs, no_docs):
-    rows = sharding.assign_shards(odd_docs, queries.SHARDS, queries.SHARDS.with_new_shard()).collect()
+    rows = sharding.assign_shards(odd_docs, queries.SHARDS, cell_rows=1).collect()
     assert len(rows) == odd_docs.count()
     assert {r["size"] for r in rows if r["doc_id"] in (3, 4)} == {16}
     slots = defaultdict(list)
     for r in rows:
         slots[r["shard"]].append(r["slot"])
     assert all(sorted(s) == list(range(len(s))) for s in slots.values())
-    assert sharding.assign_shards(no_docs, queries.SHARDS, queries.SHARDS).count() == 0
+    assert sharding.assign_shards(no_docs, queries.SHARDS).count() == 0
+
+
+def test_op3_equals_sql(spark, sf):
+    same_rows(queries.op3_shard(spark, sf), queries.ORACLE_SQL["op3_shard"], {"documents": pd.read_parquet(f"{sf}/documents.parquet")})
+
+
+def test_op3_one_row_many_times(spark, monkeypatch):
+    monkeypatch.setattr(sharding, "BLOCK", 7)
+    df = spark.createDataFrame([(1, "same")] * 500 + [(2, f"text {i}") for i in range(500)], "doc_id long, text string")
+    rows = sharding.assign_shards(df, queries.SHARDS, cell_rows=3).collect()
+    assert len(rows) == 1000
+    for i in (1, 2):
+        shards = {r["shard"] for r in rows if r["doc_id"] == i}
+        assert len(shards) == 1
+    slots = defaultdict(list)
+    for r in rows:
+        slots[r["shard"]].append(r["slot"])
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
 
 
 # --- op5 ---------------------------------------------------------------------------------
