@@ -114,7 +114,7 @@ ORACLE_SQL = {
             SELECT doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents
         ), d AS (
             SELECT doc_id, coalesce(doc_id::VARCHAR, 'null') AS k, len(x) // 2 + 16 AS size,
-                xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(range(1, len(x), 2), lambda i: ('0x' || x[i:i+1])::BIGINT)),
+                xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(regexp_extract_all(x, '..'), lambda h: ('0x' || h)::BIGINT)),
                     lambda c, y: xor(c >> 8, crc[1 + (xor(c, y) & 255)]))) AS text_crc32
             FROM b, bits
         ), g AS (

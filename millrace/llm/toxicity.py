@@ -4,7 +4,8 @@ A word's embedding is the sum of the hashed embeddings of the word and of its
 first four and five characters (insults come in families of one stem). Filters
 of widths 1, 2 and 3 run over a whole text; each keeps its largest response, and
 a linear layer on those gives the logit. As filters are linear before pooling,
-each distinct word of a batch is multiplied once and positions only add rows.
+each distinct word of a part is multiplied once and positions only add rows. A
+long text is walked part by part, with the largest responses carried along.
 
 Thresholds are calibrated by language on labelled rows that the weights were
 not trained on. The language is told from function words of the text itself.
@@ -13,12 +14,13 @@ The labelled sample is bounded by ``per_class`` and ``calibration`` rows.
 
 from __future__ import annotations
 
+import copy
 import zlib
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 from pyspark.sql import types as T
 
 from .common import ALNUM_WORDS, slices
@@ -45,6 +47,17 @@ def _buckets(word: bytes) -> tuple[int, int, int]:
     return tuple(zlib.crc32(p) % (BUCKETS - 1) + 1 for p in parts)  # bucket 0 is padding
 
 
+@dataclass
+class Part:
+    """Pieces of texts: words' buckets, positions as indices into them (0 is padding), where pieces begin, whose they are, which go on."""
+
+    rows: np.ndarray
+    ids: np.ndarray
+    starts: np.ndarray
+    owner: np.ndarray
+    more: np.ndarray
+
+
 class Vocabulary:
     """Words to buckets, kept up to a bound."""
 
@@ -52,29 +65,59 @@ class Vocabulary:
         self.seen: dict[bytes, tuple[int, int, int]] = {}
         self.bound = bound
 
-    def batch(self, texts: list[str | None]):
-        """Distinct words' buckets, positions as indices into them (0 is padding), starts of the texts, languages."""
-        if len(self.seen) > self.bound:
-            self.seen = {}
-        seen, local = self.seen, {b"": 0}
-        ids, starts, langs = [], [], []
-        for text in texts:
-            words = (text or "").encode("utf-8", "replace").translate(ALNUM_WORDS).split()
-            starts.append(len(ids))
-            ids += [local.setdefault(w, len(local)) for w in words] or [0]
-            ids += [0, 0]
-            votes = [0] * (len(FUNCTION_WORDS) + 1)
-            for w in words:
-                votes[LANGUAGE.get(w, -1)] += 1
-            best = max(range(len(FUNCTION_WORDS)), key=lambda i: votes[i])
-            langs.append(best if votes[best] else len(FUNCTION_WORDS))
-        rows = [(0, 0, 0)]
-        for w in list(local)[1:]:
+    def buckets(self, words) -> np.ndarray:
+        """A row for each word, after one for the padding."""
+        seen, rows = self.seen, [(0, 0, 0)]
+        if len(seen) > self.bound:
+            seen.clear()
+        for w in words:
             got = seen.get(w)
             if got is None:
                 got = seen[w] = _buckets(w)
             rows.append(got)
-        return np.array(rows, np.int32), np.array(ids, np.int32), np.array(starts, np.int64), np.array(langs)
+        return np.array(rows, np.int32)
+
+    def parts(self, texts: list[str | None], votes: np.ndarray, octets: int = 1 << 20):
+        """``Part`` by ``Part`` of about so many bytes; adds up what words say of each text's language."""
+        local, ids, starts, owner, more, size = {b"": 0}, [], [], [], [], 0
+        for i, text in enumerate(texts):
+            for words, before, goes_on in pieces(text, octets):
+                starts.append(len(ids))
+                owner.append(i)
+                more.append(goes_on)
+                for w in words:
+                    votes[i, LANGUAGE.get(w, -1)] += 1
+                ids += [local.setdefault(w, len(local)) for w in before + words] or [0]
+                ids += [0, 0]
+                size += sum(map(len, words)) + len(words)
+                if size >= octets:
+                    yield Part(self.buckets(list(local)[1:]), *map(np.array, (ids, starts, owner, more)))
+                    local, ids, starts, owner, more, size = {b"": 0}, [], [], [], [], 0
+        if ids:
+            yield Part(self.buckets(list(local)[1:]), *map(np.array, (ids, starts, owner, more)))
+
+
+def pieces(text: str | None, octets: int):
+    """A text's words by pieces of about so many bytes: (words, the two words before them, whether more follow)."""
+    raw = (text or "").encode("utf-8", "replace").translate(ALNUM_WORDS)
+    at, before, held = 0, [], None
+    while at < len(raw):
+        stop = raw.find(b" ", at + octets)
+        stop = len(raw) if stop < 0 else stop
+        words = raw[at:stop].split()
+        at = stop
+        if words:
+            if held:
+                yield *held, True
+            held = (words, before)
+            before = (before + words)[-2:]
+    yield *(held or ([], [])), False
+
+
+def languages(votes: np.ndarray) -> np.ndarray:
+    """Index of the language with most function words, the number of languages where there are none."""
+    own = votes[:, :-1]
+    return np.where(own.max(axis=1) > 0, own.argmax(axis=1), own.shape[1])
 
 
 @dataclass
@@ -95,8 +138,13 @@ class Model:
         out = (rng.standard_normal(FILTERS * len(WIDTHS)) * 0.3).astype(np.float32)
         return Model(e, f, [np.zeros(FILTERS, np.float32) for _ in WIDTHS], out, np.zeros(1, np.float32))
 
-    def responses(self, rows, ids, starts):
-        """Word vectors, and by width the responses at each position and the largest in each text."""
+    def responses(self, part: Part):
+        """Word vectors, and by width the responses at each position and the largest in each piece.
+
+        Filters reach over a text's end into padding. Where a piece goes on they
+        don't: the next one has its last two words once more.
+        """
+        rows, ids, starts = part.rows, part.ids, part.starts
         vectors = self.embedding[rows].sum(1)
         n = len(ids)
         stop = np.append(starts[1:], n)
@@ -107,23 +155,29 @@ class Model:
             for o in range(1, w):
                 z[: n - o] += (vectors @ filt[o])[ids[o:]]
             z[pads] = -np.inf
+            for o in range(1, w):
+                over = (stop - 2 - o)[part.more]
+                z[over[over >= starts[part.more]]] = -np.inf
             every.append((z, np.maximum.reduceat(z, starts, axis=0)))
         return vectors, every
 
-    def logits(self, rows, ids, starts) -> np.ndarray:
-        _, every = self.responses(rows, ids, starts)
-        pooled = np.concatenate([np.maximum(top + b, 0) for (_, top), b in zip(every, self.bias, strict=True)], axis=1)
-        return pooled @ self.out + self.prior[0]
-
-    def scores(self, batch) -> np.ndarray:
-        rows, ids, starts, langs = batch
-        x = self.logits(rows, ids, starts) - self.thresholds[langs]
-        return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
-
-    def step(self, batch, y: np.ndarray, sums: list[np.ndarray], rate: float) -> None:
-        """One Adagrad step on the logistic loss."""
-        rows, ids, starts, _ = batch
-        vectors, every = self.responses(rows, ids, starts)
+    def logits(self, texts: list[str | None], vocabulary: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
+        """Logits and languages of whole texts, held a part at a time."""
+        votes = np.zeros((len(texts), len(FUNCTION_WORDS) + 1), np.int64)
+        pooled = np.full((len(texts), FILTERS * len(WIDTHS)), -np.inf, np.float32)
+        for part in vocabulary.parts(texts, votes):
+            _, every = self.responses(part)
+            np.maximum.at(pooled, part.owner, np.concatenate([top for _, top in every], axis=1))
+        return np.maximum(pooled + np.concatenate(self.bias), 0) @ self.out + self.prior[0], languages(votes)
+
+    def scores(self, texts: list[str | None], vocabulary: Vocabulary) -> np.ndarray:
+        x, langs = self.logits(texts, vocabulary)
+        return 1 / (1 + np.exp(-np.clip(x - self.thresholds[langs], -30, 30)))
+
+    def step(self, part: Part, y: np.ndarray, sums: list[np.ndarray], rate: float) -> None:
+        """One Adagrad step on the logistic loss; a piece for each text."""
+        rows, ids, starts = part.rows, part.ids, part.starts
+        vectors, every = self.responses(part)
         acts = [np.maximum(top + b, 0) for (_, top), b in zip(every, self.bias, strict=True)]
         pooled = np.concatenate(acts, axis=1)
         logit = pooled @ self.out + self.prior[0]
@@ -163,21 +217,55 @@ class Model:
         self.embedding[touched] -= rate * g / (np.sqrt(sums[0][touched]) + 1e-6)
 
 
-def train(texts: list[str], y: np.ndarray, epochs: int = 8, steps: int = 500, rate: float = 0.08, seed: int = 11) -> Model:
-    """At least so many epochs and, up to 60 epochs, so many steps: small samples are passed more often."""
+class Sample:
+    """Texts as numbers of words, cut into words once for all epochs."""
+
+    def __init__(self, texts: list[str]):
+        local: dict[bytes, int] = {b"": 0}
+        self.texts = []
+        for text in texts:
+            words = (text or "").encode("utf-8", "replace").translate(ALNUM_WORDS).split()
+            self.texts.append(np.array([*([local.setdefault(w, len(local)) for w in words] or [0]), 0, 0], np.int32))
+        self.rows = Vocabulary(len(local) + 1).buckets(list(local)[1:])
+
+    def part(self, which) -> Part:
+        some = [self.texts[i] for i in which]
+        lengths = np.array([len(t) for t in some])
+        words, ids = np.unique(np.concatenate(some), return_inverse=True)
+        k = np.arange(len(some))
+        return Part(self.rows[words], ids, np.cumsum(lengths) - lengths, k, np.zeros(len(some), bool))
+
+
+def _loss(x: np.ndarray, y: np.ndarray) -> float:
+    return float(np.logaddexp(0, np.where(y == 1, -x, x)).mean())
+
+
+def train(texts: list[str], y: np.ndarray, tune: tuple[list[str], np.ndarray] | None = None, epochs: int = 8, steps: int = 500, rate: float = 0.08, seed: int = 11) -> Model:
+    """At least so many epochs and, up to 60 epochs, so many steps: small samples are passed more often.
+
+    It ends early where the loss on the rows of ``tune`` has not fallen by a
+    fiftieth for two epochs, and takes the epoch with the least.
+    """
     epochs = min(60, max(epochs, -(-steps * 64 // len(texts))))
-    model, vocabulary = Model.fresh(seed), Vocabulary()
+    model, sample = Model.fresh(seed), Sample(texts)
     sums = [np.full_like(model.embedding, 1e-4)] + [
         np.full_like(p, 1e-4)
         for p in [model.out, model.prior] + [x for k in range(len(WIDTHS)) for x in (model.filters[k], model.bias[k])]
     ]
-    rng = np.random.default_rng(seed)
+    rng, best, least, since = np.random.default_rng(seed), None, np.inf, 0
     for _ in range(epochs):
         order = rng.permutation(len(texts))
         for at in range(0, len(order), 64):
             part = order[at : at + 64]
-            model.step(vocabulary.batch([texts[i] for i in part]), y[part].astype(np.float32), sums, rate)
-    return model
+            model.step(sample.part(part), y[part].astype(np.float32), sums, rate)
+        if tune is not None:
+            loss = _loss(model.logits(tune[0], Vocabulary())[0], tune[1])
+            since = 0 if loss < 0.98 * least else since + 1
+            if loss < least:
+                best, least = copy.deepcopy(model), loss
+            if since == 2:
+                break
+    return best or model
 
 
 def _threshold(logits: np.ndarray, y: np.ndarray) -> float:
@@ -193,12 +281,7 @@ def _threshold(logits: np.ndarray, y: np.ndarray) -> float:
 
 def calibrate(model: Model, texts: list[str], y: np.ndarray, least: int = 25) -> None:
     """Set the thresholds by language; a language with few labelled rows gets the common one."""
-    vocabulary, logits, langs = Vocabulary(), [], []
-    for at in range(0, len(texts), 128):
-        rows, ids, starts, lang = vocabulary.batch(texts[at : at + 128])
-        logits.append(model.logits(rows, ids, starts))
-        langs.append(lang)
-    x, lang = np.concatenate(logits), np.concatenate(langs)
+    x, lang = model.logits(texts, Vocabulary())
     common = _threshold(x, y)
     for i in range(len(model.thresholds)):
         own = lang == i
@@ -213,13 +296,16 @@ def fit(
     held_out: int = 0,
     per_class: int = 3000,
     calibration: int = 6000,
+    sample_octets: int = 96 << 20,
     id_col: str = "doc_id",
     text_col: str = "text",
     label_col: str = "toxic",
 ) -> Model | None:
     """Train on at most ``per_class`` rows of either label and calibrate on at most ``calibration`` others.
 
-    Rows whose ``crc32(id) % folds`` is ``held_out`` are never read for their
+    All of them together have ``sample_octets`` bytes at most: rows are taken in
+    the order of a hash as long as they fit, and a text of over a megabyte is not
+    learned from. Of several texts of one document the least is taken. Rows whose ``crc32(id) % folds`` is ``held_out`` are never read for their
     labels. Null labels count as none; of several labels of one document the
     highest counts. Without both labels there is no model.
     """
@@ -238,46 +324,43 @@ def fit(
         mine = known.filter((F.col("fold") != tuning) & (F.col("y") == label))
         wanted = wanted.unionByName(mine.orderBy(mix, "id").limit(per_class))
     # At most calibration + 2 * per_class rows, so small enough to broadcast.
-    sample = (
-        docs.filter(fold != held_out)
-        .select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text"))
-        .join(F.broadcast(wanted), "id")
-        .toArrow()
-        .sort_by([("id", "ascending"), ("text", "ascending")])
-    )
+    found = docs.filter(fold != held_out).select(F.col(id_col).cast("bigint").alias("id"), F.coalesce(text_col, F.lit("")).alias("text"))
+    found = found.filter(F.octet_length("text") <= 1 << 20).join(F.broadcast(wanted.withColumn("mix", mix)), "id")
+    found = found.groupBy("id", "y", "fold", "mix").agg(F.min("text").alias("text"))
+    found = found.withColumn("size", F.octet_length("text").cast("bigint"))
+    # The window is over the sample's identifiers and sizes.
+    before = Window.orderBy("mix", "id").rowsBetween(Window.unboundedPreceding, 0)
+    taken = found.select("id", "mix", "size").withColumn("sum", F.sum("size").over(before)).filter(F.col("sum") <= sample_octets).select("id")
+    sample = found.join(F.broadcast(taken), "id", "left_semi").select("id", "text", "y", "fold").toArrow().sort_by([("id", "ascending")])
     tune = sample["fold"].to_numpy() == tuning
     y = sample["y"].to_numpy()
     texts = sample["text"].to_pylist()
     del sample
     if len(set(y[~tune])) < 2:
         return None
-    model = train([t for t, c in zip(texts, tune, strict=True) if not c], y[~tune])
     other = tune if len(set(y[tune])) == 2 else ~tune
-    calibrate(model, [t for t, c in zip(texts, other, strict=True) if c], y[other])
+    others = [t for t, c in zip(texts, other, strict=True) if c]
+    model = train([t for t, c in zip(texts, tune, strict=True) if not c], y[~tune], (others[:1500], y[other][:1500]) if other is tune else None)
+    calibrate(model, others, y[other])
     return model
 
 
 def score(docs: DataFrame, model: Model | None, text_col: str = "text", out: str = "__tx_score") -> DataFrame:
     """``docs`` with the score of each whole text in ``out``; without a model every score is 0.
 
-    Null texts are scored as empty ones; every row gets a score of its own.
+    Null texts are scored as empty ones; every row gets a score of its own; no
+    rows give no rows; a column that is named as ``out`` is replaced. Long texts
+    are walked by parts of a megabyte, with the same result as in one.
     """
-    schema = T.StructType(docs.schema.fields + [T.StructField(out, T.DoubleType())])
+    names = [c for c in docs.columns if c != out]
+    schema = T.StructType([docs.schema[c] for c in names] + [T.StructField(out, T.DoubleType())])
 
     def run(batches):
         vocabulary = Vocabulary()
         for batch in slices(batches):
             texts = batch.column(text_col).to_pylist()
-            got, at = [], 0
-            while at < len(texts):
-                stop, size = at, 0
-                while stop < len(texts) and (stop == at or size + len(texts[stop] or "") < 1_000_000):
-                    size += len(texts[stop] or "")
-                    stop += 1
-                part = texts[at:stop]
-                got.append(np.zeros(len(part)) if model is None else model.scores(vocabulary.batch(part)))
-                at = stop
-            col = pa.array(np.concatenate(got) if got else np.zeros(0), pa.float64())
-            yield pa.RecordBatch.from_arrays([*batch.columns, col], names=[*batch.schema.names, out])
+            got = np.zeros(len(texts)) if model is None else model.scores(texts, vocabulary)
+            cols = [*(batch.column(c) for c in names), pa.array(got.astype(np.float64))]
+            yield pa.RecordBatch.from_arrays(cols, names=[*names, out])
 
     return docs.mapInArrow(run, schema)

@@ -68,5 +68,50 @@ def test_query(spark, sf):
 def test_gradient_goes_down(spark):
     docs, labels = corpus(200, 1)
     texts, y = [t for _, t in docs], np.array([y for _, y in labels])
-    model, vocabulary = toxicity.train(texts, y), toxicity.Vocabulary()
-    assert ((model.scores(vocabulary.batch(texts)) >= 0.5) == (y == 1)).mean() > 0.97
+    model = toxicity.train(texts, y)
+    assert ((model.scores(texts, toxicity.Vocabulary()) >= 0.5) == (y == 1)).mean() > 0.97
+
+
+def plain_logit(model, text):
+    """The forward pass word by word: every filter at every position, over the end into zeros."""
+    words = (text or "").encode().translate(toxicity.ALNUM_WORDS).split()
+    vectors = [model.embedding[list(toxicity._buckets(w))].astype(float).sum(0) for w in words] or [np.zeros(toxicity.DIM)]
+    logit, k = float(model.prior[0]), 0
+    for width, filt, bias in zip(toxicity.WIDTHS, model.filters, model.bias, strict=True):
+        for f in range(toxicity.FILTERS):
+            at = [sum(float(vectors[p + o] @ filt[o][:, f]) for o in range(width) if p + o < len(vectors)) for p in range(len(vectors))]
+            logit += max(0.0, max(at) + float(bias[f])) * float(model.out[k])
+            k += 1
+    return logit
+
+
+@pytest.mark.parametrize("octets", [1 << 20, 60, 5, 1])
+def test_forward_pass_equals_a_plain_loop(octets, monkeypatch):
+    docs, labels = corpus(120, 3)
+    texts = [t for _, t in docs[:25]] + ["", None, "one", "one two", " , ", "x" * 300 + " y " + "z" * 300, "漢字 der die"]
+    model = toxicity.train([t for _, t in docs], np.array([y for _, y in labels]), epochs=2, steps=4)
+    parts = toxicity.Vocabulary.parts
+    monkeypatch.setattr(toxicity.Vocabulary, "parts", lambda self, t, v: parts(self, t, v, octets))
+    got, langs = model.logits(texts, toxicity.Vocabulary())
+    assert got == pytest.approx([plain_logit(model, t) for t in texts], abs=1e-4)
+    assert langs[-1] == 2 and langs[25] == len(toxicity.FUNCTION_WORDS)
+
+
+def test_long_text_and_clashing_column(spark, frames):
+    """A toxic word at the end of some megabytes counts; a column named as the result is replaced."""
+    docs, labels, _ = frames
+    model = toxicity.fit(docs, labels)
+    long = "the of and w1 " * 300_000
+    df = spark.createDataFrame([(1, long, "x"), (2, long + " blurgen blurgix blurga", "x")], "doc_id long, text string, __tx_score string")
+    rows = {r["doc_id"]: r["__tx_score"] for r in toxicity.score(df, model).collect()}
+    assert rows[1] < 0.5 <= rows[2]
+
+
+def test_sample_is_bounded(spark, frames):
+    """Documents that come many times count once, and bytes are bounded."""
+    docs, labels, _ = frames
+    again = docs.union(docs.filter("doc_id < 3").crossJoin(spark.range(200)).select("doc_id", "text"))
+    a, b = toxicity.fit(docs, labels), toxicity.fit(again, labels)
+    assert np.array_equal(a.out, b.out)
+    few = toxicity.fit(docs, labels, sample_octets=60_000)
+    assert few is not None and not np.array_equal(a.out, few.out)
