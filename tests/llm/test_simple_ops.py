@@ -94,6 +94,27 @@ def test_op2_equals_the_library(spark, sf):
     assert got == {i: len(t.encode(x, add_special_tokens=False).ids) for i, x in texts.items()}
 
 
+def test_op2_is_near_the_encoder_of_the_file(spark, sf):
+    import sentencepiece
+
+    path = queries.tokenizer_path("piece_bpe_32k.model")
+    own = sentencepiece.SentencePieceProcessor(model_file=path)
+    want = sum(len(own.encode(t)) for t in docs_of(sf).values())
+    got = sum(r["n_tokens"] for r in queries.op2_token_count(spark, sf).collect())
+    assert abs(got - want) < 0.02 * want
+
+
+def test_op2_long_texts(spark):
+    """Some megabytes of text, and one word of 200,000 characters."""
+    path = queries.tokenizer_path("piece_bpe_32k.model")
+    counter = token_count.Counter(token_count.piece_vocabulary(path))
+    one = counter.text("some words here ")[1] - counter.text(" ")[1] + 1
+    df = spark.createDataFrame([(1, "some words here " * 300_000), (2, "ab" * 100_000)], "doc_id long, text string")
+    got = {r["doc_id"]: r["n_tokens"] for r in token_count.count_tokens(df, path).collect()}
+    assert abs(got[1] - 300_000 * counter.text("some words here")[1]) <= 1 and one > 0
+    assert got[2] == counter.walk(token_count.MARK + "ab" * 100_000)[1]
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.text(alphabet="abc é\n漢 ▁", max_size=30))
 def test_op2_ties_and_unknowns(text):
