@@ -38,14 +38,14 @@ def _points(condition: Column, value: float) -> Column:
     return F.when(condition, F.lit(value)).otherwise(F.lit(0.0))
 
 
-def specificity(x: Column, lex: Lexicon) -> Column:
+def specificity(x: Column, lex: Lexicon, sentences: Column | None = None) -> Column:
     length = F.length(x)
     size = F.when(length >= 80, F.lit(0.35)).when(length >= 40, F.lit(0.20)).otherwise(F.lit(0.0))
     return F.least(
         size
-        + _points(F.rlike(x, F.lit(lex.unit_regex)), 0.35)
-        + _points(F.rlike(x, F.lit(lex.list_regex)), 0.15)
-        + _points(F.size(t.sentences(x)) >= 2, 0.15),
+        + _points(F.rlike(x, F.lit(t.unicode_regex(lex.unit_regex))), 0.35)
+        + _points(F.rlike(x, F.lit(t.unicode_regex(lex.list_regex, "md"))), 0.15)
+        + _points(F.size(t.sentences(x) if sentences is None else sentences) >= 2, 0.15),
         F.lit(1.0),
     )
 
@@ -69,9 +69,9 @@ def safety_penalty(folded: Column, lex: Lexicon) -> Column:
     return _points(t.contains_any(folded, lex.absolutes), 0.20)
 
 
-def repetition_penalty(x: Column) -> Column:
+def repetition_penalty(x: Column, sentences: Column | None = None) -> Column:
     """A twentieth for each repeated sentence, at most 0.15; case counts."""
-    s = t.sentences(F.coalesce(x, F.lit("")))
+    s = t.sentences(F.coalesce(x, F.lit(""))) if sentences is None else sentences
     return F.least(F.lit(0.15), F.lit(0.05) * (F.size(s) - F.size(F.array_distinct(s))))
 
 
@@ -80,17 +80,18 @@ def _first_match(x: Column, patterns: list[str]) -> Column:
     return F.regexp_instr(x, F.lit("(?i)(?:" + "|".join(patterns) + ")"))
 
 
-def acknowledgement(x: Column) -> Column:
+def acknowledgement(x: Column, folded: Column | None = None) -> Column:
     """1 when the first 50 words acknowledge something no later than any advice, else 0."""
-    ack = _first_match(t.first_words(x, 50), ACKNOWLEDGE)
-    advice = _first_match(t.fold(x), ADVISE)
+    folded = t.fold(x) if folded is None else folded
+    ack = _first_match(F.array_join(F.slice(F.split(folded, " "), 1, 50), " "), ACKNOWLEDGE)
+    advice = _first_match(folded, ADVISE)
     return _points((ack > 0) & ((advice == 0) | (ack <= advice)), 1.0)
 
 
-def emotional(user: Column, assistant: Column, hint: Column, lex: Lexicon) -> Column:
+def emotional(user: Column, assistant: Column, hint: Column, lex: Lexicon, folded: Column | None = None) -> Column:
     """Null unless the text is mostly ASCII and the user shows an emotion."""
     applies = (hint == "mostly_ascii") & t.contains_any(t.fold(user), lex.emotions)
-    return F.when(applies, acknowledgement(assistant))
+    return F.when(applies, acknowledgement(assistant, folded))
 
 
 def aggregate(domain, coaching, specific, emotion, cliche, safety, repetition) -> Column:

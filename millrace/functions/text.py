@@ -16,8 +16,17 @@ SPACE = rf"[\n{_BLANKS}]"
 SENTENCE_END = "[.!?。！？\n]+"
 
 
+def unicode_regex(pattern: str, flags: str = "iu") -> str:
+    """A pattern for Java's engine with ``\\s`` and ``\\d`` as Unicode-aware ones read them; lines end in LF alone (``d``)."""
+    return f"(?{flags})" + pattern.replace(r"\s", SPACE).replace(r"\d", r"\p{Nd}")
+
+
+#: The same code points, one by one.
+SPACES = "\n\t\x0b\f\r\x1c\x1d\x1e\x1f \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
+
+
 def strip(x: Column) -> Column:
-    return F.regexp_replace(x, rf"\A{SPACE}+|{SPACE}+\z", "")
+    return F.btrim(x, F.lit(SPACES))
 
 
 def normalize(x: Column) -> Column:
@@ -67,36 +76,24 @@ def language_hint(x: Column, threshold: float = 0.5) -> Column:
 
 
 def strip_html(x: Column) -> Column:
-    """Tags to blanks, entities to characters, white space to one blank.
-
-    The entities named here are replaced by built-ins, numbered ones too; the
-    full table needs :func:`unescape_all`.
-    """
-    x = F.regexp_replace(x, "<[^>]+>", " ")
-    for entity, char in NAMED_ENTITIES.items():
-        x = F.replace(x, F.lit(entity), F.lit(char))
+    """Tags to blanks, every entity to its characters, white space to one blank."""
+    x = unescape(F.regexp_replace(x, "<[^>]+>", " "))
     return strip(F.regexp_replace(x, f"{SPACE}+", " "))
 
 
-# Entities in an order that unescapes each once, the ampersand last.
-NAMED_ENTITIES = {
-    "&quot;": '"',
-    "&#39;": "'",
-    "&nbsp;": "\xa0",
-    "&copy;": "©",
-    "&middot;": "·",
-    "&lt;": "<",
-    "&gt;": ">",
-    "&amp;": "&",
-}
+def unescape(x: Column) -> Column:
+    """HTML entities, named or numbered, with or without semicolon; only texts with an ampersand leave the JVM."""
+    return F.coalesce(_unescape(F.when(F.contains(x, F.lit("&")), x)), x)
 
 
-@F.pandas_udf(StringType())
-def unescape_all(x):
-    """Every HTML entity, for pages beyond the named ones (no built-in has the table)."""
+@F.arrow_udf(StringType())
+def _unescape(x):
+    # No built-in has the table of entities.
     import html
 
-    return x.map(html.unescape, na_action="ignore")
+    import pyarrow as pa
+
+    return pa.array([None if v is None else html.unescape(v) for v in x.to_pylist()], pa.string())
 
 
 def section(x: Column, heading: str = r"(?:conclusions?|discussion)", limit: int = 1400) -> Column:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import text as t
+from ..functions.plan import let, once
 from ..functions.lexicon import ANSWER_KEYS, CONTENT_KEYS, CONVERSATION_KEYS, PROMPT_KEYS, ROLE_ALIASES, ROLE_KEYS
 
 # Caps of the cleaning rules.
@@ -30,7 +31,7 @@ def messages_or_null(raw: Column) -> Column:
     norm = F.transform(
         raw, lambda m: F.struct(normalize_role(m["role"]).alias("role"), F.nullif(t.normalize(m["content"]), F.lit("")).alias("content"))
     )
-    return F.when(F.forall(norm, lambda m: m["role"].isNotNull() & m["content"].isNotNull()), norm)
+    return let(norm, lambda n: F.when(F.forall(n, lambda m: m["role"].isNotNull() & m["content"].isNotNull()), n))
 
 
 # --- raw records -------------------------------------------------------------------------
@@ -76,7 +77,7 @@ def extract(records: DataFrame, record: str = "record") -> DataFrame:
     lists = [F.when(is_list(_value(r, k)), _value(r, k)) for k in CONVERSATION_KEYS]
     maps = F.from_json(F.to_json(F.coalesce(*lists)), "array<map<string,variant>>")
     chat = F.transform(maps, lambda m: F.struct(normalize_role(first_text(m, ROLE_KEYS)).alias("role"), first_text(m, CONTENT_KEYS).alias("content")))
-    chat = F.when(F.forall(chat, lambda m: m["role"].isNotNull() & m["content"].isNotNull()), chat)
+    chat = let(chat, lambda c: F.when(F.forall(c, lambda m: m["role"].isNotNull() & m["content"].isNotNull()), c))
     pair = lambda u, a: F.when(
         u.isNotNull() & a.isNotNull(),
         F.array(F.struct(F.lit("user").alias("role"), u.alias("content")), F.struct(F.lit("assistant").alias("role"), a.alias("content"))),
@@ -120,14 +121,26 @@ def characters(m: Column) -> Column:
 
 def rejection(m: Column) -> Column:
     """First failing rule, or null for a record that is kept."""
-    return (
-        F.when(m.isNull(), "unable_to_extract_conversation")
-        .when(sequence_error(m).isNotNull(), sequence_error(m))
-        .when(F.exists(m, lambda x: F.length(x["content"]) > MAX_MESSAGE), "message_too_long")
-        .when(characters(m) > MAX_CONVERSATION, "conversation_too_long")
+    return F.coalesce(
+        F.when(m.isNull(), "unable_to_extract_conversation"),
+        sequence_error(m),
+        F.when(F.exists(m, lambda x: F.length(x["content"]) > MAX_MESSAGE), "message_too_long"),
+        F.when(characters(m) > MAX_CONVERSATION, "conversation_too_long"),
     )
 
 
+def schema_error(m: Column) -> Column:
+    """A last look at what is to be written: known roles, content that is not blank."""
+    sound = F.forall(m, lambda x: x["role"].isin("system", "user", "assistant") & (t.strip(x["content"]) != ""))
+    return F.when(~F.coalesce(sound, F.lit(False)), "schema_validation_failed")
+
+
+def require_kept(totals: DataFrame) -> DataFrame:
+    """The report's row over all; an error where it has input and nothing was kept."""
+    wrong = F.raise_error(F.lit("no record was kept")).cast("bigint")
+    return totals.withColumn("kept_records", F.when((F.col("input_records") > 0) & (F.col("kept_records") == 0), wrong).otherwise(F.col("kept_records")))
+
+
 def signature(m: Column) -> Column:
     return F.array_join(F.transform(m, lambda x: F.concat(x["role"], F.lit("::"), x["content"])), "\n")
 
@@ -137,10 +150,16 @@ def conversation_id(dataset: Column, index: Column) -> Column:
 
 
 def clean(records: DataFrame, dataset: str = "dataset_id", index: str = "source_record_index") -> DataFrame:
-    """Add the cleaned record's columns and ``rejection_reason`` to rows with ``messages``; no shuffle."""
+    """Add the cleaned record's columns and ``rejection_reason`` to rows with ``messages``; no shuffle.
+
+    A column ``record`` that is null where the raw value is no object, or
+    ``messages`` that break the schema, have codes of their own.
+    """
     m = F.col("messages")
-    out = records.withColumn("rejection_reason", rejection(m))
+    records = once(records, messages=m)
+    early = F.when(F.col("record").isNull(), "record_not_object") if "record" in records.columns else F.lit(None).cast("string")
     content = F.array_join(F.transform(m, lambda x: x["content"]), "")
+    out = once(records, rejection_reason=F.coalesce(early, rejection(m), schema_error(m)))
     out = out.withColumns(
         {
             "conversation_id": conversation_id(F.col(dataset), F.col(index)),

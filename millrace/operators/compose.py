@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.lexicon import EMOTIONAL, FITNESS_TAGS
-from .order import hash_key
+from .order import hash_key, threshold
 from .score import s as scoring
 
 # Share of emotional-only records, and the template's marks.
@@ -29,8 +29,8 @@ def bucket(tags: Column, dataset: Column, fitness_sources: list[str]) -> Column:
 def cap_emotional(df: DataFrame, seed: int, key: str, share: float = EMOTIONAL_SHARE) -> DataFrame:
     """Drop emotional-only rows over their share, the largest hashes first; other buckets stay.
 
-    The allowance comes from one small aggregate, the cut from a top-k over
-    hashes: no window gathers the bucket in one task.
+    The allowance comes from one small aggregate, the cut from counts of hash
+    prefixes: no window and no top-k gathers the bucket in one task.
     """
     n = {r["bucket"]: r["n"] for r in df.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).collect()}
     fitness, emotional = n.get("fitness", 0), n.get("emotional", 0)
@@ -39,9 +39,9 @@ def cap_emotional(df: DataFrame, seed: int, key: str, share: float = EMOTIONAL_S
         return df
     if not allowed:
         return df.filter("bucket <> 'emotional'")
-    order = F.struct(hash_key(seed, F.col(key)).alias("h"), F.col(key).alias("k"))
-    cut = df.filter("bucket = 'emotional'").select(order.alias("o")).orderBy("o").limit(allowed).agg(F.max("o").alias("cut"))
-    return df.crossJoin(F.broadcast(cut)).filter((F.col("bucket") != "emotional") | (order <= F.col("cut"))).drop("cut")
+    h, k = hash_key(seed, F.col(key)), F.col(key)
+    cut = threshold(df.filter("bucket = 'emotional'"), allowed, h, k)
+    return df.filter((F.col("bucket") != "emotional") | (F.struct(h.alias("h"), k.alias("k")) <= cut))
 
 
 def source_id(dataset: Column, source: Column, source_type: Column) -> Column:

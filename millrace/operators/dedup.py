@@ -11,6 +11,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions import scoring as s, text as t
+from ..sources.store import materialize, scratch
 
 # Fixed values.
 NEAR, OPENING_SHARE, REPETITIVE = 0.92, 0.08, 0.10
@@ -55,125 +56,215 @@ def opening(text: Column) -> Column:
     return F.coalesce(F.try_element_at(t.sentences(t.fold(text)), F.lit(1)), F.lit(""))
 
 
-def opening_cap(df: DataFrame, text: str, order: list[str], cap: int) -> DataFrame:
+def opening_cap(df: DataFrame, text: str, order: list[str], cap: int, counts: Column | None = None) -> DataFrame:
     """Add ``over_cap``: rows beyond the first ``cap`` of one opening; ``order`` identifies a row.
 
+    Only rows for which ``counts`` holds take a place (those not rejected for
+    another reason); others are never over the cap.
+
     Only the first rows are ranked: Spark keeps ``cap`` rows of an opening in
     each partition before the shuffle, so a common opening stays small there.
     """
     w = Window.partitionBy("__opening").orderBy(*order)
-    first = df.select(*order, opening(F.col(text)).alias("__opening")).withColumn("__rank", F.row_number().over(w))
+    counted = df if counts is None else df.filter(counts)
+    first = counted.select(*order, opening(F.col(text)).alias("__opening")).withColumn("__rank", F.row_number().over(w))
     first = first.filter(F.col("__rank") <= cap).select(*order, F.lit(True).alias("__within"))
-    return df.join(first, order, "left").withColumn("over_cap", F.col("__within").isNull()).drop("__within")
+    return df.join(first, order, "left").withColumn("over_cap", F.col("__within").isNull() & (F.lit(True) if counts is None else F.coalesce(counts, F.lit(False)))).drop("__within")
 
 
 def cap_for(target: int, share: float = OPENING_SHARE) -> int:
     return max(1, int(target * share))
 
 
-def near_jaccard(df: DataFrame, bucket: str, text: str, key: str, threshold: float = NEAR) -> DataFrame:
-    """Pairs (a, b, similarity) in a bucket whose sets of words reach the threshold.
+def near_links(df: DataFrame, bucket: str, text: str, key: str, threshold: float = NEAR) -> DataFrame:
+    """A row per row: key, class_id (least key of the bucket with the same words), links and nearest.
+
+    ``links`` counts the other rows of the bucket whose sets of words reach the
+    threshold, ``nearest`` is the largest similarity among them (null: none).
+    Copies are one class, so they are counted and not paired.
+    """
+    with scratch(df.sparkSession) as keep:
+        rows = df.select(F.col(key).alias("k"), F.coalesce(F.col(bucket).cast("string"), F.lit("")).alias("g"), t.fold(F.coalesce(text, F.lit(""))).alias("x"))
+        rows = rows.select("k", "g", F.array_sort(F.array_distinct(F.split("x", " "))).alias("w"))
+        rows = materialize(rows.withColumn("s", F.sha2(F.array_join("w", " "), 256)), "words")
+        classes = rows.groupBy("g", "s").agg(F.min("k").alias("c"), F.count(F.lit(1)).alias("size"))
+        classes = materialize(classes, "classes")
+        heads = rows.join(classes, ["g", "s"]).filter("k = c").dropDuplicates(["g", "s"]).select("c", "g", "w", "size")
+        pairs = materialize(near_jaccard(materialize(heads, "heads"), "g", "w", "c", threshold), "pairs")
+        sizes = classes.select("g", "c", "size")
+        both = pairs.union(pairs.select("g", "b", "a", "similarity"))
+        other = both.join(sizes.withColumnRenamed("c", "b"), ["g", "b"]).groupBy("g", F.col("a").alias("c"))
+        other = other.agg(F.sum("size").alias("others"), F.max("similarity").alias("far"))
+        found = classes.join(other, ["g", "c"], "left")
+        nearest = F.when(F.col("size") > 1, F.lit(1.0)).otherwise(F.col("far"))
+        found = found.select("g", "s", F.col("c").alias("class_id"), (F.col("size") - 1 + F.coalesce("others", F.lit(0))).alias("links"), nearest.alias("nearest"))
+        return keep(materialize(rows.join(found, ["g", "s"]).select(F.col("k").alias(key), "class_id", "links", "nearest"), "near"))
+
+
+def near_jaccard(sets: DataFrame, bucket: str, words: str, key: str, threshold: float = NEAR) -> DataFrame:
+    """Pairs (bucket, a, b, similarity) of different sets of words in a bucket that reach the threshold.
 
     Words are joined, rarest first, on the prefix that the threshold demands,
-    so that pairs that share only common words never meet.
+    so that pairs that share only common words never meet. ``sets`` is read
+    several times: it should be a written table.
     """
-    words = df.select(F.col(key).alias("k"), F.col(bucket).alias("g"), F.array_distinct(F.split(t.fold(F.col(text)), " ")).alias("w"))
-    words = words.withColumn("n", F.size("w"))
-    long = words.select("k", "g", "n", F.explode("w").alias("x"))
+    sets = sets.select(F.col(key).alias("k"), F.col(bucket).alias("g"), F.col(words).alias("w"), F.size(words).alias("n"))
+    long = sets.select("k", "g", "n", F.explode("w").alias("x"))
     freq = long.groupBy("g", "x").agg(F.count(F.lit(1)).alias("f")).filter("f > 1")
-    shared = long.join(freq, ["g", "x"])
-    # Words of one document come first in the order and are in every prefix; they join with nothing.
-    order = Window.partitionBy("k", "g").orderBy("f", "x")
-    shared = shared.withColumn("at", F.row_number().over(order))
-    own = shared.groupBy("k", "g").agg(F.count(F.lit(1)).alias("m"))
-    need = F.col("n") - F.ceil(F.lit(threshold) * F.col("n") - 1e-9) + 1
-    prefix = shared.join(own, ["k", "g"]).filter(F.col("at") + F.col("n") - F.col("m") <= need).select("k", "g", "n", "x")
+    # A set's words by rarity; words of one set alone come first in the order and join with nothing.
+    shared = long.join(freq, ["g", "x"]).groupBy("k", "g", "n").agg(F.array_sort(F.collect_list(F.struct("f", "x"))).alias("o"))
+    need = F.col("n") - F.ceil(F.lit(threshold) * F.col("n") - 1e-9) + 1 - (F.col("n") - F.size("o"))
+    first = F.slice("o", F.lit(1), F.greatest(need, F.lit(0)).cast("int"))
+    prefix = shared.select("k", "g", "n", F.explode(F.transform(first, lambda p: p["x"])).alias("x"))
     a, b = prefix.alias("a"), prefix.alias("b")
     low, high = F.least(F.col("a.n"), F.col("b.n")), F.greatest(F.col("a.n"), F.col("b.n"))
     match = (F.col("a.g") == F.col("b.g")) & (F.col("a.x") == F.col("b.x")) & (F.col("a.k") < F.col("b.k")) & (low >= F.lit(threshold) * high - 1e-9)
-    pairs = a.join(b, match).select(F.col("a.k").alias("a"), F.col("b.k").alias("b")).distinct()
-    side = lambda name: words.select(F.col("k").alias(name), F.col("w").alias(f"w{name}"))
-    full = pairs.join(side("a"), "a").join(side("b"), "b")
+    pairs = a.join(b, match).select(F.col("a.g").alias("g"), F.col("a.k").alias("a"), F.col("b.k").alias("b")).distinct()
+    side = lambda name: sets.select("g", F.col("k").alias(name), F.col("w").alias(f"w{name}"))
+    full = pairs.join(side("a"), ["g", "a"]).join(side("b"), ["g", "b"])
     both = F.size(F.array_intersect("wa", "wb"))
     sim = both / (F.size("wa") + F.size("wb") - both)
-    return full.withColumn("similarity", sim).filter(F.col("similarity") >= threshold).select("a", "b", "similarity")
+    return full.withColumn("similarity", sim).filter(F.col("similarity") >= threshold).select("g", "a", "b", "similarity")
 
 
 GRAM, GRAM_BITS = 4, 14
+#: Rows of a bucket and band of lengths that are compared with as many others at a time.
+BLOCK = 1000
 
 
-class _Earlier:
-    """Accepted texts of a bucket; which of them a text can be near to.
+def _look(x: str) -> tuple[int, np.ndarray, int]:
+    """Length, counts of hashed 4-grams up to 255 and what is over that."""
+    c = np.frombuffer(x.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+    k = max(0, len(c) - GRAM + 1)
+    h = np.zeros(k, np.uint64)
+    for i in range(GRAM):
+        h = (h ^ c[i : i + k]) * np.uint64(0x9E3779B97F4A7C15)
+        h ^= h >> np.uint64(29)
+    counts = np.bincount((h >> np.uint64(64 - GRAM_BITS)).astype(np.int64), minlength=1 << GRAM_BITS)
+    low = np.minimum(counts, 255)
+    return len(c), low.astype(np.uint8), int((counts - low).sum())
+
+
+def _reach(threshold: float):
+    """Pairs (a, b) of a group's rows, a the smaller key, that their lengths and 4-grams do not rule out.
 
     Of texts with m characters in matching blocks, all 4-grams are shared but
     those that hold or span an unmatched character. Counts of hashed 4-grams
-    are compared with that bound, so a text is left out only for certain.
+    are compared with that bound, so a pair is left out only for certain. Rows
+    of one side are compared with the other's, or with their own where the
+    group is a block with itself.
     """
 
-    def __init__(self, most: int, threshold: float):
-        self.threshold, self.n = threshold, 0
-        self.lengths, self.over = np.zeros(most, np.int64), np.zeros(most, np.int64)
-        self.counts = np.zeros((most, 1 << GRAM_BITS), np.uint8)
-
-    def look(self, x: str) -> tuple[int, np.ndarray, int]:
-        """Length, counts up to 255 and what is over that."""
-        c = np.frombuffer(x.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
-        k = max(0, len(c) - GRAM + 1)
-        h = np.zeros(k, np.uint64)
-        for i in range(GRAM):
-            h = (h ^ c[i : i + k]) * np.uint64(0x9E3779B97F4A7C15)
-            h ^= h >> np.uint64(29)
-        counts = np.bincount((h >> np.uint64(64 - GRAM_BITS)).astype(np.int64), minlength=1 << GRAM_BITS)
-        low = np.minimum(counts, 255)
-        return len(c), low.astype(np.uint8), int((counts - low).sum())
-
-    def add(self, seen: tuple[int, np.ndarray, int]) -> None:
-        self.lengths[self.n], self.counts[self.n], self.over[self.n] = seen
-        self.n += 1
-
-    def within_reach(self, seen: tuple[int, np.ndarray, int]) -> np.ndarray:
-        n, counts, over = seen
-        both = self.lengths[: self.n] + n
-        at = np.flatnonzero(2 * np.minimum(self.lengths[: self.n], n) >= self.threshold * both - 1e-9)
-        matched = np.ceil(self.threshold * both[at] / 2 - 1e-9)
-        need = n - GRAM + 1 - GRAM * (n - matched) - (GRAM - 1) * (self.lengths[at] - matched)
-        out = [
-            part[np.minimum(self.counts[part], counts).sum(axis=1, dtype=np.int64) + np.minimum(self.over[part], over) >= least]
-            for part, least in ((at[i : i + 512], need[i : i + 512]) for i in range(0, len(at), 512))
-        ]
-        return np.concatenate(out) if out else at
-
-
-def near_sequence(df: DataFrame, bucket: str, text: str | list[str], key: str, threshold: float = NEAR, limit: int = 20_000) -> DataFrame:
-    """Rows of a bucket, in key order, with the earlier accepted row they are near to, if any.
-
-    Similarity is the ratio of ``difflib.SequenceMatcher`` (candidate first), as
-    no built-in has it; of several texts the largest ratio. Rows whose length or
-    4-grams rule it out are not compared. Exact and quadratic in a bucket: for
-    buckets of bounded size, which ``limit`` guards (a larger one is an error,
-    not cut).
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        seen = [_look(x) for x in pdf["x"]]
+        keys, left = pdf["k"].to_numpy(), pdf["left"].to_numpy()
+        lengths = np.array([s[0] for s in seen])
+        counts, over = np.stack([s[1] for s in seen]), np.array([s[2] for s in seen])
+        right = np.flatnonzero(~left) if (~left).any() else np.arange(len(seen))
+        out = []
+        for i in np.flatnonzero(left):
+            others = right if (~left).any() else right[right > i]
+            both = lengths[others] + lengths[i]
+            fits = 2 * np.minimum(lengths[others], lengths[i]) >= threshold * both - 1e-9
+            others, both = others[fits], both[fits]
+            matched = np.ceil(threshold * both / 2 - 1e-9)
+            need = lengths[i] - GRAM + 1 - GRAM * (lengths[i] - matched) - (GRAM - 1) * (lengths[others] - matched)
+            for at in range(0, len(others), 256):
+                some = others[at : at + 256]
+                shared = np.minimum(counts[some], counts[i]).sum(axis=1, dtype=np.int64) + np.minimum(over[some], over[i])
+                out += [(min(keys[i], keys[j]), max(keys[i], keys[j])) for j in some[shared >= need[at : at + 256]]]
+        return pd.DataFrame(out, columns=["a", "b"]).astype("int64")
+
+    return run
+
+
+def _candidates(rows: DataFrame, x: str, threshold: float) -> DataFrame:
+    """Pairs (a, b) of a bucket that ``x`` may be near in.
+
+    Lengths of near texts differ by a bounded ratio, so a row only meets its own
+    band of lengths and the next. A band is cut into blocks, and each pair of
+    blocks is a group of its own.
+    """
+    ratio = (2 - threshold) / threshold
+    band = F.floor(F.ln(F.greatest(F.length(x), F.lit(1)) + F.lit(0.0)) / F.lit(float(np.log(ratio)) + 1e-9)).cast("int")
+    rows = rows.select("k", "g", F.col(x).alias("x"), band.alias("band"))
+    blocks = rows.groupBy("g", "band").agg(F.ceil(F.count(F.lit(1)) / F.lit(BLOCK)).cast("int").alias("n"))
+    higher = blocks.select("g", (F.col("band") - 1).alias("band"), F.col("n").alias("up"))
+    lower = blocks.select("g", (F.col("band") + 1).alias("band"), F.col("n").alias("down"))
+    rows = rows.join(blocks, ["g", "band"]).join(higher, ["g", "band"], "left").join(lower, ["g", "band"], "left")
+    own = F.pmod(F.xxhash64("k"), F.col("n")).cast("int")
+    upto = lambda n: F.when(F.col(n) > 0, F.sequence(F.lit(0), F.col(n) - 1)).otherwise(F.array().cast("array<int>"))
+    group = lambda lo, p, q, left: F.struct(lo.alias("lo"), p.alias("p"), q.alias("q"), left.alias("left"))
+    rows = rows.withColumn("own", own)
+    same = F.transform(upto("n"), lambda q: group(F.col("band") * 2, F.least(q, F.col("own")), F.greatest(q, F.col("own")), F.col("own") <= q))
+    up = F.transform(upto("up"), lambda q: group(F.col("band") * 2 + 1, F.col("own"), q, F.lit(True)))
+    down = F.transform(upto("down"), lambda p: group((F.col("band") - 1) * 2 + 1, p, F.col("own"), F.lit(False)))
+    dealt = rows.select("g", "k", "x", F.explode(F.concat(same, up, down)).alias("to")).select("g", "k", "x", "to.*")
+    return dealt.groupBy("g", "lo", "p", "q").applyInPandas(_reach(threshold), "a bigint, b bigint")
+
+
+def near_sequence(df: DataFrame, bucket: str, text: str | list[str], key: str, threshold: float = NEAR) -> DataFrame:
+    """Rows with the earlier accepted row of their bucket that they are near to, if any: key, near_key, is_near_duplicate.
+
+    Rows are judged in key order; one that is near to an accepted one before it
+    is not accepted itself. Similarity is the ratio of
+    ``difflib.SequenceMatcher`` (candidate first), as no built-in has it; of
+    several texts the largest ratio. Equal rows are judged once. Pairs that
+    lengths and 4-grams leave open go round by round: rows with no open pair
+    before them are accepted, and those after them are compared with these
+    alone, pair by pair over all tasks. So a large group of near copies costs
+    pairs in proportion to its size. The search for open pairs is quadratic in a
+    bucket's band of lengths, a block of rows against a block in each task.
     """
     texts = [text] if isinstance(text, str) else list(text)
     names = [f"x{i}" for i in range(len(texts))]
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        if len(pdf) > limit:
-            raise ValueError(f"a bucket has {len(pdf)} rows; near_sequence takes {limit} at most")
-        pdf = pdf.sort_values("k")
-        accepted, near = [], []
-        earlier = [_Earlier(len(pdf), threshold) for _ in names]
-        for k, *xs in zip(pdf["k"], *(pdf[n] for n in names), strict=True):
-            seen = [e.look(x) for e, x in zip(earlier, xs, strict=True)]
-            reach = [(i, c) for c, (e, w) in enumerate(zip(earlier, seen, strict=True)) for i in e.within_reach(w).tolist()]
-            found = next((accepted[i][0] for i, c in sorted(reach) if is_near(xs[c], accepted[i][1][c], threshold)), None)
-            near.append(found)
-            if found is None:
-                accepted.append((k, xs))
-                for e, w in zip(earlier, seen, strict=True):
-                    e.add(w)
-        return pd.DataFrame({"k": pdf["k"], "near": pd.array(near, "Int64")})
-
     side = [F.coalesce(F.col(x), F.lit("")).alias(n) for x, n in zip(texts, names, strict=True)]
-    rows = df.select(F.col(bucket).alias("g"), F.col(key).alias("k"), *side)
-    found = rows.groupBy("g").applyInPandas(run, "k bigint, near bigint")
-    return found.select(F.col("k").alias(key), F.col("near").alias("near_key"), F.col("near").isNotNull().alias("is_near_duplicate"))
+
+    def verify(batches):
+        for pdf in batches:
+            near = [
+                any(is_near(row[f"b{n}"], row[f"a{n}"], threshold) for n in names)
+                for row in pdf[[f"{s}{n}" for s in "ab" for n in names]].to_dict("records")
+            ]
+            yield pdf.loc[near, ["a", "b"]]
+
+    with scratch(df.sparkSession) as keep:
+        rows = df.select(F.coalesce(F.col(bucket).cast("string"), F.lit("")).alias("g"), F.col(key).cast("bigint").alias("k"), *side)
+        rows = materialize(rows.withColumn("same", F.sha2(F.to_json(F.struct("g", *names)), 256)), "texts")
+        heads = materialize(rows.groupBy("same", "g", *names).agg(F.min("k").alias("k")), "heads")
+        open_ = None
+        for n in names:
+            found = _candidates(heads, n, threshold)
+            open_ = found if open_ is None else open_.union(found)
+        open_ = materialize(open_.distinct(), "open")
+        # accepted: rows of a pair that are; gone: (b, near) of those that are not, near the least accepted one.
+        accepted, gone = [], None
+        spread = max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+        while not open_.isEmpty():
+            waiting = open_.select(F.col("b").alias("k")) if gone is None else open_.join(gone, "b", "left_anti").select(F.col("b").alias("k"))
+            # Pairs whose earlier row has no open pair before it, and is not gone.
+            first = open_.select(F.col("a").alias("k")).distinct().join(waiting.distinct(), "k", "left_anti")
+            if gone is not None:
+                first = first.join(gone.select(F.col("b").alias("k")), "k", "left_anti")
+            first = materialize(first, "accepted")
+            accepted.append(first)
+            now = open_.join(first.withColumnRenamed("k", "a"), "a", "left_semi")
+            whole = lambda s: heads.select(F.col("k").alias(s), *[F.col(n).alias(f"{s}{n}") for n in names])  # noqa: E731, B023
+            checked = now.join(whole("a"), "a").join(whole("b"), "b").repartition(spread).mapInPandas(verify, "a bigint, b bigint")
+            near = checked.groupBy("b").agg(F.min("a").alias("near"))
+            if gone is not None:
+                near = near.union(gone).groupBy("b").agg(F.min("near").alias("near"))
+            gone = materialize(near, "gone")
+            lost = gone.withColumnRenamed("b", "a").select("a")
+            rest = open_.join(first.withColumnRenamed("k", "a"), "a", "left_anti").join(lost, "a", "left_anti")
+            # A row that is gone may still be near to an earlier one that is accepted later.
+            rest = rest.join(gone, "b", "left").filter("near IS NULL OR a < near").select("a", "b")
+            open_ = materialize(rest, "open")
+        if gone is None:
+            gone = df.sparkSession.createDataFrame([], "b bigint, near bigint")
+        head = rows.select("same", "k").join(heads.select("same", F.col("k").alias("h")), "same")
+        out = head.join(gone.withColumnRenamed("b", "h"), "h", "left")
+        # Copies of a row are near to what it is near to, or to it.
+        near_key = F.coalesce("near", F.when(F.col("k") > F.col("h"), F.col("h")))
+        out = out.select(F.col("k").alias(key), near_key.alias("near_key"), near_key.isNotNull().alias("is_near_duplicate"))
+        return keep(materialize(out, "near"))

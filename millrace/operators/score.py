@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import scoring as s, text as t
+from ..functions.plan import once
 from ..functions.lexicon import STOCK, Lexicon
 
 # Floors of the eligibility filter.
@@ -22,32 +23,30 @@ def final_exchange(m: Column) -> tuple[Column, Column]:
 def score(cleaned: DataFrame, lex: Lexicon = STOCK, messages: str = "messages", hint: str = "language_hint") -> DataFrame:
     """Add eleven score columns to cleaned conversations; one projection, no shuffle."""
     user, assistant = final_exchange(F.col(messages))
-    df = cleaned.withColumns({"final_user": user, "final_assistant": assistant})
-    return score_texts(df, lex, hint)
+    return score_texts(once(cleaned, final_user=user, final_assistant=assistant), lex, hint)
 
 
 def score_texts(df: DataFrame, lex: Lexicon, hint: str = "language_hint") -> DataFrame:
     """The same for rows that have ``final_user`` and ``final_assistant``."""
-    df = df.withColumns(
-        {
-            "__both": t.fold(F.concat(F.col("final_user"), F.lit("\n"), F.col("final_assistant"))),
-            "__folded": t.fold(F.col("final_assistant")),
-        }
+    df = once(
+        df,
+        __both=t.fold(F.concat(F.col("final_user"), F.lit("\n"), F.col("final_assistant"))),
+        __folded=t.fold(F.col("final_assistant")),
+        __parts=t.sentences(F.coalesce("final_assistant", F.lit(""))),
     )
     both, folded, answer = F.col("__both"), F.col("__folded"), F.col("final_assistant")
-    df = df.withColumn("topic_tags", s.topic_tags(both, lex))
+    df = once(df, topic_tags=s.topic_tags(both, lex))
     tags = F.col("topic_tags")
-    df = df.withColumns(
-        {
-            "__domain": s.domain_relevance(tags, both, lex),
-            "__weak": s.weak_domain(tags, both, lex),
-            "__coaching": s.coaching_signal(answer, folded, lex),
-            "__specific": s.specificity(answer, lex),
-            "__emotion": s.emotional(F.col("final_user"), answer, F.col(hint), lex),
-            "__cliche": s.cliche_penalty(folded, lex),
-            "__safety": s.safety_penalty(folded, lex),
-            "__repeat": s.repetition_penalty(answer),
-        }
+    df = once(
+        df,
+        __domain=s.domain_relevance(tags, both, lex),
+        __weak=s.weak_domain(tags, both, lex),
+        __coaching=s.coaching_signal(answer, folded, lex),
+        __specific=s.specificity(answer, lex, F.col("__parts")),
+        __emotion=s.emotional(F.col("final_user"), answer, F.col(hint), lex, folded),
+        __cliche=s.cliche_penalty(folded, lex),
+        __safety=s.safety_penalty(folded, lex),
+        __repeat=s.repetition_penalty(answer, F.col("__parts")),
     )
     parts = [F.col(f"__{c}") for c in ("domain", "coaching", "specific", "emotion", "cliche", "safety", "repeat")]
     df = df.withColumn("__overall", s.aggregate(*parts))

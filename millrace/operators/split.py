@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions import text as t
 from .compose import render
-from .order import hash_key, sample
+from .order import ranked, sample
 
 
 @dataclass(frozen=True)
@@ -61,14 +61,13 @@ def stratified(df: DataFrame, to: Targets, ratios: tuple[float, float], seed: in
     sizes = df.groupBy(group).agg(F.count(F.lit(1)).alias("n"))
     val = allocate(sizes, to.validation, ratios[0], group).withColumnRenamed("allocated", "validation")
     both = allocate(val, to.test, ratios[1], group, reserved="validation").withColumnRenamed("allocated", "test")
-    w = Window.partitionBy(group).orderBy(hash_key(seed, F.col(group), F.col(key)), key)
-    ranked = df.withColumn("__rank", F.row_number().over(w)).join(F.broadcast(both.select(group, "validation", "test")), group)
+    rows = ranked(df, seed, key, [group]).join(both.select(group, "validation", "test"), group)
     split = (
-        F.when(F.col("__rank") <= F.col("validation"), "validation")
-        .when(F.col("__rank") <= F.col("validation") + F.col("test"), "test")
+        F.when(F.col("rank") <= F.col("validation"), "validation")
+        .when(F.col("rank") <= F.col("validation") + F.col("test"), "test")
         .otherwise("train")
     )
-    return ranked.withColumn("split", split).drop("__rank", "validation", "test")
+    return rows.withColumn("split", split).select(*df.columns, "split")
 
 
 def blank_tokens(x: Column) -> Column:

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-import tempfile
+import uuid
 
 from pyspark.sql import functions as F
 
 from ..functions import text as t
 from ..operators import dedup, events as ev
+from ..sources.store import shared_dir
 from ..streaming import ingest
 from .registry import fold_sql, query, sentences_sql, table
 
@@ -129,15 +130,17 @@ def dedup_opening_cap(spark, sf):
 
 
 @query(
-    f"""WITH d AS MATERIALIZED (SELECT doc_id, lang, list_distinct(string_split({fold_sql('text')}, ' ')) AS w FROM documents),
+    f"""WITH d AS MATERIALIZED (SELECT doc_id, lang, list_sort(list_distinct(string_split({fold_sql('text')}, ' '))) AS w FROM documents),
     x AS (SELECT doc_id, lang, len(w) AS n, unnest(w) AS t FROM d),
-    p AS (SELECT a.doc_id AS a, b.doc_id AS b, a.n AS na, b.n AS nb, count(*) AS k FROM x a JOIN x b ON a.lang = b.lang AND a.t = b.t AND a.doc_id < b.doc_id
-          AND least(a.n, b.n) >= 0.9 * greatest(a.n, b.n) GROUP BY ALL)
-    SELECT a, b, round_even(k / (na + nb - k)::DOUBLE, 6) AS similarity FROM p WHERE k / (na + nb - k)::DOUBLE >= 0.92"""
+    p AS (SELECT a.doc_id AS a, b.doc_id AS b, a.n AS na, b.n AS nb, count(*) AS k FROM x a JOIN x b ON a.lang = b.lang AND a.t = b.t AND a.doc_id <> b.doc_id
+          AND least(a.n, b.n) >= 0.9 * greatest(a.n, b.n) GROUP BY ALL),
+    l AS (SELECT a, count(*) AS links, round_even(max(k / (na + nb - k)::DOUBLE), 6) AS nearest FROM p WHERE k / (na + nb - k)::DOUBLE >= 0.92 GROUP BY a)
+    SELECT doc_id, min(doc_id) OVER (PARTITION BY lang, w) AS class_id, coalesce(links, 0) AS links, nearest FROM d LEFT JOIN l ON l.a = d.doc_id"""
 )
 def dedup_near_jaccard(spark, sf):
     df = table(spark, sf, "documents").select("doc_id", "lang", "text")
-    return dedup.near_jaccard(df, "lang", "text", "doc_id").withColumn("similarity", F.bround("similarity", 6))
+    found = dedup.near_links(df, "lang", "text", "doc_id")
+    return found.select("doc_id", "class_id", "links", F.bround("nearest", 6).alias("nearest"))
 
 
 @query()
@@ -151,12 +154,8 @@ def dedup_near_sequence(spark, sf):
 
 
 def _area(spark, name: str) -> str:
-    """A folder for a stream's table and checkpoint, shared where the session names a shared one."""
-    import uuid
-
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    base = base or tempfile.mkdtemp(prefix="millrace-stream-")
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A folder for a stream's table and checkpoint in the shared one."""
+    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 @query("SELECT event_type, count(*) AS n, sum(user_id)::BIGINT AS users, round_even(sum(value), 4) AS total FROM events GROUP BY event_type")

@@ -53,6 +53,11 @@ def sentences_sql(x: str) -> str:
     return f"list_filter(list_transform({parts}, lambda s: {strip_sql('s')}), lambda s: s <> '')"
 
 
+def regex_sql(pattern: str, flags: str) -> str:
+    """A pattern with white space and digits of Unicode spelled out, its quotes doubled."""
+    return f"(?{flags})" + pattern.replace(r"\s", SPACE).replace(r"\d", r"\p{Nd}").replace("'", "''")
+
+
 def text_list(values) -> str:
     return "[" + ", ".join("'" + v.replace("'", "''") + "'" for v in values) + "]"
 

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import scoring as s, text as t
+from ..functions.plan import once
 from ..functions.lexicon import RAW_FIELDS, RISKY_CLAIMS, Lexicon
 
 # Weight and floor of each validator, and the overall floor.
@@ -39,16 +40,16 @@ def _ratio(hits: Column, pool: Column, most: int) -> Column:
 
 
 def validators(df: DataFrame, lex: Lexicon) -> DataFrame:
-    """Add the ten scores; one projection."""
+    """Add the ten scores; what several of them look at is computed once."""
     r, one = F.col("response"), F.lit(1.0)
-    df = df.withColumn("__f", t.fold(r))
-    f = F.col("__f")
+    df = once(df, __f=t.fold(r), __user=t.fold(F.col("final_user")), __said=t.sentences(F.coalesce("response", F.lit(""))))
+    df = once(df, __safety=s.safety_penalty(F.col("__f"), lex))
+    f, said, safety = F.col("__f"), F.col("__said"), F.col("__safety")
     no_feelings = F.coalesce(F.col("no_emotional_objectives"), F.lit(False))
-    empathy = F.when(no_feelings, F.when(t.strip(r) != "", one).otherwise(0.0)).otherwise(s.acknowledgement(r))
-    safety = s.safety_penalty(f, lex)
+    empathy = F.when(no_feelings, F.when(t.strip(r) != "", one).otherwise(0.0)).otherwise(s.acknowledgement(r, f))
     coaching = (
         s.coaching_signal(r, f, lex) * 0.40
-        + s.specificity(r, lex) * 0.35
+        + s.specificity(r, lex, said) * 0.35
         + (one - F.least(safety / 0.20, one)) * 0.15
         + (one - F.least(s.cliche_penalty(f, lex) / 0.10, one)) * 0.10
     )
@@ -71,16 +72,16 @@ def validators(df: DataFrame, lex: Lexicon) -> DataFrame:
     need = F.greatest(F.col("required_follow_ups"), F.col("scenario_follow_ups"))
     follow = F.when(need == 0, one).otherwise(F.col("follow_ups") / F.nullif(need, F.lit(0)))
     claims = F.size(F.filter(F.array(*map(F.lit, RISKY_CLAIMS)), lambda p: F.contains(f, p)))
-    user = t.fold(F.col("final_user"))
+    user = F.col("__user")
     injury = F.col("injury_domain") | F.contains(user, F.lit("pain")) | F.contains(user, F.lit("injury"))
     careless = injury & F.col("has_injury") & ~F.contains(f, F.lit("pain")) & ~F.contains(f, F.lit("modify"))
     truth = one - claims * 0.20 - F.when(careless, F.lit(0.20)).otherwise(F.lit(0.0))
-    repeat = one - F.least(s.repetition_penalty(r) / 0.15, one)
+    repeat = one - F.least(s.repetition_penalty(r, said) / 0.15, one)
     pool = F.col("keywords")
     scenario = F.least(_ratio(t.count_contained(f, pool), pool, 3), one) * 0.60 + F.col("domain_score") * 0.40
     personal = _ratio(t.count_contained(f, F.col("facts")), F.col("facts"), 4)
     scores = dict(zip(VALIDATORS, (empathy, coaching, personal, adaptation, science, memory, follow, truth, repeat, scenario), strict=True))
-    return df.withColumns({k: t.clamp(v) for k, v in scores.items()}).drop("__f")
+    return once(df, **{k: t.clamp(v) for k, v in scores.items()}).drop("__f", "__user", "__said", "__safety")
 
 
 def rubric(df: DataFrame, must_pass: Column | None = None) -> DataFrame:

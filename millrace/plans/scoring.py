@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import scoring as s, text as t
-from ..functions.lexicon import ACKNOWLEDGE, ADVISE, FIXTURE as LEX
+from ..functions.lexicon import ACKNOWLEDGE, ADVISE, FIXTURE as LEX, STOCK
 from ..operators import score as sc
 from .cleaning import FLAT, cleaned
-from .registry import any_sql, big, fold_sql, query, sentences_sql, strip_sql, table, text_list
+from .registry import any_sql, big, fold_sql, query, regex_sql, sentences_sql, strip_sql, table, text_list
 
 # The last exchange of each conversation: the last assistant turn and the last user turn before it.
 LAST = """
@@ -36,16 +36,16 @@ def score_final_exchange(spark, sf):
     return df.select("conv_id", F.sha2("final_user", 256).alias("user_sha"), F.sha2("final_assistant", 256).alias("assistant_sha"))
 
 
-def tags_sql(x: str) -> str:
+def tags_sql(x: str, lex=LEX) -> str:
     """Sorted tags of folded text."""
-    whens = ", ".join(f"CASE WHEN {any_sql(x, p)} THEN '{tag}' END" for tag, p in LEX.topics.items())
+    whens = ", ".join(f"CASE WHEN {any_sql(x, p)} THEN '{tag}' END" for tag, p in lex.topics.items())
     return f"list_sort(list_filter([{whens}], lambda q: q IS NOT NULL))"
 
 
-def domain_sql(tags: str, x: str) -> str:
+def domain_sql(tags: str, x: str, lex=LEX) -> str:
     return (
         f"CASE WHEN list_contains({tags}, 'programming_offdomain') THEN 0.0::DOUBLE WHEN len({tags}) >= 2 THEN 1.0::DOUBLE "
-        f"WHEN len({tags}) = 1 THEN 0.8::DOUBLE WHEN {any_sql(x, LEX.fallback)} THEN 0.55::DOUBLE ELSE 0.2::DOUBLE END"
+        f"WHEN len({tags}) = 1 THEN 0.8::DOUBLE WHEN {any_sql(x, lex.fallback)} THEN 0.55::DOUBLE ELSE 0.2::DOUBLE END"
     )
 
 
@@ -77,20 +77,20 @@ def score_domain_relevance(spark, sf):
     )
 
 
-def specific_sql(x: str) -> str:
+def specific_sql(x: str, lex=LEX) -> str:
     return (
         f"least(CASE WHEN length({x}) >= 80 THEN 0.35::DOUBLE WHEN length({x}) >= 40 THEN 0.20::DOUBLE ELSE 0.0::DOUBLE END"
-        f" + CASE WHEN regexp_matches({x}, '{LEX.unit_regex}') THEN 0.35::DOUBLE ELSE 0.0::DOUBLE END"
-        f" + CASE WHEN regexp_matches({x}, '{LEX.list_regex}') THEN 0.15::DOUBLE ELSE 0.0::DOUBLE END"
+        f" + CASE WHEN regexp_matches({x}, '{regex_sql(lex.unit_regex, "i")}') THEN 0.35::DOUBLE ELSE 0.0::DOUBLE END"
+        f" + CASE WHEN regexp_matches({x}, '{regex_sql(lex.list_regex, "m")}') THEN 0.15::DOUBLE ELSE 0.0::DOUBLE END"
         f" + CASE WHEN len({sentences_sql(x)}) >= 2 THEN 0.15::DOUBLE ELSE 0.0::DOUBLE END, 1.0::DOUBLE)"
     )
 
 
-def coach_sql(x: str, f: str) -> str:
+def coach_sql(x: str, f: str, lex=LEX) -> str:
     part = lambda c, v: f"CASE WHEN {c} THEN {v}::DOUBLE ELSE 0.0::DOUBLE END"
     return (
-        f"least({part(any_sql(f, LEX.actions), 0.45)} + {part(any_sql(f, LEX.collaborative), '0.20')}"
-        f" + {part(any_sql(x, LEX.questions), 0.15)} + {part(any_sql(f, LEX.second_person), '0.20')}, 1.0::DOUBLE)"
+        f"least({part(any_sql(f, lex.actions), 0.45)} + {part(any_sql(f, lex.collaborative), '0.20')}"
+        f" + {part(any_sql(x, lex.questions), 0.15)} + {part(any_sql(f, lex.second_person), '0.20')}, 1.0::DOUBLE)"
     )
 
 
@@ -105,8 +105,15 @@ def score_coaching_signal(spark, sf):
     return exchanges(spark, sf).select("conv_id", F.bround(s.coaching_signal(a, t.fold(a), LEX), 4).alias("coaching"))
 
 
-CLICHE = "CASE WHEN " + " OR ".join(f"starts_with(f, '{p}')" for p in LEX.openers) + " THEN 0.10::DOUBLE ELSE 0.0::DOUBLE END"
-SAFETY = f"CASE WHEN {any_sql('f', LEX.absolutes)} THEN 0.20::DOUBLE ELSE 0.0::DOUBLE END"
+def cliche_sql(lex) -> str:
+    return "CASE WHEN " + " OR ".join(f"starts_with(f, '{p}')" for p in lex.openers) + " THEN 0.10::DOUBLE ELSE 0.0::DOUBLE END"
+
+
+def safety_sql(lex) -> str:
+    return f"CASE WHEN {any_sql('f', lex.absolutes)} THEN 0.20::DOUBLE ELSE 0.0::DOUBLE END"
+
+
+CLICHE, SAFETY = cliche_sql(LEX), safety_sql(LEX)
 
 
 def repeat_sql(x: str) -> str:
@@ -146,20 +153,15 @@ def score_emotional_ack(spark, sf):
 
 
 # Scores of all kept conversations, from the definition.
-SCORED = f"""{FLAT},
-    ok AS (SELECT conv_id, hint FROM conv WHERE reason IS NULL),
-    lastrow AS (SELECT conv_id, max(rn) AS at FROM flat WHERE role = 'assistant' GROUP BY conv_id),
-    userrow AS (SELECT f.conv_id, max(f.rn) AS at FROM flat f JOIN lastrow l ON l.conv_id = f.conv_id AND f.rn < l.at WHERE f.role = 'user' GROUP BY f.conv_id),
-    pick AS (
-        SELECT ok.conv_id, ok.hint, u.c AS u, a.c AS a FROM ok JOIN lastrow l ON l.conv_id = ok.conv_id JOIN flat a ON a.conv_id = ok.conv_id AND a.rn = l.at
-        JOIN userrow r ON r.conv_id = ok.conv_id JOIN flat u ON u.conv_id = ok.conv_id AND u.rn = r.at
-    ),
+def scored_sql(pick: str, lex) -> str:
+    """Scores of rows (conv_id, hint, u, a) of ``pick``."""
+    return f"""{pick},
     folded AS MATERIALIZED (SELECT *, {fold_sql("a")} AS f, {fold_sql("u")} AS fu, {fold_sql("u || chr(10) || a")} AS ua FROM pick),
-    tagged AS MATERIALIZED (SELECT *, {tags_sql("ua")} AS tags FROM folded),
+    tagged AS MATERIALIZED (SELECT *, {tags_sql("ua", lex)} AS tags FROM folded),
     parts AS MATERIALIZED (
-        SELECT conv_id, tags, ua, {domain_sql("tags", "ua")} AS dom, {coach_sql("a", "f")} AS coach, {specific_sql("a")} AS spec,
-               CASE WHEN hint = 'mostly_ascii' AND {any_sql("fu", LEX.emotions)} THEN {ack_sql("f")} END AS emo,
-               {CLICHE} AS cliche, {SAFETY} AS safety, {repeat_sql("a")} AS rep
+        SELECT conv_id, tags, ua, {domain_sql("tags", "ua", lex)} AS dom, {coach_sql("a", "f", lex)} AS coach, {specific_sql("a", lex)} AS spec,
+               CASE WHEN hint = 'mostly_ascii' AND {any_sql("fu", lex.emotions)} THEN {ack_sql("f")} END AS emo,
+               {cliche_sql(lex)} AS cliche, {safety_sql(lex)} AS safety, {repeat_sql("a")} AS rep
         FROM tagged
     ),
     total AS MATERIALIZED (
@@ -171,7 +173,7 @@ SCORED = f"""{FLAT},
     ),
     scored AS MATERIALIZED (
         SELECT *, list_filter([CASE WHEN list_contains(tags, 'programming_offdomain') THEN 'off_domain_programming' END,
-                CASE WHEN len(tags) = 0 AND NOT {any_sql("ua", LEX.fallback)} THEN 'weak_domain_signal' END,
+                CASE WHEN len(tags) = 0 AND NOT {any_sql("ua", lex.fallback)} THEN 'weak_domain_signal' END,
                 CASE WHEN dom < 0.5 AND NOT list_contains(tags, 'programming_offdomain') THEN 'low_domain_relevance' END,
                 CASE WHEN overall < 0.55 THEN 'low_quality_score' END], lambda r: r IS NOT NULL) AS reasons
         FROM total
@@ -179,6 +181,17 @@ SCORED = f"""{FLAT},
 """
 
 
+PICKED = f"""{FLAT},
+    ok AS (SELECT conv_id, hint FROM conv WHERE reason IS NULL),
+    lastrow AS (SELECT conv_id, max(rn) AS at FROM flat WHERE role = 'assistant' GROUP BY conv_id),
+    userrow AS (SELECT f.conv_id, max(f.rn) AS at FROM flat f JOIN lastrow l ON l.conv_id = f.conv_id AND f.rn < l.at WHERE f.role = 'user' GROUP BY f.conv_id),
+    pick AS (
+        SELECT ok.conv_id, ok.hint, u.c AS u, a.c AS a FROM ok JOIN lastrow l ON l.conv_id = ok.conv_id JOIN flat a ON a.conv_id = ok.conv_id AND a.rn = l.at
+        JOIN userrow r ON r.conv_id = ok.conv_id JOIN flat u ON u.conv_id = ok.conv_id AND u.rn = r.at
+    )"""
+SCORED = scored_sql(PICKED, LEX)
+
+
 def scored(spark, sf):
     from ..operators.clean import kept
 
@@ -218,6 +231,72 @@ def score_report(spark, sf):
     return r.select("records", "passing", *[F.bround(v, 4).alias(k) for k, v in names.items()], "emotional_records")
 
 
+# The stock lexicon's words are not those of the prose, so some are put into the exchanges: each conversation gets
+# a few of these by its number, with what narrower patterns would miss (white space of Unicode, full-width digits,
+# a number and its unit over a line end, a dash before a no-break space).
+PROBES = [
+    "1.\nOne", "-\u00a0a dash", "\uff13\u00a0sets", "3\nreps", "Keep 20 minutes", "* point", "12\u3000\u7ec4", "5 KG", "1)\ttab", "no list -here",
+    "Strength and hypertrophy", "a marathon", "protein and carbs", "I feel anxious", "sleep", "knee pain", "plateau", "share equipment", "competition prep", "python code", "my goal",
+    "Of course", "let's", "you", "recommend", "never", "What? Yes.", "That is hard. I hear you.", "\u5efa\u8bae \u4f60", "\u529b\u91cf\u8bad\u7ec3", "worried", "Great question, always",
+]
+
+
+def _probe(k: int) -> str:
+    return f"{text_list(PROBES)}[1 + (conv_id * 7 + {k} * 11 + conv_id // 5) % {len(PROBES)}]"
+
+
+STOCK_PICK = f"""{LAST}, pick AS (
+        SELECT conv_id, CASE WHEN conv_id % 4 = 0 THEN 'majority_non_ascii' ELSE 'mostly_ascii' END AS hint, u || ' ' || {_probe(1)} AS u,
+               CASE conv_id % 3 WHEN 0 THEN {_probe(2)} WHEN 1 THEN {_probe(3)} || chr(10) || {_probe(4)} ELSE {_probe(5)} || ' ' || a END AS a FROM ex)"""
+STOCK_SCORED = scored_sql(STOCK_PICK, STOCK)
+
+
+def stock_scored(spark, sf):
+    pick = lambda k: F.element_at(F.array(*map(F.lit, PROBES)), F.expr(f"int(1 + (conv_id * 7 + {k} * 11 + conv_id div 5) % {len(PROBES)})"))
+    third, a = F.col("conv_id") % 3, F.col("final_assistant")
+    answer = F.when(third == 0, pick(2)).when(third == 1, F.concat(pick(3), F.lit("\n"), pick(4))).otherwise(F.concat(pick(5), F.lit(" "), a))
+    hint = F.when(F.col("conv_id") % 4 == 0, "majority_non_ascii").otherwise("mostly_ascii")
+    df = exchanges(spark, sf).select("conv_id", hint.alias("language_hint"), F.concat("final_user", F.lit(" "), pick(1)).alias("final_user"), answer.alias("final_assistant"))
+    return sc.score_texts(df, STOCK)
+
+
+SCORE_COLUMNS = """array_to_string(tags, ',') AS tags, round_even(dom, 4) AS domain_score, round_even(coach, 4) AS coaching, round_even(spec, 4) AS specificity,
+    round_even(emo, 4) AS emotional, cliche, safety, round_even(rep, 4) AS repetition, round_even(overall, 4) AS overall, array_to_string(reasons, ',') AS reasons"""
+
+
+@query(f"WITH {STOCK_SCORED} SELECT conv_id, {SCORE_COLUMNS} FROM scored")
+def score_records_stock(spark, sf):
+    return stock_scored(spark, sf).select(
+        "conv_id",
+        F.array_join("topic_tags", ",").alias("tags"),
+        F.col("domain_relevance_score").alias("domain_score"),
+        F.col("coaching_signal_score").alias("coaching"),
+        F.col("specificity_score").alias("specificity"),
+        F.col("emotional_acknowledgment_score").alias("emotional"),
+        F.col("cliche_penalty").alias("cliche"),
+        F.col("safety_penalty").alias("safety"),
+        F.col("repetition_penalty").alias("repetition"),
+        F.col("overall_quality_score").alias("overall"),
+        F.array_join("exclusion_reasons", ",").alias("reasons"),
+    )
+
+
+@query(f"WITH {STOCK_SCORED} SELECT label, count(*) AS n FROM (SELECT unnest(tags) AS label FROM scored) GROUP BY label")
+def score_tag_counts_stock(spark, sf):
+    return sc.label_counts(stock_scored(spark, sf), "topic_tags")
+
+
+@query("SELECT * FROM (VALUES (0, TRUE, 0.15::DOUBLE), (1, TRUE, 0.15::DOUBLE), (2, TRUE, 0.35::DOUBLE), (3, TRUE, 0.35::DOUBLE), (4, TRUE, 0.35::DOUBLE), (5, TRUE, 0.15::DOUBLE), "
+       "(6, TRUE, 0.35::DOUBLE), (7, TRUE, 0.35::DOUBLE), (8, TRUE, 0.15::DOUBLE), (9, FALSE, 0.0::DOUBLE)) t(id, found, specificity)")
+def score_specificity_probes(spark, sf):
+    """The first ten probes under the stock patterns, with what each is worth."""
+    df = spark.createDataFrame(list(enumerate(PROBES[:10])), "id int, x string")
+    score = s.specificity(F.col("x"), STOCK)
+    # Three of them are two sentences as well.
+    plain = score - F.when(F.size(t.sentences(F.col("x"))) >= 2, F.lit(0.15)).otherwise(F.lit(0.0))
+    return df.select("id", (plain > 0).alias("found"), F.bround(plain, 4).alias("specificity"))
+
+
 MEMORY_GROUPS = [["the ", "das "], ["ción"], ["zzz"], ["ung", "ing"]]
 
 

@@ -78,8 +78,8 @@ def require(rows: DataFrame, key: str, wanted: list[str]) -> None:
 
 
 def lookup(df: DataFrame, library: DataFrame, key: str) -> DataFrame:
-    """Join a library that must know every key; libraries are a few rows."""
+    """Join a library that must know every key; Spark broadcasts it where its size allows."""
     known = library.withColumn("__known", F.lit(True))
-    joined = df.join(F.broadcast(known), key, "left")
+    joined = df.join(known, key, "left")
     wrong = F.raise_error(F.concat(F.lit(f"unknown {key}: "), F.coalesce(F.col(key), F.lit("null"))))
     return joined.withColumn(key, F.when(F.col("__known").isNotNull(), F.col(key)).otherwise(wrong.cast("string"))).drop("__known")

@@ -45,7 +45,7 @@ def test_text_helpers(spark):
     df = spark.createDataFrame([("Qwen/Qwen2.5-1.5B", "<p>a &amp;lt; b</p> <b>c</b>", "One. Two! Three?")], "n string, h string, x string")
     row = df.select(
         t.storage_name(F.col("n")), t.slug(F.col("n")), t.strip_html(F.col("h")), t.first_sentences(F.col("x")), t.human_count(F.lit(1_540_000_000)), t.human_count(F.lit(None).cast("long")),
-        t.shorten(F.lit("aaa bbb ccc ddd"), 12), t.section(F.lit("<h2>Intro</h2>x<h2>Conclusion</h2><p>Done &amp; dusted.</p><h2>Refs</h2>")), t.unescape_all(F.lit("&eacute;&amp;")),
+        t.shorten(F.lit("aaa bbb ccc ddd"), 12), t.section(F.lit("<h2>Intro</h2>x<h2>Conclusion</h2><p>Done &amp; dusted.</p><h2>Refs</h2>")), t.unescape(F.lit("&eacute;&amp;")),
     ).first()
     assert tuple(row) == ("Qwen__Qwen2.5-1.5B", "qwen__qwen2.5-1.5b", "a &lt; b c", "One. Two!", "1.54B", "n/a", "aaa bbb...", "Done & dusted.", "é&")
 
@@ -287,10 +287,10 @@ def test_dedup_kinds(spark):
     assert [r["id"] for r in dedup.repetitive(df, "text").filter("is_repetitive").collect()] == [5]
     near = {r["id"]: r["near_key"] for r in dedup.near_sequence(df, "bucket", "text", "id").collect()}
     assert near == {1: None, 2: 1, 3: 1, 4: None, 5: None, 6: None}
-    pairs = {(r["a"], r["b"]) for r in dedup.near_jaccard(df.na.drop(), "bucket", "text", "id", 0.9).collect()}
-    assert pairs == {(1, 2), (1, 3), (2, 3)}
-    with pytest.raises(Exception, match="bucket has"):
-        dedup.near_sequence(df, "bucket", "text", "id", limit=2).collect()
+    links = {r["id"]: (r["class_id"], r["links"]) for r in dedup.near_links(df, "bucket", "text", "id", 0.9).collect()}
+    assert links == {1: (1, 2), 2: (2, 2), 3: (1, 2), 4: (4, 0), 5: (5, 0), 6: (6, 0)}
+    over = lambda counts: [r["id"] for r in dedup.opening_cap(df.na.drop(), "text", ["id"], 1, counts).filter("over_cap").collect()]
+    assert over(None) == [3] and over(F.col("id") != 1) == []
 
 
 # --- evaluation, rubric, research ------------------------------------------------------------

@@ -9,7 +9,6 @@ import pytest
 from pyspark.sql import functions as F
 
 from millrace.functions import scoring as s
-from millrace.llm import jaccard_join
 from millrace.operators import dedup
 from millrace.plans import planner
 from millrace.plans.catalog import QUERIES
@@ -27,7 +26,8 @@ def test_perplexity_covers_every_event(spark, sf):
     """Within one unit of the sixth decimal, where engines differ near exp(20)."""
     sql = f"SELECT event_id, CASE WHEN value IS NOT NULL THEN round(exp(least(value, 20.0::DOUBLE)), 6) END FROM '{sf}/events.parquet'"
     want = dict(duckdb.execute(sql).fetchall())
-    got = {r["event_id"]: r["perplexity"] for r in QUERIES["train_perplexity_all"](spark, sf).collect()}
+    got = {r["event_id"]: r["p"] for r in spark.read.parquet(f"{sf}/events.parquet").select("event_id", s.perplexity(F.col("value")).alias("p")).collect()}
+    assert {r["event_id"] for r in QUERIES["train_perplexity"](spark, sf).collect()} == set(want)
     assert got.keys() == want.keys() and all(abs(got[i] - want[i]) < 2e-6 for i in want)
     assert max(got.values()) == round(math.exp(20.0), 6)
 
@@ -115,6 +115,28 @@ def test_near_sequence_equals_brute_force(spark):
     assert got == want and 10 < len(accepted) < len(rows) - 10
 
 
+def test_near_sequence_in_blocks(spark, monkeypatch):
+    """Chains of near copies, copies, null texts and blocks of a few rows: the same verdicts as one after the other."""
+    monkeypatch.setattr(dedup, "BLOCK", 4)
+    rng = random.Random(9)
+    rows, text = [], "the quick brown fox jumps over the lazy dog until evening"
+    for i in range(60):
+        if i % 15 == 0:
+            text = "".join(rng.choice("etaoin shrdlu") for _ in range(60))
+        at = rng.randrange(len(text))
+        text = text[:at] + rng.choice("xyz") + text[at + 1 :]
+        rows.append((i, rng.choice("ab"), text if i % 7 else rows[i // 2][2] if i else text))
+    rows.append((60, "a", None))
+    want, accepted = {}, []
+    for k, g, x in rows:
+        x = x or ""
+        want[k] = next((j for j, h, y in accepted if h == g and SequenceMatcher(None, x, y).ratio() >= 0.92), None)
+        if want[k] is None:
+            accepted.append((k, g, x))
+    df = spark.createDataFrame(rows, "k long, g string, x string")
+    assert {r["k"]: r["near_key"] for r in dedup.near_sequence(df, "g", "x", "k").collect()} == want
+
+
 def test_near_sequence_looks_at_every_document(spark, sf):
     docs = {r["doc_id"] for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id").collect()}
     assert {r["doc_id"] for r in QUERIES["dedup_near_sequence"](spark, sf).collect()} == docs
@@ -122,18 +144,8 @@ def test_near_sequence_looks_at_every_document(spark, sf):
 
 def test_names_cover_every_part(spark, sf):
     """With sizes on both sides of a billion in either class of parts."""
-    got = {r["p_partkey"]: r["size_text"] for r in QUERIES["research_names_all"](spark, sf).collect()}
+    got = {r["p_partkey"]: r["size_text"] for r in QUERIES["research_names"](spark, sf).collect()}
     assert len(got) == spark.read.parquet(f"{sf}/part.parquet").count()
     assert (got[1], got[2], got[3], got[97], got[100]) == ("10.0M", "0.0M", "n/a", "970.0M", "1.00B")
     far = spark.createDataFrame([(999_002, "a", "b"), (1_000_001, "a", "b"), (1_000_002, "a", "b")], "p_partkey long, p_name string, p_brand string")
     assert [r["size_text"] for r in _names(far).orderBy("p_partkey").collect()] == ["1.00B", "1.00B", "n/a"]
-
-
-def test_versions_of_one_document_keep_their_links(spark):
-    """An identifier with two texts, each with near copies of its own, also where it is not the least of a class."""
-    text = lambda name, n, odd=None: " ".join([*(f"{name}{i}" for i in range(n)), *([odd] if odd else [])])
-    rows = [(1, text("a", 100)), (1, text("b", 60)), (2, text("a", 100, "x")), (3, text("b", 60, "y")), (9, text("c", 80))]
-    rows += [(4, text("d", 50)), (5, text("d", 50)), (5, text("e", 70)), (6, text("e", 70, "z")), (7, text("f", 90))]
-    df = spark.createDataFrame(rows, "doc_id long, text string")
-    got = {(r["doc_id"], r["n_shingles"], r["component_id"]) for r in jaccard_join.jaccard_components(df).collect()}
-    assert {(i, c) for i, _, c in got} == {(1, 1), (2, 1), (3, 1), (9, 9), (4, 4), (5, 4), (6, 4), (7, 7)}
