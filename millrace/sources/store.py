@@ -38,8 +38,7 @@ def scratch(spark: SparkSession):
     kept: set[str] = set()
 
     def keep(df: DataFrame) -> DataFrame:
-        files = df.inputFiles()
-        kept.update(p for p in made if any(p in f for f in files))
+        kept.add(df._path)
         return df
 
     _open.append(made)
@@ -83,7 +82,9 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
         spark.conf.set(CLEANUP, before)
     if _open:
         _open[-1].append(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._path = path
+    return out
 
 
 #: Rows of a written table up to which it is broadcast; beyond, both sides of a join are shuffled.
