@@ -2,11 +2,9 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-from contextlib import contextmanager
+from pyspark.sql import SparkSession, functions as F
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from ..sources.store import FEW, few, materialize, scratch, shared_dir  # noqa: F401
 
 #: Lower-cases A-Z only, on code points (the contracts leave other letters alone).
 ASCII_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -30,25 +28,6 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir``.
-
-    Only where the session names none and runs on one machine (tests) is a
-    folder made here and set as the checkpoint folder; on a cluster that is an error.
-    """
-    at = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
-        "spark.checkpoint.dir"
-    )
-    if not at:
-        at = spark.sparkContext.getCheckpointDir()
-    if not at:
-        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="millrace-"))
-        at = spark.sparkContext.getCheckpointDir()
-    return at.rstrip("/")
-
-
 def slices(batches, rows: int = 256, octets: int = 4 << 20):
     """Cut Arrow batches: as Python objects a whole one can be ten times as large.
 
@@ -83,65 +62,3 @@ def trim(collect: bool = True) -> None:
         ctypes.CDLL(None).malloc_trim(0)
     except (OSError, AttributeError):
         pass  # another C library
-
-
-#: Tables written so far, by the scratch they were written in.
-_open: list[list[str]] = []
-
-
-@contextmanager
-def scratch(spark: SparkSession):
-    """Delete the tables that ``materialize`` writes inside, but for those passed to the function it yields."""
-    made: list[str] = []
-    kept: set[str] = set()
-
-    def keep(df: DataFrame) -> DataFrame:
-        kept.update(p for p in made if any(p in f for f in df.inputFiles()))
-        return df
-
-    _open.append(made)
-    try:
-        yield keep
-    finally:
-        _open.remove(made)
-        drop(spark, [p for p in made if p not in kept])
-        if _open:
-            _open[-1].extend(kept)
-
-
-def drop(spark: SparkSession, paths: list[str]) -> None:
-    """Delete tables of the shared folder, whatever file system it is on."""
-    for path in paths:
-        at = spark._jvm.org.apache.hadoop.fs.Path(path)
-        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
-
-
-CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-
-
-def materialize(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` as Parquet in the shared folder and read it again.
-
-    Cuts the lineage like ``checkpoint()``, but columnar and compressed, and it
-    outlives any executor. Shuffle files of the write go once it is done.
-    """
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/millrace/{label}-{uuid.uuid4().hex}"
-    before = spark.conf.get(CLEANUP, "false")
-    spark.conf.set(CLEANUP, "true")
-    try:
-        df.write.parquet(path)
-    finally:
-        spark.conf.set(CLEANUP, before)
-    if _open:
-        _open[-1].append(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-#: Rows of a written table up to which it is broadcast; beyond, both sides of a join are shuffled.
-FEW = 200_000
-
-
-def few(table: DataFrame) -> DataFrame:
-    """``table``, to be broadcast if it has few rows. It should be a written one: it is counted."""
-    return F.broadcast(table) if table.count() <= FEW else table

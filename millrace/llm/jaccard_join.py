@@ -1,26 +1,31 @@
 """N-gram Jaccard self-join by a prefix join with grouped posting lists, and its components.
 
 1. Documents with equal shingle sets are one class; their links need no join.
-2. Shingles are ordered by rarity. A table of hashed frequencies, of a size that
-   does not depend on the data, gives the order, so that widely shared shingles
-   come last. A set's prefix is as long as the threshold demands: two sets that
+2. Shingles are ordered by rarity, so that widely shared ones come last. A table
+   of hashed frequencies gives the order; it has a byte for every eight shingles
+   of the corpus, 64 MB at most (beyond, rarity blurs, which costs time, not
+   links). A set's prefix is as long as the threshold demands: two sets that
    reach it share a shingle of their prefixes.
 3. Classes of one size and one prefix are one group; posting lists of prefix
    shingles are made of groups, and a group without a neighbour of near size in
    a list leaves it. What is left is expanded to classes in each list, before
    pairing: no pairs of groups are formed.
-4. A long posting list first tries each member against the nearest of those
-   before it. Members that link so are in one component and need no more pairs
-   among themselves; what is left, pairs over different components, is verified
-   in full. So a large group of near copies costs pairs in proportion to its
-   size, and no link between components is lost.
+4. A list of up to ``SHORT`` classes tries all pairs. A longer one is dealt to
+   blocks of about ``BLOCK`` by a hash, and each member tries the nearest of the
+   1,024 before it in its block. Members that link so are in one component and
+   need no more pairs among themselves. What is left is tried in full: in lists
+   that hold several components, all pairs over different ones, each pair of
+   blocks in a task of its own. So a large group of near copies costs pairs in
+   proportion to its size, no list meets in one task, and no link between
+   components is lost, whatever these sizes are.
 5. Candidates are pairs of classes. Each class has a bitmap of the parities of
    its hashed shingles, a 32nd of the set's size; the bits in which two of them
    differ are a lower bound of the sets' difference, which rules out most
    candidates for certain. The others are verified on their whole sets.
 
 The result is components only. Step 4 skips pairs inside a component, so neither
-the links nor their number can be had from here.
+the links nor their number can be had from here. Shingles are compared by 64-bit
+hashes of their words.
 """
 
 from __future__ import annotations
@@ -33,11 +38,13 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql import types as T
 
-from .common import SPACE_WORDS, materialize, partitions, slices
+from .common import SPACE_WORDS, materialize, partitions, scratch, slices
 
 MIX = np.uint64(0x9E3779B97F4A7C15)
-#: Buckets of the frequency table. More corpus wants more of them (a byte each on every worker).
-TABLE_BITS, SLICES = 24, 64
+#: Least and most bits of a bucket's number in the frequency table (a byte each on every worker).
+LEAST_BITS, MOST_BITS, SLICES = 16, 26, 64
+#: Classes of a posting list that are tried against each other in one task.
+BLOCK = 1024
 #: Up to so many identifiers are broadcast to fetch their texts; beyond that both sides are shuffled.
 FEW_IDS = 1_000_000
 
@@ -92,15 +99,19 @@ def least_difference(x: bytes, y: bytes) -> int:
     return int(np.bitwise_count(a ^ b).sum())
 
 
-def _frequency_table(docs: DataFrame, text_col: str, k: int) -> np.ndarray:
-    """Documents by hash bucket of their shingles, in steps of an eighth of a doubling.
+def _table_bits(docs: DataFrame, text_col: str) -> int:
+    """A bucket for every eight words, taken as six bytes each, within the bounds."""
+    octets = docs.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
+    return min(MOST_BITS, max(LEAST_BITS, (octets // 48).bit_length()))
 
-    Its size depends on ``TABLE_BITS`` alone.
-    """
+
+def _frequency_table(docs: DataFrame, text_col: str, k: int) -> np.ndarray:
+    """Documents by hash bucket of their shingles, in steps of an eighth of a doubling."""
     import zstandard
 
-    size = 1 << TABLE_BITS
-    shift = np.uint64(64 - TABLE_BITS)
+    bits = _table_bits(docs, text_col)
+    size = 1 << bits
+    shift = np.uint64(64 - bits)
 
     def count(batches):
         hashes, total, held, n = WordHash(), np.zeros(size, np.uint16), [], 0
@@ -156,7 +167,7 @@ def _typed(f):
 
 
 def _signatures(docs: DataFrame, table: np.ndarray, k: int, percent: int) -> DataFrame:
-    shift = np.uint64(64 - TABLE_BITS)
+    shift = np.uint64(64 - (len(table).bit_length() - 1))
 
     def sign(batches):
         hashes = WordHash()
@@ -190,39 +201,28 @@ def _signatures(docs: DataFrame, table: np.ndarray, k: int, percent: int) -> Dat
 
 
 def _live_lists(percent: int):
-    """Posting lists' groups with another of a size within reach; rows sorted by token, size and group."""
-    names = ["token", "gid", "n"]
-
-    def flush(rows):
-        out = list({r[1]: r for r in rows}.values())
-        near = [a[2] * 100 >= percent * b[2] for a, b in zip(out[:-1], out[1:], strict=True)]
-        return [r for r, before, after in zip(out, [False, *near], [*near, False], strict=True) if before or after]
-
-    def batch_of(rows):
-        return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*rows, strict=True)], names=names)
+    """Posting lists' groups with another of a size within reach; rows sorted by token, size and group. Holds one row."""
 
     def run(batches):
-        group, ready, token = [], [], None
+        held = None  # the last row, and whether it reaches the one before it
         for batch in batches:
-            tokens = batch.column(0).to_numpy()
-            same = np.empty(len(tokens), bool)
-            if len(tokens):
-                same[0] = token is not None and tokens[0] == token
-                same[1:] = tokens[1:] == tokens[:-1]
-                token = tokens[-1]
-            nxt = np.append(same[1:], True)  # the last row may go on in the next batch
-            keep = pa.array(np.flatnonzero(same | nxt))
-            for r in zip(*(batch.column(i).take(keep).to_pylist() for i in range(3)), strict=True):
-                if group and group[0][0] != r[0]:
-                    ready += flush(group)
-                    group = []
-                group.append(r)
-            if len(ready) > 20_000:
-                yield batch_of(ready)
-                ready = []
-        ready += flush(group)
-        if ready:
-            yield batch_of(ready)
+            token, gid, n = (batch.column(i).to_numpy() for i in range(3))
+            reached = np.zeros(len(token) + (held is not None), bool)
+            if held is not None:
+                token, gid, n = (np.append(a, b) for a, b in zip(held[:3], (token, gid, n), strict=True))
+                reached[0] = held[3]
+            if not len(token):
+                continue
+            new = np.append(True, (token[1:] != token[:-1]) | (gid[1:] != gid[:-1]))
+            token, gid, n, reached = token[new], gid[new], n[new], reached[new]
+            near = (token[1:] == token[:-1]) & (n[:-1] * 100 >= percent * n[1:])
+            reached[1:] = near
+            keep = (reached[:-1] | near).nonzero()[0]
+            held = (token[-1:].copy(), gid[-1:].copy(), n[-1:].copy(), bool(reached[-1]))
+            if len(keep):
+                yield pa.RecordBatch.from_arrays([pa.array(x[keep]) for x in (token, gid, n)], names=["token", "gid", "n"])
+        if held is not None and held[3]:
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in held[:3]], names=["token", "gid", "n"])
 
     return run
 
@@ -322,13 +322,16 @@ def _nearest_pairs(members: _List, rows):
 
 
 def _cross_pairs(members: _List, rows):
-    """Pairs of a long list over different components."""
-    comp = np.array([r[4] for r in rows])
+    """Pairs of a list over different components; of a list of two blocks, pairs over these."""
+    comp, side = np.array([r[4] for r in rows]), np.array([r[5] for r in rows])
     if len(np.unique(comp)) < 2:
         return
     for i in range(1, len(comp)):
         low = int(np.searchsorted(members.n[:i], (members.percent * members.n[i] + 99) // 100))
-        others = low + np.flatnonzero(comp[low:i] != comp[i])
+        others = comp[low:i] != comp[i]
+        if side[i]:
+            others &= side[low:i] != side[i]
+        others = low + np.flatnonzero(others)
         others = others[members.slack(i, others) >= 0]
         if len(others):
             yield i, others
@@ -418,10 +421,15 @@ def jaccard_components(
     without words have no shingles and are linked with nothing, nor is a row
     without an identifier (its component is null). Rows that repeat an
     identifier count as versions of one document: their links are its links.
-    An empty table gives no rows.
+    An empty table gives no rows; other columns are not looked at. A text is
+    held whole by one task, its words some 60 bytes each.
     """
-    spark = docs.sparkSession
-    parts = partitions(spark)
+    with scratch(docs.sparkSession) as keep:
+        return keep(materialize(_components_of(docs, k, percent, id_col, text_col), "components"))
+
+
+def _components_of(docs: DataFrame, k: int, percent: int, id_col: str, text_col: str) -> DataFrame:
+    parts = partitions(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
     sigs = materialize(_signatures(rows, _frequency_table(rows, "text", k), k, percent), "signatures")
     linked = sigs.filter("n > 0 and doc_id is not null")
@@ -459,15 +467,27 @@ def jaccard_components(
     spread = live.select("token", "gid").join(nodes, "gid").select("token", "sid", "n", "bits")
     inside = several.join(nodes.drop("n"), "gid").select(F.col("gid").alias("token"), "sid", "n", "bits")
     spread = spread.union(inside)
+    # Long lists and their blocks; a member's block is a hash of it.
+    long = spread.groupBy("token").agg(F.count(F.lit(1)).alias("m")).filter(F.col("m") > SHORT)
+    long = materialize(long.select("token", F.ceil(F.col("m") / F.lit(BLOCK)).cast("int").alias("blocks")), "long")
+    own = F.pmod(F.xxhash64("sid"), F.col("blocks")).cast("int")
     pair = "a bigint, b bigint"
-    dealt = spread.repartition(parts, "token").sortWithinPartitions("token", "n", "sid")
+    dealt = spread.join(long, "token", "left")
+    dealt = dealt.withColumn("token", F.when(F.col("blocks") > 1, F.xxhash64("token", own)).otherwise(F.col("token")))
+    dealt = dealt.select("token", "sid", "n", "bits").repartition(parts, "token").sortWithinPartitions("token", "n", "sid")
     tried = materialize(dealt.mapInArrow(_lists(percent, _nearest_pairs), pair).distinct(), "pairs")
     links = materialize(_verify(tried, rows, k, percent, named).union(versions), "links")
     labels = components(links)
 
-    long = spread.groupBy("token").agg(F.count(F.lit(1)).alias("m")).filter(F.col("m") > SHORT).select("token")
-    dealt = spread.join(long, "token", "left_semi").join(labels.toDF("sid", "c"), "sid", "left")
-    dealt = dealt.select("token", "sid", "n", "bits", F.coalesce("c", "sid").alias("c"))
+    # Lists that hold several components, in pairs of blocks.
+    where = spread.select("token", "sid").join(long, "token").join(labels.toDF("sid", "c"), "sid", "left")
+    mixed = where.groupBy("token", "blocks").agg(F.min(F.coalesce("c", "sid")).alias("x"), F.max(F.coalesce("c", "sid")).alias("y"))
+    mixed = materialize(mixed.filter("x < y").select("token", "blocks"), "mixed")
+    dealt = spread.join(mixed, "token").join(labels.toDF("sid", "c"), "sid", "left").withColumn("own", own)
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    dealt = dealt.select("token", "sid", "n", "bits", F.coalesce("c", "sid").alias("c"), "own", other.alias("other"))
+    side = F.when(F.col("own") == F.col("other"), 0).when(F.col("own") < F.col("other"), 1).otherwise(2)
+    dealt = dealt.select(F.xxhash64("token", F.least("own", "other"), F.greatest("own", "other")).alias("token"), "sid", "n", "bits", "c", side.alias("side"))
     dealt = dealt.repartition(parts, "token").sortWithinPartitions("token", "n", "sid")
     cross = dealt.mapInArrow(_lists(percent, _cross_pairs), pair).distinct()
     rest = materialize(cross.join(tried, ["a", "b"], "left_anti"), "pairs")
@@ -480,6 +500,8 @@ def jaccard_components(
         own = labels.toDF("vid", "c").join(classes.select("vid", "sid"), "vid")
         labels = own.join(own.groupBy("c").agg(F.min("sid").alias("least")), "c").select("vid", "least")
     called = classes.join(labels.toDF("vid", "c"), "vid", "left").select("set_key", F.coalesce("c", "sid").alias("c"))
-    out = sigs.select("doc_id", "n", "set_key").join(called, "set_key", "left")
-    own = F.when((F.col("n") > 0) & F.col("doc_id").isNotNull(), F.col("c")).otherwise(F.col("doc_id"))
-    return out.select("doc_id", F.col("n").alias("n_shingles"), own.alias("component_id"))
+    # Rows without words or identifier are a component each; they are many of one key and join with nothing.
+    alone = (F.col("n") == 0) | F.col("doc_id").isNull()
+    out = sigs.filter(~alone).select("doc_id", "n", "set_key").join(called, "set_key", "left").select("doc_id", "n", "c")
+    out = out.union(sigs.filter(alone).select("doc_id", "n", F.col("doc_id").alias("c")))
+    return out.select("doc_id", F.col("n").alias("n_shingles"), F.col("c").alias("component_id"))

@@ -56,6 +56,40 @@ def test_equals_brute_force_on_families(spark):
     assert got(jaccard_join.jaccard_components(df)) == want
 
 
+def test_lists_over_many_blocks(spark, monkeypatch):
+    """Long lists of several components, cut into blocks of a few: nothing is lost."""
+    monkeypatch.setattr(jaccard_join, "BLOCK", 12)
+    rng = random.Random(8)
+    common = [f"c{i}" for i in range(30)]
+    rows = []
+    for family in range(5):
+        base = common + [f"f{family}w{i}" for i in range(20)]
+        rows += [(len(rows) + i, " ".join(mutated(rng, base, 0.012))) for i in range(40)]
+    rows += [(i, None if i % 2 else "  ") for i in range(1000, 1100)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    want = truth(rows)
+    assert 5 < len({c for _, n, c in want if n}) < 190
+    assert got(jaccard_join.jaccard_components(df)) == want
+
+
+def test_live_lists_over_batches():
+    """Groups with a neighbour of near size, wherever batches end."""
+    import pyarrow as pa
+
+    rng = random.Random(1)
+    rows = sorted({(rng.randrange(12), rng.choice([5, 9, 10, 11, 40, 41]), rng.randrange(9)) for _ in range(120)})
+    rows = [(t, 100 * n + g, n) for t, n, g in rows]
+    want = []
+    for i, r in enumerate(rows):
+        near = lambda a, b: a[0] == b[0] and a[2] * 100 >= 85 * b[2]
+        if (i and near(rows[i - 1], r)) or (i + 1 < len(rows) and near(r, rows[i + 1])):
+            want.append(r)
+    for size in (1, 2, 7, 500):
+        batches = [pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows[i : i + size], strict=True)], names=["token", "gid", "n"]) for i in range(0, len(rows), size)]
+        found = [tuple(r.values()) for b in jaccard_join._live_lists(85)(iter(batches)) for r in b.to_pylist()]
+        assert found == want
+
+
 def test_large_group_stays_linear(spark):
     """A group of near copies tries pairs in proportion to its size."""
     rng = random.Random(4)
@@ -96,3 +130,13 @@ def test_bitmaps_never_rule_out_a_link():
         y = np.unique(np.append(x[rng.random(len(x)) < rng.random()], rng.integers(0, 2**63, rng.integers(1, 400)).astype(np.uint64)))
         real = len(np.setxor1d(x, y))
         assert jaccard_join.least_difference(jaccard_join.bitmap(x), jaccard_join.bitmap(y)) <= real
+
+
+def test_versions_of_one_document_keep_their_links(spark):
+    """An identifier with two texts, each with near copies of its own, also where it is not the least of a class."""
+    text = lambda name, n, odd=None: " ".join([*(f"{name}{i}" for i in range(n)), *([odd] if odd else [])])
+    rows = [(1, text("a", 100)), (1, text("b", 60)), (2, text("a", 100, "x")), (3, text("b", 60, "y")), (9, text("c", 80))]
+    rows += [(4, text("d", 50)), (5, text("d", 50)), (5, text("e", 70)), (6, text("e", 70, "z")), (7, text("f", 90))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {(r["doc_id"], r["n_shingles"], r["component_id"]) for r in jaccard_join.jaccard_components(df).collect()}
+    assert {(i, c) for i, _, c in got} == {(1, 1), (2, 1), (3, 1), (9, 9), (4, 4), (5, 4), (6, 4), (7, 7)}

@@ -61,7 +61,8 @@ def test_stages_against_brute_force(spark):
 def test_odd_rows(spark, odd_docs, no_docs, tmp_path):
     spark.createDataFrame([(1, 1), (5, 0), (8, None)], "doc_id long, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
     spark.createDataFrame([(1, None), (2, "漢字 inst")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
-    for docs in (odd_docs, no_docs):
+    clash = odd_docs.selectExpr("*", "'a' __xd_kept", "'b' __tx_score", "'c' __dc_n_hit", "'d' __jj_id", "array('e') __dc_items", "1 component_id")
+    for docs in (odd_docs, no_docs, clash):
         n = docs.count()
         for name, stage in corpus_pipeline.STAGES:
             before, docs = docs, common.materialize(stage(spark, docs, str(tmp_path)), "stage")

@@ -354,7 +354,7 @@ def test_op9_more_shingles_than_bits(spark, sf, monkeypatch):
     """A bitmap that lets everything through, and joins without a broadcast, change nothing."""
     items = list(pd.read_parquet(f"{sf}/benchmark.parquet")[["item_id", "text"]].itertuples(index=False, name=None))
     monkeypatch.setattr(decontaminate, "MOST_BITS", 10)
-    monkeypatch.setattr("millrace.llm.common.FEW", -1)
+    monkeypatch.setattr("millrace.sources.store.FEW", -1)
     docs, bench = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "benchmark"))
     assert got_hits(decontaminate.decontaminate(docs, bench)) == hits_truth(list(docs_of(sf).items()), items)
 
