@@ -138,6 +138,14 @@ def human_count(n: Column) -> Column:
     """Parameter counts for people: 1.50B, 350.0M, n/a."""
     return (
         F.when(n.isNull(), "n/a")
-        .when(n >= 1_000_000_000, F.format_string("%.2fB", n / 1e9))
-        .otherwise(F.format_string("%.1fM", n / 1e6))
+        .when(n >= 1_000_000_000, F.concat(fixed(n / 1e9, F.lit(2)), F.lit("B")))
+        .otherwise(F.concat(fixed(n / 1e6, F.lit(1)), F.lit("M")))
     )
+
+
+@F.arrow_udf(StringType())
+def fixed(x, digits):
+    """A number with so many decimals, rounded from its exact binary value (built-ins round its shortest decimal form)."""
+    import pyarrow as pa
+
+    return pa.array([None if v is None else f"{v:.{k}f}" for v, k in zip(x.to_pylist(), digits.to_pylist(), strict=True)], pa.string())

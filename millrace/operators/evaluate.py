@@ -42,6 +42,28 @@ def ranking(models: DataFrame, ordinal: str) -> DataFrame:
     return models.orderBy(F.desc("weighted_score"), ordinal)
 
 
+def run(models: list[str], prompts: DataFrame, respond, weights: dict[str, float] = WEIGHTS) -> tuple[DataFrame, dict[str, str]]:
+    """Category scores of all models that answered, best first, and why the others did not.
+
+    ``respond(model, prompts)`` gives the prompts with a column ``response``; a
+    model whose answers fail is skipped, and none left is an error. The first
+    row is the winner.
+    """
+    scored, failed = None, {}
+    for i, model in enumerate(models):
+        try:
+            one = score_responses(respond(model, prompts).withColumn("model", F.lit(model)))
+            one = category_scores(one, weights).withColumn("ordinal", F.lit(i))
+            one = one.sparkSession.createDataFrame(one.collect(), one.schema)  # a row a model, here so that it fails here
+        except Exception as e:  # noqa: BLE001 - whatever a model's answers end in
+            failed[model] = str(e).splitlines()[0]
+            continue
+        scored = one if scored is None else scored.unionByName(one)
+    if scored is None:
+        raise RuntimeError(f"no model could be evaluated: {failed}")
+    return ranking(scored, "ordinal"), failed
+
+
 def suite_errors(prompts: DataFrame, expected: dict[str, int] = SUITE) -> DataFrame:
     """Categories whose number of prompts is not the expected one."""
     spark = prompts.sparkSession

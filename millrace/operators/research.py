@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ..functions import scoring as s
+from ..functions import scoring as s, text as t
 
 # Licences, weights, budget, themes.
 MODEL_LICENSES = ["apache-2.0", "mit"]
@@ -116,6 +116,55 @@ def rank_models(models: DataFrame) -> DataFrame:
     return out.withColumn("rank", F.row_number().over(w))
 
 
+def resolve(requested: DataFrame, hits: DataFrame) -> DataFrame:
+    """One row per requested id with the metadata it stands for, not-found rows kept.
+
+    ``hits`` (requested_id, position, model_id, pipeline_tag and metadata) has the
+    direct lookup at position 0 and search results behind it. The direct one
+    wins, else the first hit that generates text.
+    """
+    fits = (F.col("position") == 0) | (F.col("pipeline_tag") == "text-generation")
+    rest = [c for c in hits.columns if c not in ("requested_id", "position")]
+    first = hits.filter(fits).groupBy("requested_id").agg(F.min_by(F.struct(*rest), "position").alias("m"))
+    joined = requested.select("requested_id").join(first, "requested_id", "left")
+    cols = [F.col("m")[c].alias("resolved_id" if c == "model_id" else c) for c in rest]
+    return joined.select("requested_id", F.col("m").isNotNull().alias("found"), *cols)
+
+
+def candidates(models: DataFrame, metrics: DataFrame) -> DataFrame:
+    """Resolved models with their benchmark metrics, null where a model has none."""
+    return models.join(metrics.withColumnRenamed("model_id", "resolved_id"), "resolved_id", "left")
+
+
+def benchmark_report(models: DataFrame, payloads: DataFrame) -> DataFrame:
+    """One row per model: the seven leaderboard metrics of its newest result, null where it has none."""
+    parsed = payloads.select("model_id", *[x.alias(k) for k, x in leaderboard_metrics(F.col("payload")).items()])
+    return models.select("model_id").join(parsed, "model_id", "left")
+
+
+def license_report(datasets: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Approved and rejected datasets, each with its rationale."""
+    judged = datasets.withColumn("license_rationale", license_decision(F.col("license")))
+    ok = F.col("license_rationale") == "approved"
+    return judged.filter(ok), judged.filter(~ok)
+
+
+def literature(found: DataFrame, key: str = "id") -> DataFrame:
+    """Papers of all queries that fit their theme, one row each with its queries, newest first.
+
+    Needs query, ordinal and the fields of a feed's entries.
+    """
+    fits = found.filter(matches_theme(F.col("query"), F.col("title"), F.col("summary")))
+    keep = [c for c in found.columns if c not in (key, "query", "ordinal")]
+    papers = merge_hits(fits, key, "ordinal", "query", keep)
+    return papers.withColumn("relevance", relevance(F.element_at("queries", 1), F.col("summary"))).orderBy(F.desc("published"), key)
+
+
+def format_metric(x: Column) -> Column:
+    """Three decimals, or n/a."""
+    return F.coalesce(t.fixed(x.cast("double"), F.lit(3)), F.lit("n/a"))
+
+
 def winner(ranked: DataFrame) -> DataFrame:
     return ranked.filter("filter_reason IS NULL").orderBy("rank").limit(1)
 
@@ -145,7 +194,7 @@ def matches_theme(query: Column, title: Column, summary: Column) -> Column:
 def eq_score(text: Column) -> Column:
     """First number after EQ-Bench, over 100 when above 1, within 0 and 1."""
     x = F.regexp_extract(text, r"(?is)EQ[- ]?Bench.*?([0-9]+(?:\.[0-9]+)?)", 1).try_cast("double")
-    return F.least(F.greatest(F.when(x > 1, x / 100).otherwise(x), F.lit(0.0)), F.lit(1.0))
+    return F.when(x.isNotNull(), F.least(F.greatest(F.when(x > 1, x / 100).otherwise(x), F.lit(0.0)), F.lit(1.0)))
 
 
 def query_terms(query: Column) -> Column:

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import text as t
+from ..sources.sinks import write_jsonl
+from ..sources.store import shared_dir
 from .compose import render
 
 REQUIRED = ["record_id", "source_id", "language", "domain", "conversations", "text"]
@@ -31,18 +35,26 @@ class DatasetError(ValueError):
     """Malformed training records."""
 
 
-def validated(df: DataFrame, place: Column | None = None) -> DataFrame:
-    """``df`` when all records are sound, else an error that names every place of a malformed one.
+def malformed(df: DataFrame, place: Column | None = None) -> DataFrame:
+    """Every malformed record: its place and the first rule it breaks."""
+    at = place if place is not None else F.col("record_id")
+    return df.select(at.cast("string").alias("at"), record_error(df).alias("error")).filter("error IS NOT NULL")
+
 
-    Places of malformed records are brought to the driver up to a thousand; the
-    error gives their full count.
+def validated(df: DataFrame, place: Column | None = None, report: str | None = None) -> DataFrame:
+    """``df`` when all records are sound, else an error.
+
+    Every place is written as JSON lines to ``report`` (a folder of the shared
+    one where none is given), which the error names; a thousand of them stand in
+    the error itself.
     """
-    at = place if place is not None else F.col("record_id")
-    bad = df.select(at.cast("string").alias("at"), record_error(df).alias("e")).filter("e IS NOT NULL")
-    some = bad.orderBy("at").limit(1001).collect()
+    bad = malformed(df, place)
+    some = bad.orderBy("at").limit(1000).collect()
     if some:
-        n = len(some) if len(some) <= 1000 else bad.count()
-        raise DatasetError(f"{n} malformed records: " + ", ".join(f"{r['at']} ({r['e']})" for r in some[:1000]))
+        report = report or f"{shared_dir(df.sparkSession)}/malformed-{uuid.uuid4().hex}"
+        write_jsonl(bad, report)
+        n = len(some) if len(some) < 1000 else bad.count()
+        raise DatasetError(f"{n} malformed records, all of them in {report}: " + ", ".join(f"{r['at']} ({r['error']})" for r in some))
     return df
 
 

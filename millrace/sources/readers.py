@@ -7,6 +7,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
+from ..functions.text import strip
+
 RECORD = "map<string,variant>"
 SUPPORTED = (".jsonl", ".json", ".csv", ".parquet")
 
@@ -115,6 +117,15 @@ def read_manifest(spark: SparkSession, manifest: str, dataset_ids: list[str] | N
     return out
 
 
+def manifest_report(files: DataFrame) -> DataFrame:
+    """Files of a manifest by dataset: how many are read and how many have a format that no reader takes."""
+    return files.groupBy("dataset_id").agg(
+        F.count_if("supported").alias("processed_files"),
+        F.count_if(~F.col("supported") & F.col("path").isNotNull()).alias("skipped_files"),
+        F.array_sort(F.collect_list(F.when(~F.col("supported"), F.col("path")))).alias("skipped"),
+    )
+
+
 def read_optional(spark: SparkSession, directory: str, source_type: str) -> DataFrame:
     """All ``*.jsonl`` below a directory, a missing one is empty; rows without conversations are an error."""
     schema = "record_id string, source_type string, dataset_id string, conversations array<struct<role:string,content:string>>, text string"
@@ -138,11 +149,20 @@ def read_passing(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path).filter("passes_training_filter")
 
 
-def read_atom(spark: SparkSession, path: str, since: int = 2023) -> DataFrame:
-    """Entries of an Atom feed published in ``since`` or later."""
-    schema = "id string, title string, summary string, published string, updated string, author array<struct<name:string>>"
-    df = spark.read.schema(schema).format("xml").option("rowTag", "entry").load(path)
-    squeeze = lambda c: F.trim(F.regexp_replace(c, r"\s+", " "))
-    return df.filter(F.substring("published", 1, 4).try_cast("int") >= since).select(
-        "id", squeeze("title").alias("title"), squeeze("summary").alias("summary"), "published", "updated", F.col("author.name").alias("authors")
+def read_atom(spark: SparkSession, path: str, since: int = 2023, pdf: str = "https://arxiv.org/pdf/", abstract: str = "https://arxiv.org/abs/") -> DataFrame:
+    """Entries of an Atom feed published in ``since`` or later, before 2100: eight fields."""
+    schema = "id string, title string, summary string, published string, author array<struct<name:string>>"
+    df = spark.read.schema(schema).format("xml").option("rowTag", "entry").option("ignoreSurroundingSpaces", "false").load(path)
+    year = F.substring("published", 1, 4).try_cast("int")
+    short = F.element_at(F.split(F.coalesce("id", F.lit("")), "/"), -1)
+    text = lambda c: F.coalesce(strip(F.col(c)), F.lit(""))
+    return df.filter((year >= since) & (year < 2100)).select(
+        F.coalesce("id", F.lit("")).alias("id"),
+        short.alias("arxiv_id"),
+        text("title").alias("title"),
+        "published",
+        F.transform(F.coalesce("author", F.array().cast("array<struct<name:string>>")), lambda x: F.coalesce(strip(x["name"]), F.lit(""))).alias("authors"),
+        text("summary").alias("summary"),
+        F.concat(F.lit(pdf), short, F.lit(".pdf")).alias("pdf_url"),
+        F.concat(F.lit(abstract), short).alias("abs_url"),
     )

@@ -7,16 +7,36 @@ import json
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-ESCAPED = r"[^\x00-\x7F]"
-
-
 def write_jsonl(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    """An object per line, nulls left out."""
-    df.write.mode(mode).json(path)
+    """An object per line, ASCII only (other characters as escapes), nulls written out."""
+    df.write.mode(mode).option("writeNonAsciiCharacterAsCodePoint", "true").option("ignoreNullFields", "false").json(path)
 
 
 def append_jsonl(df: DataFrame, path: str) -> None:
-    write_jsonl(df, path, "append")
+    """The same behind what is there, keys in order."""
+    write_jsonl(df.select(*[F.col(f"`{c}`") for c in sorted(df.columns)]), path, "append")
+
+
+def record_count(spark: SparkSession, path: str) -> int:
+    """Lines that are not blank."""
+    return spark.read.text(path).filter(F.trim("value") != "").count()
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> str:
+    """A small file as a whole, on any file system."""
+    jvm = spark._jvm
+    at = jvm.org.apache.hadoop.fs.Path(path)
+    out = at.getFileSystem(spark._jsc.hadoopConfiguration()).create(at, True)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+    return path
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    row = spark.read.text(path, wholetext=True).first()
+    return row["value"] if row else ""
 
 
 def report_json(row: dict) -> str:
@@ -57,6 +77,50 @@ def fingerprint(df: DataFrame) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("rows"), F.sha2(F.concat_ws(":", *[piece(i).cast("string") for i in range(4)]), 256).alias("fingerprint"))
 
 
+def artifact(spark: SparkSession, path: str, root: str, records: int | None = None) -> dict:
+    """Manifest entry of an output: path below ``root``, bytes, one digest over its files' digests, records."""
+    files = file_manifest(spark, path).filter(~F.col("path").rlike(r"/[._][^/]*$"))
+    parts = files.agg(F.coalesce(F.sum("size_bytes"), F.lit(0)).alias("n"), F.sha2(F.array_join(F.array_sort(F.collect_list("sha256")), ""), 256).alias("h")).first()
+    entry = {"path": path.removeprefix(root.rstrip("/") + "/"), "size_bytes": parts["n"], "sha256": parts["h"]}
+    return entry if records is None else entry | {"sample_count": records}
+
+
+def final_manifest(spark: SparkSession, root: str, dataset: str, splits: dict[str, str], audit: str, spot_check: str, base_model: str) -> dict:
+    """Digests and counts of the final dataset and its splits, and where the reports are."""
+    entry = lambda p: artifact(spark, p, root, record_count(spark, p))
+    below = lambda p: p.removeprefix(root.rstrip("/") + "/")
+    return {
+        "manifest_version": 1,
+        "project_root": root,
+        "base_model_id": base_model,
+        "final_dataset": entry(dataset),
+        "splits": {name: entry(p) for name, p in splits.items()},
+        "composition_audit": below(audit),
+        "spot_check_report": below(spot_check),
+    }
+
+
+def package_manifest(spark: SparkSession, root: str, paths: dict[str, str], records: int, statistics: dict) -> dict:
+    """Digests of a package's artefacts, with the figures that describe it."""
+    return {
+        "schema_version": 1,
+        "sample_count": records,
+        "artifacts": {name: artifact(spark, p, root, records) for name, p in paths.items()},
+        "distributions": statistics.get("distributions", {}),
+        "validator_pass_rate": statistics.get("validator_pass_rate"),
+        "quality_score_statistics": statistics.get("quality_score_statistics", {}),
+    }
+
+
+def shares(title: str, total: int, parts: dict[str, int], sections: dict[str, dict[str, int]]) -> str:
+    """A dataset card: sizes, then each distribution with percentages."""
+    lines = [f"# {title}", "", f"- Total records: {total}", *[f"- {k}: {n}" for k, n in parts.items()]]
+    for name, counts in sections.items():
+        lines += ["", f"## {name}", ""]
+        lines += [f"- {label}: {n} ({100 * n / total if total else 0.0:.2f}%)" for label, n in sorted(counts.items(), key=lambda x: str(x[0]))]
+    return "\n".join(lines) + "\n"
+
+
 def markdown(title: str, sections: dict[str, list[dict]]) -> str:
     """A report of small tables."""
     lines = [f"# {title}", ""]
