@@ -4,16 +4,19 @@ from __future__ import annotations
 
 from collections import Counter, defaultdict
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Row, SparkSession, Window, functions as F
 
 from ..functions import scoring as s, text as t
 from ..functions.lexicon import STOCK, Lexicon
 from ..operators import dedup, order
 from ..sources import dimensions as dim
-from . import rubric as rb
+from . import profile, rubric as rb
 
-# Slots of a plan, and attempts for each slot of the target.
-MOST_SLOTS, ATTEMPTS = 10_000, 20
+# Fixed value: attempts for each slot of the target.
+ATTEMPTS = 20
+#: Slots that are brought to the driver and back at a time.
+CHUNK = 50_000
 
 
 def cross_product(spark: SparkSession, seed: int) -> DataFrame:
@@ -45,20 +48,27 @@ def quotas(spark: SparkSession, total: int, seed: int) -> DataFrame:
 def candidate_plan(spark: SparkSession, total: int, seed: int) -> DataFrame:
     """Quotas plus, slot by slot, the allowed memory event whose category is used least so far, ties by name.
 
-    That choice is a fold over slots, so it runs on the driver; a plan has as
-    many rows as conversations are asked for, ten thousand at most.
+    That choice is a fold over slots, so it runs on the driver, slot after slot
+    as they come; what it decides goes back in Arrow tables. A plan has as many
+    rows as conversations are asked for.
     """
-    if total > MOST_SLOTS:
-        raise ValueError("a plan holds 10,000 slots at most")
     category = {e: c for e, c, _ in dim.MEMORY}
     allowed = {r["scenario_id"]: r["events"] for r in allowed_events(spark).collect()}
     used: Counter = Counter()
-    rows = []
-    for r in quotas(spark, total, seed).orderBy("slot").collect():
+    slots, events = [], []
+    for r in quotas(spark, total, seed).select("slot", "scenario_id").orderBy("slot").toLocalIterator(prefetchPartitions=True):
         event = min(allowed[r["scenario_id"]], key=lambda e: (used[category[e]], e))
         used[category[event]] += 1
-        rows.append((r["slot"], r["persona_id"], r["scenario_id"], event, category[event], int(r["length"])))
-    return spark.createDataFrame(rows, "slot int, persona_id string, scenario_id string, memory_event string, memory_category string, history_length int")
+        slots.append(r["slot"])
+        events.append(event)
+    chosen = None
+    for at in range(0, len(slots), CHUNK) or [0]:
+        part = pa.table({"slot": pa.array(slots[at : at + CHUNK], pa.int32()), "memory_event": pa.array(events[at : at + CHUNK], pa.string())})
+        part = spark.createDataFrame(part)
+        chosen = part if chosen is None else chosen.unionByName(part)
+    specs = dim.memory_specs(spark).select(F.col("event_type").alias("memory_event"), F.col("category").alias("memory_category"))
+    plan = quotas(spark, total, seed).join(chosen, "slot").join(specs, "memory_event")
+    return plan.select(F.col("slot").cast("int"), "persona_id", "scenario_id", "memory_event", "memory_category", F.col("length").cast("int").alias("history_length"))
 
 
 def distributions(rows: DataFrame, dims: list[str]) -> DataFrame:
@@ -67,17 +77,27 @@ def distributions(rows: DataFrame, dims: list[str]) -> DataFrame:
     return rows.select(F.explode(pairs).alias("p")).groupBy("p.dimension", "p.label").agg(F.count(F.lit(1)).alias("n"))
 
 
-PRINCIPLES = ["progressive overload", "steady recovery"]
+#: What is counted of a plan, and of what was accepted.
+PLANNED = ["persona_id", "scenario_id", "memory_event", "memory_category", "history_length", "goal_domain", "lifestyle"]
+ACCEPTED = [*PLANNED, "stress"]
+
+
+def detailed(rows: DataFrame) -> DataFrame:
+    """Slots with the columns of their persona and scenario and the profile these give."""
+    spark = rows.sparkSession
+    return profile.profiles(dim.lookup(dim.lookup(rows, dim.personas(spark), "persona_id"), dim.scenarios(spark), "scenario_id"))
+
+
+PRINCIPLES = ["progressive overload", "steady recovery", "enough protein", "regular sleep"]
 
 
 def generate(plan: DataFrame) -> DataFrame:
-    """Messages and response text of each slot from the dimension tables and phrase tables.
+    """Messages and response text of each slot from the dimension tables, the profile rules and phrase tables.
 
     Phrases turn with ``candidate`` where the plan has it, so that another
     attempt at a slot has another text; else with the slot.
     """
-    spark = plan.sparkSession
-    df = dim.lookup(dim.lookup(plan, dim.personas(spark), "persona_id"), dim.scenarios(spark), "scenario_id")
+    df = detailed(plan)
     by = F.col("candidate") if "candidate" in plan.columns else F.col("slot")
     pick = lambda phrases, by: F.element_at(F.array(*map(F.lit, phrases)), (by % len(phrases) + 1).cast("int"))
     spaced = lambda c: F.replace(c, F.lit("_"), F.lit(" "))
@@ -87,58 +107,87 @@ def generate(plan: DataFrame) -> DataFrame:
     steps = ["Let's start with two sessions of 3 sets this week", "Let's keep one session of 20 minutes on busy days", "Let's track three simple markers for 7 days", "Let's adjust the plan after 7 days",
              "Let's plan 2 easy days and 1 harder one", "Let's keep the first session to 5 reps a set", "Let's track how 8 hours in bed feel"]
     asks = ["What would make the first session easier?", "Which day is the safest for you?", "How does your body respond the day after?"]
-    topic, lifestyle, diet = spaced("scenario_id"), spaced("lifestyle"), spaced("diet")
+    topic, lifestyle, diet, goal = spaced("scenario_id"), spaced("lifestyle"), spaced("diet"), spaced("goal_domain")
+    event = F.col("memory_event")
+    fact = F.coalesce(profile.memory_fact(event, goal, F.col("schedule"), F.col("injuries"), F.col("sleep_hours")), spaced("memory_event"))
+    first, second = profile.two_constraints(F.col("constraints"))
+    principles = profile.rotated(F.array(*map(F.lit, PRINCIPLES)), by, F.lit(2))
+    df = df.withColumns({"memory_fact": fact, "used_principles": principles})
     injury = said("We modify the range around your ", F.col("injury"), " and pause when pain rises.")
     response = F.concat_ws(
         " ",
         said(pick(acks, by), ", ", topic, " as a ", lifestyle, " ", pick(loads, by), "."),
         said("You are ", F.col("experience"), ", eat ", diet, " and train for ", spaced("motivation"), "."),
         F.coalesce(injury, F.lit("Your body feels sound, so we can build on it.")),
-        said("Since ", spaced("memory_event"), " came up, we adapted to ", F.col("stress"), " stress."),
+        said("Since you told me of ", F.col("memory_fact"), ", we adapted to ", F.col("stress"), " stress."),
+        F.when(first == second, said("The plan leaves room for ", first, ".")).otherwise(said("The plan leaves room for ", first, " and ", second, ".")),
         said(pick(steps, by), "."),
-        said("Keep an eye on ", F.array_join(F.slice("keywords", 1, 4), ", "), "; this rests on ", " and ".join(PRINCIPLES), "."),
+        said("Keep an eye on ", F.array_join(F.slice("keywords", 1, 4), ", "), "; this rests on ", F.array_join("used_principles", " and "), "."),
         pick(asks, by),
         pick(asks, by + 1),
     )
     user = F.concat(F.lit("I am working on "), topic, F.lit(" and my stress is "), F.col("stress"), F.lit("."))
-    n = F.col("history_length")
-    turn = lambda i: F.struct(
-        F.when(i % 2 == 0, "user").otherwise("assistant").alias("role"),
-        F.when(i == n - 1, user).when(i % 2 == 0, F.concat(F.lit("Update "), i.cast("string"))).otherwise(F.concat(F.lit("Noted, step "), i.cast("string"))).alias("content"),
-    )
-    history = F.transform(F.sequence(F.lit(0), n - 1), turn)
+    history = profile.history(F.col("history_length"), F.col("scenario_id"), F.col("lifestyle"), goal, user, F.col("slot"))
     answer = F.array(F.struct(F.lit("assistant").alias("role"), response.alias("content")))
-    return df.withColumns({"response": response, "messages": F.concat(history, answer), "final_user": user})
+    return df.withColumns({"response": response, "history": history, "messages": F.concat(history, answer), "final_user": user})
+
+
+def assembled(made: DataFrame) -> DataFrame:
+    """Generated rows as nested conversations: persona, profile, memory, scenario, history, response and what is asked of them."""
+    part = lambda *names: F.struct(*names)
+    n = F.col("candidate") if "candidate" in made.columns else F.col("slot")
+    return made.select(
+        "slot",
+        F.concat(F.lit("synthetic::"), F.format_string("%06d", n)).alias("conversation_id"),
+        part("persona_id", "age", "lifestyle", "experience", "motivation", "diet", "stress").alias("persona"),
+        part("goal_domain", "equipment", "sleep_hours", "injuries", "schedule", "constraints").alias("profile"),
+        F.array(part(F.col("memory_event").alias("event"), F.col("memory_category").alias("category"), F.col("memory_fact").alias("fact"), F.lit("use").alias("mode"))).alias("memory"),
+        part("scenario_id", "domains", "follow_ups", "keywords").alias("scenario"),
+        "history",
+        "response",
+        part(F.col("used_principles").alias("principles"), F.lit(True).alias("must_use_memory"), F.lit(1).alias("required_follow_ups")).alias("quality"),
+    )
 
 
-def scored(made: DataFrame, lex: Lexicon = STOCK) -> DataFrame:
-    """Generated rows with ``passed``, the rubric's verdict on what their plan demands of them."""
-    r, none = F.col("response"), F.array().cast("array<string>")
+def last_user(history: Column) -> Column:
+    """The last user message of a history."""
+    return F.element_at(F.filter(history, lambda m: m["role"] == "user"), -1)["content"]
+
+
+def with_response(history: Column, response: Column) -> Column:
+    return F.concat(history, F.array(F.struct(F.lit("assistant").alias("role"), response.alias("content"))))
+
+
+def demands(made: DataFrame, lex: Lexicon) -> DataFrame:
+    """Generated rows with what the validators look at: what their plan demands of them."""
+    r = F.col("response")
     folded = t.fold(r)
     both = t.fold(F.concat(F.col("final_user"), F.lit("\n"), r))
     spaced = lambda c: F.replace(c, F.lit("_"), F.lit(" "))
-    memory = F.array(spaced("memory_event"))
+    memory = F.array("memory_fact")
     asked = F.length(r) - F.length(F.replace(r, F.lit("?"), F.lit("")))
-    df = made.withColumns(
+    return made.withColumns(
         {
             "topic_tags": s.topic_tags(both, lex),
             "domain_score": s.domain_relevance(s.topic_tags(both, lex), folded, lex),
             "facts": rb.profile_facts(F.array_compact(F.array(spaced("lifestyle"), "experience", spaced("diet"), spaced("motivation"), "injury"))),
-            "constraints": F.when(F.col("injury").isNotNull(), F.array("injury")).otherwise(none),
             "references": F.array(F.struct(memory.alias("facts"), F.lit("use").alias("mode"))),
-            "principles": t.count_contained(folded, F.array(*map(F.lit, PRINCIPLES))),
+            "principles": t.count_contained(folded, F.col("used_principles")),
             "follow_ups": asked,
             "required_follow_ups": F.lit(1),
             "scenario_follow_ups": F.col("follow_ups"),
             "no_emotional_objectives": F.lit(False),
             "has_adaptation_summary": F.contains(folded, F.lit("we adapted to")),
-            "sleep_hours": F.lit(7.0),
             "must_use_memory": F.lit(True),
             "injury_domain": F.array_contains("domains", "injury_recovery"),
-            "has_injury": F.col("injury").isNotNull(),
+            "has_injury": F.size("injuries") > 0,
         }
     )
-    passed = rb.rubric(rb.validators(df, lex))
+
+
+def scored(made: DataFrame, lex: Lexicon = STOCK) -> DataFrame:
+    """Generated rows with ``passed``, the rubric's verdict on them."""
+    passed = rb.rubric(rb.validators(demands(made, lex), lex))
     return passed.select(*made.columns, "passed", "blockers")
 
 
@@ -177,11 +226,11 @@ class Acceptance:
         if x["conversation"] in self.digests:
             return "exact_duplicate"
         if x["is_repetitive"]:
-            return "repetitive_response"
+            return "highly_repetitive_response"
         if any(dedup.is_near(x["conversation"], c) or dedup.is_near(x["response"], r) for c, r in self.near[x["bucket"]]):
             return "near_duplicate"
         if self.openings[x["opening"]] >= self.cap:
-            return "repeated_opening"
+            return "highly_repetitive_opening"
         self.add(x)
         return None
 
@@ -191,14 +240,11 @@ def accept(candidates: DataFrame, target: int, passes, key: str = "slot") -> Dat
     over the opening cap, or null; first reason wins.
 
     Candidates are judged in key order against the accepted ones before them.
-    That is a fold, so it runs on the driver, over as many candidates as the
-    largest plan has attempts.
+    That is a fold, so it runs on the driver, candidate after candidate as they
+    come; it holds what was accepted, which a target bounds.
     """
-    most = MOST_SLOTS * ATTEMPTS
-    rows = Acceptance.features(candidates, passes, key).orderBy(key).limit(most + 1).collect()
-    if len(rows) > most:
-        raise ValueError(f"{most} candidates can be judged at most")
     judge = Acceptance(target).judge
+    rows = Acceptance.features(candidates, passes, key).orderBy(key).toLocalIterator(prefetchPartitions=True)
     verdicts = candidates.sparkSession.createDataFrame([(x[key], judge(x)) for x in rows], f"{key} {candidates.schema[key].dataType.simpleString()}, rejection string")
     return candidates.join(verdicts, key)
 
@@ -212,15 +258,20 @@ def pilot(candidates: DataFrame, target: int, passes, key: str = "slot") -> Data
     return out
 
 
-def rates(judged: DataFrame) -> DataFrame:
-    """Acceptance rate and real duplicate rate of judged candidates."""
-    n = F.count(F.lit(1))
-    return judged.agg(
+def rates(judged: DataFrame, passed: Column | None = None) -> DataFrame:
+    """Acceptance, validator and duplicate rates of judged candidates; ``passed``: the rubric's verdict on what is exported."""
+    n, kept = F.count(F.lit(1)), F.col("rejection").isNull()
+    share = lambda c: F.coalesce(F.count_if(c) / F.nullif(n, F.lit(0)), F.lit(0.0))
+    out = [
         n.alias("candidates"),
-        F.count_if(F.col("rejection").isNull()).alias("accepted"),
-        (F.count_if(F.col("rejection").isNull()) / n).alias("acceptance_rate"),
-        (F.count_if(F.col("rejection") == "exact_duplicate") / n).alias("duplicate_rate"),
-    )
+        F.count_if(kept).alias("accepted"),
+        share(kept).alias("acceptance_rate"),
+        share(kept | (F.col("rejection") != "validator_failure")).alias("candidate_validator_pass_rate"),
+        share(F.col("rejection") == "exact_duplicate").alias("duplicate_rate"),
+    ]
+    if passed is not None:
+        out.append(F.coalesce(F.count_if(kept & passed) / F.nullif(F.count_if(kept), F.lit(0)), F.lit(0.0)).alias("validator_pass_rate"))
+    return judged.agg(*out)
 
 
 def export(judged: DataFrame, gate_rows: DataFrame, path: str) -> None:

@@ -52,7 +52,7 @@ def test_acceptance_rejects_near_copies_of_accepted_ones(spark):
         candidate(5, "Same. Same. Same."),
         (6, *candidate(0, f"{base}.")[1:]),
     ]
-    want = {0: None, 1: "near_duplicate", 2: None, 3: "validator_failure", 4: None, 5: "repetitive_response", 6: "exact_duplicate"}
+    want = {0: None, 1: "near_duplicate", 2: None, 3: "validator_failure", 4: None, 5: "highly_repetitive_response", 6: "exact_duplicate"}
     assert judged(spark, rows, 100, F.col("slot") != 3) == want
 
 
@@ -62,7 +62,7 @@ def test_near_copies_come_before_the_opening_cap(spark):
         candidate(1, "Shared opening. Then we talk of sleeq"),
         candidate(2, "Shared opening. Quite another remark about food and 9 other things"),
     ]
-    assert judged(spark, rows, 12, F.lit(True)) == {0: None, 1: "near_duplicate", 2: "repeated_opening"}
+    assert judged(spark, rows, 12, F.lit(True)) == {0: None, 1: "near_duplicate", 2: "highly_repetitive_opening"}
 
 
 def test_plan_accepted_asks_the_rubric(spark):
