@@ -58,6 +58,11 @@ def drop(spark: SparkSession, paths: list[str]) -> None:
         at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
+def discard(spark: SparkSession, *tables: DataFrame) -> None:
+    """Delete tables of ``materialize`` that nothing reads any more."""
+    drop(spark, [t._path for t in tables])
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     at = spark._jvm.org.apache.hadoop.fs.Path(path)
     return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
