@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession, functions as F
 
-from ..sources.store import FEW, few, materialize, scratch, shared_dir  # noqa: F401
+from ..sources.store import FEW, discard, few, materialize, scratch, shared_dir  # noqa: F401
 
 #: Lower-cases A-Z only, on code points (the contracts leave other letters alone).
 ASCII_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"

@@ -2,7 +2,7 @@
 
 1. Documents with equal shingle sets are one class; their links need no join.
 2. Shingles are ordered by rarity, so that widely shared ones come last. A table
-   of hashed frequencies gives the order; it has a byte for every eight shingles
+   of hashed frequencies gives the order; it has a byte for every sixteen shingles
    of the corpus, 64 MB at most (beyond, rarity blurs, which costs time, not
    links). A set's prefix is as long as the threshold demands: two sets that
    reach it share a shingle of their prefixes.
@@ -38,7 +38,7 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql import types as T
 
-from .common import SPACE_WORDS, materialize, partitions, scratch, slices
+from .common import SPACE_WORDS, discard, materialize, partitions, scratch, slices
 
 MIX = np.uint64(0x9E3779B97F4A7C15)
 #: Least and most bits of a bucket's number in the frequency table (a byte each on every worker).
@@ -100,9 +100,9 @@ def least_difference(x: bytes, y: bytes) -> int:
 
 
 def _table_bits(docs: DataFrame, text_col: str) -> int:
-    """A bucket for every eight words, taken as six bytes each, within the bounds."""
+    """A bucket for every sixteen words, taken as six bytes each, within the bounds."""
     octets = docs.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
-    return min(MOST_BITS, max(LEAST_BITS, (octets // 48).bit_length()))
+    return min(MOST_BITS, max(LEAST_BITS, (octets // 96).bit_length()))
 
 
 def _frequency_table(docs: DataFrame, text_col: str, k: int) -> np.ndarray:
@@ -400,6 +400,7 @@ def components(links: DataFrame) -> DataFrame:
         nxt = materialize(nxt, "labels")
         labels = nxt.select("v", "c")
         if nxt.filter("moved").isEmpty():
+            labels._path = nxt._path
             return labels
 
 
@@ -429,10 +430,12 @@ def jaccard_components(
 
 
 def _components_of(docs: DataFrame, k: int, percent: int, id_col: str, text_col: str) -> DataFrame:
-    parts = partitions(docs.sparkSession)
+    spark = docs.sparkSession
+    parts = partitions(spark)
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
-    sigs = materialize(_signatures(rows, _frequency_table(rows, "text", k), k, percent), "signatures")
-    linked = sigs.filter("n > 0 and doc_id is not null")
+    signed = materialize(_signatures(rows, _frequency_table(rows, "text", k), k, percent), "signatures")
+    sigs = materialize(signed.select("doc_id", "n", "set_key"), "rows")
+    linked = signed.filter("n > 0 and doc_id is not null").select("doc_id", "n", "set_key", "prefix_key")
     classes = linked.groupBy("set_key", "n", "prefix_key").agg(F.min("doc_id").alias("sid"))
     classes = materialize(classes, "classes")
     # An identifier that is the least of several classes can't name them: those go by a hash of their sets.
@@ -450,7 +453,7 @@ def _components_of(docs: DataFrame, k: int, percent: int, id_col: str, text_col:
     groups = classes.groupBy("n", "prefix_key").agg(F.min(F.struct("vid", "sid")).alias("head"))
     groups = groups.select("n", "prefix_key", F.col("head.vid").alias("gid"), F.col("head.sid").alias("head"))
     members = classes.join(groups.select("n", "prefix_key", "gid"), ["n", "prefix_key"])
-    heads = linked.select("doc_id", "n", "prefix_key", "prefix").join(
+    heads = signed.filter("n > 0 and doc_id is not null").select("doc_id", "n", "prefix_key", "prefix").join(
         groups.withColumnRenamed("head", "doc_id"), ["doc_id", "n", "prefix_key"]
     )
     posts = heads.select(F.explode("prefix").alias("token"), "gid", "n")
@@ -460,9 +463,12 @@ def _components_of(docs: DataFrame, k: int, percent: int, id_col: str, text_col:
     several = classes.groupBy("n", "prefix_key").agg(F.min("vid").alias("gid"), F.count(F.lit(1)).alias("m")).filter("m > 1")
     alive = live.select("gid").union(several.select("gid")).distinct()
     size = F.unhex(F.lpad(F.hex("n"), 16, "0"))
-    bits = sigs.select(F.col("doc_id").alias("sid"), "set_key", F.concat(size, "bits").alias("bits"))
+    bits = signed.select(F.col("doc_id").alias("sid"), "set_key", F.concat(size, "bits").alias("bits"))
     nodes = members.join(alive, "gid", "left_semi").join(bits, ["sid", "set_key"]).select("gid", F.col("vid").alias("sid"), "n", "bits")
     nodes = materialize(nodes.dropDuplicates(["sid", "gid"]), "nodes")
+    several = materialize(several, "several")
+    # Prefixes and bitmaps are not needed any more, of all tables the largest.
+    discard(spark, signed)
 
     spread = live.select("token", "gid").join(nodes, "gid").select("token", "sid", "n", "bits")
     inside = several.join(nodes.drop("n"), "gid").select(F.col("gid").alias("token"), "sid", "n", "bits")
@@ -476,8 +482,10 @@ def _components_of(docs: DataFrame, k: int, percent: int, id_col: str, text_col:
     dealt = dealt.withColumn("token", F.when(F.col("blocks") > 1, F.xxhash64("token", own)).otherwise(F.col("token")))
     dealt = dealt.select("token", "sid", "n", "bits").repartition(parts, "token").sortWithinPartitions("token", "n", "sid")
     tried = materialize(dealt.mapInArrow(_lists(percent, _nearest_pairs), pair).distinct(), "pairs")
-    links = materialize(_verify(tried, rows, k, percent, named).union(versions), "links")
-    labels = components(links)
+    with scratch(spark) as keep:
+        links = keep(materialize(_verify(tried, rows, k, percent, named).union(versions), "links"))
+    with scratch(spark) as keep:
+        labels = keep(components(links))
 
     # Lists that hold several components, in pairs of blocks.
     where = spread.select("token", "sid").join(long, "token").join(labels.toDF("sid", "c"), "sid", "left")
@@ -492,7 +500,8 @@ def _components_of(docs: DataFrame, k: int, percent: int, id_col: str, text_col:
     cross = dealt.mapInArrow(_lists(percent, _cross_pairs), pair).distinct()
     rest = materialize(cross.join(tried, ["a", "b"], "left_anti"), "pairs")
     if not rest.isEmpty():
-        more = materialize(_verify(rest, rows, k, percent, named), "links")
+        with scratch(spark) as keep:
+            more = keep(materialize(_verify(rest, rows, k, percent, named), "links"))
         if not more.isEmpty():
             labels = components(links.union(more))
 
