@@ -13,9 +13,12 @@ earlier: in a smaller document, or earlier in the same one.
    the anchor. Copies of one such stretch need no search, all but the first of
    them repeat whole. Different stretches are put behind each other and their
    suffixes sorted in two stages: only suffixes smaller than their successors
-   are sorted directly; one scan over the buckets induces all others. Adjacent
-   suffixes whose common prefix reaches ``length`` bytes hold equal strings, and
-   all but the earliest are marked.
+   are sorted directly; one scan over the buckets induces all others. Where the
+   common prefixes of adjacent suffixes reach ``length`` bytes they hold equal
+   strings, and all but the earliest are marked.
+4. An anchor with more than ``group_bytes`` of different stretches (a licence line
+   in very many contexts) is not held. Its windows go on, by 128-bit hashes of
+   their bytes, to an aggregate that finds the earliest of each.
 """
 
 from __future__ import annotations
@@ -26,7 +29,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import partitions, slices
+from .common import few, materialize, partitions, scratch, slices
 
 ANCHOR = 32
 CHUNK = 1 << 22
@@ -136,6 +139,21 @@ def _sort_by_bytes(at: np.ndarray, words: np.ndarray, depth: int) -> np.ndarray:
     return at
 
 
+def common_prefixes(sa: np.ndarray, words: np.ndarray, depth: int) -> np.ndarray:
+    """How many bytes each suffix shares with the one before it, up to ``depth``; the first shares none."""
+    out = np.zeros(len(sa), np.int64)
+    live = np.arange(1, len(sa))
+    for o in range(0, depth, 8):
+        x, y = (np.where(p < len(words), words[np.minimum(p, len(words) - 1)], 0) for p in (sa[live] + o, sa[live - 1] + o))
+        diff = x ^ y
+        for byte in range(8):
+            out[live] += diff >> np.uint64(56 - 8 * byte) == 0
+        live = live[diff == 0]
+        if not len(live):
+            break
+    return np.minimum(out, depth)
+
+
 def repeats(pool: list[tuple[bytes, int, int]], length: int) -> list[np.ndarray]:
     """For each stretch (bytes, document, start): offsets of strings that start earlier in another stretch."""
     text = np.frombuffer(b"\x00".join(p[0] for p in pool), np.uint8)
@@ -147,11 +165,7 @@ def repeats(pool: list[tuple[bytes, int, int]], length: int) -> list[np.ndarray]
     sa = sa[offset[sa] + length <= sizes[owner[sa]]]
     if not len(sa):
         return [np.zeros(0, np.int64)] * len(pool)
-    words = _words(text)
-    same = np.ones(len(sa) - 1, bool)  # the common prefix reaches length bytes
-    for o in [*range(0, length - 8, 8), length - 8]:
-        same &= words[sa[1:] + o] == words[sa[:-1] + o]
-    run = np.cumsum(np.append(0, ~same))
+    run = np.cumsum(common_prefixes(sa, _words(text), length) < length) - 1
     doc = np.array([p[1] for p in pool])[owner[sa]]
     start = np.array([p[2] for p in pool])[owner[sa]] + offset[sa]
     order = np.lexsort((start, doc, run))
@@ -264,7 +278,8 @@ def _anchor_rows(length: int):
 
 
 STRETCH = "h bigint, x binary, did bigint, start bigint, rid bigint"
-SPAN = "rid bigint, s bigint, e bigint"
+#: Repeated spans, or (with a key) windows of an anchor that is not held.
+SPAN = "rid bigint, did bigint, s bigint, e bigint, key binary"
 
 
 def _stretch_batch(rows: list[tuple]) -> pa.RecordBatch:
@@ -315,48 +330,65 @@ def _stretch_rows(length: int):
     return run
 
 
-def _repeat_rows(length: int, pool_bytes: int):
+def _repeat_rows(length: int, pool_bytes: int, group_bytes: int):
     """Repeated spans; rows sorted by anchor, stretch, document and start."""
 
     def run(batches):
-        names = ["rid", "s", "e"]
-        out: list[tuple[int, int, int]] = []
+        names, kinds = ["rid", "did", "s", "e", "key"], [pa.int64()] * 4 + [pa.binary()]
+        out: list[tuple] = []
         pool: list[tuple[bytes, int, int, int]] = []
         group: list[tuple[bytes, int, int, int]] = []
-        pooled, key = 0, None
+        pooled, held, key, last = 0, 0, None, None
 
         def flush_group():
-            nonlocal group, pooled
+            nonlocal group, pooled, held
             if len(group) > 1:
                 pool.extend(group)
-                pooled += sum(len(g[0]) for g in group)
-            group = []
+                pooled += held
+            group, held = [], 0
 
         def flush_pool():
             nonlocal pool, pooled
             if pool:
-                for (_, _, start, rid), at in zip(pool, repeats([p[:3] for p in pool], length), strict=True):
-                    out.extend((rid, start + s, start + e) for s, e in spans_of(at, length))
+                for (_, did, start, rid), at in zip(pool, repeats([p[:3] for p in pool], length), strict=True):
+                    out.extend((rid, did, start + s, start + e, None) for s, e in spans_of(at, length))
             pool, pooled = [], 0
 
+        def windows(x, did, start, rid):
+            for i in range(len(x) - length + 1):
+                out.append((rid, did, start + i, start + i + length, hashlib.blake2b(x[i : i + length], digest_size=16).digest()))
+
         def batch_of():
-            return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out, strict=True)], names=names)
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], names=names)
 
         for batch in batches:
             for h, x, did, start, rid in zip(*(batch.column(i).to_pylist() for i in range(5)), strict=True):
                 if len(x) == 4:
-                    out.append((rid, start, start + int.from_bytes(x, "little")))
+                    out.append((rid, did, start, start + int.from_bytes(x, "little"), None))
                     continue
                 if h != key:
                     flush_group()
                     if pooled > pool_bytes:
                         flush_pool()
-                    key = h
-                if group and group[-1][0] == x:
-                    if (did, start) != group[-1][1:3]:
-                        out.append((rid, start, start + len(x)))
+                    key, last, large = h, None, False
+                if last is not None and last[0] == x:
+                    if (did, start) != last[1:]:
+                        out.append((rid, did, start, start + len(x), None))
+                    continue
+                last = (x, did, start)
+                if large:
+                    windows(x, did, start, rid)
                 else:
                     group.append((x, did, start, rid))
+                    held += len(x)
+                    if held > group_bytes:
+                        large = True
+                        for g in group:
+                            windows(*g)
+                        group, held = [], 0
+                if len(out) > 20_000:
+                    yield batch_of()
+                    out = []
             if len(out) > 20_000:
                 yield batch_of()
                 out = []
@@ -406,6 +438,7 @@ def remove_repeats(
     docs: DataFrame,
     length: int = 100,
     pool_bytes: int = 1 << 19,
+    group_bytes: int = 1 << 22,
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
@@ -414,20 +447,28 @@ def remove_repeats(
     Null counts as empty; a null identifier comes before all others. Rows that
     repeat an identifier and a text are one document twice: neither starts
     earlier, both get the same result. Strings are judged on the input, not on
-    what is left, and never cross documents. Other columns are not looked at.
+    what is left, and never cross documents. Other columns are not looked at; no
+    rows give no rows. A text is held whole by one task, some 40 bytes for each
+    of its bytes in parts of four megabytes.
     """
     if length < ANCHOR + 8:
         raise ValueError(f"length must be at least {ANCHOR + 8}")
+    with scratch(docs.sparkSession) as keep:
+        return keep(materialize(_removed_from(docs, length, pool_bytes, group_bytes, id_col, text_col), "removed"))
+
+
+def _removed_from(docs: DataFrame, length: int, pool_bytes: int, group_bytes: int, id_col: str, text_col: str) -> DataFrame:
     parts = partitions(docs.sparkSession)
     text = F.coalesce(F.col(text_col), F.lit(""))
     did = F.coalesce(F.col(id_col).cast("bigint"), F.lit(-(2**63)))
-    # The row's own key: repeated rows share it and rows of one id with other texts do not.
+    # With the id the row's own key: repeated rows share it and rows of one id with other texts do not.
     rid = F.xxhash64(did, text)
     same = docs.select(did.alias("did"), rid.alias("rid"), F.sha2(F.encode(text, "UTF-8"), 256).alias("sha"))
     lead = same.groupBy("sha").agg(F.min("did").alias("lead"), F.max("did").alias("end")).filter("lead < end")
-    later = same.join(lead.select("sha", "lead"), "sha").filter("did > lead").select("rid").distinct().withColumn("later", F.lit(True))
+    lead = materialize(lead.select("sha", "lead"), "lead")
+    later = same.join(few(lead), "sha").filter("did > lead").select("rid", "did").distinct().withColumn("later", F.lit(True))
     base = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), did.alias("did"), rid.alias("rid"), text.alias("text"))
-    base = base.join(later, "rid", "left")
+    base = base.join(later, ["rid", "did"], "left")
     base = base.select("rid", "doc_id", "did", "text", F.col("later").isNull().alias("first"))
 
     places = base.mapInArrow(_anchor_rows(length), PLACE)
@@ -435,6 +476,10 @@ def remove_repeats(
     live = places.mapInArrow(_live, "rid bigint, pos bigint").groupBy("rid").agg(F.collect_set("pos").alias("live"))
     found = base.join(live, "rid").mapInArrow(_stretch_rows(length), STRETCH)
     found = found.repartition(parts, "h").sortWithinPartitions("h", "x", "did", "start")
-    spans = found.mapInArrow(_repeat_rows(length, pool_bytes), SPAN)
-    spans = spans.groupBy("rid").agg(F.collect_list(F.struct("s", "e")).alias("spans"))
-    return base.join(spans, "rid", "left").mapInArrow(_removed(length), RESULT)
+    spans = materialize(found.mapInArrow(_repeat_rows(length, pool_bytes, group_bytes), SPAN), "spans")
+    windows = spans.filter("key IS NOT NULL")
+    earliest = windows.groupBy("key").agg(F.min(F.struct("did", "s")).alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
+    again = windows.join(earliest, "key").filter(F.struct("did", "s") > F.col("first")).select("rid", "did", "s", "e")
+    spans = spans.filter("key IS NULL").select("rid", "did", "s", "e").union(again)
+    spans = spans.groupBy("rid", "did").agg(F.collect_list(F.struct("s", "e")).alias("spans"))
+    return base.join(spans, ["rid", "did"], "left").mapInArrow(_removed(length), RESULT)

@@ -40,6 +40,17 @@ def test_suffix_array(data):
     assert suffix_dedup.suffix_array(np.frombuffer(data, np.uint8), 88).tolist() == want or len(data) == 0
 
 
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.sampled_from([0, 1, 97, 255]), min_size=1, max_size=80).map(bytes), st.integers(1, 40))
+def test_common_prefixes(data, depth):
+    text = np.frombuffer(data, np.uint8)
+    sa = np.array(sorted(range(len(data)), key=lambda i: data[i:]))
+    got = suffix_dedup.common_prefixes(sa, suffix_dedup._words(text), depth)
+    padded = data + bytes(depth + 8)  # zeros after the end, as the words have them
+    shared = lambda a, b: next((i for i in range(depth) if padded[a + i] != padded[b + i]), depth)
+    assert got.tolist() == [0] + [shared(a, b) for a, b in zip(sa[:-1].tolist(), sa[1:].tolist(), strict=True)]
+
+
 def test_repeats_against_brute_force(spark):
     rng = random.Random(9)
     line = "".join(rng.choice("ab ") for _ in range(130))
@@ -54,6 +65,9 @@ def test_repeats_against_brute_force(spark):
     df = spark.createDataFrame(docs, "doc_id long, text string")
     assert got(suffix_dedup.remove_repeats(df)) == truth(docs)
     assert got(suffix_dedup.remove_repeats(df, pool_bytes=2000)) == truth(docs)
+    # Anchors whose stretches are not held: their windows meet by their bytes.
+    assert got(suffix_dedup.remove_repeats(df, group_bytes=600)) == truth(docs)
+    assert got(suffix_dedup.remove_repeats(df, group_bytes=1)) == truth(docs)
 
 
 def test_chunks_of_a_long_text(spark, monkeypatch):
