@@ -19,8 +19,9 @@ from dataclasses import dataclass
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import types as T
 
-from .common import partitions
+from .common import partitions, slices
 
 TURN, TEXT, END = "<|turn|>", "<|text|>", "<|end|>"
 # The template's own marks and those of common chat formats.
@@ -145,17 +146,25 @@ def format_windows(
 
     Turns go by turn number, then role and text; repeated rows are turns of
     their own. Null texts and roles are empty, a null conversation id is a
-    conversation of its own. A turn over the budget is a window of its own,
-    marked ``oversize``. Other columns are not looked at; no rows give none.
-    Rows of a conversation pass in order through one task, which holds one
-    window of it.
+    conversation of its own. A turn that does not fit the budget, or what the
+    repeated system turn leaves of it, is a window of its own, marked
+    ``oversize``. Other columns are not looked at; no rows give none. Tokens are
+    counted turn by turn, wherever a turn lies; then rows of a conversation pass
+    in order through one task, which only adds counts up and holds one window.
+    A turn's text is held whole.
     """
 
-    def run(batches):
+    def counted(batches):
         from tokenizers import Tokenizer
 
         tok = Tokenizer.from_file(tokenizer)
         tok.encode_special_tokens = True
+        for part in slices(batches, 1024):
+            bodies = [render(r, x) for r, x in zip(part.column("r").to_pylist(), part.column("x").to_pylist(), strict=True)]
+            counts = [len(e.ids) for e in tok.encode_batch(bodies, add_special_tokens=False)]
+            yield pa.RecordBatch.from_arrays([*part.columns, pa.array(counts, pa.int64())], names=[*part.schema.names, "n"])
+
+    def run(batches):
         names = [f.split()[0] for f in WINDOW.split(", ")]
         current, windower, ready = object(), None, []
 
@@ -165,11 +174,10 @@ def format_windows(
                 [pa.array([r[n] for r in rows], kinds.get(n, pa.int64())) for n in names], names=names
             )
 
-        for batch in batches:
-            convs, roles, texts = (batch.column(k).to_pylist() for k in range(3))
-            bodies = [render(r, t) for r, t in zip(roles, texts, strict=True)]
-            counts = [len(e.ids) for e in tok.encode_batch(bodies, add_special_tokens=False)]
-            for conv, role, body, n in zip(convs, roles, bodies, counts, strict=True):
+        for batch in slices(batches, 1024):
+            convs, roles, texts, counts = (batch.column(k).to_pylist() for k in range(4))
+            for conv, role, text, n in zip(convs, roles, texts, counts, strict=True):
+                body = render(role, text)
                 if windower is None or conv != current:
                     if windower is not None:
                         ready.append(windower.close() | {"conv_id": current})
@@ -187,8 +195,9 @@ def format_windows(
         F.coalesce(F.col(text_col), F.lit("")).alias("x"),
         F.col(turn_col).alias("t"),
     )
+    rows = rows.mapInArrow(counted, T.StructType([*rows.schema.fields, T.StructField("n", T.LongType())]))
     ordered = rows.repartition(partitions(turns.sparkSession), "c").sortWithinPartitions("c", "t", "r", "x")
-    return ordered.select("c", "r", "x").mapInArrow(run, WINDOW)
+    return ordered.select("c", "r", "x", "n").mapInArrow(run, WINDOW)
 
 
 def digest(windows: DataFrame) -> DataFrame:
@@ -211,7 +220,7 @@ def digest(windows: DataFrame) -> DataFrame:
                 [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=names
             )
 
-        for batch in batches:
+        for batch in slices(batches):
             rows = []
             for r in batch.to_pylist():
                 if state is None or r["conv_id"] != current:

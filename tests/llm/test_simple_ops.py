@@ -63,6 +63,20 @@ def test_op1_windows_hold_the_budget(spark, sf):
             assert chat_format.parse(r["text"])[0][0] == "system"
 
 
+def test_op1_long_system_turn_and_long_conversation(spark):
+    """A system turn that leaves too little room makes windows of single turns, marked; a conversation of half of all turns comes back whole."""
+    path = queries.tokenizer_path("byte_bpe_50k.json")
+    rows = [(1, 0, "system", "rule " * 90)] + [(1, i, "user" if i % 2 else "assistant", f"turn {i} " * 8) for i in range(1, 9)]
+    rows += [(2, i, "user" if i % 2 else "assistant", f"said {i}") for i in range(3000)]
+    rows += [(3, 0, "user", "long " * 400_000), (3, 1, "assistant", "short")]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    windows = chat_format.format_windows(df, path, budget=110)
+    for r in windows.filter("conv_id = 1 AND window > 0").collect():
+        assert r["n_system"] == 1 and (not r["oversize"] or (r["n_span"] == 1 and r["n_history"] == 0))
+    got = {r[0]: tuple(r[1:5]) for r in chat_format.digest(windows).collect()}
+    assert got == chat_truth(rows)
+
+
 def test_op1_odd_rows(spark):
     rows = [
         (1, 0, "user", "a"), (1, 0, "user", "a"), (1, 1, None, None), (1, 2, "assistant", "x" * 9000),
