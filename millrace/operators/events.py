@@ -104,30 +104,156 @@ _PLAIN = "aaaaaaceeeeiiiinooooouuuuyy"
 
 
 def search(events: DataFrame, query: str, text: Column, user=None, ts: str = "timestamp") -> DataFrame:
-    """Events that hold all terms of the query, newest first.
+    """Events whose text matches a full-text query, newest first (``matches`` has the grammar)."""
+    df = events.withColumn("__t", tokens(text))
+    return listing(df.filter(matches(F.col("__t"), query)).drop("__t"), user=user, ts=ts)
+
+
+_TOKEN = re.compile(r'"((?:[^"]|"")*)"|([()+*,^])|([^\s"()+*,^]+)')
+
 
-    A term may end in ``*`` (prefix) or be a quoted phrase. Other operators of
-    full-text queries are refused.
+def matches(words: Column, query: str) -> Column:
+    """Whether an array of terms matches a query.
+
+    Terms next to each other must all be there; AND, OR and NOT combine, in
+    rising order of binding OR, AND, NOT, and parentheses group. A phrase stands
+    in quotes or is joined by ``+``, a last ``*`` makes its last term a prefix, a
+    first ``^`` ties it to the start of the text, and ``NEAR(a b, 5)`` wants
+    phrases with at most so many terms between (10 where no number is given).
     """
-    parts = re.findall(r'"([^"]*)"|(\S+)', query)
-    if not parts or any(w in ("OR", "NOT", "NEAR") or re.search(r"[()^:{}]", w) for _, w in parts):
+    found = [(m.group(1).replace('""', '"'), True) if m.group(1) is not None else (m.group(2) or m.group(3), False) for m in _TOKEN.finditer(query)]
+    if not found or ":" in "".join(t for t, quoted in found if not quoted):
         raise ValueError(f"unsupported query: {query!r}")
-    df = events.withColumn("__t", tokens(text))
-    words = F.col("__t")
-    for phrase, word in parts:
-        term = (phrase or word).lower().translate(str.maketrans(_ACCENTED, _PLAIN))
-        terms = [w for w in re.split(r"[^\w]+|_", term) if w]
+    at = 0
+
+    def peek(k: int = 0):
+        return found[at + k] if at + k < len(found) else (None, False)
+
+    def take(text: str | None = None):
+        nonlocal at
+        token = peek()
+        if token[0] is None or (text is not None and token != (text, False)):
+            raise ValueError(f"malformed query: {query!r}")
+        at += 1
+        return token
+
+    def is_word(token) -> bool:
+        text, quoted = token
+        return quoted or text is not None and text not in ("AND", "OR", "NOT", "(", ")", "+", "*", ",", "^")
+
+    def either():
+        out = both()
+        while peek() == ("OR", False):
+            take()
+            out = out | both()
+        return out
+
+    def both():
+        out = without()
+        while peek() == ("AND", False):
+            take()
+            out = out & without()
+        return out
+
+    def without():
+        out = together()
+        while peek() == ("NOT", False):
+            take()
+            out = out & ~together()
+        return out
+
+    def together():
+        out = unit()
+        while is_word(peek()) or peek() in (("(", False), ("^", False)):
+            out = out & unit()
+        return out
+
+    def unit():
+        if peek() == ("(", False):
+            take()
+            out = either()
+            take(")")
+            return out
+        if peek() == ("NEAR", False) and peek(1) == ("(", False):
+            take(), take()
+            phrases, most = [], 10
+            while is_word(peek()):
+                phrases.append(phrase())
+            if peek() == (",", False):
+                take()
+                most = int(take()[0])
+            take(")")
+            return _near(words, phrases, most)
+        first = peek() == ("^", False)
+        if first:
+            take()
+        terms, prefix = phrase()
+        where = _places(words, terms, prefix)
+        return F.array_contains(where, 0) if first else F.size(where) > 0
+
+    def phrase() -> tuple[list[str], bool]:
+        if not is_word(peek()):
+            raise ValueError(f"malformed query: {query!r}")
+        terms = _terms(take()[0])
+        while peek() == ("+", False):
+            take()
+            terms += _terms(take()[0])
+        prefix = peek() == ("*", False)
+        if prefix:
+            take()
         if not terms:
-            raise ValueError(f"unsupported term: {phrase or word!r}")
-        if word.endswith("*") and len(terms) == 1:
-            df = df.filter(_any_prefix(words, terms[0]))
-        elif len(terms) == 1:
-            df = df.filter(F.array_contains(words, terms[0]))
-        else:
-            joined = F.concat(F.lit(" "), F.array_join(words, " "), F.lit(" "))
-            df = df.filter(F.contains(joined, F.lit(f" {' '.join(terms)} ")))
-    return listing(df.drop("__t"), user=user, ts=ts)
-
-
-def _any_prefix(words: Column, prefix: str) -> Column:
-    return F.exists(words, lambda w: F.startswith(w, F.lit(prefix)))
+            raise ValueError(f"unsupported query: {query!r}")
+        return terms, prefix
+
+    out = either()
+    if at < len(found):
+        raise ValueError(f"malformed query: {query!r}")
+    return out
+
+
+def _terms(text: str) -> list[str]:
+    return [w for w in re.split(r"[^\w]+|_", text.lower().translate(str.maketrans(_ACCENTED, _PLAIN))) if w]
+
+
+def _places(words: Column, terms: list[str], prefix: bool) -> Column:
+    """Where a phrase begins, from 0."""
+    k = len(terms)
+
+    def here(w, i):
+        out = None
+        for j, term in enumerate(terms):
+            word = w if j == 0 else F.get(words, i + j)
+            one = F.startswith(word, F.lit(term)) if prefix and j == k - 1 else word == term
+            out = one if out is None else out & F.coalesce(one, F.lit(False))
+        return out
+
+    at = F.transform(words, lambda w, i: F.when(here(w, i), i))
+    return F.array_compact(at)
+
+
+def _joined(own: Column, most: int):
+    """A choice of places (first start, its end, last start) with each place of a further phrase that may be near enough."""
+
+    def join(x):
+        fits = F.filter(own, lambda y: F.abs(y["a"] - x["a"]) <= most + 64)
+        widened = lambda y: F.struct(
+            F.least(x["a"], y["a"]).alias("a"), F.when(y["a"] < x["a"], y["b"]).otherwise(x["b"]).alias("b"), F.greatest(x["c"], y["c"]).alias("c")
+        )
+        return F.transform(fits, widened)
+
+    return join
+
+
+def _near(words: Column, phrases: list[tuple[list[str], bool]], most: int) -> Column:
+    """Whether places of all phrases lie so that at most so many terms are between the first one's end and the last one's start."""
+    spans = None
+    for terms, prefix in phrases:
+        k = len(terms)
+        own = F.transform(_places(words, terms, prefix), lambda p: F.struct(p.alias("a"), (p + k).alias("b"), p.alias("c")))  # noqa: B023
+        if spans is None:
+            spans = own
+            continue
+        spans = F.array_distinct(F.flatten(F.transform(spans, _joined(own, most))))
+    if spans is None:
+        raise ValueError("NEAR without phrases")
+    return F.exists(spans, lambda x: x["c"] - x["b"] <= most)

@@ -427,3 +427,113 @@ def plan_history_errors(spark, sf):
     none = F.array().cast("array<string>")
     error = profile.conversation_error(F.col("h"), F.lit("s"), F.lit("s"), F.lit(False), none, none, F.lit(0))
     return m.select("conv_id", F.coalesce(error, F.lit("ok")).alias("error"))
+
+
+@query(
+    """SELECT conv_id, arg_max(text, turn) FILTER (role = 'user') IS NOT NULL AS asked, sha256(coalesce(arg_max(text, turn) FILTER (role = 'user'), '')) AS last_sha, count(*) + 1 AS messages,
+    sha256(any_value(role ORDER BY turn DESC) || 'answer ' || conv_id) AS end_sha FROM conversations GROUP BY conv_id"""
+)
+def plan_last_user(spark, sf):
+    """The last user message of a history, and the history with an answer behind it."""
+    from ..operators.clean import nest
+    from . import planner
+
+    m = nest(table(spark, sf, "conversations"))
+    last = planner.last_user(F.col("messages"))
+    whole = planner.with_response(F.col("messages"), F.concat(F.lit("answer "), F.col("conv_id").cast("string")))
+    return m.select(
+        "conv_id",
+        last.isNotNull().alias("asked"),
+        F.sha2(F.coalesce(last, F.lit("")), 256).alias("last_sha"),
+        big(F.size(whole)).alias("messages"),
+        F.sha2(F.concat(F.element_at("messages", -1)["role"], F.element_at(whole, -1)["content"]), 256).alias("end_sha"),
+    )
+
+
+@query(
+    "SELECT conv_id, turn, sha256('system:' || CASE WHEN conv_id % 2 = 0 THEN 'be kind' || chr(10) || chr(10) || role ELSE 'be kind' END || '|user:' || text) AS sha FROM conversations"
+)
+def final_prompt_messages(spark, sf):
+    """System and user message, with a memory block for half of them."""
+    from ..operators import compose
+
+    memory = F.when(F.col("conv_id") % 2 == 0, F.col("role"))
+    m = compose.prompt_messages(F.lit("be kind"), memory, F.col("text"))
+    joined = F.array_join(F.transform(m, lambda x: F.concat(x["role"], F.lit(":"), x["content"])), "|")
+    return table(spark, sf, "conversations").select("conv_id", "turn", F.sha2(joined, 256).alias("sha"))
+
+
+@query(
+    """SELECT count(*) AS candidates, count(*) FILTER (k > 2) AS accepted, round_even(count(*) FILTER (k > 2) / count(*)::DOUBLE, 6) AS acceptance_rate,
+    round_even(count(*) FILTER (k <> 0) / count(*)::DOUBLE, 6) AS candidate_validator_pass_rate, round_even(count(*) FILTER (k = 1) / count(*)::DOUBLE, 6) AS duplicate_rate,
+    round_even(count(*) FILTER (k > 2 AND lang = 'en') / count(*) FILTER (k > 2)::DOUBLE, 6) AS validator_pass_rate FROM (SELECT doc_id % 7 AS k, lang FROM documents)"""
+)
+def plan_rates(spark, sf):
+    """Documents as judged candidates, three sevenths rejected for one reason each."""
+    from . import planner
+
+    k = F.col("doc_id") % 7
+    why = F.when(k == 0, "validator_failure").when(k == 1, "exact_duplicate").when(k == 2, "near_duplicate")
+    out = planner.rates(table(spark, sf, "documents").select("lang", why.alias("rejection")), F.col("lang") == "en")
+    return out.select("candidates", "accepted", *[F.bround(c, 6).alias(c) for c in ("acceptance_rate", "candidate_validator_pass_rate", "duplicate_rate", "validator_pass_rate")])
+
+
+def _records(spark, sf):
+    """Documents as sound training records."""
+    from ..operators import compose
+
+    say = lambda role: F.struct(F.lit(role).alias("role"), F.col("text").alias("content"))
+    df = table(spark, sf, "documents").select(
+        F.concat(F.lit("r"), F.col("doc_id").cast("string")).alias("record_id"),
+        F.col("source").alias("source_id"),
+        F.col("lang").alias("language"),
+        F.lit("x").alias("domain"),
+        F.array(say("user"), say("assistant")).alias("conversations"),
+    )
+    return df.withColumn("text", compose.render(F.col("conversations")))
+
+
+@query(
+    """WITH n AS (SELECT count(*) AS n, greatest(1, least(count(*) - 1, round_even(count(*) * 0.2::DOUBLE, 0)::BIGINT)) AS k FROM documents)
+    SELECT n - k AS train, k AS validation, n AS given_train, k AS given_validation FROM n"""
+)
+def train_load(spark, sf):
+    """Training and validation rows by a holdout, and as given."""
+    rows = _records(spark, sf)
+    a, b = training.load(rows, None, 0.2, 42)
+    c, d = training.load(rows, b, 0.2, 42)
+    counts = [x.agg(F.count(F.lit(1)).alias(n)) for x, n in ((a, "train"), (b, "validation"), (c, "given_train"), (d, "given_validation"))]
+    return counts[0].crossJoin(counts[1]).crossJoin(counts[2]).crossJoin(counts[3])
+
+
+@query("SELECT 'r' || doc_id AS record_id, length(text) > 0 AS has_text FROM documents")
+def train_failing_fast(spark, sf):
+    """Sound records pass the check that raises at the first malformed one."""
+    df = training.failing_fast(_records(spark, sf))
+    return df.select("record_id", (F.length(F.col("conversations")[0]["content"]) > 0).alias("has_text"))
+
+
+@query(
+    """SELECT doc_id, CASE doc_id % 5 WHEN 0 THEN 'record_not_object' WHEN 1 THEN 'unable_to_extract_conversation' WHEN 2 THEN 'too_few_messages'
+    ELSE CASE WHEN length(regexp_replace(lang, '\\s', '', 'g')) > 0 THEN 'kept' END END AS reason FROM documents"""
+)
+def clean_record_codes(spark, sf):
+    """Raw values that are no object, have no conversation, one message or two, through a file of JSON lines."""
+    from ..operators import clean as c
+
+    k = F.col("doc_id") % 5
+    m = lambda role: F.create_map(F.lit("from"), F.lit(role), F.lit("value"), F.col("lang"))
+    body = F.when(k == 0, F.to_json(F.array("doc_id"))).when(k == 1, F.to_json(F.struct("doc_id")))
+    body = body.when(k == 2, F.to_json(F.struct("doc_id", F.array(m("human")).alias("dialog")))).otherwise(F.to_json(F.struct("doc_id", F.array(m("human"), m("gpt")).alias("dialog"))))
+    path = _place(spark, "raw.jsonl")
+    rows = table(spark, sf, "documents").select(body.alias("value"))
+    rows.write.text(path)
+    raw = c.extract(readers.read_jsonl(spark, path).withColumn("dataset_id", F.lit("org/x")))
+    done = c.clean(raw)
+    number = F.coalesce(_field("doc_id", "bigint"), F.lit(-1))
+    found = done.select(number.alias("n"), F.coalesce("rejection_reason", F.lit("kept")).alias("reason"))
+    # A record that is no object has lost its number: their count is dealt back to the numbers they came from.
+    lost = found.filter("n = -1").count()
+    mine = table(spark, sf, "documents").select("doc_id").join(found, F.col("doc_id") == F.col("n"), "left")
+    none = F.when(F.lit(lost) == F.lit(table(spark, sf, "documents").filter("doc_id % 5 = 0").count()), F.lit("record_not_object"))
+    return mine.select("doc_id", F.coalesce("reason", none).alias("reason"))

@@ -92,6 +92,17 @@ def events_search_documents(spark, sf):
     return ev.search(docs, "the of ing*", F.col("text"), user=1).select(F.col("event_id").alias("doc_id"))
 
 
+@query(
+    """WITH w AS (SELECT doc_id, list_filter(string_split_regex(strip_accents(lower(text)), '[^\\pL\\pN]+'), lambda x: x <> '') AS ws FROM documents)
+    SELECT doc_id FROM w WHERE (list_contains(ws, 'the') OR list_contains(ws, 'der')) AND (len(list_filter(ws, lambda x: starts_with(x, 'un'))) > 0 AND NOT list_contains(ws, 'que'))
+       OR len(list_filter(ws, lambda x, i: x = 'por' AND ws[i + 1] = 'el')) > 0"""
+)
+def events_search_boolean(spark, sf):
+    """OR, AND, NOT, groups, a prefix and a phrase."""
+    docs = table(spark, sf, "documents").select(F.col("doc_id").alias("event_id"), F.lit(1).alias("user_id"), F.col("doc_id").alias("timestamp"), "text")
+    return ev.search(docs, '(the OR der) AND un* NOT que OR "por el"', F.col("text")).select(F.col("event_id").alias("doc_id"))
+
+
 @query("SELECT user_id, event_type, count(*) AS n, round_even(avg(value), 6) AS mean FROM events GROUP BY user_id, event_type")
 def events_type_counts(spark, sf):
     df = table(spark, sf, "events")

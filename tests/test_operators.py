@@ -266,7 +266,7 @@ def test_events(spark):
     assert ids(ev.search(log, "Shoulder", words, user="u")) == ["3"]
     assert ids(ev.search(log, '"left shoulder"', words)) == ["3"] and ids(ev.search(log, "should*", words)) == ["4", "3"]
     with pytest.raises(ValueError):
-        ev.search(log, "a OR b", words)
+        ev.search(log, "a OR", words)
     sup = spark.createDataFrame([("2", "5", 1), ("5", "9", 1), ("5", None, 0)], "event_id string, superseded_by string, at int")
     assert ids(ev.current_state(ev.with_superseded(log, sup).filter("user_id = 'u'"), ["event_type"]).orderBy("event_id")) == ["1", "3"]
     with pytest.raises(Exception, match="duplicate event_id"):

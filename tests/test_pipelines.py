@@ -169,3 +169,31 @@ def test_stock_patterns_equal_those_of_unicode_engines(spark):
     unit, lists = re.compile(STOCK.unit_regex, re.I), re.compile(STOCK.list_regex, re.M)
     wrong = [(texts[r["i"]], r["u"], r["l"]) for r in got.collect() if (r["u"], r["l"]) != (bool(unit.search(texts[r["i"]])), bool(lists.search(texts[r["i"]])))]
     assert not wrong, wrong[:5]
+
+
+def test_full_text_queries_equal_those_of_the_reference_engine(spark):
+    """The same queries in SQLite's full-text engine."""
+    import random
+    import sqlite3
+
+    from millrace.operators import events
+
+    rng = random.Random(3)
+    words = "alpha beta gamma delta alphabet Gamm\u00e9 x1 beta".split()
+    rows = [(i, " ".join(rng.choice(words) for _ in range(rng.randrange(1, 14)))) for i in range(150)]
+    db = sqlite3.connect(":memory:")
+    db.execute("CREATE VIRTUAL TABLE t USING fts5(x)")
+    db.executemany("INSERT INTO t(rowid, x) VALUES (?, ?)", rows)
+    df = spark.createDataFrame(rows, "event_id long, x string").withColumn("w", events.tokens(F.col("x")))
+    queries = [
+        "alpha beta", "alpha OR x1", "alpha AND NOT_A", "alpha NOT beta", "alpha NOT beta NOT gamma", "alpha OR beta AND gamma", "(alpha OR beta) AND gamma", "(alpha OR x1) AND delta",
+        '"alpha beta"', "alpha + beta", "alph*", '"beta alph"*', "gamme", "^beta", "^beta gamma", "NEAR(alpha gamma)", "NEAR(alpha gamma, 1)", 'NEAR("alpha beta" delta, 2)', "NEAR(alpha beta gamma, 3)",
+        "x1 NOT (alpha OR beta)", "alpha beta NOT gamma", "delta AND beta NOT alpha OR x1",
+    ]
+    for q in queries:
+        want = {r[0] for r in db.execute("SELECT rowid FROM t WHERE t MATCH ?", (q,))}
+        got = {r["event_id"] for r in df.filter(events.matches(F.col("w"), q)).collect()}
+        assert got == want, q
+    for q in ("", "(alpha", "alpha )", "x:alpha", "OR alpha", "+"):
+        with pytest.raises(ValueError):
+            events.matches(F.col("w"), q)
