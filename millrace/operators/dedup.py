@@ -130,6 +130,8 @@ def near_jaccard(sets: DataFrame, bucket: str, words: str, key: str, threshold:
 GRAM, GRAM_BITS = 4, 14
 #: Rows of a bucket and band of lengths that are compared with as many others at a time.
 BLOCK = 1000
+#: Open pairs that a row compares in a round.
+TRIES = 16
 
 
 def _look(x: str) -> tuple[int, np.ndarray, int]:
@@ -209,12 +211,13 @@ def near_sequence(df: DataFrame, bucket: str, text: str | list[str], key: str, t
     Rows are judged in key order; one that is near to an accepted one before it
     is not accepted itself. Similarity is the ratio of
     ``difflib.SequenceMatcher`` (candidate first), as no built-in has it; of
-    several texts the largest ratio. Equal rows are judged once. Pairs that
-    lengths and 4-grams leave open go round by round: rows with no open pair
-    before them are accepted, and those after them are compared with these
-    alone, pair by pair over all tasks. So a large group of near copies costs
-    pairs in proportion to its size. The search for open pairs is quadratic in a
-    bucket's band of lengths, a block of rows against a block in each task.
+    several texts the largest ratio. Equal rows are judged once. Of the pairs that
+    lengths and 4-grams leave open, each row compares its first ``TRIES`` in a
+    round, over all tasks; then rows with no pair left before them are accepted,
+    those near to one are gone, and so are the pairs of what is gone. So a large
+    group of near copies costs pairs in proportion to its size. The search for
+    open pairs is quadratic in a bucket's band of lengths, a block of rows against
+    a block in each task.
     """
     texts = [text] if isinstance(text, str) else list(text)
     names = [f"x{i}" for i in range(len(texts))]
@@ -222,11 +225,11 @@ def near_sequence(df: DataFrame, bucket: str, text: str | list[str], key: str, t
 
     def verify(batches):
         for pdf in batches:
-            near = [
+            pdf["near"] = [
                 any(is_near(row[f"b{n}"], row[f"a{n}"], threshold) for n in names)
                 for row in pdf[[f"{s}{n}" for s in "ab" for n in names]].to_dict("records")
             ]
-            yield pdf.loc[near, ["a", "b"]]
+            yield pdf[["a", "b", "near"]]
 
     with scratch(df.sparkSession) as keep:
         rows = df.select(F.coalesce(F.col(bucket).cast("string"), F.lit("")).alias("g"), F.col(key).cast("bigint").alias("k"), *side)
@@ -236,35 +239,32 @@ def near_sequence(df: DataFrame, bucket: str, text: str | list[str], key: str, t
         for n in names:
             found = _candidates(heads, n, threshold)
             open_ = found if open_ is None else open_.union(found)
-        open_ = materialize(open_.distinct(), "open")
-        # accepted: rows of a pair that are; gone: (b, near) of those that are not, near the least accepted one.
-        accepted, gone = [], None
-        spread = max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+        # Pairs left, whether they are near (null: not yet compared), and the rows that are gone with the least accepted one they are near to.
+        open_ = materialize(open_.distinct().withColumn("near", F.lit(None).cast("boolean")), "open")
+        gone = df.sparkSession.createDataFrame([], "b bigint, least bigint")
+        spread = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        whole = lambda s: heads.select(F.col("k").alias(s), *[F.col(n).alias(f"{s}{n}") for n in names])
         while not open_.isEmpty():
-            waiting = open_.select(F.col("b").alias("k")) if gone is None else open_.join(gone, "b", "left_anti").select(F.col("b").alias("k"))
-            # Pairs whose earlier row has no open pair before it, and is not gone.
-            first = open_.select(F.col("a").alias("k")).distinct().join(waiting.distinct(), "k", "left_anti")
-            if gone is not None:
-                first = first.join(gone.select(F.col("b").alias("k")), "k", "left_anti")
+            unknown = open_.filter("near IS NULL").withColumn("at", F.row_number().over(Window.partitionBy("b").orderBy("a")))
+            now = unknown.filter(F.col("at") <= TRIES).select("a", "b").join(whole("a"), "a").join(whole("b"), "b")
+            checked = now.repartition(spread).mapInPandas(verify, "a bigint, b bigint, near boolean").filter("near")
+            later = unknown.filter(F.col("at") > TRIES).select("a", "b", "near")
+            pairs = materialize(open_.filter("near").union(later).union(checked), "pairs")
+            # Rows with no pair before them, of those that are not gone.
+            undecided = pairs.join(gone.select("b"), "b", "left_anti").select(F.col("b").alias("a")).distinct()
+            lost = gone.select(F.col("b").alias("a"))
+            first = pairs.select("a").distinct().join(undecided, "a", "left_anti").join(lost, "a", "left_anti")
             first = materialize(first, "accepted")
-            accepted.append(first)
-            now = open_.join(first.withColumnRenamed("k", "a"), "a", "left_semi")
-            whole = lambda s: heads.select(F.col("k").alias(s), *[F.col(n).alias(f"{s}{n}") for n in names])  # noqa: E731, B023
-            checked = now.join(whole("a"), "a").join(whole("b"), "b").repartition(spread).mapInPandas(verify, "a bigint, b bigint")
-            near = checked.groupBy("b").agg(F.min("a").alias("near"))
-            if gone is not None:
-                near = near.union(gone).groupBy("b").agg(F.min("near").alias("near"))
-            gone = materialize(near, "gone")
-            lost = gone.withColumnRenamed("b", "a").select("a")
-            rest = open_.join(first.withColumnRenamed("k", "a"), "a", "left_anti").join(lost, "a", "left_anti")
+            hit = pairs.filter("near").join(first, "a", "left_semi").groupBy("b").agg(F.min("a").alias("least"))
+            gone = materialize(gone.union(hit).groupBy("b").agg(F.min("least").alias("least")), "gone")
+            rest = pairs.join(first.withColumn("done", F.lit(True)), "a", "left").filter("done IS NULL OR near IS NULL").drop("done")
+            rest = rest.join(gone.select(F.col("b").alias("a")), "a", "left_anti")
             # A row that is gone may still be near to an earlier one that is accepted later.
-            rest = rest.join(gone, "b", "left").filter("near IS NULL OR a < near").select("a", "b")
+            rest = rest.join(gone, "b", "left").filter("least IS NULL OR a < least").select("a", "b", "near")
             open_ = materialize(rest, "open")
-        if gone is None:
-            gone = df.sparkSession.createDataFrame([], "b bigint, near bigint")
         head = rows.select("same", "k").join(heads.select("same", F.col("k").alias("h")), "same")
         out = head.join(gone.withColumnRenamed("b", "h"), "h", "left")
         # Copies of a row are near to what it is near to, or to it.
-        near_key = F.coalesce("near", F.when(F.col("k") > F.col("h"), F.col("h")))
+        near_key = F.coalesce("least", F.when(F.col("k") > F.col("h"), F.col("h")))
         out = out.select(F.col("k").alias(key), near_key.alias("near_key"), near_key.isNotNull().alias("is_near_duplicate"))
         return keep(materialize(out, "near"))
