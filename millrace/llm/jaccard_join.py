@@ -11,8 +11,8 @@
    a list leaves it. What is left is expanded to classes in each list, before
    pairing: no pairs of groups are formed.
 4. A list of up to ``SHORT`` classes tries all pairs. A longer one is dealt to
-   blocks of about ``BLOCK`` by a hash, and each member tries the nearest of the
-   1,024 before it in its block. Members that link so are in one component and
+   blocks of about ``BLOCK`` by a hash, twice and each time anew, and each member
+   tries the nearest of the 1,024 before it in its block. Members that link so are in one component and
    need no more pairs among themselves. What is left is tried in full: in lists
    that hold several components, all pairs over different ones, each pair of
    blocks in a task of its own. So a large group of near copies costs pairs in
@@ -476,10 +476,12 @@ def _components_of(docs: DataFrame, k: int, percent: int, id_col: str, text_col:
     # Long lists and their blocks; a member's block is a hash of it.
     long = spread.groupBy("token").agg(F.count(F.lit(1)).alias("m")).filter(F.col("m") > SHORT)
     long = materialize(long.select("token", F.ceil(F.col("m") / F.lit(BLOCK)).cast("int").alias("blocks")), "long")
-    own = F.pmod(F.xxhash64("sid"), F.col("blocks")).cast("int")
+    own = lambda k: F.pmod(F.xxhash64("sid", F.lit(k)), F.col("blocks")).cast("int")
     pair = "a bigint, b bigint"
+    # Two ways to deal a list to blocks: a block of one way meets all of the other, so near copies of a list come together.
     dealt = spread.join(long, "token", "left")
-    dealt = dealt.withColumn("token", F.when(F.col("blocks") > 1, F.xxhash64("token", own)).otherwise(F.col("token")))
+    ways = F.array(*[F.xxhash64("token", F.lit(k), own(k)) for k in (1, 2)])
+    dealt = dealt.withColumn("token", F.explode(F.when(F.col("blocks") > 1, ways).otherwise(F.array("token"))))
     dealt = dealt.select("token", "sid", "n", "bits").repartition(parts, "token").sortWithinPartitions("token", "n", "sid")
     tried = materialize(dealt.mapInArrow(_lists(percent, _nearest_pairs), pair).distinct(), "pairs")
     with scratch(spark) as keep:
@@ -491,7 +493,7 @@ def _components_of(docs: DataFrame, k: int, percent: int, id_col: str, text_col:
     where = spread.select("token", "sid").join(long, "token").join(labels.toDF("sid", "c"), "sid", "left")
     mixed = where.groupBy("token", "blocks").agg(F.min(F.coalesce("c", "sid")).alias("x"), F.max(F.coalesce("c", "sid")).alias("y"))
     mixed = materialize(mixed.filter("x < y").select("token", "blocks"), "mixed")
-    dealt = spread.join(mixed, "token").join(labels.toDF("sid", "c"), "sid", "left").withColumn("own", own)
+    dealt = spread.join(mixed, "token").join(labels.toDF("sid", "c"), "sid", "left").withColumn("own", own(1))
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     dealt = dealt.select("token", "sid", "n", "bits", F.coalesce("c", "sid").alias("c"), "own", other.alias("other"))
     side = F.when(F.col("own") == F.col("other"), 0).when(F.col("own") < F.col("other"), 1).otherwise(2)

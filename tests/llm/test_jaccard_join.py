@@ -2,6 +2,7 @@ import random
 
 import numpy as np
 import pandas as pd
+import pytest
 
 from millrace.llm import jaccard_join, queries
 from millrace.llm.common import SPACE_WORDS
@@ -90,8 +91,10 @@ def test_live_lists_over_batches():
         assert found == want
 
 
-def test_large_group_stays_linear(spark):
-    """A group of near copies tries pairs in proportion to its size."""
+@pytest.mark.parametrize("block", [1024, 40])
+def test_large_group_stays_linear(spark, monkeypatch, block):
+    """A group of near copies tries pairs in proportion to its size, also over many blocks."""
+    monkeypatch.setattr(jaccard_join, "BLOCK", block)
     rng = random.Random(4)
     base = [f"b{i}" for i in range(300)]
     rows = [(i, " ".join(mutated(rng, base, 0.004))) for i in range(400)]
@@ -103,7 +106,7 @@ def test_large_group_stays_linear(spark):
         assert got(jaccard_join.jaccard_components(df)) == truth(rows)
     finally:
         jaccard_join._verify = verify
-    assert sum(tried) < 400 * 10
+    assert sum(tried) < 400 * (10 if block > 400 else 40)
 
 
 def test_equals_sql(spark, sf):
