@@ -38,12 +38,32 @@ def plan_balanced_quota(spark, sf):
     return q.select(big(F.col("slot")).alias("slot"), "value")
 
 
+def _quota_sql(k: int, name: str, labels: list[str], total: int) -> str:
+    """Slots of each label: the first in hash order take the remainder."""
+    values = ", ".join(f"('{x}')" for x in labels)
+    n, order_ = len(labels), f"row_number() OVER (ORDER BY {hash_sql(SEED + k, 'label')}, label)"
+    return f"SELECT '{name}' AS dimension, label, ({total // n} + CASE WHEN {order_} <= {total % n} THEN 1 ELSE 0 END)::BIGINT AS n FROM (VALUES {values}) v(label)"
+
+
+_DIMENSIONS = {"persona_id": [p[0] for p in dim.PERSONAS], "scenario_id": [x[0] for x in dim.SCENARIOS], "history_length": ["3", "5"]}
+
+
+@query(" UNION ALL ".join(_quota_sql(k, name, labels, 125) for k, (name, labels) in enumerate(_DIMENSIONS.items())))
+def plan_candidates(spark, sf):
+    """How many of 125 slots each persona, scenario and history length has."""
+    d = planner.distributions(planner.candidate_plan(spark, 125, SEED), list(_DIMENSIONS))
+    return d.select("dimension", "label", "n")
+
+
 @query(
-    "SELECT * FROM (VALUES ('persona_id', 10, 12, 13), ('scenario_id', 12, 10, 11), ('history_length', 2, 62, 63)) t(dimension, labels, least, most)"
+    f"""WITH s(scenario_id, allowed) AS (VALUES {", ".join(f"('{x[0]}', '{x[2]}')" for x in dim.SCENARIOS)}),
+    m(event, category) AS (VALUES {", ".join(f"('{e}', '{c}')" for e, c, _ in dim.MEMORY)}),
+    a AS (SELECT scenario_id, count(*) AS n FROM s, m WHERE list_contains(string_split(allowed, ' '), event) GROUP BY scenario_id)
+    SELECT scenario_id, coalesce(n, 1) AS choices FROM s LEFT JOIN a USING (scenario_id)"""
 )
-def plan_candidates(spark, sf):
-    d = planner.distributions(planner.candidate_plan(spark, 125, SEED), ["persona_id", "scenario_id", "history_length"])
-    return d.groupBy("dimension").agg(F.count(F.lit(1)).cast("int").alias("labels"), F.min("n").cast("int").alias("least"), F.max("n").cast("int").alias("most"))
+def plan_event_choices(spark, sf):
+    """How many memory events a scenario may choose of; one without any has the goal."""
+    return planner.allowed_events(spark).select("scenario_id", big(F.size("events")).alias("choices"))
 
 
 @query()
@@ -171,15 +191,25 @@ def validator_stats(spark, sf):
 
 
 @query(
-    """SELECT * FROM (VALUES ('validator_pass_rate', 1.0::DOUBLE, 1.0::DOUBLE, 'PASS'), ('duplicate_rate', 0.0::DOUBLE, 0.0::DOUBLE, 'PASS'),
-    ('persona_deviation', 0.0::DOUBLE, 0.01::DOUBLE, 'PASS'), ('scenario_deviation', 0.02::DOUBLE, 0.01::DOUBLE, 'FAIL')) t(gate, value, threshold, status)
-    UNION ALL SELECT 'memory_share', m, 0.4::DOUBLE, CASE WHEN m <= 0.4 THEN 'PASS' ELSE 'FAIL' END
-    FROM (SELECT round_even(max(round_even(n / t * 100, 2)) / 100, 6) AS m FROM (SELECT count(*) AS n, (SELECT count(*) FROM documents)::DOUBLE AS t FROM documents GROUP BY lang))"""
+    """WITH n AS (SELECT count(*)::DOUBLE AS n, count(DISTINCT source || n_chars) AS d, count(*) FILTER (n_chars > 0) AS ok FROM documents),
+    a AS (SELECT lang AS label, count(*) AS n FROM documents GROUP BY lang), o AS (SELECT count(*) AS k FROM a),
+    p AS (SELECT max(abs(a.n / n.n - 1.0 / o.k)) AS dev FROM a, n, o),
+    s AS (SELECT max(abs(x.n / n.n - x.n / n.n)) AS dev FROM (SELECT source, count(*) AS n FROM documents GROUP BY source) x, n),
+    m AS (SELECT max(round_even(a.n / n.n * 100, 2)) / 100 AS share FROM a, n),
+    v AS (SELECT 'validator_pass_rate' AS gate, ok / n AS value, 1.0::DOUBLE AS threshold FROM n UNION ALL SELECT 'duplicate_rate', (n - d) / n, 0.0 FROM n
+          UNION ALL SELECT 'persona_deviation', dev, 0.01 FROM p UNION ALL SELECT 'scenario_deviation', dev, 0.01 FROM s UNION ALL SELECT 'memory_share', share, 0.4 FROM m)
+    SELECT gate, round_even(value, 6) AS value, threshold, CASE WHEN CASE WHEN gate = 'validator_pass_rate' THEN value >= threshold ELSE value <= threshold END THEN 'PASS' ELSE 'FAIL' END AS status FROM v"""
 )
 def gates_evaluate(spark, sf):
-    stats = spark.createDataFrame([(1.0, 0.0, 0.0, 0.02)], "validator_pass_rate double, duplicate_rate double, persona_deviation double, scenario_deviation double")
-    memory = table(spark, sf, "documents").groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
-    return audit.gates(stats, memory).select("gate", F.bround("value", 6).alias("value"), "threshold", "status")
+    """Documents as conversations: languages for personas against an even plan, sources for scenarios against themselves."""
+    docs = table(spark, sf, "documents")
+    digests = docs.select(F.concat("source", F.col("n_chars").cast("string")).alias("h"), (F.col("n_chars") > 0).alias("ok"))
+    langs, sources = (docs.groupBy(F.col(c).alias("label")).agg(F.count(F.lit(1)).alias("n")) for c in ("lang", "source"))
+    stats = digests.agg((F.count_if("ok") / F.count(F.lit(1))).alias("validator_pass_rate"))
+    stats = stats.crossJoin(audit.duplicate_rate(digests, "h").select("duplicate_rate"))
+    stats = stats.crossJoin(audit.max_deviation(langs, langs.withColumn("n", F.lit(1))).toDF("persona_deviation"))
+    stats = stats.crossJoin(audit.max_deviation(sources, sources).toDF("scenario_deviation"))
+    return audit.gates(stats, langs).select("gate", F.bround("value", 6).alias("value"), "threshold", "status")
 
 
 # --- evaluation of responses ---------------------------------------------------------------
@@ -233,11 +263,20 @@ def eval_model_ranking(spark, sf):
     return df.select("model", big(F.row_number().over(Window.orderBy(F.desc("weighted_score"), "model"))).alias("rank"))
 
 
-@query(f"SELECT * FROM (VALUES ({', '.join(repr(c) + ', ' + str(n) for c, n in [list(evaluate.SUITE.items())[0]])}, 7)) t(category, expected, found)")
+_SUITE = ", ".join(f"('{c}', {n}::BIGINT)" for c, n in evaluate.SUITE.items())
+
+
+@query(
+    f"""WITH p AS (SELECT CASE WHEN r_regionkey IS NULL THEN 'other' ELSE {text_list(CATEGORIES)}[n_nationkey % 4 + 1] END AS category FROM nation LEFT JOIN region ON r_regionkey = n_regionkey AND n_nationkey < 24),
+    g AS (SELECT category, count(*) AS found FROM p GROUP BY category), w(category, expected) AS (VALUES {_SUITE})
+    SELECT category, coalesce(expected, 0) AS expected, coalesce(found, 0) AS found FROM w FULL JOIN g USING (category) WHERE coalesce(expected, 0) <> coalesce(found, 0)"""
+)
 def eval_suite_errors(spark, sf):
-    rows = [(c,) for c, n in evaluate.SUITE.items() for _ in range(n - (c == "emotional_acknowledgment"))]
-    df = evaluate.suite_errors(spark.createDataFrame(rows, "category string"))
-    return df.select("category", F.col("expected").cast("int").alias("expected"), F.col("found").cast("int").alias("found"))
+    """Nations as prompts, dealt to the four categories, one to a category of its own."""
+    lit = F.array(*map(F.lit, CATEGORIES))
+    category = F.when(F.col("n_nationkey") == 24, "other").otherwise(F.element_at(lit, (F.col("n_nationkey") % 4 + 1).cast("int")))
+    df = evaluate.suite_errors(table(spark, sf, "nation").select(category.alias("category")))
+    return df.select("category", F.col("expected").cast("bigint").alias("expected"), F.col("found").cast("bigint").alias("found"))
 
 
 # --- research ------------------------------------------------------------------------------
@@ -337,23 +376,26 @@ def research_latest_result(spark, sf):
     return r.latest_result(table(spark, sf, "orders").select(path.alias("path")))
 
 
-PAPERS = [
-    ("event sourcing AI memory", "A dialog agent", "memory of users"),
-    ("event sourcing AI memory", "Event cameras", "rgb-event tracking for an agent"),
-    ("fitness coaching language model", "Exercise plans", "medical advice"),
-    ("fitness coaching language model", "Graph theory", "colouring of planar graphs"),
-    ("hallucination reduction", "Question answering", "grounded text"),
-    ("motivation at scale", "Counselling chat", "empathy and behavior"),
-    ("small models", "Anything", "no theme at all"),
-    ("small models", "Image generation", "of cats"),
-]
+QUESTIONS = ["event sourcing AI memory", "fitness coaching language model", "hallucination reduction", "motivation at scale", "small models"]
+_HAY = "lower(CASE doc_id % 3 WHEN 0 THEN 'A Dialog agent ' WHEN 1 THEN 'Exercise and empathy ' ELSE 'image Generation ' END || ' ' || text)"
 
 
-@query("SELECT * FROM (VALUES (0, TRUE), (1, FALSE), (2, TRUE), (3, FALSE), (4, TRUE), (5, TRUE), (6, TRUE), (7, FALSE)) t(id, matches)")
+def _fits_sql() -> str:
+    """The first theme whose trigger is in the question wants one of its words."""
+    whens = " ".join(f"WHEN {any_sql('q', on)} THEN {any_sql('h', need)}" for on, need in r.THEMES)
+    return f"(CASE {whens} ELSE TRUE END) AND NOT {any_sql('h', r.BANNED)}"
+
+
+@query(
+    f"""WITH d AS (SELECT doc_id, lower({text_list(QUESTIONS)}[doc_id % 5 + 1]) AS q, {_HAY} AS h FROM documents)
+    SELECT doc_id, {_fits_sql()} AS matches FROM d"""
+)
 def research_theme_filter(spark, sf):
-    rows = [(i, *p) for i, p in enumerate(PAPERS)]
-    df = spark.createDataFrame(rows, "id int, query string, title string, summary string")
-    return df.select("id", r.matches_theme(F.col("query"), F.col("title"), F.col("summary")).alias("matches"))
+    """Documents as summaries behind one of three titles, found by one of five questions."""
+    i = F.col("doc_id")
+    question = F.element_at(F.array(*map(F.lit, QUESTIONS)), (i % 5 + 1).cast("int"))
+    title = F.when(i % 3 == 0, "A Dialog agent ").when(i % 3 == 1, "Exercise and empathy ").otherwise("image Generation ")
+    return table(spark, sf, "documents").select("doc_id", r.matches_theme(question, title, F.col("text")).alias("matches"))
 
 
 #: Entities that the pages have, in an order that unescapes each once, the ampersand last.

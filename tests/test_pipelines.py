@@ -171,7 +171,7 @@ def test_stock_patterns_equal_those_of_unicode_engines(spark):
     assert not wrong, wrong[:5]
 
 
-def test_full_text_queries_equal_those_of_the_reference_engine(spark):
+def test_full_text_queries_equal_those_of_sqlite(spark):
     """The same queries in SQLite's full-text engine."""
     import random
     import sqlite3
