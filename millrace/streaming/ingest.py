@@ -33,10 +33,30 @@ def dedup_stream(stream: DataFrame, digest: str, watermark: tuple[str, str] | No
 
 
 def windowed_counts(stream: DataFrame, ts: str, delay: str = "1 hour", width: str = "1 day", by: tuple[str, ...] = ("event_type",)) -> DataFrame:
-    """Extension: counts by tumbling window; append mode holds the last open window back."""
+    """Extension: counts by tumbling window. Append mode holds open windows back, ``run_updates`` does not."""
     return (
         stream.withWatermark(ts, delay)
         .groupBy(F.window(ts, width), *by)
         .agg(F.count(F.lit(1)).alias("n"))
         .select(F.col("window.start").alias("window_start"), *by, "n")
     )
+
+
+def run_updates(stream: DataFrame, table_path: str, checkpoint: str) -> None:
+    """Process what is there and append every row that changed, with its batch; ``newest`` reads the last state.
+
+    A batch that is written again after a failure has the same number and rows.
+    """
+
+    def write(rows: DataFrame, batch: int) -> None:
+        rows.withColumn("batch", F.lit(batch).cast("bigint")).write.mode("append").parquet(table_path)
+
+    query = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+    query.outputMode("update").trigger(availableNow=True).start().awaitTermination()
+
+
+def newest(spark: SparkSession, table_path: str, keys: list[str]) -> DataFrame:
+    """The last state of each key of a table of updates."""
+    df = spark.read.parquet(table_path)
+    rest = [c for c in df.columns if c not in (*keys, "batch")]
+    return df.groupBy(*keys).agg(F.max_by(F.struct(*rest), "batch").alias("x")).select(*keys, "x.*")

@@ -197,3 +197,20 @@ def test_full_text_queries_equal_those_of_sqlite(spark):
     for q in ("", "(alpha", "alpha )", "x:alpha", "OR alpha", "+"):
         with pytest.raises(ValueError):
             events.matches(F.col("w"), q)
+
+
+def test_updates_of_a_stream_that_goes_on(spark, tmp_path):
+    """Windows of two runs: late rows change what was written before, and the newest state counts."""
+    from millrace.streaming import ingest
+
+    def run(rows):
+        spark.createDataFrame(rows, "ts timestamp, event_type string").coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        stream = ingest.stream_files(spark, str(tmp_path / "in"), "ts timestamp, event_type string")
+        ingest.run_updates(ingest.windowed_counts(stream, "ts"), str(tmp_path / "out"), str(tmp_path / "check"))
+        found = ingest.newest(spark, str(tmp_path / "out"), ["window_start", "event_type"])
+        return {(r["window_start"].day, r["event_type"]): r["n"] for r in found.collect()}
+
+    from datetime import datetime as at
+
+    assert run([(at(2024, 1, 1, 5), "a"), (at(2024, 1, 2, 5), "a")]) == {(1, "a"): 1, (2, "a"): 1}
+    assert run([(at(2024, 1, 2, 6), "a"), (at(2024, 1, 2, 7), "b")]) == {(1, "a"): 1, (2, "a"): 2, (2, "b"): 1}
