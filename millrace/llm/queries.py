@@ -132,6 +132,21 @@ ORACLE_SQL = {
             CASE WHEN moves THEN 40 ELSE shard END::INTEGER AS grown_shard
         FROM s
     """,
+    # All strings of 100 bytes as hex digits, each with the first place that has it.
+    "op7_suffix_dedup": r"""
+        WITH d AS MATERIALIZED (SELECT doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents),
+        w AS (SELECT doc_id, s, substr(x, 2 * s + 1, 200) AS k FROM (SELECT doc_id, x, unnest(range(0, len(x) // 2 - 99)) AS s FROM d)),
+        f AS (SELECT k, min(doc_id * 4294967296 + s) AS first, count(*) AS n FROM w GROUP BY k HAVING count(*) > 1),
+        h AS (SELECT w.doc_id, w.s FROM w JOIN f ON w.k = f.k WHERE w.doc_id * 4294967296 + w.s > f.first),
+        g AS (SELECT doc_id, s, CASE WHEN s - lag(s) OVER (PARTITION BY doc_id ORDER BY s) <= 100 THEN 0 ELSE 1 END AS new FROM h),
+        i AS (SELECT doc_id, s, sum(new) OVER (PARTITION BY doc_id ORDER BY s) AS island FROM g),
+        c AS (SELECT doc_id, island, min(s) AS a, max(s) + 100 AS b FROM i GROUP BY doc_id, island),
+        q AS (SELECT *, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS e FROM c),
+        r AS (SELECT q.doc_id, sum(b - a) AS removed, count(*) AS spans, max(b) AS last, string_agg(substr(x, 2 * e + 1, 2 * (a - e)), '' ORDER BY a) AS head FROM q JOIN d ON d.doc_id = q.doc_id GROUP BY q.doc_id)
+        SELECT d.doc_id, len(x) // 2 AS n_bytes, coalesce(removed, 0)::BIGINT AS n_removed, coalesce(spans, 0) AS n_spans,
+            sha256(unhex(coalesce(head, '') || substr(x, 2 * coalesce(last, 0) + 1))) AS kept_sha256
+        FROM d LEFT JOIN r ON r.doc_id = d.doc_id
+    """,
     "op8_ngram_jaccard": r"""
         WITH RECURSIVE w AS (
             SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x09-\x0D\x20]+'), lambda x: x <> '') AS ws

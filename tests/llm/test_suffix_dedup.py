@@ -8,6 +8,8 @@ from hypothesis import strategies as st
 
 from millrace.llm import queries, suffix_dedup
 
+from .test_simple_ops import same_rows
+
 
 def truth(docs, length=100):
     """By a dictionary of every string's earliest start."""
@@ -85,6 +87,7 @@ def test_table(spark, sf):
     want = truth(list(t[["doc_id", "text"]].itertuples(index=False, name=None)))
     assert sum(r[2] for r in want) > 0
     assert got(queries.op7_suffix_dedup(spark, sf)) == want
+    same_rows(queries.op7_suffix_dedup(spark, sf), queries.ORACLE_SQL["op7_suffix_dedup"], {"documents": t})
 
 
 def test_odd_rows(spark, odd_docs, no_docs):
