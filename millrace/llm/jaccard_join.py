@@ -363,7 +363,7 @@ def _verify(pairs: DataFrame, rows: DataFrame, k: int, percent: int, named: Data
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
     def check(batches):
-        for batch in batches:
+        for batch in slices(batches, 512):
             keep = []
             for x, y in zip(batch.column("xa").to_pylist(), batch.column("xb").to_pylist(), strict=True):
                 x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)

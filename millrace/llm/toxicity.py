@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 from pyspark.sql import types as T
 
-from .common import ALNUM_WORDS, slices
+from .common import ALNUM_WORDS, slices, trim
 
 BUCKETS, DIM, FILTERS, WIDTHS = 1 << 16, 16, 16, (1, 2, 3)
 
@@ -342,6 +342,8 @@ def fit(
     others = [t for t, c in zip(texts, other, strict=True) if c]
     model = train([t for t, c in zip(texts, tune, strict=True) if not c], y[~tune], (others[:1500], y[other][:1500]) if other is tune else None)
     calibrate(model, others, y[other])
+    del texts, others
+    trim()
     return model
 
 
