@@ -143,14 +143,18 @@ def common_prefixes(sa: np.ndarray, words: np.ndarray, depth: int) -> np.ndarray
     """How many bytes each suffix shares with the one before it, up to ``depth``; the first shares none."""
     out = np.zeros(len(sa), np.int64)
     live = np.arange(1, len(sa))
+    get = lambda p: np.where(p < len(words), words[np.minimum(p, len(words) - 1)], 0)
     for o in range(0, depth, 8):
-        x, y = (np.where(p < len(words), words[np.minimum(p, len(words) - 1)], 0) for p in (sa[live] + o, sa[live - 1] + o))
-        diff = x ^ y
-        for byte in range(8):
-            out[live] += diff >> np.uint64(56 - 8 * byte) == 0
-        live = live[diff == 0]
+        diff = get(sa[live] + o) ^ get(sa[live - 1] + o)
+        ends = diff != 0
+        at, diff = live[ends], diff[ends]
+        out[at] = o
+        for byte in range(7):  # each suffix comes here once
+            out[at] += diff >> np.uint64(56 - 8 * byte) == 0
+        live = live[~ends]
         if not len(live):
             break
+    out[live] = depth
     return np.minimum(out, depth)
 
 
@@ -463,18 +467,22 @@ def _removed_from(docs: DataFrame, length: int, pool_bytes: int, group_bytes: in
     did = F.coalesce(F.col(id_col).cast("bigint"), F.lit(-(2**63)))
     # With the id the row's own key: repeated rows share it and rows of one id with other texts do not.
     rid = F.xxhash64(did, text)
-    same = docs.select(did.alias("did"), rid.alias("rid"), F.sha2(F.encode(text, "UTF-8"), 256).alias("sha"))
-    lead = same.groupBy("sha").agg(F.min("did").alias("lead"), F.max("did").alias("end")).filter("lead < end")
+    digests = docs.select(did.alias("did"), rid.alias("rid"), F.unhex(F.sha2(F.encode(text, "UTF-8"), 256)).alias("sha"))
+    digests = materialize(digests, "digests")
+    lead = digests.groupBy("sha").agg(F.min("did").alias("lead"), F.max("did").alias("end")).filter("lead < end")
     lead = materialize(lead.select("sha", "lead"), "lead")
-    later = same.join(few(lead), "sha").filter("did > lead").select("rid", "did").distinct().withColumn("later", F.lit(True))
+    later = digests.join(few(lead), "sha").filter("did > lead").select("rid", "did").distinct()
+    later = few(materialize(later, "later").withColumn("later", F.lit(True)))
     base = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), did.alias("did"), rid.alias("rid"), text.alias("text"))
     base = base.join(later, ["rid", "did"], "left")
     base = base.select("rid", "doc_id", "did", "text", F.col("later").isNull().alias("first"))
+    heads = base.filter("first").select("rid", "did", "text", "first")
 
-    places = base.mapInArrow(_anchor_rows(length), PLACE)
+    places = heads.mapInArrow(_anchor_rows(length), PLACE)
     places = places.repartition(parts, "key").sortWithinPartitions("key")
     live = places.mapInArrow(_live, "rid bigint, pos bigint").groupBy("rid").agg(F.collect_set("pos").alias("live"))
-    found = base.join(live, "rid").mapInArrow(_stretch_rows(length), STRETCH)
+    live = materialize(live, "live")
+    found = heads.join(live, "rid").mapInArrow(_stretch_rows(length), STRETCH)
     found = found.repartition(parts, "h").sortWithinPartitions("h", "x", "did", "start")
     spans = materialize(found.mapInArrow(_repeat_rows(length, pool_bytes, group_bytes), SPAN), "spans")
     windows = spans.filter("key IS NOT NULL")
