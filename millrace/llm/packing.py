@@ -38,17 +38,27 @@ def _ends_in_letter(core: bytes) -> bool:
     return "\u00c0" <= last <= "\u024f" and last != "\u0130" and last.isalpha()
 
 
-def _lowered(raw: bytes) -> list[bytes]:
-    return [c.lower() if c.isascii() else c for c in raw.split()]
+def _chunks(raw: bytes) -> list[bytes]:
+    """Runs between ASCII white space, A-Z lower-cased where that changes nothing.
+
+    Names of special tokens are told apart by case, so texts with one stay as
+    they are, and so do chunks that are not ASCII in a text with combining marks
+    of U+0300 to U+037F, the only ones that compose with ASCII letters.
+    """
+    if b"<|" in raw:
+        return raw.split()
+    if b"\xcc" in raw or b"\xcd" in raw:
+        return [c.lower() if c.isascii() else c for c in raw.split()]
+    return raw.lower().split()
 
 
 class ChunkEncoder:
     """Token ids of a text as little-endian 32-bit words, by chunks between ASCII white space.
 
     The tokenizer drops white space and none of its rules reaches across it, so a
-    text's ids are those of its chunks in a row. Chunks of ASCII alone may be
-    lower-cased beforehand; in others a capital may compose with a mark where the
-    small letter does not, or the other way round. Marks behind a chunk are cut
+    text's ids are those of its chunks in a row. A-Z may be lower-cased beforehand
+    but for what combining marks follow, as a capital may compose with one where
+    the small letter does not, or the other way round. Marks behind a chunk are cut
     off where the last letter before them stays a letter by itself under NFC and
     lower-casing (``_ends_in_letter``). Runs of letters are encoded many at a time
     and told apart by their word-end ids. Chunks seen are kept, up to a bound;
@@ -106,8 +116,7 @@ class ChunkEncoder:
 
     def texts(self, texts: list[str]) -> list[bytes]:
         raw = [(t or "").encode("utf-8", "replace") for t in texts]
-        # Names of special tokens are told apart by case, so such texts stay as they are.
-        chunks = [r.split() if b"<|" in r else r.lower().split() if r.isascii() else _lowered(r) for r in raw]
+        chunks = [_chunks(r) for r in raw]
         wanted = {c for words in chunks for c in words}
         if len(self.seen) + len(wanted) > self.bound:
             self.seen = {}
