@@ -130,9 +130,7 @@ def build_final(
 def statistics(staged: planner.Staging) -> dict:
     """Counts, rates and scores of what was accepted, and how far its distributions are from the plan's."""
     spark, rows = staged.spark, staged.rows()
-    rejected = f"{staged.path}-rejected"
-    schema = "slot int, candidate int, rejection string"
-    log = spark.read.parquet(rejected).select("slot", "candidate", "rejection") if exists(spark, rejected) else spark.createDataFrame([], schema)
+    log = staged.rejected()
     judged = rows.select("slot", "candidate").withColumn("rejection", F.lit(None).cast("string")).unionByName(log)
     verdicts = planner.scored(rows)
     passed = _rows(verdicts.agg(F.count(F.lit(1)).alias("n"), F.count_if("passed").alias("k")))[0]

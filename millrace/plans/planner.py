@@ -11,6 +11,7 @@ from ..functions import scoring as s, text as t
 from ..functions.lexicon import STOCK, Lexicon
 from ..operators import dedup, order
 from ..sources import dimensions as dim
+from ..sources.store import exists
 from . import profile, rubric as rb
 
 # Fixed value: attempts for each slot of the target.
@@ -296,8 +297,7 @@ class Staging:
         self.spark, self.path, self.seed, self.target = spark, path, seed, target
 
     def rows(self) -> DataFrame | None:
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
-        if not path.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(path):
+        if not exists(self.spark, self.path):
             return None
         df = self.spark.read.parquet(self.path)
         other = df.filter((F.col("seed") != self.seed) | (F.col("target") != self.target)).limit(1).count()
@@ -305,9 +305,31 @@ class Staging:
             raise ValueError("the staging area belongs to another seed or target")
         return df
 
-    def next_slot(self) -> int:
+    def rejected(self) -> DataFrame:
+        """The log of rejected candidates (slot, candidate, rejection); a batch that was begun again logs the same once more."""
+        path = f"{self.path}-rejected"
+        if not exists(self.spark, path):
+            return self.spark.createDataFrame([], "slot int, candidate int, rejection string")
+        return self.spark.read.parquet(path).select("slot", "candidate", "rejection").distinct()
+
+    def counters(self) -> dict[str, int]:
+        """Accepted and rejected candidates and the next one; slots or candidates that are missing or there twice are an error."""
         rows = self.rows()
-        return 0 if rows is None else (rows.agg(F.max("slot")).first()[0] or 0) + 1
+        if rows is None:
+            return {"accepted": 0, "rejected": 0, "next_candidate": 0}
+        slots = rows.agg(F.count(F.lit(1)).alias("n"), F.count_distinct("slot").alias("d"), F.max("slot").alias("m")).first()
+        if slots["n"] != slots["d"] or slots["n"] != slots["m"] + 1:
+            raise ValueError(f"the staging area holds {slots['d']} slots in {slots['n']} rows up to slot {slots['m']}")
+        last = rows.agg(F.max("candidate")).first()[0]
+        # A batch that was stopped may have logged rejections that no accepted row follows yet.
+        log = self.rejected().filter(F.col("candidate") <= last)
+        tried = rows.select("candidate").union(log.select("candidate")).agg(F.count(F.lit(1)).alias("n"), F.count_distinct("candidate").alias("d")).first()
+        if tried["n"] != tried["d"] or tried["n"] != last + 1:
+            raise ValueError(f"the staging area accounts for {tried['d']} of {last + 1} candidates in {tried['n']} rows")
+        return {"accepted": slots["n"], "rejected": tried["n"] - slots["n"], "next_candidate": last + 1}
+
+    def next_slot(self) -> int:
+        return self.counters()["accepted"]
 
     def _candidates(self, plan: DataFrame, start: int, stop: int, at: int) -> dict:
         """Features of the candidates for slots from ``start``, with up to ``SPARE`` - 1 rejections before each, by (slot, candidate)."""
@@ -332,7 +354,7 @@ class Staging:
         slot, candidate, done = self.next_slot(), 0, 0
         state = Acceptance(self.target)
         if slot:
-            candidate = self.rows().agg(F.max("candidate")).first()[0] + 1
+            candidate = self.counters()["next_candidate"]
             for x in Acceptance.features(self.rows(), F.lit(True), "slot").orderBy("slot").collect():
                 state.add(x)
         while slot < self.target and (max_batches is None or done < max_batches):

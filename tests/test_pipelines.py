@@ -76,6 +76,24 @@ def test_production_corpus_stops_resumes_and_packages(spark, tmp_path):
     assert "Quality gates" in open(made["report"]).read()
 
 
+def test_staging_that_lacks_rows_is_an_error(spark, tmp_path):
+    from millrace.plans import planner
+
+    path = str(tmp_path / "staged")
+    staged = planner.Staging(spark, path, 5, 8)
+    assert staged.counters()["accepted"] == 0
+    staged.run(batch_size=3, max_batches=2)
+    done = staged.counters()
+    assert done["accepted"] == 6 and done["next_candidate"] == 6 + done["rejected"]
+    rows = spark.read.parquet(path)
+    rows.filter("slot <> 2").write.parquet(f"{path}-2")
+    with pytest.raises(ValueError, match="slots"):
+        planner.Staging(spark, f"{path}-2", 5, 8).next_slot()
+    rows.withColumn("candidate", F.col("candidate") + 1).write.parquet(f"{path}-3")
+    with pytest.raises(ValueError, match="candidates"):
+        planner.Staging(spark, f"{path}-3", 5, 8).next_slot()
+
+
 def test_a_failed_gate_stops_the_export(spark, tmp_path, monkeypatch):
     from millrace.operators import audit
 
