@@ -102,6 +102,9 @@ class ChunkEncoder:
     def _learn(self, chunks: set[bytes]) -> None:
         seen, letters, others, joined = self.seen, set(), set(), []
         for c in chunks:
+            if c.isalpha():  # of ASCII
+                letters.add(c)
+                continue
             core = c.rstrip(TAIL)
             if len(core) < len(c) and _ends_in_letter(core):
                 others.add(c[len(core) :])
@@ -226,13 +229,14 @@ def pack(
 
     A null or empty text is its end id alone; a null identifier is one like any
     other. Groups hold about ``group_rows`` pieces; their number follows the rows
-    and bytes of the table. Rows that repeat a document are packed each. A very
+    of the table and what its plan estimates in bytes. Rows that repeat a document are packed each. A very
     long text is tokenised by one task, which holds its ids, and packed by many.
     Other columns are not looked at; no rows give no rows.
     """
-    size = docs.agg(F.count(F.lit(1)).alias("rows"), F.sum(F.octet_length(text_col)).alias("bytes")).first()
-    # Some five bytes an id; a document has its whole pieces and one more.
-    groups = max(1, -(-(size["rows"] + (size["bytes"] or 0) // (5 * capacity)) // group_rows))
+    rows = docs.count()
+    # The plan's own estimate of its bytes, some five an id; it is not read for it, and 64 pieces a row are the most it counts for.
+    octets = int(str(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    groups = max(1, -(-(rows + min(octets // (5 * capacity), 64 * rows)) // group_rows))
 
     def packed(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
         part = part.sort_values(["doc_id", "start", "ids_crc32"], kind="stable")
