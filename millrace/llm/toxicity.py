@@ -240,22 +240,24 @@ def _loss(x: np.ndarray, y: np.ndarray) -> float:
     return float(np.logaddexp(0, np.where(y == 1, -x, x)).mean())
 
 
-def train(texts: list[str], y: np.ndarray, tune: tuple[list[str], np.ndarray] | None = None, epochs: int = 8, steps: int = 500, rate: float = 0.08, seed: int = 11) -> Model:
+def train(texts: "list[str] | Sample", y: np.ndarray, tune: tuple[list[str], np.ndarray] | None = None, epochs: int = 8, steps: int = 500, rate: float = 0.08, seed: int = 11) -> Model:
     """At least so many epochs and, up to 60 epochs, so many steps: small samples are passed more often.
 
     It ends early where the loss on the rows of ``tune`` has not fallen by a
     fiftieth for two epochs, and takes the epoch with the least.
     """
-    epochs = min(60, max(epochs, -(-steps * 64 // len(texts))))
-    model, sample = Model.fresh(seed), Sample(texts)
+    sample = texts if isinstance(texts, Sample) else Sample(texts)
+    n = len(sample.texts)
+    epochs = min(60, max(epochs, -(-steps * 64 // n)))
+    model = Model.fresh(seed)
     sums = [np.full_like(model.embedding, 1e-4)] + [
         np.full_like(p, 1e-4)
         for p in [model.out, model.prior] + [x for k in range(len(WIDTHS)) for x in (model.filters[k], model.bias[k])]
     ]
     rng, best, least, since = np.random.default_rng(seed), None, np.inf, 0
     for _ in range(epochs):
-        order = rng.permutation(len(texts))
-        for at in range(0, len(order), 64):
+        order = rng.permutation(n)
+        for at in range(0, n, 64):
             part = order[at : at + 64]
             model.step(sample.part(part), y[part].astype(np.float32), sums, rate)
         if tune is not None:
@@ -340,9 +342,14 @@ def fit(
         return None
     other = tune if len(set(y[tune])) == 2 else ~tune
     others = [t for t, c in zip(texts, other, strict=True) if c]
-    model = train([t for t, c in zip(texts, tune, strict=True) if not c], y[~tune], (others[:1500], y[other][:1500]) if other is tune else None)
+    # Texts to learn from are numbers from here on; only those to calibrate with stay.
+    learned = Sample([t for t, c in zip(texts, tune, strict=True) if not c])
+    del texts
+    trim()
+    model = train(learned, y[~tune], (others[:1500], y[other][:1500]) if other is tune else None)
+    del learned
     calibrate(model, others, y[other])
-    del texts, others
+    del others
     trim()
     return model
 
