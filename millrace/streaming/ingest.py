@@ -13,6 +13,15 @@ def stream_files(spark: SparkSession, path: str, schema: StructType | str, files
     return reader.parquet(path)
 
 
+def stream_table(spark: SparkSession, sf_dir: str, name: str, schema: StructType | str, files_per_batch: int = 16) -> DataFrame:
+    """The files of table ``name``, which is one file in ``sf_dir`` or a folder of files (a stream's source must be a folder)."""
+    path = f"{sf_dir}/{name}.parquet"
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if at.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(at).isDirectory():
+        return stream_files(spark, path, schema, files_per_batch)
+    return stream_files(spark, sf_dir, schema, files_per_batch, glob=f"{name}.parquet")
+
+
 def run_available(stream: DataFrame, table_path: str, checkpoint: str, mode: str = "append") -> None:
     """Process what is there in batches, write Parquet, stop."""
     query = stream.writeStream.format("parquet").option("checkpointLocation", checkpoint).option("path", table_path)

@@ -10,6 +10,7 @@ import millrace
 from millrace import cli
 from millrace.functions.lexicon import STOCK
 from millrace.operators import evaluate, training
+from millrace.plans.catalog import QUERIES
 from millrace.sources import corpora, sinks
 
 ASK = "My knee pain is back and I feel worried about the plan for week {}."
@@ -232,3 +233,13 @@ def test_updates_of_a_stream_that_goes_on(spark, tmp_path):
 
     assert run([(at(2024, 1, 1, 5), "a"), (at(2024, 1, 2, 5), "a")]) == {(1, "a"): 1, (2, "a"): 1}
     assert run([(at(2024, 1, 2, 6), "a"), (at(2024, 1, 2, 7), "b")]) == {(1, "a"): 1, (2, "a"): 2, (2, "b"): 1}
+
+
+# --- tables of several files, larger logs ----------------------------------------------------
+
+
+def test_streams_read_a_table_that_is_a_folder(spark, sf, tmp_path):
+    for name in ("events", "documents"):
+        spark.read.parquet(f"{sf}/{name}.parquet").repartition(3).write.parquet(str(tmp_path / f"{name}.parquet"))
+    for name in ("stream_dedup", "stream_event_ingest", "stream_windowed_counts"):
+        assert sorted(QUERIES[name](spark, str(tmp_path)).collect()) == sorted(QUERIES[name](spark, sf).collect())
