@@ -75,15 +75,15 @@ def language_hint(x: Column, threshold: float = 0.5) -> Column:
     )
 
 
-def strip_html(x: Column) -> Column:
-    """Tags to blanks, every entity to its characters, white space to one blank."""
-    x = unescape(F.regexp_replace(x, "<[^>]+>", " "))
+def strip_html(x: Column, closed: bool = False) -> Column:
+    """Tags to blanks, every entity to its characters, white space to one blank; ``closed``: only entities with a semicolon."""
+    x = unescape(F.regexp_replace(x, "<[^>]+>", " "), closed)
     return strip(F.regexp_replace(x, f"{SPACE}+", " "))
 
 
-def unescape(x: Column) -> Column:
-    """HTML entities, named or numbered, with or without semicolon; only texts with an ampersand leave the JVM."""
-    return F.coalesce(_unescape(F.when(F.contains(x, F.lit("&")), x)), x)
+def unescape(x: Column, closed: bool = False) -> Column:
+    """HTML entities, named or numbered, with or (unless ``closed``) without semicolon; only texts with an ampersand leave the JVM."""
+    return F.coalesce((_unescape_closed if closed else _unescape)(F.when(F.contains(x, F.lit("&")), x)), x)
 
 
 @F.arrow_udf(StringType())
@@ -96,6 +96,22 @@ def _unescape(x):
     return pa.array([None if v is None else html.unescape(v) for v in x.to_pylist()], pa.string())
 
 
+@F.arrow_udf(StringType())
+def _unescape_closed(x):
+    import html
+    import re
+
+    import pyarrow as pa
+
+    entity = re.compile("&(?:#[0-9]+|#[xX][0-9a-fA-F]+|[0-9A-Za-z]+);")
+
+    def char(m):
+        # A name that the table lacks stays, even where the start of it is one.
+        return html.unescape(m[0]) if m[0][1] == "#" or m[0][1:] in html.entities.html5 else m[0]
+
+    return pa.array([None if v is None else entity.sub(char, v) for v in x.to_pylist()], pa.string())
+
+
 def section(x: Column, heading: str = r"(?:conclusions?|discussion)", limit: int = 1400) -> Column:
     """Text from a heading to the next heading, shortened at a word boundary."""
     body = F.regexp_extract(x, rf"(?is)<h[1-6][^>]*>[^<]*{heading}[^<]*</h[1-6]>(.*?)(?:<h[1-6]|\z)", 1)

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 import millrace
 from millrace import cli
+from millrace.functions import text as t
 from millrace.functions.lexicon import STOCK
 from millrace.operators import evaluate, training
 from millrace.plans.catalog import ORACLE_SQL, QUERIES
@@ -262,3 +263,13 @@ def test_streams_read_a_table_that_is_a_folder(spark, sf, tmp_path):
         spark.read.parquet(f"{sf}/{name}.parquet").repartition(3).write.parquet(str(tmp_path / f"{name}.parquet"))
     for name in ("stream_dedup", "stream_event_ingest", "stream_windowed_counts"):
         assert sorted(QUERIES[name](spark, str(tmp_path)).collect()) == sorted(QUERIES[name](spark, sf).collect())
+
+
+def test_entities_without_semicolon_stay_as_in_the_sql(spark, tmp_path):
+    pages = ["a&amp<p>b</p> &amp; c", "x &lt;b&gt; &copy;&nbsp; y&middot", "&ampamp; &amp;amp; &#39;q&quot; &", "", None]
+    path = f"{tmp_path}/pages.parquet"
+    spark.createDataFrame(list(enumerate(pages)), "page_id long, html string").write.parquet(path)
+    got = sorted(map(tuple, QUERIES["research_strip_html"](spark, str(tmp_path)).collect()))
+    assert got == duck("research_strip_html", pages=path)
+    plain, closed = spark.range(1).select(t.strip_html(F.lit("a&amp b &eacute;")), t.strip_html(F.lit("a&amp b &eacute;"), closed=True)).first()
+    assert (plain, closed) == ("a& b é", "a&amp b é")
