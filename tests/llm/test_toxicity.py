@@ -115,3 +115,34 @@ def test_sample_is_bounded(spark, frames):
     assert np.array_equal(a.out, b.out)
     few = toxicity.fit(docs, labels, sample_octets=60_000)
     assert few is not None and not np.array_equal(a.out, few.out)
+
+
+def test_every_labelled_row_counts(spark, frames):
+    """A label outside the starting set changes the weights, and one of the tuning fold that is not among the first ones the thresholds."""
+    docs, labels, truth = frames
+    bounds = dict(per_class=40, calibration=40)
+    fold = lambda i: zlib.crc32(str(i).encode()) % 5
+    base = toxicity.fit(docs, labels, **bounds)
+    for k in (1, 2):
+        last = max(i for i in truth if fold(i) == k)
+        changed = spark.createDataFrame([(i, 1 - y if fold(i) == k and i > 500 else y) for i, y in truth.items()], "doc_id long, toxic int")
+        other = toxicity.fit(docs, changed, **bounds)
+        assert last > 500 and not np.array_equal(base.thresholds, other.thresholds)
+    long = spark.createDataFrame([(10_002, "the of and w1 " * 90_000 + "blurgen")], "doc_id long, text string")
+    assert fold(10_002) > 1
+    more = toxicity.fit(docs.union(long), labels.union(spark.createDataFrame([(10_002, 1)], "doc_id long, toxic int")), **bounds)
+    assert not np.array_equal(base.out, more.out)
+
+
+def test_a_step_on_a_long_text_is_that_on_all_its_words(monkeypatch):
+    docs, labels = corpus(60, 4)
+    texts, y = [t for _, t in docs[:20]] + ["", "one"], np.array([y for _, y in labels[:20]] + [0, 1], np.float32)
+    models = []
+    for long in (1 << 18, 40):
+        model = toxicity.Model.fresh(3)
+        model.sums = [np.full_like(p, 1e-4) for p in [model.embedding, *model.params()]]
+        monkeypatch.setattr(toxicity, "LONG", long)
+        for _ in range(3):
+            model.step(model.batch(texts, toxicity.Vocabulary()), y, model.sums, 0.08)
+        models.append(model)
+    assert np.allclose(models[0].embedding, models[1].embedding, atol=1e-4) and np.allclose(models[0].out, models[1].out, atol=1e-4)
