@@ -25,7 +25,7 @@ def _aside(docs: DataFrame) -> tuple[DataFrame, list]:
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier rejects (score of 0.5 or more) go.
 
-    It is trained on a bounded sample of the labelled rows among ``docs``.
+    It learns from all labelled rows among ``docs`` that are not held out.
     """
     model = toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     docs, back = _aside(docs)

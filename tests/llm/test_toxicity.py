@@ -146,3 +146,16 @@ def test_a_step_on_a_long_text_is_that_on_all_its_words(monkeypatch):
             model.step(model.batch(texts, toxicity.Vocabulary()), y, model.sums, 0.08)
         models.append(model)
     assert np.allclose(models[0].embedding, models[1].embedding, atol=1e-4) and np.allclose(models[0].out, models[1].out, atol=1e-4)
+
+
+def test_stage_of_the_pipeline_learns_from_all_rows(spark, frames, tmp_path, monkeypatch):
+    """The pass over all rows gets each labelled one that is neither held out nor for tuning."""
+    import corpus_pipeline
+
+    docs, labels, truth = frames
+    labels.write.parquet(f"{tmp_path}/labels.parquet")
+    seen, learn = [], toxicity.learn
+    monkeypatch.setattr(toxicity, "learn", lambda rows, *a: (seen.extend(r["id"] for r in rows.select("id").collect()), learn(rows, *a))[1])
+    kept = {r["doc_id"] for r in corpus_pipeline.drop_toxic(spark, docs, str(tmp_path)).collect()}
+    assert sorted(seen) == [i for i in truth if zlib.crc32(str(i).encode()) % 5 > 1]
+    assert sum((i in kept) == bool(y) for i, y in truth.items()) <= 0.03 * len(truth)
