@@ -35,8 +35,31 @@ MOST_BITS, SLICE_BITS = 28, 22
 RESULT = ["__dc_n_words", "__dc_n_hit", "__dc_n_items", "__dc_items_sha256", "__dc_items"]
 
 
-def words_of(text: str | None) -> list[bytes]:
-    return (text or "").encode("utf-8", "replace").translate(ALNUM_WORDS).split()
+def words_of(text: str | bytes | None) -> list[bytes]:
+    raw = text if isinstance(text, bytes) else (text or "").encode("utf-8", "replace")
+    return raw.translate(ALNUM_WORDS).split()
+
+
+class Slice:
+    """The words of some texts in one row: what numpy does for a slice costs little, for each text it costs more than the words."""
+
+    def __init__(self, column: pa.Array, hashes: WordHash):
+        self.texts = [t or b"" for t in column.cast(pa.binary()).to_pylist()]
+        self.words: list[bytes] = []
+        ends = []
+        for text in self.texts:
+            self.words += words_of(text)
+            ends.append(len(self.words))
+        self.ends = np.array(ends, np.int64)
+        self.owner = np.repeat(np.arange(len(ends)), np.diff(self.ends, prepend=0))
+        self.hashed = _hashed(self.words, hashes)
+
+    def found(self, bitmap: "Bitmap", width: int) -> tuple[np.ndarray, np.ndarray]:
+        """Where runs of ``width`` words that the bitmap has begin, none across two texts, and their hashes."""
+        h = _hashes(self.hashed, width)
+        at = bitmap.has(h)
+        at = at[self.owner[at] == self.owner[at + width - 1]]
+        return at, h[at]
 
 
 def windows_of(words: list[bytes], size: int):
@@ -153,14 +176,12 @@ def _count(bitmap: Bitmap, widths: list[int]):
             return pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(c)], names=["h", "c"])
 
         for batch in slices(batches):
-            for text in batch.column(0).to_pylist():
-                words = _hashed(words_of(text), hashes)
-                for width in widths:
-                    h = _hashes(words, width)
-                    h = h[bitmap.has(h)]
-                    if len(h):
-                        held.append(h)
-                        n += len(h)
+            part = Slice(batch.column(0), hashes)
+            for width in widths:
+                h = part.found(bitmap, width)[1]
+                if len(h):
+                    held.append(h)
+                    n += len(h)
             if n > 200_000:
                 yield out()
                 held, n = [], 0
@@ -170,8 +191,8 @@ def _count(bitmap: Bitmap, widths: list[int]):
     return run
 
 
-def _key(text: str | None) -> bytes:
-    return hashlib.blake2b((text or "").encode("utf-8", "replace"), digest_size=16).digest()
+def _key(text: bytes | None) -> bytes:
+    return hashlib.blake2b(text or b"", digest_size=16).digest()
 
 
 PLACE = "key binary, pos bigint, h bigint, around string, lead int"
@@ -183,18 +204,17 @@ def _places(bitmap: Bitmap, widths: list[int], size: int):
     def run(batches):
         hashes = WordHash()
         for batch in slices(batches):
-            rows = []
-            for text in batch.column(0).to_pylist():
-                words = words_of(text)
-                hashed, key = _hashed(words, hashes), None
-                for width in widths:
-                    h = _hashes(hashed, width)
-                    at = bitmap.has(h)
-                    if len(at):
-                        key = key or _key(text)
-                        for i, x in zip(at.tolist(), h[at].view(np.int64).tolist(), strict=True):
-                            first = max(0, i - size + 1)
-                            rows.append((key, i, x, b" ".join(words[first : i + size]).decode(), i - first))
+            rows, part, keys = [], Slice(batch.column(0), hashes), {}
+            for width in widths:
+                at, h = part.found(bitmap, width)
+                owner = part.owner[at]
+                ends = part.ends[owner]
+                begins = np.where(owner > 0, part.ends[owner - 1], 0)
+                for i, x, j, a, b in zip(at.tolist(), h.view(np.int64).tolist(), owner.tolist(), begins.tolist(), ends.tolist(), strict=True):
+                    if j not in keys:
+                        keys[j] = _key(part.texts[j])
+                    first = max(a, i - size + 1)
+                    rows.append((keys[j], i - a, x, b" ".join(part.words[first : min(b, i + size)]).decode("utf-8", "replace"), i - first))
             if rows:
                 kinds = (pa.binary(), pa.int64(), pa.int64(), pa.string(), pa.int32())
                 yield pa.RecordBatch.from_arrays(
@@ -209,7 +229,7 @@ def _counted(text_col: str, names: list[str]):
 
     def run(batches):
         for batch in slices(batches):
-            texts = batch.column(text_col).to_pylist()
+            texts = batch.column(text_col).cast(pa.binary()).to_pylist()
             cols = [pa.array([_key(t) for t in texts], pa.binary()), pa.array([len(words_of(t)) for t in texts], pa.int64())]
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), *cols], names=[*names, "__dc_key", RESULT[0]])
 

@@ -4,6 +4,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import duckdb
+import numpy as np
 import pandas as pd
 import pytest
 from hypothesis import given, settings
@@ -384,6 +385,19 @@ def test_op9_item_names_and_overlaps(spark):
     assert got.filter("doc_id = 3").first()["__dc_items"] == ["", "a\nb", "c,d", "e"]
 
 
+def test_op9_slices_do_not_join_texts():
+    """The words of many texts lie in one row; a run of words never crosses from one to the next."""
+    import pyarrow as pa
+
+    texts = ["a b", "c d e", None, "", "a b c", "d", "é_b c"]
+    all_ = decontaminate.Bitmap(10, np.full(128, 255, np.uint8))
+    part = decontaminate.Slice(pa.array(texts), decontaminate.WordHash())
+    for width in (1, 2, 3):
+        got = [(int(part.owner[i]), tuple(part.words[i : i + width])) for i in part.found(all_, width)[0]]
+        each = [decontaminate.words_of(t) for t in texts]
+        assert got == [(j, tuple(ws[i : i + width])) for j, ws in enumerate(each) for i in range(len(ws) - width + 1)]
+
+
 def test_op9_odd_rows(spark, odd_docs, no_docs):
     items = [(1, "same TEXT"), (2, "same, text!"), (3, None), (4, ""), (None, "w1 w2 w3"), (5, " ".join(f"w{i}" for i in range(100, 112)))]
     bench = spark.createDataFrame(items, "item_id long, text string")
