@@ -101,21 +101,52 @@ def near_links(df: DataFrame, bucket: str, text: str, key: str, threshold: float
         return keep(materialize(rows.join(found, ["g", "s"]).select(F.col("k").alias(key), "class_id", "links", "nearest"), "near"))
 
 
+#: Cells of the table of counts of words, as a power of two: what comes to the driver has a row for each at most.
+CELL_BITS = 18
+
+
+def _prefixes(table: np.ndarray, threshold: float):
+    """The rarest words of a set, of which it shares one with every set that reaches the threshold; words of one set alone are left out."""
+
+    def run(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            h, sizes = batch.column(3), batch.column(2).to_numpy()
+            ends = np.asarray(h.offsets)
+            values, at, found = h.values.to_numpy(), [], []
+            for i, n in enumerate(sizes.tolist()):
+                own = values[ends[i] : ends[i + 1]]
+                f = table[own & (len(table) - 1)]
+                first = np.lexsort((own, f))[: n - int(np.ceil(threshold * n - 1e-9)) + 1]
+                first = first[f[first] > 1]
+                found.append(own[first])
+                at += [i] * len(first)
+            rows = pa.array(at, pa.int64())
+            cols = [*(batch.column(c).take(rows) for c in range(3)), pa.array(np.concatenate(found) if found else [], pa.int64())]
+            yield pa.RecordBatch.from_arrays(cols, names=["k", "g", "n", "x"])
+
+    return run
+
+
 def near_jaccard(sets: DataFrame, bucket: str, words: str, key: str, threshold: float = NEAR) -> DataFrame:
     """Pairs (bucket, a, b, similarity) of different sets of words in a bucket that reach the threshold.
 
     Words are joined, rarest first, on the prefix that the threshold demands,
-    so that pairs that share only common words never meet. ``sets`` is read
-    several times: it should be a written table.
+    so that pairs that share only common words never meet. Any fixed order of
+    the words will do, so rarity is that of a word's cell in a table of counts
+    and each set finds its prefix by itself: only prefixes are shuffled. They are
+    hashes of words; the pairs they give are compared by the words. ``sets`` is
+    read several times: it should be a written table.
     """
     sets = sets.select(F.col(key).alias("k"), F.col(bucket).alias("g"), F.col(words).alias("w"), F.size(words).alias("n"))
-    long = sets.select("k", "g", "n", F.explode("w").alias("x"))
-    freq = long.groupBy("g", "x").agg(F.count(F.lit(1)).alias("f")).filter("f > 1")
-    # A set's words by rarity; words of one set alone come first in the order and join with nothing.
-    shared = long.join(freq, ["g", "x"]).groupBy("k", "g", "n").agg(F.array_sort(F.collect_list(F.struct("f", "x"))).alias("o"))
-    need = F.col("n") - F.ceil(F.lit(threshold) * F.col("n") - 1e-9) + 1 - (F.col("n") - F.size("o"))
-    first = F.slice("o", F.lit(1), F.greatest(need, F.lit(0)).cast("int"))
-    prefix = shared.select("k", "g", "n", F.explode(F.transform(first, lambda p: p["x"])).alias("x"))
+    hashed = sets.select("k", "g", "n", F.transform("w", lambda x: F.xxhash64("g", x)).alias("h"))
+    cell = F.col("x").bitwiseAND(F.lit((1 << CELL_BITS) - 1))
+    counts = hashed.select(F.explode("h").alias("x")).groupBy(cell.alias("cell")).agg(F.count(F.lit(1)).alias("f")).toArrow()
+    table = np.zeros(1 << CELL_BITS, np.int64)
+    table[counts["cell"].to_numpy()] = counts["f"].to_numpy()
+    schema = sets.select("k", "g", "n", F.lit(0).cast("bigint").alias("x")).schema
+    prefix = hashed.mapInArrow(_prefixes(table, threshold), schema)
     a, b = prefix.alias("a"), prefix.alias("b")
     low, high = F.least(F.col("a.n"), F.col("b.n")), F.greatest(F.col("a.n"), F.col("b.n"))
     match = (F.col("a.g") == F.col("b.g")) & (F.col("a.x") == F.col("b.x")) & (F.col("a.k") < F.col("b.k")) & (low >= F.lit(threshold) * high - 1e-9)

@@ -435,3 +435,19 @@ def test_settings_and_estimates(spark):
     assert sizes.pop("beginner_onboarding") == 2 and set(sizes.values()) <= {4, 6}
     assert profile.pilot_statistics(made).first()["avg_messages"] == round((2 + sum(sizes.values())) / 12, 2)
     assert df.select(r.relevance(F.lit("event memory"), F.lit(""))).first()[0].startswith("continuity")
+
+
+@pytest.mark.parametrize("bits", [1, 18])
+def test_near_jaccard_shuffles_prefixes_alone_and_loses_no_pair(spark, monkeypatch, bits):
+    """Whatever words share a cell of the counts, every pair is found."""
+    import random
+
+    monkeypatch.setattr(dedup, "CELL_BITS", bits)
+    rng = random.Random(2)
+    base = [{f"w{rng.randrange(80)}" for _ in range(rng.randrange(1, 40))} for _ in range(12)]
+    sets = [s ^ {f"w{rng.randrange(80)}" for _ in range(rng.randrange(3))} or {"x"} for s in base for _ in range(6)]
+    rows = [(i, f"g{i % 2}", sorted(s)) for i, s in enumerate(sets)]
+    df = spark.createDataFrame(rows, "k long, g string, w array<string>")
+    got = {(r["a"], r["b"]) for r in dedup.near_jaccard(df, "g", "w", "k", 0.8).collect()}
+    want = {(i, j) for i, a in enumerate(sets) for j, b in enumerate(sets) if i < j and i % 2 == j % 2 and len(a & b) >= 0.8 * len(a | b)}
+    assert want and got == want
