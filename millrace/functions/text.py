@@ -42,8 +42,13 @@ def normalize(x: Column) -> Column:
 
 
 def fold(x: Column) -> Column:
-    """Stripped, lower case, any white space one blank: what substring tests look at."""
-    return F.regexp_replace(F.lower(strip(x)), f"{SPACE}+", " ")
+    """Stripped, lower case, any white space one blank: what substring tests look at.
+
+    Each character has one lower case of its own, as in SQL: a dotted capital I
+    is an i without a mark, and a sigma is the same at the end of a word.
+    """
+    x = F.translate(strip(x), "\u0130\u03a3", "i\u03c3")
+    return F.regexp_replace(F.lower(x), f"{SPACE}+", " ")
 
 
 def sentences(x: Column) -> Column:

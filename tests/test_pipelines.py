@@ -258,6 +258,16 @@ def test_edges_of_words_are_those_of_the_sql(spark, tmp_path):
     assert [a for _, a in got] == [0.0, 1.0, 1.0, 1.0, 1.0, 0.0, 0.0, 0.0]
 
 
+def test_letters_of_two_cases_are_those_of_the_sql(spark, tmp_path):
+    texts = ["\u0130 hear you", "\u0131 hear you", "I HEAR YOU", "ma\u212aes \u017fense", "u\u017fe it, feel", "\u017ftart feel", "feel \u017ftart", "\u0130'd feel", "\u039f\u03a3 feel"]
+    path = f"{tmp_path}/documents.parquet"
+    spark.createDataFrame([(8 * i, x) for i, x in enumerate(texts)], "doc_id long, text string").write.parquet(path)
+    got = sorted(map(tuple, QUERIES["score_emotional_ack"](spark, str(tmp_path)).collect()))
+    assert got == duck("score_emotional_ack", documents=path)
+    assert [a for _, a in got] == [1.0, 0.0, 1.0, 1.0, 0.0, 1.0, 1.0, 0.0, 1.0]
+    assert spark.range(1).select(t.fold(F.lit(" \u0130S \u039f\u03a3 "))).first()[0] == "is \u03bf\u03c3"
+
+
 def test_streams_read_a_table_that_is_a_folder(spark, sf, tmp_path):
     for name in ("events", "documents"):
         spark.read.parquet(f"{sf}/{name}.parquet").repartition(3).write.parquet(str(tmp_path / f"{name}.parquet"))
