@@ -137,6 +137,52 @@ def test_near_sequence_in_blocks(spark, monkeypatch):
     assert {r["k"]: r["near_key"] for r in dedup.near_sequence(df, "g", "x", "k").collect()} == want
 
 
+@pytest.mark.parametrize("rest", [0, 100])
+def test_near_sequence_in_rounds(spark, monkeypatch, rest):
+    """Groups of near copies of long texts, judged in rounds of a pair a row, with and without a rest that is judged at once."""
+    monkeypatch.setattr(dedup, "TRIES", 1)
+    monkeypatch.setattr(dedup, "REST", rest)
+    rng = random.Random(11)
+    rows = []
+    for _ in range(4):
+        base = "".join(rng.choice("etaoin shrdlu" * 9 + "qzxj") for _ in range(420))
+        for _ in range(7):
+            at = rng.randrange(380)
+            rows.append((len(rows), "b", base[:at] + "".join(rng.choice("qzxj") for _ in range(rng.randrange(9))) + base[at + rng.randrange(9) :]))
+    rng.shuffle(rows)
+    rows = [(k, g, x) for k, (_, g, x) in enumerate(rows)]
+    want, accepted = {}, []
+    for k, _, x in rows:
+        want[k] = next((j for j, y in accepted if SequenceMatcher(None, x, y).ratio() >= 0.92), None)
+        if want[k] is None:
+            accepted.append((k, x))
+    df = spark.createDataFrame(rows, "k long, g string, x string")
+    assert {r["k"]: r["near_key"] for r in dedup.near_sequence(df, "g", "x", "k").collect()} == want and 4 <= len(accepted) < 26
+
+
+def test_near_sequence_compares_few_pairs(spark, monkeypatch):
+    """Long texts of a small vocabulary are told apart by their sketches, and near ones are not lost."""
+    rng = random.Random(13)
+    words = ["".join(rng.choice("etaoinsrhl") for _ in range(rng.randrange(2, 6))) + rng.choice(["", "", "k", "v", ","]) for _ in range(60)]
+    texts = [" ".join(rng.choice(words) for _ in range(rng.randrange(380, 440))) for _ in range(60)]
+    texts += [x[:500] + "jq" + x[540:] for x in texts[:20]]
+    df = spark.createDataFrame([(k, "b", x) for k, x in enumerate(texts)], "k long, g string, x string")
+    found = {(r["a"], r["b"]) for r in dedup._candidates(df, "x", 0.92).collect()}
+    assert {(k, 60 + k) for k in range(20)} <= found and len(found) < 60
+
+
+def test_near_verdicts_are_those_of_difflib():
+    """With frequent characters left out, runs of rare ones, and runs too long to look up."""
+    rng = random.Random(17)
+    for alphabet in ("etaoin shrdlu", "ab", "eeeeettttaaooonns       hrqzxjk", "".join(map(chr, range(0x4E00, 0x4F00)))):
+        for size in (0, 1, 40, 199, 200, 700) * 6:
+            y = "".join(rng.choice(alphabet) for _ in range(size))
+            x = "".join(c if rng.random() > 0.03 else rng.choice(("", c + c, "z")) for c in y)
+            x = x[size // 9 :] + x[: size // 9] if rng.random() < 0.2 else x
+            for threshold in (0.5, 0.92, 0.97):
+                assert dedup.reaches(x, y, threshold) == (SequenceMatcher(None, x, y).ratio() >= threshold)
+
+
 def test_near_sequence_looks_at_every_document(spark, sf):
     docs = {r["doc_id"] for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id").collect()}
     assert {r["doc_id"] for r in QUERIES["dedup_near_sequence"](spark, sf).collect()} == docs
