@@ -14,7 +14,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions import scoring as s, text as t
-from ..sources.store import few, materialize, scratch
+from ..sources.store import discard, few, materialize, scratch
 
 # Fixed values.
 NEAR, OPENING_SHARE, REPETITIVE = 0.92, 0.08, 0.10
@@ -407,12 +407,15 @@ def near_sequence(df: DataFrame, bucket: str, text: str | list[str], key: str, t
         rows = df.select(F.coalesce(F.col(bucket).cast("string"), F.lit("")).alias("g"), F.col(key).cast("bigint").alias("k"), *side)
         rows = materialize(rows.withColumn("same", F.sha2(F.to_json(F.struct("g", *names)), 256)), "texts")
         heads = materialize(rows.groupBy("same", "g", *names).agg(F.min("k").alias("k")), "heads")
-        open_ = None
-        for n in names:
-            found = _candidates(heads, n, threshold)
-            open_ = found if open_ is None else open_.union(found)
+        texts_, rows = rows, materialize(rows.select("same", "k"), "rows")
+        discard(df.sparkSession, texts_)
         # Pairs left, whether they are near (null: not yet compared), and the rows that are gone with the least accepted one they are near to.
-        open_ = materialize(open_.distinct().withColumn("near", F.lit(None).cast("boolean")), "open")
+        with scratch(df.sparkSession) as keep_open:
+            open_ = None
+            for n in names:
+                found = _candidates(heads, n, threshold)
+                open_ = found if open_ is None else open_.union(found)
+            open_ = keep_open(materialize(open_.distinct().withColumn("near", F.lit(None).cast("boolean")), "open"))
         gone = df.sparkSession.createDataFrame([], "b bigint, least bigint")
         spread = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         whole = lambda s: heads.select(F.col("k").alias(s), *[F.col(n).alias(f"{s}{n}") for n in names])
