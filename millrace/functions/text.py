@@ -47,7 +47,7 @@ def fold(x: Column) -> Column:
     Each character has one lower case of its own, as in SQL: a dotted capital I
     is an i without a mark, and a sigma is the same at the end of a word.
     """
-    x = F.translate(strip(x), "\u0130\u03a3", "i\u03c3")
+    x = F.replace(F.replace(strip(x), F.lit("\u0130"), F.lit("i")), F.lit("\u03a3"), F.lit("\u03c3"))
     return F.regexp_replace(F.lower(x), f"{SPACE}+", " ")
 
 

@@ -268,6 +268,17 @@ def test_letters_of_two_cases_are_those_of_the_sql(spark, tmp_path):
     assert spark.range(1).select(t.fold(F.lit(" \u0130S \u039f\u03a3 "))).first()[0] == "is \u03bf\u03c3"
 
 
+def test_leftmost_matches_are_those_of_the_sql(spark, tmp_path):
+    words = ["feel", "that's", "that is", "I hear you", "\u017founds like", "sounds like", "do", "let's", "you \u017fhould", "\u017ftart", "x", "\u00e9", "\u0130", "\u212aeep", "_", "1"]
+    joints = [" ", "", "\u00e9", "\u017f", "-", "_", "'", "\u00a0", "\U0001f926", "\u0301", "x " * 47, "x " * 49, "x " * 51]
+    texts = [a + j + b + k for a in words for b in words for j in joints for k in ("", "\u017f", "x do")]
+    path = f"{tmp_path}/documents.parquet"
+    spark.createDataFrame([(8 * i, x) for i, x in enumerate(texts)], "doc_id long, text string").write.parquet(path)
+    got = sorted(map(tuple, QUERIES["score_emotional_ack"](spark, str(tmp_path)).collect()))
+    assert got == duck("score_emotional_ack", documents=path)
+    assert 0 < sum(a for _, a in got) < len(texts)
+
+
 def test_streams_read_a_table_that_is_a_folder(spark, sf, tmp_path):
     for name in ("events", "documents"):
         spark.read.parquet(f"{sf}/{name}.parquet").repartition(3).write.parquet(str(tmp_path / f"{name}.parquet"))
