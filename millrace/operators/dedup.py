@@ -152,81 +152,284 @@ def near_links(df: DataFrame, bucket: str, text: str, key: str, threshold: float
 
     ``links`` counts the other rows of the bucket whose sets of words reach the
     threshold, ``nearest`` is the largest similarity among them (null: none).
-    Copies are one class, so they are counted and not paired.
+    Copies are one class, so they are counted and not paired. Sets are written
+    once, as hashes of 64 bits of bucket and word; a class is told by its words.
     """
     with scratch(df.sparkSession) as keep:
         rows = df.select(F.col(key).alias("k"), F.coalesce(F.col(bucket).cast("string"), F.lit("")).alias("g"), t.fold(F.coalesce(text, F.lit(""))).alias("x"))
-        rows = rows.select("k", "g", F.array_sort(F.array_distinct(F.split("x", " "))).alias("w"))
-        rows = materialize(rows.withColumn("s", F.sha2(F.array_join("w", " "), 256)), "words")
-        classes = rows.groupBy("g", "s").agg(F.min("k").alias("c"), F.count(F.lit(1)).alias("size"))
-        classes = materialize(classes, "classes")
-        heads = rows.join(classes, ["g", "s"]).filter("k = c").dropDuplicates(["g", "s"]).select("c", "g", "w", "size")
-        pairs = materialize(near_jaccard(materialize(heads, "heads"), "g", "w", "c", threshold), "pairs")
-        sizes = classes.select("g", "c", "size")
-        both = pairs.union(pairs.select("g", "b", "a", "similarity"))
-        other = both.join(sizes.withColumnRenamed("c", "b"), ["g", "b"]).groupBy("g", F.col("a").alias("c"))
-        other = other.agg(F.sum("size").alias("others"), F.max("similarity").alias("far"))
-        found = classes.join(other, ["g", "c"], "left")
+        rows = rows.select("k", "g", F.sort_array(F.array_distinct(F.split("x", " "))).alias("w"))
+        rows = materialize(rows.select("k", "g", F.unhex(F.sha2(F.array_join("w", " "), 256)).alias("s"), _hashes("g", "w")), "sets")
+        classes = rows.groupBy("g", "s").agg(F.min("k").alias("k"), F.count(F.lit(1)).alias("size"))
+        classes = materialize(classes.withColumn("i", F.monotonically_increasing_id()), "classes")
+        links = _near(rows, classes, ["g", "s", "k"], threshold, _links, "i bigint, others bigint, far double")
+        links = links.groupBy("i").agg(F.sum("others").alias("others"), F.max("far").alias("far"))
         nearest = F.when(F.col("size") > 1, F.lit(1.0)).otherwise(F.col("far"))
-        found = found.select("g", "s", F.col("c").alias("class_id"), (F.col("size") - 1 + F.coalesce("others", F.lit(0))).alias("links"), nearest.alias("nearest"))
-        return keep(materialize(rows.join(found, ["g", "s"]).select(F.col("k").alias(key), "class_id", "links", "nearest"), "near"))
+        found = classes.join(links, "i", "left")
+        found = found.select("g", "s", F.col("k").alias("class_id"), (F.col("size") - 1 + F.coalesce("others", F.lit(0))).alias("links"), nearest.alias("nearest"))
+        return keep(materialize(rows.select("k", "g", "s").join(found, ["g", "s"]).select(F.col("k").alias(key), "class_id", "links", "nearest"), "near"))
+
+
+def near_jaccard(sets: DataFrame, bucket: str, words: str, key: str, threshold: float = NEAR) -> DataFrame:
+    """Pairs (bucket, a, b, similarity) of different sets of words in a bucket that reach the threshold, by hashes of the words."""
+    with scratch(sets.sparkSession) as keep:
+        rows = materialize(sets.select(F.col(key).alias("k"), F.col(bucket).alias("g"), _hashes(F.col(bucket), words)), "sets")
+        ids = materialize(rows.select("g", "k").distinct().withColumns({"i": F.monotonically_increasing_id(), "size": F.lit(1).cast("bigint")}), "ids")
+        pairs = _near(rows, ids, ["g", "k"], threshold, _pairs, "a bigint, b bigint, similarity double")
+        one, two = ids.select(F.col("i").alias("a"), "g", F.col("k").alias("x")), ids.select(F.col("i").alias("b"), F.col("k").alias("y"))
+        pairs = pairs.join(one, "a").join(two, "b").select("g", F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), "similarity")
+        return keep(materialize(pairs, "pairs"))
 
 
 #: Cells of the table of counts of words, as a power of two: what comes to the driver has a row for each at most.
 CELL_BITS = 18
+#: Cells of the sketch that goes with each word of a prefix, and pairs or words that are looked at together.
+PARITIES, TOGETHER = 256, 1 << 19
+#: Pairs of sets with the same least hash beyond which they are dealt to several tiles.
+TILE = 1 << 17
+#: Bits that tell which sets are still needed, as a power of two: what comes to the driver is so much at most.
+NEED_BITS = 25
+
+
+def _hashes(bucket, words: str) -> Column:
+    return F.sort_array(F.transform(words, lambda x: F.xxhash64(bucket, x))).alias("h")
 
 
 def _prefixes(table: np.ndarray, threshold: float):
-    """The rarest words of a set, of which it shares one with every set that reaches the threshold; words of one set alone are left out."""
+    """The rarest words of a set, of which it shares one with every set that reaches the threshold, and their places; words of one set alone are left out.
+
+    With them comes a sketch with a cell for a word at least, for each cell whether
+    an odd number of words is in it, the same folded to ``PARITIES`` cells, and the
+    least hash, which sets that are near mostly share.
+    """
 
     def run(batches):
         import pyarrow as pa
 
         for batch in batches:
-            h, sizes = batch.column(3), batch.column(2).to_numpy()
+            h = batch.column(batch.num_columns - 1)
             ends = np.asarray(h.offsets)
-            values, at, found = h.values.to_numpy(), [], []
+            values, found, places, sketches = h.values.to_numpy(), [], [], []
+            sizes = np.diff(ends)
+            values = values[ends[0] : ends[-1]]
+            ends = ends - ends[0]
             for i, n in enumerate(sizes.tolist()):
                 own = values[ends[i] : ends[i + 1]]
                 f = table[own & (len(table) - 1)]
                 first = np.lexsort((own, f))[: n - int(np.ceil(threshold * n - 1e-9)) + 1]
-                first = first[f[first] > 1]
-                found.append(own[first])
-                at += [i] * len(first)
-            rows = pa.array(at, pa.int64())
-            cols = [*(batch.column(c).take(rows) for c in range(3)), pa.array(np.concatenate(found) if found else [], pa.int64())]
-            yield pa.RecordBatch.from_arrays(cols, names=["k", "g", "n", "x"])
+                place = np.flatnonzero(f[first] > 1)
+                found.append(own[first[place]])
+                places.append(place.astype(np.int32))
+                cells = max(PARITIES, 1 << (n - 1).bit_length())
+                sketches.append(np.packbits(np.bincount((own >> 32) & (cells - 1), minlength=cells) & 1))
+            odd = [np.bitwise_xor.reduce(x.reshape(-1, PARITIES // 8)) for x in sketches]
+            at = pa.array(np.cumsum([0, *map(len, found)]), pa.int32())
+            lists = [pa.ListArray.from_arrays(at, pa.array(np.concatenate(x) if x else [], kind)) for x, kind in ((found, pa.int64()), (places, pa.int32()))]
+            cells = [pa.array([x.tobytes() for x in y], pa.binary()) for y in (odd, sketches)]
+            cols = [pa.array(sizes, pa.int32()), *lists, *cells, pa.array(values[ends[:-1]], pa.int64())]
+            names = [*batch.schema.names[:-1], "n", "x", "p", "odd", "sketch", "least"]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *cols], names=names)
 
     return run
 
 
-def near_jaccard(sets: DataFrame, bucket: str, words: str, key: str, threshold: float = NEAR) -> DataFrame:
-    """Pairs (bucket, a, b, similarity) of different sets of words in a bucket that reach the threshold.
+def _meetings(threshold: float):
+    """Of the entries (word, set) of a partition: pairs of sets that share a word and that lengths, places and sketches do not rule out.
+
+    The first word that two sets share, in the order of all words, has so many
+    words after it, itself included, in both that enough can be shared; another
+    word that is shared need not say so. A cell that is odd in one sketch only
+    stands for a word that is not shared. A row is a set and others with it.
+    """
+
+    def run(batches):
+        import pyarrow as pa
+
+        batches = [b for b in batches if b.num_rows]
+        if not batches:
+            return
+        entries = pa.Table.from_batches(batches)
+        x, ids, n, p = (entries.column(c).to_numpy() for c in ("x", "i", "n", "p"))
+        odd = np.frombuffer(b"".join(entries.column("odd").to_pylist()), np.uint64).reshape(len(x), -1)
+        order = np.lexsort((ids, n, x))
+        x, ids, odd, n, p = x[order], ids[order], odd[order], n[order].astype(np.int64), p[order].astype(np.int64)
+        word = np.cumsum(np.concatenate([[0], x[1:] != x[:-1]]).astype(np.int64)) << 32
+        after = np.searchsorted(word + n, word + ((n + 1e-9) / threshold).astype(np.int64), "right")
+        counts = np.maximum(0, after - np.arange(len(x)) - 1)
+        names, ids = np.unique(ids, return_inverse=True)
+        sums, begin, found = np.concatenate([[0], np.cumsum(counts)]), 0, np.zeros(0, np.int64)
+        while begin < len(x):
+            end = max(begin + 1, int(np.searchsorted(sums, sums[begin] + TOGETHER, "right")) - 1)
+            left = np.repeat(np.arange(begin, end), counts[begin:end])
+            right = left + 1 + np.arange(len(left)) - (sums[left] - sums[begin])
+            both = n[left] + n[right]
+            fits = np.minimum(n[left] - p[left], n[right] - p[right]) >= threshold / (1 + threshold) * both - 1e-9
+            left, right, both = left[fits], right[fits], both[fits]
+            apart = np.zeros(len(left), np.int64)
+            for c in range(odd.shape[1]):
+                apart += np.bitwise_count(odd[left, c] ^ odd[right, c])
+            fits = (apart <= (1 - threshold) / (1 + threshold) * both + 1e-9) & (ids[left] != ids[right])
+            one, two = ids[left[fits]], ids[right[fits]]
+            found = np.union1d(found, np.minimum(one, two) * len(names) + np.maximum(one, two))
+            begin = end
+        one, two = found // len(names), found % len(names)
+        starts = np.flatnonzero(np.concatenate([[True], one[1:] != one[:-1]])) if len(one) else np.zeros(0, np.int64)
+        lists = pa.ListArray.from_arrays(pa.array([*starts, len(one)], pa.int32()), pa.array(names[two], pa.int64()))
+        yield from pa.table({"a": pa.array(names[one[starts]], pa.int64()), "b": lists}).to_batches(max_chunksize=1024)
+
+    return run
+
+
+def _left(threshold: float):
+    """Of a tile, the lists without the sets that whole sketches rule out; the longer of two sketches is folded to the other's cells."""
+
+    def run(lists, sides):
+        import pyarrow as pa
+
+        at, n = {i: j for j, i in enumerate(sides.column("i").to_pylist())}, sides.column("n").to_numpy().astype(np.int64)
+        bits = [np.frombuffer(x, np.uint64) for x in sides.column("sketch").to_pylist()]
+        wide = np.array([len(x) for x in bits])
+        kept, ends, heads = [np.zeros(0, np.int64)], [0], []
+        for one, names in zip(lists.column("a").to_pylist(), lists.column("b").to_pylist(), strict=True):
+            a, names = at[one], np.array(names)
+            others = np.array([at[b] for b in names.tolist()])
+            fits = np.zeros(len(others), bool)
+            for w in np.unique(wide[others]):
+                same = np.flatnonzero(wide[others] == w)
+                cells = min(w, wide[a])
+                own = np.bitwise_xor.reduce(bits[a].reshape(-1, cells))
+                for part in np.array_split(same, len(same) * w // TOGETHER + 1):
+                    if len(part):
+                        theirs = np.bitwise_xor.reduce(np.concatenate([bits[b] for b in others[part].tolist()]).reshape(len(part), -1, cells), axis=1)
+                        apart = np.bitwise_count(theirs ^ own).sum(axis=1, dtype=np.int64)
+                        fits[part] = apart <= (1 - threshold) / (1 + threshold) * (n[a] + n[others[part]]) + 1e-9
+            if fits.any():
+                heads.append(one)
+                kept.append(names[fits])
+                ends.append(ends[-1] + len(kept[-1]))
+        tile = pa.array([lists.column("tile")[0].as_py()] * len(heads), pa.int64())
+        left = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(kept), pa.int64()))
+        return pa.table({"tile": tile, "a": pa.array(heads, pa.int64()), "b": left})
+
+    return run
+
+
+def _needed(rows: DataFrame, some: DataFrame, on: list[str]) -> DataFrame:
+    """Rows whose keys may be among those of ``some``, told by bits, so that a join need not shuffle all others."""
+    cell = F.pmod(F.xxhash64(*on), F.lit(1 << NEED_BITS))
+    found = some.select(cell.alias("c")).groupBy(F.shiftright("c", 6).alias("at")).agg(F.expr("bit_or(shiftleft(1L, cast(c & 63 AS int)))").alias("bits"))
+    found, table = found.toArrow(), np.zeros(1 << (NEED_BITS - 6), np.int64)
+    table[found["at"].to_numpy()] = found["bits"].to_numpy()
+
+    def run(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            c = batch.column(batch.num_columns - 1).to_numpy()
+            yield batch.filter(pa.array(((table[c >> 6] >> (c & 63)) & 1).astype(bool)))
+
+    dealt = rows.withColumn("c", cell.cast("bigint"))
+    return dealt.mapInArrow(run, dealt.schema).drop("c")
+
+
+def _shared(lists, sets, threshold: float):
+    """Of a tile, for each set with others: its place, theirs that reach the threshold, and the similarities."""
+    h = sets.column("h").combine_chunks()
+    ends = np.asarray(h.offsets)
+    words, flat = np.unique(h.values.to_numpy()[ends[0] : ends[-1]], return_inverse=True)
+    ends = ends - ends[0]
+    sizes, at = np.diff(ends), {i: j for j, i in enumerate(sets.column("i").to_pylist())}
+    mark = np.zeros(len(words), bool)
+    for a, others in zip(lists.column("a").to_pylist(), lists.column("b").to_pylist(), strict=True):
+        a, others = at[a], np.array([at[b] for b in others])
+        own = flat[ends[a] : ends[a + 1]]
+        mark[own] = True
+        # Some at a time, so that few words are copied.
+        for part in np.array_split(others, sizes[others].sum() // TOGETHER + 1):
+            if len(part):
+                rows = np.concatenate([flat[ends[b] : ends[b + 1]] for b in part.tolist()])
+                both = np.add.reduceat(mark[rows], np.cumsum(sizes[part]) - sizes[part], dtype=np.int64)
+                similarity = both / (sizes[a] + sizes[part] - both)
+                near = similarity >= threshold
+                yield a, part[near], similarity[near]
+        mark[own] = False
+
+
+def _links(threshold: float):
+    """Of a tile, for each set: rows whose sets reach the threshold, and the largest similarity."""
+
+    def run(lists, sets):
+        import pyarrow as pa
+
+        size = sets.column("size").to_numpy()
+        others, far = np.zeros(len(size), np.int64), np.zeros(len(size))
+        for a, near, similarity in _shared(lists, sets, threshold):
+            if len(near):
+                others[a] += size[near].sum()
+                others[near] += size[a]
+                far[a] = max(far[a], similarity.max())
+                far[near] = np.maximum(far[near], similarity)
+        some = np.flatnonzero(others)
+        return pa.table({"i": pa.array(sets.column("i").to_numpy()[some]), "others": pa.array(others[some]), "far": pa.array(far[some])})
+
+    return run
+
+
+def _pairs(threshold: float):
+    def run(lists, sets):
+        import pyarrow as pa
+
+        i, a, b, sim = sets.column("i").to_numpy(), [], [], []
+        for one, near, similarity in _shared(lists, sets, threshold):
+            a.append(np.full(len(near), i[one]))
+            b.append(i[near])
+            sim.append(similarity)
+        one, two, sim = (np.concatenate([np.zeros(0, kind), *x]) for x, kind in ((a, np.int64), (b, np.int64), (sim, np.float64)))
+        return pa.table({"a": pa.array(one), "b": pa.array(two), "similarity": pa.array(sim)})
+
+    return run
+
+
+def _near(rows: DataFrame, ids: DataFrame, on: list[str], threshold: float, form, schema: str) -> DataFrame:
+    """What ``form`` makes of the pairs of sets that reach the threshold, each pair looked at in one tile; ``rows`` and ``ids`` are written tables.
 
     Words are joined, rarest first, on the prefix that the threshold demands,
-    so that pairs that share only common words never meet. Any fixed order of
+    so that sets that share only common words never meet. Any fixed order of
     the words will do, so rarity is that of a word's cell in a table of counts
-    and each set finds its prefix by itself: only prefixes are shuffled. They are
-    hashes of words; the pairs they give are compared by the words. ``sets`` is
-    read several times: it should be a written table.
+    and each set finds its prefix by itself. Pairs travel as lists: sets with the
+    same least hash go to a tile with what they are compared with, to several
+    tiles where they have many pairs. Their sketches go there first, and the sets
+    themselves only for what these leave.
     """
-    sets = sets.select(F.col(key).alias("k"), F.col(bucket).alias("g"), F.col(words).alias("w"), F.size(words).alias("n"))
-    hashed = sets.select("k", "g", "n", F.transform("w", lambda x: F.xxhash64("g", x)).alias("h"))
+    spark = rows.sparkSession
+    spread = int(spark.conf.get("spark.sql.shuffle.partitions"))
     cell = F.col("x").bitwiseAND(F.lit((1 << CELL_BITS) - 1))
-    counts = hashed.select(F.explode("h").alias("x")).groupBy(cell.alias("cell")).agg(F.count(F.lit(1)).alias("f")).toArrow()
+    counts = rows.select(F.explode("h").alias("x")).groupBy(cell.alias("cell")).agg(F.count(F.lit(1)).alias("f")).toArrow()
     table = np.zeros(1 << CELL_BITS, np.int64)
     table[counts["cell"].to_numpy()] = counts["f"].to_numpy()
-    schema = sets.select("k", "g", "n", F.lit(0).cast("bigint").alias("x")).schema
-    prefix = hashed.mapInArrow(_prefixes(table, threshold), schema)
-    a, b = prefix.alias("a"), prefix.alias("b")
-    low, high = F.least(F.col("a.n"), F.col("b.n")), F.greatest(F.col("a.n"), F.col("b.n"))
-    match = (F.col("a.g") == F.col("b.g")) & (F.col("a.x") == F.col("b.x")) & (F.col("a.k") < F.col("b.k")) & (low >= F.lit(threshold) * high - 1e-9)
-    pairs = a.join(b, match).select(F.col("a.g").alias("g"), F.col("a.k").alias("a"), F.col("b.k").alias("b")).distinct()
-    side = lambda name: sets.select("g", F.col("k").alias(name), F.col("w").alias(f"w{name}"))
-    full = pairs.join(side("a"), ["g", "a"]).join(side("b"), ["g", "b"])
-    both = F.size(F.array_intersect("wa", "wb"))
-    sim = both / (F.size("wa") + F.size("wb") - both)
-    return full.withColumn("similarity", sim).filter(F.col("similarity") >= threshold).select("g", "a", "b", "similarity")
+    keyed = rows.select(*on, "h").filter(F.size("h") > 0)
+    made = keyed.select(*on, F.lit(0).alias("n"), F.col("h").alias("x"), F.array(F.lit(0)).alias("p"), F.lit(b"").alias("odd"), F.lit(b"").alias("sketch"), F.lit(0).cast("bigint").alias("least")).schema
+    prefixes = keyed.mapInArrow(_prefixes(table, threshold), made).filter(F.size("x") > 0)
+    heads = materialize(prefixes.join(ids.select(*on, "i"), on).drop(*on).dropDuplicates(["i"]), "prefixes")
+    entries = heads.select("i", "n", "odd", F.explode(F.arrays_zip("x", "p")).alias("e")).select("e.x", "i", "n", "e.p", "odd")
+    met = entries.repartition(spread, "x").mapInArrow(_meetings(threshold), "a bigint, b array<bigint>")
+    lists = met.groupBy("a").agg(F.array_distinct(F.flatten(F.collect_list("b"))).alias("b"))
+    lists = materialize(lists.join(heads.select(F.col("i").alias("a"), "least"), "a"), "lists")
+    # Tiles: a part of all least hashes, or of one that has many pairs those of some sets with some others.
+    many = lists.groupBy("least").agg(F.sum(F.size("b")).alias("pairs")).filter(F.col("pairs") > TILE)
+    many = materialize(many.select("least", F.ceil(F.sqrt(F.col("pairs") / TILE)).cast("int").alias("parts")), "many")
+    lists = lists.join(few(many), "least", "left")
+    part = lambda c: F.pmod(F.xxhash64(c), F.col("parts"))
+    one = lists.filter("parts IS NULL").select(F.pmod(F.xxhash64("least"), F.lit(4 * spread)).alias("tile"), "a", "b")
+    cut = lists.filter("parts IS NOT NULL").withColumn("q", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    cut = cut.select(F.xxhash64("least", part("a"), "q").alias("tile"), "a", F.filter("b", lambda y: part(y) == F.col("q")).alias("b")).filter(F.size("b") > 0)
+    tiles = materialize(one.union(cut), "tiles")
+    members = lambda x: x.groupBy("tile").agg(F.array_distinct(F.concat(F.collect_list("a"), F.flatten(F.collect_list("b")))).alias("i")).select("tile", F.explode("i").alias("i"))
+    sides = materialize(members(tiles), "members").join(heads.select("i", "n", "sketch"), "i")
+    left = tiles.groupBy("tile").cogroup(sides.groupBy("tile")).applyInArrow(_left(threshold), tiles.schema)
+    tiles = materialize(left, "tiles")
+    sides = materialize(members(tiles).join(ids, "i"), "sides")
+    sets = _needed(rows.select(*on, "h"), sides, on).join(sides, on).select("tile", "i", "size", "h")
+    return tiles.groupBy("tile").cogroup(sets.groupBy("tile")).applyInArrow(form(threshold), schema)
 
 
 #: Cells of a sketch for a character.

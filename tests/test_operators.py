@@ -451,3 +451,38 @@ def test_near_jaccard_shuffles_prefixes_alone_and_loses_no_pair(spark, monkeypat
     got = {(r["a"], r["b"]) for r in dedup.near_jaccard(df, "g", "w", "k", 0.8).collect()}
     want = {(i, j) for i, a in enumerate(sets) for j, b in enumerate(sets) if i < j and i % 2 == j % 2 and len(a & b) >= 0.8 * len(a | b)}
     assert want and got == want
+
+
+def _word_sets():
+    """Of long and short sets, near ones, far ones that share their rarest word, and copies."""
+    import random
+
+    rng = random.Random(5)
+    common = [f"c{i}" for i in range(900)]
+    texts = []
+    for n in (1, 3, 30, 250, 262, 520):
+        base = rng.sample(common, n - 1) + [f"rare{n}"]
+        for _ in range(12):
+            own = [w for w in base if w[0] == "r" or rng.random() > 0.03] + [f"u{rng.randrange(10**6)}" for _ in range(rng.randrange(1 + n // 40))]
+            texts.append(" ".join(own))
+        texts += [" ".join(rng.sample(common, n - 1) + [f"rare{n}"]) for _ in range(4)] + texts[-2:]
+    return texts
+
+
+@pytest.mark.parametrize("tile", [1 << 17, 5])
+def test_near_links_ships_no_words_and_counts_every_link(spark, monkeypatch, tile):
+    """Same links however many tiles the pairs are dealt to; what is written and shuffled holds no words."""
+    monkeypatch.setattr(dedup, "TILE", tile)
+    texts = _word_sets()
+    written = []
+    keep = dedup.materialize
+    monkeypatch.setattr(dedup, "materialize", lambda df, label: written.append(df.schema.simpleString()) or keep(df, label))
+    df = spark.createDataFrame([(i, f"g{i % 2}", x) for i, x in enumerate(texts)], "id long, bucket string, text string")
+    got = {r["id"]: (r["links"], r["nearest"]) for r in dedup.near_links(df, "bucket", "text", "id").collect()}
+    sets = [set(x.split(" ")) for x in texts]
+    want = {}
+    for i, a in enumerate(sets):
+        near = [x for j, b in enumerate(sets) if i != j and i % 2 == j % 2 and (x := len(a & b) / len(a | b)) >= dedup.NEAR]
+        want[i] = (len(near), max(near, default=None))
+    assert got == want and any(x and x < 1 for _, x in want.values())
+    assert not any("array<string>" in x for x in written)
